@@ -4,13 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe
+from tidemark.llm import bpe, simhash, substring, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that every document loses to passages of smaller ids, and a digest of the rest."""
+    return substring.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best partners of every fiftieth vector."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), k=5, query_mod=50)
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded bytes of every document, as digests."""
     import public_tokenizers
@@ -20,7 +35,13 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
+    "op2_substring_dedup": op2_substring_dedup,
+    "op7_exact_topk": op7_exact_topk,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_substring_dedup": substring.ORACLE,
+    "op7_exact_topk": topk.ORACLE,
+}
