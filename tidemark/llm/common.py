@@ -3,17 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Write df to the shared checkpoint folder and go on from there; lost executors lose nothing.
-
-    The folder is the one that the session names in spark.checkpoint.dir. Only a single-machine
-    session that names none gets a temporary folder."""
-    spark: SparkSession = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The shared folder for cut lineage: the one that the session names in spark.checkpoint.dir. Only a
+    single-machine session that names none gets a temporary folder."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -22,9 +20,26 @@ def checkpoint(df: DataFrame) -> DataFrame:
                 raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="tidemark-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """df from the shared folder, without lineage; for small or quickly replaced tables."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def saved(df: DataFrame) -> DataFrame:
+    """df as a Parquet table in the shared folder: columnar and compressed, so reads take only the columns they
+    need. The table goes when the driver ends."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """(node, component) of every node of edges (u, v); component is the smallest node reachable.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, simhash, substring, topk
+from tidemark.llm import bpe, linededup, simhash, substring, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,16 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that every document loses to earlier lines."""
+    return linededup.digest(table(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best partners of every fiftieth vector."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), k=5, query_mod=50)
@@ -37,6 +47,8 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_substring_dedup": op2_substring_dedup,
+    "op4_line_dedup": op4_line_dedup,
+    "op6_toxicity": op6_toxicity,
     "op7_exact_topk": op7_exact_topk,
     "op9_byte_bpe": op9_byte_bpe,
 }
