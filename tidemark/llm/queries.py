@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, linededup, simhash, substring, topk, toxicity
+from tidemark.llm import bpe, decontaminate, linededup, simhash, substring, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,12 +45,19 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that every document holds."""
+    found = decontaminate.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.size("found").alias("n_items"), F.array_join("found.item", ",").alias("items"), F.array_join("found.distance", ",").alias("distances"), (F.size("found") > 0).alias("contaminated"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_substring_dedup": op2_substring_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_exact_topk": op7_exact_topk,
+    "op10_decontamination": op10_decontamination,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
