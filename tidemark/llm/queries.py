@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, linededup, simhash, substring, topk, toxicity
+from tidemark.llm import bpe, decontaminate, linededup, pii, simhash, substring, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,11 @@ def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), k=5, query_mod=50)
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded bytes of every document, as digests."""
     import public_tokenizers
@@ -57,6 +62,7 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_exact_topk": op7_exact_topk,
+    "op8_pii": op8_pii,
     "op10_decontamination": op10_decontamination,
     "op9_byte_bpe": op9_byte_bpe,
 }
