@@ -40,6 +40,17 @@ def saved(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def maybe_among(rows: DataFrame, keys: DataFrame, columns: list[str], bits: int = 1 << 23) -> DataFrame:
+    """The rows whose columns may be among those of keys: a filter before a shuffle, to be followed by the join.
+
+    The keys become a bitmap of a fixed number of bits, whose words are the only thing broadcast (2 MB at most
+    with the default). A fuller bitmap lets more rows pass; no row of keys is ever lost."""
+    place = f"pmod(xxhash64({', '.join(columns)}), {bits})"
+    words = keys.select(F.expr(place).alias("_b")).groupBy(F.expr("shiftright(_b, 6)").alias("_w")).agg(F.expr("bit_or(shiftleft(1L, CAST(_b & 63 AS INT)))").alias("_m"))
+    marked = rows.withColumn("_b", F.expr(place)).withColumn("_w", F.expr("shiftright(_b, 6)"))
+    return marked.join(F.broadcast(words), "_w").where("shiftrightunsigned(_m, CAST(_b & 63 AS INT)) & 1 = 1").select(*rows.columns)
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """(node, component) of every node of edges (u, v); component is the smallest node reachable.
 

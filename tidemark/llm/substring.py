@@ -13,7 +13,7 @@ are never shuffled:
 
 Repeated windows are joined back and merged per text into maximal intervals. Texts of equal words are
 one text throughout, and every copy but the first loses all that windows cover; a hot group of copies is
-thus one row. Anchors of one hot passage are pre-aggregated, and its rows in the joins are split by
+thus one row. Only texts that can lose words are shuffled with their text. Anchors of one hot passage are pre-aggregated, and its rows in the joins are split by
 adaptive execution.
 
 Words are runs of anything but ASCII white space. Null text has no words. Texts shorter than a window
@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpoint
+from tidemark.llm.common import maybe_among, saved
 
 #: Words of a window and of an anchor.
 WINDOW, GRAM = 50, 25
@@ -106,13 +106,13 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 )
 
     # one row per text; anchors stay beside their text until they are dealt
-    texts = checkpoint(raw.mapInArrow(survey, f"id {kind}, k long, n_words long, sha binary, anchors array<long>"))
+    texts = saved(raw.mapInArrow(survey, f"id {kind}, k long, n_words long, sha binary, anchors array<long>"))
     first = texts.groupBy("sha").agg(F.min("id").alias("first"))
     texts = texts.join(first, "sha")
-    leading = texts.where((F.col("id") == F.col("first")) & F.col("anchors").isNotNull()).select("id", "k", "anchors").dropDuplicates(["id", "k"])
+    leading = texts.where((F.col("id") == F.col("first")) & F.col("anchors").isNotNull()).select("id", "k", "anchors")
     dealt = leading.select("id", "k", F.explode("anchors").alias("anchor"))
     shared = dealt.groupBy("anchor").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("anchor")
-    wanted = dealt.join(shared, "anchor").groupBy("id", "k").agg(F.collect_list("anchor").alias("shared"))
+    wanted = saved(dealt.join(shared, "anchor").groupBy("id", "k").agg(F.collect_set("anchor").alias("shared")))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,7 +128,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 keys = pa.array(np.full(len(starts), batch.column("k")[i].as_py(), np.int64))
                 yield pa.RecordBatch.from_arrays([ids, keys, pa.array(starts, pa.int32()), pa.array(own[starts].view(np.int64)), pa.array(hashes.view(np.int64))], names=["id", "k", "start", "anchor", "hash"])
 
-    seen = raw.join(wanted, ["id", "k"]).mapInArrow(windows, f"id {kind}, k long, start int, anchor long, hash long")
+    seen = maybe_among(raw, wanted, ["id", "k"]).join(wanted, ["id", "k"]).mapInArrow(windows, f"id {kind}, k long, start int, anchor long, hash long")
     least = seen.groupBy("anchor", "hash").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("anchor", "hash", "least")
     starts = seen.join(least, ["anchor", "hash"]).where("id > least").groupBy("id", "k").agg(F.collect_set("start").alias("starts"))
 
@@ -173,9 +173,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     schema = f"{id_col} {kind}, n_words long, n_removed long, kept_sha256 string, kept_text string"
     if with_text:
         return raw.join(found.dropDuplicates([id_col, "k"]), [id_col, "k"], "left").select(id_col, "t", "spans", "all_removed").mapInArrow(cut_out, schema)
-    found = checkpoint(found)
+    found = saved(found)
     cut = found.where(F.col("spans").isNotNull())
-    parts = raw.join(cut.dropDuplicates([id_col, "k"]), [id_col, "k"]).select(id_col, "t", "spans", "all_removed").mapInArrow(cut_out, schema).drop("kept_text")
+    parts = maybe_among(raw, cut, [id_col, "k"]).join(cut.dropDuplicates([id_col, "k"]), [id_col, "k"]).select(id_col, "t", "spans", "all_removed").mapInArrow(cut_out, schema).drop("kept_text")
     lost = F.when(F.col("all_removed"), F.col("n_words")).otherwise(F.lit(0).cast("long"))
     digest = F.when(F.col("all_removed"), F.lit(NOTHING)).otherwise(F.col("whole_sha256"))
     return found.where(F.col("spans").isNull()).select(id_col, "n_words", lost.alias("n_removed"), digest.alias("kept_sha256")).unionByName(parts)
