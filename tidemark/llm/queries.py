@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, linededup, pii, simhash, substring, topk, toxicity
+from tidemark.llm import bpe, decontaminate, htmltext, langid, linededup, pii, simhash, substring, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,16 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page."""
+    return langid.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visible text of every page."""
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that every document loses to earlier lines."""
     return linededup.digest(table(spark, sf_dir, "documents"))
@@ -59,6 +69,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_language_id": op3_language_id,
+    "op5_html_text": op5_html_text,
     "op4_line_dedup": op4_line_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_exact_topk": op7_exact_topk,
