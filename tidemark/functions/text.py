@@ -8,6 +8,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Legal endings that deduplication deletes, in this order.
 LEGAL_ENDINGS = [
@@ -24,7 +25,7 @@ SHARED_HOSTS = ["huggingface.co", "github.com", "raw.githubusercontent.com", "th
 RESERVED_OWNERS = ["topics", "explore", "settings", "notifications"]
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkd(names: pd.Series) -> pd.Series:
     """NFKD form; Spark has no function for it. Meant for distinct names."""
     return names.map(lambda x: unicodedata.normalize("NFKD", x), na_action="ignore")
@@ -124,7 +125,7 @@ def first_filled(*columns: Column) -> Column:
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in columns])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def jaro_winkler(left: pd.Series, right: pd.Series) -> pd.Series:
     """Jaro-Winkler similarity: prefix weight 0.1, at most four characters, only above 0.7."""
     return pd.Series([_jaro_winkler(a, b) if a is not None and b is not None else None for a, b in zip(left, right, strict=True)], dtype="float64")

@@ -1 +1,223 @@
-"""stub"""
+"""Deduplication, resolution and parsing of records."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.functions import text
+from tidemark.operators import dedup, htmlclean, resolve
+from tidemark.plans.registry import query
+from tidemark.plans.datequeries import NOW_COL
+from tidemark.plans.textqueries import _names, _sql_key, _sql_name, _VARIANT
+from tidemark.sources import parsers
+from tidemark.sources.readers import table
+
+
+@query("dedup_exact", "SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY sha256(text) ORDER BY doc_id) AS k FROM documents) WHERE k = 1")
+def dedup_exact(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", text.content_hash(F.col("text")).alias("key"))
+    return dedup.first_wins(docs, "key", "doc_id").select("doc_id")
+
+
+@query("dedup_normalized", f"SELECT p_partkey, key FROM (SELECT p_partkey, {_sql_key(_VARIANT)} AS key, row_number() OVER (PARTITION BY {_sql_key(_VARIANT)} ORDER BY p_partkey) AS k FROM part) WHERE k = 1")
+def dedup_normalized(spark, sf):
+    names = _names(spark, sf).select("p_partkey", text.normalize_key(F.col("name")).alias("key"))
+    return dedup.first_wins(names, "key", "p_partkey")
+
+
+def _records(spark, sf):
+    """Parts as startups: every seventh shares its address with an earlier one, and names repeat with other endings."""
+    names = _names(spark, sf).where("p_partkey <= 400")
+    i = F.col("p_partkey")
+    kind = F.when(i % 3 == 0, "PRODUCT").otherwise("STARTUP")
+    return names.select(i.alias("seq"), F.concat(F.lit("url:"), F.when(i % 7 == 0, i - 7).otherwise(i)).alias("exact"), text.normalize_key(F.col("name")).alias("norm"), text.block_key(F.col("name"), kind).alias("block"))
+
+
+_SQL_RECORDS = f"""r AS (SELECT p_partkey AS seq, 'url:' || CASE WHEN p_partkey % 7 = 0 THEN p_partkey - 7 ELSE p_partkey END AS exact, {_sql_key(_VARIANT)} AS norm,
+  CASE WHEN p_partkey % 3 = 0 THEN 'PRODUCT' ELSE 'STARTUP' END AS kind, CASE WHEN p_partkey % 3 = 0 THEN 'PRODUCT' ELSE 'STARTUP' END || ':' || substring({_sql_key(_VARIANT)}, 1, 2) AS block FROM part WHERE p_partkey <= 400)"""
+
+
+@query(
+    "fuzzy_pairs",
+    f"WITH {_SQL_RECORDS}, n AS (SELECT DISTINCT block, norm FROM r WHERE norm <> '') SELECT a.block, a.norm AS a, b.norm AS b, round(jaro_winkler_similarity(a.norm, b.norm), 6) AS score FROM n a JOIN n b ON a.block = b.block AND a.norm < b.norm WHERE jaro_winkler_similarity(a.norm, b.norm) >= 0.9",
+)
+def fuzzy_pairs(spark, sf):
+    return dedup.fuzzy_pairs(_records(spark, sf), 0.90).withColumn("score", F.round("score", 6))
+
+
+_SURVIVORS = f"""WITH RECURSIVE {_SQL_RECORDS}, o AS (SELECT *, row_number() OVER (ORDER BY seq) AS k FROM r),
+  e AS (SELECT b.k AS j, list(a.k) AS js FROM o b LEFT JOIN o a ON a.k < b.k AND (a.exact = b.exact OR a.kind = b.kind AND a.norm = b.norm OR a.block = b.block AND a.norm <> '' AND b.norm <> '' AND jaro_winkler_similarity(a.norm, b.norm) >= 0.9) GROUP BY b.k),
+  s AS (SELECT CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS kept UNION ALL SELECT s.k + 1, CASE WHEN list_has_any(s.kept, e.js) THEN s.kept ELSE list_append(s.kept, s.k + 1) END FROM s JOIN e ON e.j = s.k + 1)
+"""
+
+
+@query("dedup_survivors", _SURVIVORS + "SELECT o.seq, CASE WHEN list_contains(f.kept, o.k) THEN 'keep' ELSE 'duplicate' END AS status FROM o, (SELECT kept FROM s ORDER BY k DESC LIMIT 1) f")
+def dedup_survivors(spark, sf):
+    return dedup.survivors(_records(spark, sf), 0.90).select("seq", "status")
+
+
+@query(
+    "dedup_stats",
+    _SURVIVORS + "SELECT count(*) AS total_seen, count_if(NOT k) AS duplicates, count(DISTINCT exact) FILTER (WHERE k) AS exact_keys, count(DISTINCT norm) FILTER (WHERE k) AS normalized_keys, count(DISTINCT block) FILTER (WHERE k) AS blocks "
+    "FROM (SELECT o.*, list_contains(f.kept, o.k) AS k FROM (SELECT * EXCLUDE (k), k FROM o) o, (SELECT kept FROM s ORDER BY k DESC LIMIT 1) f) x(seq, exact, norm, kind, block, kk, k)",
+)
+def dedup_stats(spark, sf):
+    return dedup.dedup_stats(dedup.survivors(_records(spark, sf), 0.90))
+
+
+#: A small seed dimension: name, aliases, domain.
+_SEEDS = [("OpenAI", ["Open AI", "OpenAI LP"], "openai.com"), ("Stability AI", ["StabilityAI"], "stability.ai"), ("Hugging Face", ["HF"], "huggingface.co"), ("Weights & Biases", ["wandb"], "wandb.ai"), ("Anthropic", ["Anthropic PBC"], "anthropic.com")]
+_RAW = ["open ai", "OpenAI, Inc.", "Stabilty AI", "Hugging Fase", "Huge Faces", "Totally New", "  ", "wandb", "Anthropc Research", "Weights and Biases"]
+_DOMAINS = ["", "", "", "", "www.huggingface.co", "", "", "", "", ""]
+
+
+def _resolved(spark, sf):
+    seeds = spark.createDataFrame([(i, n, a, d) for i, (n, a, d) in enumerate(_SEEDS)], "ordinal int, canonical_name string, aliases array<string>, domain string")
+    pick = lambda values: F.element_at(F.array(*map(F.lit, values)), (F.col("s_suppkey") % 10 + 1).cast("int"))
+    raw = table(spark, sf, "supplier").select("s_suppkey", pick(_RAW).alias("raw_name"), F.nullif(pick(_DOMAINS), F.lit("")).alias("domain"), F.concat(F.lit("https://x.com/"), "s_suppkey").alias("source_url"))
+    return resolve.resolve(raw, seeds, domain="domain")
+
+
+_seed_rows = ", ".join(f"({i}, '{n}', [{', '.join(repr(x) for x in [n, *a])}], '{d}')" for i, (n, a, d) in enumerate(_SEEDS))
+_RESOLVED = f"""WITH seeds(ordinal, name, aliases, domain) AS (VALUES {_seed_rows}), al AS (SELECT lower(unnest(aliases)) AS alias, name, ordinal FROM seeds),
+  raw AS (SELECT s_suppkey, [{', '.join(repr(x) for x in _RAW)}][CAST(s_suppkey % 10 AS INT) + 1] AS raw_name, nullif([{', '.join(repr(x) for x in _DOMAINS)}][CAST(s_suppkey % 10 AS INT) + 1], '') AS domain FROM supplier),
+  n AS (SELECT *, trim(raw_name) AS t, {_sql_name('trim(raw_name)')} AS norm FROM raw),
+  sn AS (SELECT {_sql_name('alias')} AS norm, arg_max(name, ordinal) AS name FROM al GROUP BY 1),
+  best AS (SELECT norm, arg_max(name, row(score, -ordinal)) AS name, max(score) AS score FROM (SELECT DISTINCT n.norm, s.name, s.ordinal, jaro_winkler_similarity(n.norm, {_sql_name('s.name')}) AS score FROM n, seeds s WHERE n.norm <> '') GROUP BY norm),
+  j AS (SELECT n.*, (SELECT arg_max(name, ordinal) FROM al WHERE alias = lower(t)) AS a, (SELECT name FROM sn WHERE sn.norm = n.norm AND n.norm <> '') AS b, (SELECT arg_min(name, ordinal) FROM seeds s WHERE s.domain = lower(replace(n.domain, 'www.', ''))) AS c, best.name AS d, coalesce(best.score, 0) AS score FROM n LEFT JOIN best USING (norm)),
+  z AS (SELECT s_suppkey, raw_name, CASE WHEN t = '' THEN NULL WHEN a IS NOT NULL THEN a WHEN b IS NOT NULL THEN b WHEN c IS NOT NULL THEN c WHEN score >= 0.92 THEN d WHEN score >= 0.7 THEN NULL ELSE t END AS canonical,
+    CASE WHEN t = '' OR a IS NOT NULL THEN 'exact_alias' WHEN b IS NOT NULL THEN 'normalization' WHEN c IS NOT NULL THEN 'context_match' WHEN score >= 0.92 THEN 'fuzzy_match' WHEN score >= 0.7 THEN 'manual_review' ELSE 'exact_alias' END AS method,
+    CAST(CASE WHEN t = '' THEN 0.0 WHEN a IS NOT NULL THEN 1.0 WHEN b IS NOT NULL THEN 0.98 WHEN c IS NOT NULL THEN 0.95 WHEN score >= 0.7 THEN round(score, 4) ELSE 1.0 END AS DOUBLE) AS confidence,
+    CASE WHEN t = '' THEN 'REJECTED' WHEN a IS NULL AND b IS NULL AND c IS NULL AND score >= 0.7 AND score < 0.92 THEN 'REVIEW' ELSE 'ACCEPTED' END AS decision FROM j)
+"""
+
+
+@query("resolve_entities", _RESOLVED + "SELECT s_suppkey, raw_name, canonical, method, confidence, decision FROM z")
+def resolve_entities(spark, sf):
+    return _resolved(spark, sf).select("s_suppkey", "raw_name", "canonical", "method", "confidence", "decision")
+
+
+@query("mapping_log", _RESOLVED + """SELECT raw_name AS "rawName", canonical AS "canonicalName", method, confidence, 'https://x.com/' || s_suppkey AS "sourceUrl", decision FROM z WHERE decision <> 'REJECTED'""")
+def mapping_log(spark, sf):
+    return resolve.mapping_log(_resolved(spark, sf))
+
+
+@query("resolution_counts", _RESOLVED + "SELECT method, decision, count(*) AS n FROM z GROUP BY ALL")
+def resolution_counts(spark, sf):
+    return _resolved(spark, sf).groupBy("method", "decision").agg(F.count("*").alias("n"))
+
+
+def _markdown(spark, sf):
+    """A Markdown list per supplier."""
+    i = F.col("s_suppkey")
+    body = F.concat(
+        F.lit("# List\n- [Intro](https://intro.com)\n## Tools\n* [Alpha "), i, F.lit("](https://alpha"), i, F.lit(".com/x) - built by Acme Labs, open source\n- [License](https://l.com): no\n- [GH](https://github.com/a/b)\n## Milestones\n- [Skipped](https://skip.com)\n### Chat\n"),
+        F.lit("- [Beta](https://www.beta"), i % 5, F.lit(".org) – $9 a month and [Gamma](https://gamma.io/"), i, F.lit(")\n- [Beta again](https://beta"), i % 5, F.lit(".org/2)\n### Delta\ntext\n[More Information and Pricing](https://delta"), i, F.lit(".ai)\n[More Information and Pricing](https://late.ai)\n"),
+    )
+    return table(spark, sf, "supplier").select("s_suppkey", body.alias("body"))
+
+
+@query(
+    "markdown_links",
+    """SELECT s_suppkey, unnest(['Intro', 'Alpha ' || s_suppkey, 'Beta', 'Gamma', 'More Information and Pricing', 'More Information and Pricing']) AS name,
+    unnest(['https://intro.com', 'https://alpha' || s_suppkey || '.com/x', 'https://www.beta' || s_suppkey % 5 || '.org', 'https://gamma.io/' || s_suppkey, 'https://delta' || s_suppkey || '.ai', 'https://late.ai']) AS link, unnest(['general', 'tools', 'chat', 'chat', 'delta', 'delta']) AS section FROM supplier""",
+)
+def markdown_links(spark, sf):
+    return parsers.markdown_startups(_markdown(spark, sf), "body").select("s_suppkey", "name", "link", "section")
+
+
+@query(
+    "markdown_products",
+    """SELECT s_suppkey, unnest(['Intro', 'Alpha ' || s_suppkey, 'GH', 'Beta', 'Beta again']) AS name, unnest([NULL, 'Acme Labs', 'GitHub', NULL, NULL]) AS company, unnest([NULL, 'FREE', NULL, 'PAID', NULL]) AS pricing FROM supplier""",
+)
+def markdown_products(spark, sf):
+    return parsers.markdown_products(_markdown(spark, sf), "body").select("s_suppkey", "name", "company", "pricing")
+
+
+@query("heading_link_pairs", "SELECT s_suppkey, 'Delta' AS name, 'https://delta' || s_suppkey || '.ai' AS link FROM supplier")
+def heading_link_pairs(spark, sf):
+    return parsers.heading_links(_markdown(spark, sf), "body").select("s_suppkey", "name", "link")
+
+
+@query("section_carry", """SELECT s_suppkey, section, count(*) AS lines FROM (SELECT s_suppkey, unnest([NULL, NULL, 'tools', 'tools', 'tools', 'tools', 'milestones', 'milestones', 'chat', 'chat', 'chat', 'delta', 'delta', 'delta', 'delta', 'delta']) AS section FROM supplier) GROUP BY ALL""")
+def section_carry(spark, sf):
+    return parsers.lines(_markdown(spark, sf), "body").groupBy("s_suppkey", "section").agg(F.count("*").alias("lines"))
+
+
+def _payload(spark, sf, body):
+    return table(spark, sf, "supplier").select("s_suppkey", body.alias("body"))
+
+
+@query(
+    "greenhouse_jobs",
+    """SELECT s_suppkey, unnest(['https://j/1', 'https://j/3']) AS url, unnest(['Data Analyst', 'Sales Lead']) AS title, unnest([true, false]) AS is_remote, unnest(['DATA', 'SALES']) AS role_family, unnest(['first_published', 'updated_at']) AS date_source, CAST(unnest([12.0, 6.0]) AS DOUBLE) AS age_hours FROM supplier""",
+)
+def greenhouse_jobs(spark, sf):
+    job = lambda u, t, f, up, loc: f'{{"absolute_url":"{u}","title":"{t}","first_published":{f},"updated_at":"{up}","location":{{"name":"{loc}"}}}}'
+    jobs = [
+        job("https://j/1", "Data Analyst", '"2024-01-30T12:00:00Z"', "2024-01-30T23:00:00Z", "Remote EU"),
+        job("https://j/2", "Old", '"2023-11-01T00:00:00Z"', "2024-01-30T23:00:00Z", "Berlin"),
+        job("https://j/3", "Sales Lead", "null", "2024-01-30T18:00:00+00:00", "Paris"),
+        job("", "No url", "null", "2024-01-30T18:00:00+00:00", "Paris"),
+    ]
+    body = F.lit('{"jobs":[' + ",".join(jobs) + "]}")
+    return parsers.greenhouse_jobs(_payload(spark, sf, body), "body", NOW_COL).select("s_suppkey", "url", "title", "is_remote", "role_family", "date_source", "age_hours")
+
+
+@query("lever_jobs", "SELECT s_suppkey, 'https://l/apply' AS url, 'Backend Engineer' AS title, true AS is_remote, 'ENGINEERING' AS role_family, CAST(1.0 AS DOUBLE) AS age_hours FROM supplier")
+def lever_jobs(spark, sf):
+    body = F.lit('[{"text":"Backend Engineer","createdAt":1706655600000,"applyUrl":"https://l/apply","categories":{"location":"Anywhere"}},{"text":"x","createdAt":1600000000000,"hostedUrl":"https://l/2"},{"text":"y"}]')
+    return parsers.lever_jobs(_payload(spark, sf, body), "body", NOW_COL).select("s_suppkey", "url", "title", "is_remote", "role_family", "age_hours")
+
+
+@query("remote_jobs", "SELECT s_suppkey, unnest(['Acme', 'Remote Company']) AS company, unnest(['https://r/1', 'https://r/2']) AS url, unnest(['DESIGN', 'MARKETING']) AS role_family FROM supplier")
+def remote_jobs(spark, sf):
+    body = F.lit('[{"legal":"note","url":"https://r/0","date":"2024-01-30T12:00:00Z"},{"company":"Acme","position":"Designer","tags":["x"],"date":"2024-01-30T12:00:00+00:00","url":"https://r/1"},{"position":"Lead","tags":["growth"],"date":"2024-01-30 13:00:00","url":"https://r/2"}]')
+    return parsers.remote_jobs(_payload(spark, sf, body), "body", NOW_COL).select("s_suppkey", "company", "url", "role_family")
+
+
+@query("model_orgs", "SELECT s_suppkey, unnest(['openai', 'my-lab']) AS slug, unnest(['Openai', 'My Lab']) AS name, unnest(['https://huggingface.co/openai', 'https://huggingface.co/my-lab']) AS url FROM supplier")
+def model_orgs(spark, sf):
+    body = F.lit('[{"id":"openai/a"},{"modelId":"my-lab/b"},{"id":"openai/c"},{"id":"joe/d"},{"id":"nope"}]')
+    return parsers.model_orgs(_payload(spark, sf, body), "body").select("s_suppkey", "slug", "name", "url")
+
+
+@query("spaces", "SELECT s_suppkey, unnest(['My Lab', NULL]) AS company, unnest(['https://huggingface.co/spaces/my-lab/app', 'https://huggingface.co/spaces/solo']) AS url, unnest(['FREE', NULL]) AS pricing FROM supplier")
+def spaces(spark, sf):
+    body = F.lit('[{"id":"my-lab/app","tags":["license:mit","x"]},{"_id":"solo","tags":["y"]},{"tags":[]}]')
+    return parsers.spaces(_payload(spark, sf, body), "body").select("s_suppkey", "company", "url", "pricing")
+
+
+@query("daily_papers", "SELECT s_suppkey, 'A paper' AS title, 'Ann;Bob' AS authors, 'https://arxiv.org/abs/2401.00001' AS paper_url, 'https://github.com/a/b' AS github_url, TIMESTAMP '2024-01-02 03:04:05' AS published FROM supplier")
+def daily_papers(spark, sf):
+    body = F.lit('[{"paper":{"id":"2401.00001","title":"A paper","authors":[{"name":" Ann "},"Bob",{"name":""}],"summary":"see https://github.com/a/b now"},"publishedAt":"2024-01-02T03:04:05Z"},{"paper":{"title":"no id"}}]')
+    return parsers.daily_papers(_payload(spark, sf, body), "body").select("s_suppkey", "title", F.array_join("authors", ";").alias("authors"), "paper_url", "github_url", "published")
+
+
+_ATOM = """<feed xmlns="http://www.w3.org/2005/Atom"><entry><id>http://arxiv.org/abs/2301.12345v2</id><title>Big
+  Idea &amp; more</title><author><name> Ann B </name></author><author><name>Cy</name></author><published>2023-01-02T00:00:00Z</published><summary>code: https://github.com/x/y.</summary></entry><entry><title>no id</title></entry></feed>"""
+
+
+@query("atom_entries", "SELECT s_suppkey, 'Big Idea & more' AS title, '2301.12345' AS arxiv_id, 'Ann B;Cy' AS authors, 'https://github.com/x/y' AS github_url, TIMESTAMP '2023-01-02 00:00:00' AS published FROM supplier")
+def atom_entries(spark, sf):
+    return parsers.atom_entries(_payload(spark, sf, F.lit(_ATOM)), "body").select("s_suppkey", "title", "arxiv_id", F.array_join("authors", ";").alias("authors"), "github_url", "published")
+
+
+_RSS = """<rss><channel><title>x</title><item><title><![CDATA[News <b>]]></title><link>https://n/1</link><pubDate>Tue, 30 Jan 2024 10:00:00 GMT</pubDate><description>sum</description></item><item><title>no link</title></item></channel></rss>"""
+
+
+@query("feed_items", "SELECT s_suppkey, 'https://n/1' AS link, 'News <b>' AS title, 'sum' AS summary FROM supplier")
+def feed_items(spark, sf):
+    return parsers.feed_items(_payload(spark, sf, F.lit(_RSS)), "body").select("s_suppkey", "link", "title", "summary")
+
+
+@query("paper_cards", "SELECT s_suppkey, 'Card one' AS title, 'https://arxiv.org/abs/1' AS paper_url, 'https://github.com/o/r' AS github_url FROM supplier")
+def paper_cards(spark, sf):
+    body = F.lit('<div class="row item"><h3> Card one </h3><a href="/papers/z">p</a><a href="https://arxiv.org/abs/1">a</a><a href="https://github.com/o/r">c</a></div><div class="item"><h3>no link</h3></div>')
+    return parsers.paper_cards(_payload(spark, sf, body), "s_suppkey", "body").select("s_suppkey", "title", "paper_url", "github_url")
+
+
+@query("html_article_text")
+def html_article_text(spark, sf):
+    """Main text and excerpt of every page; HTML parsing is beyond SQL."""
+    return htmlclean.article_text(table(spark, sf, "pages"), "page_id", "html")
