@@ -8,7 +8,10 @@ from tidemark.functions import dates
 from tidemark.plans.registry import NOW, query
 from tidemark.sources.readers import table
 
-NOW_COL = F.lit(NOW).cast("timestamp_ntz")
+
+def now_col():
+    return F.lit(NOW).cast("timestamp_ntz")
+
 _D = "strftime(o_orderdate, '%Y-%m-%d')"
 
 #: Date texts by key: ISO with zones, fractions, RFC 2822, slashes, plain dates, and no dates.
@@ -99,7 +102,7 @@ _AGO = [("posted just now", None, "just_now"), ("Yesterday at noon", 86400, "yes
 )
 def relative_date(spark, sf):
     words = F.element_at(F.array(*[F.lit(t) for t, _, _ in _AGO]), (F.col("c_custkey") % 7 + 1).cast("int"))
-    return table(spark, sf, "customer").select("c_custkey", dates.relative(words, NOW_COL).alias("d")).select("c_custkey", "d.at", "d.label")
+    return table(spark, sf, "customer").select("c_custkey", dates.relative(words, now_col()).alias("d")).select("c_custkey", "d.at", "d.label")
 
 
 @query(
@@ -115,7 +118,7 @@ def date_waterfall(spark, sf):
     tag = F.when(i == 2, F.concat(F.lit('<time datetime="'), _day(), F.lit('">'))).when(i < 2, '<time datetime="1991-01-01">').otherwise("")
     ago = F.when(i <= 3, "<p>2 days ago</p>").otherwise("<p>text</p>")
     rfc = F.date_format("day", "EEE', 'dd MMM yyyy HH:mm:ss' GMT'")
-    found = dates.waterfall(F.concat(ld, meta, tag, ago), F.when(i <= 4, rfc), F.when(i <= 5, rfc), NOW_COL)
+    found = dates.waterfall(F.concat(ld, meta, tag, ago), F.when(i <= 4, rfc), F.when(i <= 5, rfc), now_col())
     return _orders(spark, sf).select("o_orderkey", found.alias("d")).select("o_orderkey", "d.at", "d.label")
 
 
@@ -125,7 +128,7 @@ def date_waterfall(spark, sf):
     CASE WHEN event_id % 10 = 0 THEN false ELSE epoch_us({NOW} - INTERVAL 12 HOUR - ts) BETWEEN 0 AND 86400000000 END AS fresh FROM events""",
 )
 def freshness_24h(spark, sf):
-    at, now = F.when(F.col("event_id") % 10 != 0, F.col("ts")), NOW_COL - F.expr("INTERVAL 12 HOURS")
+    at, now = F.when(F.col("event_id") % 10 != 0, F.col("ts")), now_col() - F.expr("INTERVAL 12 HOURS")
     return table(spark, sf, "events").select("event_id", F.round(dates.age_hours(at, now), 4).alias("age_hours"), dates.is_fresh(at, now).alias("fresh"))
 
 
@@ -135,7 +138,7 @@ def freshness_24h(spark, sf):
     count(*) FILTER (WHERE event_id % 10 <> 0 AND NOT ts BETWEEN {NOW} - INTERVAL 36 HOUR AND {NOW} - INTERVAL 12 HOUR) AS stale, count(*) FILTER (WHERE event_id % 10 = 0) AS dateless FROM events GROUP BY event_type""",
 )
 def fresh_stale_dateless(spark, sf):
-    at, now = F.when(F.col("event_id") % 10 != 0, F.col("ts")), NOW_COL - F.expr("INTERVAL 12 HOURS")
+    at, now = F.when(F.col("event_id") % 10 != 0, F.col("ts")), now_col() - F.expr("INTERVAL 12 HOURS")
     rows = table(spark, sf, "events").select("event_type", at.alias("at"), dates.is_fresh(at, now).alias("fresh"))
     return rows.groupBy("event_type").agg(F.count_if("fresh").alias("fresh"), F.count_if(F.col("at").isNotNull() & ~F.col("fresh")).alias("stale"), F.count_if(F.col("at").isNull()).alias("dateless"))
 

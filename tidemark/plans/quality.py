@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scoring, text
 from tidemark.operators import dedup, incremental, lineage, verify
-from tidemark.plans.datequeries import NOW_COL
+from tidemark.plans.datequeries import now_col
 from tidemark.plans.registry import query
 from tidemark.sources.readers import table
 
@@ -25,7 +25,7 @@ def _scored(spark, sf):
     i = F.col("event_id")
     pick = lambda values: F.element_at(F.array(*map(F.lit, values)), (i % len(values) + 1).cast("int"))
     at = F.when(i % 9 != 0, F.col("ts"))
-    parts = scoring.breakdown(pick(_SOURCES), at, F.lit(None).cast("timestamp_ntz"), i % 6 == 0, i % 10 == 3, pick(_METHODS), i % 7 == 0, NOW_COL)
+    parts = scoring.breakdown(pick(_SOURCES), at, F.lit(None).cast("timestamp_ntz"), i % 6 == 0, i % 10 == 3, pick(_METHODS), i % 7 == 0, now_col())
     return table(spark, sf, "events").select("event_id", parts.alias("s"))
 
 
@@ -50,7 +50,7 @@ def page_quality_tiers(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", "url", text.exact_key(F.lit("STARTUP"), F.col("url"), F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(None).cast("string")).alias("key"))
     first = dedup.first_wins(pages, "key", "page_id")
     none, good = F.lit(None).cast("timestamp_ntz"), F.col("page_id") % 4 == 0
-    total = scoring.breakdown(F.col("url"), none, none, good, F.lit(False), F.lit("html_parsing"), F.lit(False), NOW_COL)["total"]
+    total = scoring.breakdown(F.col("url"), none, none, good, F.lit(False), F.lit("html_parsing"), F.lit(False), now_col())["total"]
     return first.groupBy(F.when(good, "A").otherwise("B").alias("tier")).agg(F.count("*").alias("pages"), F.round(F.avg(total), 4).alias("mean_score"))
 
 
@@ -88,7 +88,7 @@ def verified_scores(spark, sf):
     """Scores that take corroboration and disputes from the verification."""
     v = verify.verify_fields(_observations(spark, sf))
     none = F.lit(None).cast("timestamp_ntz")
-    total = scoring.breakdown(F.lit("https://example.com"), none, none, F.col("status") == "VERIFIED", F.col("status") == "DISPUTED", F.lit("api_structured"), F.lit(False), NOW_COL)["total"]
+    total = scoring.breakdown(F.lit("https://example.com"), none, none, F.col("status") == "VERIFIED", F.col("status") == "DISPUTED", F.lit("api_structured"), F.lit(False), now_col())["total"]
     return v.select("entity", total.alias("total"))
 
 
@@ -133,7 +133,7 @@ def refetch_due(spark, sf):
 def cached_stars(spark, sf):
     events = table(spark, sf, "events").withColumn("repo", F.col("user_id"))
     snapshot = events.where("event_type = 'view'").select("repo", F.col("value").alias("stars"), F.col("ts").alias("fetched_at"))
-    return incremental.cached_stars(events.select("repo").distinct(), snapshot, NOW_COL - F.expr("INTERVAL 36 HOURS"))
+    return incremental.cached_stars(events.select("repo").distinct(), snapshot, now_col() - F.expr("INTERVAL 36 HOURS"))
 
 
 @query(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import text
 from tidemark.operators import dedup, htmlclean, resolve
 from tidemark.plans.registry import query
-from tidemark.plans.datequeries import NOW_COL
+from tidemark.plans.datequeries import now_col
 from tidemark.plans.textqueries import _names, _sql_key, _sql_name, _VARIANT
 from tidemark.sources import parsers
 from tidemark.sources.readers import table
@@ -161,19 +161,19 @@ def greenhouse_jobs(spark, sf):
         job("", "No url", "null", "2024-01-30T18:00:00+00:00", "Paris"),
     ]
     body = F.lit('{"jobs":[' + ",".join(jobs) + "]}")
-    return parsers.greenhouse_jobs(_payload(spark, sf, body), "body", NOW_COL).select("s_suppkey", "url", "title", "is_remote", "role_family", "date_source", "age_hours")
+    return parsers.greenhouse_jobs(_payload(spark, sf, body), "body", now_col()).select("s_suppkey", "url", "title", "is_remote", "role_family", "date_source", "age_hours")
 
 
 @query("lever_jobs", "SELECT s_suppkey, 'https://l/apply' AS url, 'Backend Engineer' AS title, true AS is_remote, 'ENGINEERING' AS role_family, CAST(1.0 AS DOUBLE) AS age_hours FROM supplier")
 def lever_jobs(spark, sf):
     body = F.lit('[{"text":"Backend Engineer","createdAt":1706655600000,"applyUrl":"https://l/apply","categories":{"location":"Anywhere"}},{"text":"x","createdAt":1600000000000,"hostedUrl":"https://l/2"},{"text":"y"}]')
-    return parsers.lever_jobs(_payload(spark, sf, body), "body", NOW_COL).select("s_suppkey", "url", "title", "is_remote", "role_family", "age_hours")
+    return parsers.lever_jobs(_payload(spark, sf, body), "body", now_col()).select("s_suppkey", "url", "title", "is_remote", "role_family", "age_hours")
 
 
 @query("remote_jobs", "SELECT s_suppkey, unnest(['Acme', 'Remote Company']) AS company, unnest(['https://r/1', 'https://r/2']) AS url, unnest(['DESIGN', 'MARKETING']) AS role_family FROM supplier")
 def remote_jobs(spark, sf):
     body = F.lit('[{"legal":"note","url":"https://r/0","date":"2024-01-30T12:00:00Z"},{"company":"Acme","position":"Designer","tags":["x"],"date":"2024-01-30T12:00:00+00:00","url":"https://r/1"},{"position":"Lead","tags":["growth"],"date":"2024-01-30 13:00:00","url":"https://r/2"}]')
-    return parsers.remote_jobs(_payload(spark, sf, body), "body", NOW_COL).select("s_suppkey", "company", "url", "role_family")
+    return parsers.remote_jobs(_payload(spark, sf, body), "body", now_col()).select("s_suppkey", "company", "url", "role_family")
 
 
 @query("model_orgs", "SELECT s_suppkey, unnest(['openai', 'my-lab']) AS slug, unnest(['Openai', 'My Lab']) AS name, unnest(['https://huggingface.co/openai', 'https://huggingface.co/my-lab']) AS url FROM supplier")
