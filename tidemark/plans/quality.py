@@ -82,7 +82,7 @@ def quality_flags(spark, sf):
 
 @query(
     "verified_scores",
-    _OBS + "SELECT entity, round(0.30 * 70 + 0.25 * CASE WHEN status = 'VERIFIED' THEN 100 ELSE 70 END + 0.25 * 50 + 0.20 * 100 - CASE WHEN status = 'DISPUTED' THEN 25 ELSE 0 END, 2) AS total FROM v",
+    _OBS + "SELECT entity, CAST(round(0.30 * 70 + 0.25 * CASE WHEN status = 'VERIFIED' THEN 100 ELSE 70 END + 0.25 * 50 + 0.20 * 100 - CASE WHEN status = 'DISPUTED' THEN 25 ELSE 0 END, 2) AS DOUBLE) AS total FROM v",
 )
 def verified_scores(spark, sf):
     """Scores that take corroboration and disputes from the verification."""
