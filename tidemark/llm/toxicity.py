@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import saved
+
 #: Labelled rows and features that the classifier is fitted on, and words that a worker remembers.
 SAMPLE, FEATURES, REMEMBERED = 20_000, 4_096, 200_000
 #: Score from which a text counts as toxic.
@@ -298,41 +300,49 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     counts = count_trigrams(docs, text_col)
     usable = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & ~held_out(F.col(id_col)))
     chosen = usable.groupBy(F.col(id_col).alias("i")).agg(F.max(label_col).cast("int").alias("y")).orderBy(F.xxhash64("i"), "i").limit(sample)
-    share = docs.sparkSession.sparkContext.broadcast(counts)
+    context = docs.sparkSession.sparkContext
+    share = context.broadcast(counts)
+    # at most `sample` ids of eight bytes are broadcast
+    texts = docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t")).join(F.broadcast(chosen), "i").select("y", "t")
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def restore(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(Speller(share.value))
         for batch in batches:
-            found = [sorted({f for w in reader.restored(x.as_py() or "") for f in word_features(w)}) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.string()))], names=["y", "f"])
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                found = [sorted({f for w in reader.restored(x.as_py() or "") for f in word_features(w)}) for x in part.column(0)]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string()))], names=["f"])
 
-    # at most `sample` ids of eight bytes are broadcast
-    rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t")).join(F.broadcast(chosen), "i").select("y", "t").mapInArrow(read, "y int, f array<string>").cache()
-    sums = rows.groupBy("y").count().collect()
-    n = {r.y: r["count"] for r in sums}
-    if not n.get(0) or not n.get(1):
-        rows.unpersist()
-        share_of_toxic = float(n.get(1, 0) > 0)
-        return Model(counts, {}, 30.0 if share_of_toxic else -30.0)
-    by = rows.select("y", F.explode("f").alias("f")).groupBy("f").agg(F.sum("y").alias("p"), F.count("*").alias("n")).where("n >= 3")
-    p = (F.col("p") + 0.5) / (n[1] + 1)
-    q = (F.col("n") - F.col("p") + 0.5) / (n[0] + 1)
-    telling = F.abs(F.log(p / q)) * F.sqrt(F.least("n", F.lit(10_000)))
-    best = by.orderBy(telling.desc(), "f").limit(features)
-    names = [r.f for r in best.select("f").collect()]
-    place = {f: i for i, f in enumerate(names)}
-    known = docs.sparkSession.sparkContext.broadcast(place)
+    # what a few toxic rows have in common may be a feature; at most 8 * features of them come to the driver
+    toxic = texts.where("y = 1").select("t").mapInArrow(restore, "f array<string>").select(F.explode("f").alias("f"))
+    common = toxic.groupBy("f").agg(F.count("*").alias("p")).where("p >= 3").orderBy(F.desc("p"), "f").limit(8 * features)
+    names = [r.f for r in common.collect()]
+    known = context.broadcast({f: k for k, f in enumerate(names)})
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader, place = Reader(Speller(share.value)), known.value
         for batch in batches:
-            found = [[known.value[f] for f in x.as_py() if f in known.value] for x in batch.column(1)]
+            found = [sorted({place[f] for w in reader.restored(x.as_py() or "") for f in word_features(w) if f in place}) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["y", "x"])
 
-    # the bounded sample, as feature numbers
-    sparse = rows.mapInArrow(index, "y int, x array<int>").collect()
-    rows.unpersist()
-    w, b = fit_logistic([r.x for r in sparse], np.array([r.y for r in sparse], float), len(names))
-    return Model(counts, {f: float(w[i]) for f, i in place.items() if abs(w[i]) > 1e-4}, b)
+    rows = saved(texts.mapInArrow(index, "y int, x array<int>"))
+    n = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
+    if not n.get(0) or not n.get(1):
+        return Model(counts, {}, 30.0 if n.get(1) else -30.0)
+    by = rows.select("y", F.explode("x").alias("f")).groupBy("f").agg(F.sum("y").alias("p"), F.count("*").alias("n"))
+    p = (F.col("p") + 0.5) / (n[1] + 1)
+    q = (F.col("n") - F.col("p") + 0.5) / (n[0] + 1)
+    telling = F.abs(F.log(p / q)) * F.sqrt(F.least("n", F.lit(10_000)))
+    best = [r.f for r in by.orderBy(telling.desc(), "f").limit(features).select("f").collect()]
+    # the bounded sample, as numbers of the chosen features
+    sparse = rows.select("y", F.array_intersect("x", F.array(*map(F.lit, best))).alias("x")).toArrow() if best else None
+    if sparse is None:
+        return Model(counts, {}, math.log(n[1] / n[0]))
+    place = np.zeros(len(names), np.int64)
+    place[best] = np.arange(len(best))
+    x = [place[v.values.to_numpy()] for v in sparse.column("x").combine_chunks()]
+    w, b = fit_logistic(x, sparse.column("y").to_numpy().astype(float), len(best))
+    return Model(counts, {names[f]: float(w[k]) for k, f in enumerate(best) if abs(w[k]) > 1e-4}, b)
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
