@@ -18,6 +18,7 @@ scored alike, ids may be null, extra columns are ignored, and an empty table giv
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +42,7 @@ IMITATES = {
 }
 SEPARATORS = ".-_*'~"
 EDGES = "\"'`.,;:?!…()[]{}<>#%&*^=/\\~|_-+«»“”„¿¡"
+DRAWN_OUT = re.compile(r"(.)\1\1")
 #: Costs in nats: standing for another letter, swallowing a repeat, deleting a separator, ending a word.
 IMITATION, REPEAT, DELETION, BREAK = 0.7, 0.4, 0.2, 0.5
 
@@ -166,7 +168,7 @@ class Speller:
 def disguised(word: str) -> bool:
     """Whether a trimmed token needs the lattice: letters beside other characters, or a letter thrice in a row."""
     if word.isalpha():
-        return any(a == b == c for a, b, c in zip(word, word[1:], word[2:], strict=False))
+        return bool(DRAWN_OUT.search(word))
     return any(c.isalpha() for c in word) and len(word) <= 40 and any(c in IMITATES or c in SEPARATORS for c in word)
 
 
@@ -225,27 +227,40 @@ class Model:
         self.counts, self.weights, self.intercept = counts, weights, intercept
 
     def scorer(self):
-        reader, memory = Reader(Speller(self.counts)), {}
+        reader, memory, weights = Reader(Speller(self.counts)), {}, self.weights
 
         def of(token: str) -> tuple[str, ...]:
-            found = memory.get(token)
-            if found is None:
-                found = tuple(f for w in reader.words(token) for f in word_features(w) if f in self.weights)
-                if len(memory) >= REMEMBERED:
-                    memory.clear()
-                if len(token) <= 64:
-                    memory[token] = found
+            word = token.strip(EDGES)
+            if word.isalpha() and not DRAWN_OUT.search(word):  # most tokens: as word_features, without a lattice
+                if len(word) < 3:
+                    found = ()
+                else:
+                    stems = {word[:n] for n in STEMS} if len(word) >= STEMS[0] else ()
+                    found = tuple(f for f in (word + "$", *stems) if f in weights)
+            else:
+                found = tuple(f for w in reader.words(token) for f in word_features(w) if f in weights)
+            if len(memory) >= REMEMBERED:
+                memory.clear()
+            if len(token) <= 64:
+                memory[token] = found
             return found
 
         def score(text: str | None) -> float:
             tokens = (text or "").lower().split()
             found: set[str] = set()
+            singles = 0
             for token in set(tokens):
-                found.update(of(token))
-            if tokens and sum(len(t) == 1 for t in tokens) >= 3:
-                singles = reader.restored(" ".join(spelled_runs(tokens)))
-                found.update(f for w in singles for f in word_features(w) if f in self.weights)
-            z = self.intercept + sum(self.weights[f] for f in sorted(found))
+                known = memory.get(token)
+                if known is None:
+                    known = of(token)
+                if known:
+                    found.update(known)
+                if len(token) == 1:
+                    singles += 1
+            if singles > 1:
+                apart = reader.restored(" ".join(spelled_runs(tokens)))
+                found.update(f for w in apart for f in word_features(w) if f in weights)
+            z = self.intercept + sum(weights[f] for f in sorted(found))
             return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
         return score
