@@ -8,12 +8,12 @@ needs one earlier match. Lines of fewer than MIN_WORDS distinct words are always
    sixteen rarity classes. A word's key is its class, then its hash, so that sorted keys begin with the
    rarest words.
 2. Lines of equal sets are one, at their first place. Two sets that match share a key within their prefixes
-   of n - ceil(t n) + 1 keys. Prefix keys are dealt out; keys that only one set has drop out at once.
-3. A key of few sets pairs them all; a key of more pairs each set only with the first set of about
-   its length. Pairs must pass the length and the positional filter, and the Jaccard similarity of their whole
-   sets is verified.
-4. What a frequent key may have missed is left: sets with such a key and still without a match, a small rest. They
-   are compared with all earlier sets of the key.
+   of n - ceil(t n) + 1 keys. Prefix keys are dealt out with the set's parity bits; keys that only one set has drop out.
+3. A key of few sets pairs them all; a key of more pairs each set only with the first set of about its length. Pairs
+   must fit in length, pass the positional filter, and differ in no more parity bits than similar sets can. The
+   Jaccard similarity of the whole sets is then verified on the lines themselves.
+4. What a frequent key may have missed is left: sets with such keys and still without a match, a small rest. They
+   are compared with all earlier sets of the key under the same filters.
 
 The literals in the plan are a fixed-size table; nothing that grows is broadcast or collected.
 
@@ -28,40 +28,36 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpoint, saved
+from tidemark.llm.common import checkpoint, maybe_among, saved
 
 #: Similarity from which a later line goes, and distinct words of a line that may go.
 NUM, DEN, MIN_WORDS = 4, 5, 5
 #: Hash buckets of the word counts, and sets that share a key up to which all are paired.
-BUCKETS, FEW = 65_536, 32
+BUCKETS, FEW = 131_072, 128
 HASH_BITS = 59
-SPLIT = r"[ \\t\\r\\f\\x0B]+"
+SPACE = r" \\t\\r\\f\\x0B"
 
 
 def rarity(docs: DataFrame) -> list[int]:
     """Rarity classes 0 (rarest) to 15 of all buckets, four bits each, as BUCKETS / 16 longs."""
     words = docs.select(F.explode(F.split(F.lower("text"), r"\s+")).alias("w")).where("w <> ''")
     # at most BUCKETS rows come to the driver
-    rows = words.groupBy(F.expr(f"xxhash64(w) & {BUCKETS - 1}").alias("b")).count().collect()
+    rows = words.groupBy(F.expr(f"CAST(xxhash64(w) & {BUCKETS - 1} AS INT)").alias("b")).count().collect()
     counts = [0] * BUCKETS
     for r in rows:
         counts[r.b] = r["count"]
     present = sorted(c for c in counts if c)
     low = present[len(present) // 4] if present else 1
     classes = [max(0, min(15, round(2 * math.log2(c / low)) + 2)) if c else 0 for c in counts]
-    out = []
-    for at in range(0, BUCKETS, 16):
-        word = sum(c << (4 * i) for i, c in enumerate(classes[at : at + 16]))
-        out.append(word - (1 << 64) if word >> 63 else word)
-    return out
+    words16 = [sum(c << (4 * k) for k, c in enumerate(classes[at : at + 16])) for at in range(0, BUCKETS, 16)]
+    return [x - (1 << 64) if x >> 63 else x for x in words16]
 
 
 def keys_of(line: str, table: str) -> str:
     """SQL of the sorted keys of a line; they are the line's set."""
-    bucket = f"(h & {BUCKETS - 1})"
-    rank = f"(shiftrightunsigned(element_at({table}, CAST(shiftright({bucket}, 4) AS INT) + 1), CAST(({bucket} & 15) * 4 AS INT)) & 15L)"
-    hashes = f"transform(filter(split(lower({line}), '{SPLIT}'), w -> w <> ''), w -> xxhash64(w))"
-    return f"sort_array(array_distinct(transform({hashes}, h -> shiftleft({rank}, {HASH_BITS}) | (h & {(1 << HASH_BITS) - 1}L))))"
+    hashes = f"transform(split(lower({line}), '[{SPACE}]+'), w -> if(w = '', NULL, xxhash64(w)))"
+    rank = f"(shiftrightunsigned(element_at({table}, CAST(shiftright(h & {BUCKETS - 1}, 4) AS INT) + 1), CAST(shiftleft(h & 15, 2) AS INT)) & 15L)"
+    return f"sort_array(array_distinct(transform(array_compact({hashes}), h -> shiftleft({rank}, {HASH_BITS}) | (h & {(1 << HASH_BITS) - 1}L))))"
 
 
 def removed_lines(docs: DataFrame, num: int = NUM, den: int = DEN, min_words: int = MIN_WORDS, few: int = FEW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -70,49 +66,52 @@ def removed_lines(docs: DataFrame, num: int = NUM, den: int = DEN, min_words: in
     table = "array(" + ",".join(f"{x}L" if x != -(1 << 63) else "(-9223372036854775807L - 1L)" for x in rarity(source)) + ")"
     lines = source.select("id", F.posexplode(F.split("text", "\n")).alias("line", "t"))
     keyed = lines.select("id", "line", F.expr(keys_of("t", table)).alias("keys")).where(F.size("keys") >= min_words)
-    n = "size(keys)"
-    prefix = f"slice(keys, 1, {n} - CAST(ceil({num} * {n} / {den}) AS INT) + 1)"
-    # set: a hash of all keys beside the rarest key itself
-    places = saved(keyed.select("id", "line", F.xxhash64("keys").alias("h"), F.expr(f"{n}").alias("n"), F.expr(prefix).alias("prefix")))
-    sets = places.groupBy("h", F.col("prefix")[0].alias("p0"), "n").agg(F.min(F.struct("id", "line")).alias("at"), F.any_value("prefix").alias("prefix"))
-    dealt = sets.select(F.posexplode("prefix").alias("i", "key"), "n", "at").repartition("key")
-    use = dealt.groupBy("key").agg(F.count("*").alias("uses")).where("uses > 1")
-    shared = saved(dealt.join(use, "key"))
+    prefix = F.expr(f"slice(keys, 1, size(keys) - CAST(ceil({num} * size(keys) / {den}) AS INT) + 1)")
+    parity = F.expr("aggregate(keys, 0L, (a, k) -> a ^ shiftleft(1L, CAST(k & 63 AS INT)))")
+    # a set is known by a hash of all keys, their parity bits and the rarest key
+    places = saved(keyed.select("id", "line", F.xxhash64("keys").alias("h"), parity.alias("bits"), F.size("keys").alias("n"), prefix.alias("prefix")))
+    same = ["h", "bits", "n"]
+    sets = places.groupBy(*same).agg(F.min(F.struct("id", "line")).alias("at"), F.any_value("prefix").alias("prefix"))
+    dealt = sets.select(F.posexplode("prefix").alias("i", "key"), "n", "bits", "at.id", "at.line").repartition("key")
+    uses = dealt.groupBy("key").agg(F.count("*").alias("uses")).where("uses > 1")
+    shared = dealt.join(uses, "key")
 
     need = f"CAST(ceil({num} * (x.n + y.n) / {den + num}) AS INT)"
-    fits = F.expr(f"y.at < x.at AND {den} * y.n >= {num} * x.n AND {den} * x.n >= {num} * y.n AND 1 + least(x.n - x.i, y.n - y.i) - 1 >= {need}")
+    fits = F.expr(
+        f"(y.id < x.id OR y.id = x.id AND y.line < x.line) AND {den} * y.n >= {num} * x.n AND {den} * x.n >= {num} * y.n "
+        f"AND least(x.n - x.i, y.n - y.i) >= {need} AND bit_count(x.bits ^ y.bits) * {num + den} <= (x.n + y.n) * {den - num}"
+    )
 
-    def pairs(left: DataFrame, right: DataFrame, *on: str) -> DataFrame:
-        match = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in on]
-        joined = left.alias("x").join(right.alias("y"), [*match, fits] if on else fits)
-        return joined.select(F.col("x.at").alias("x"), F.col("y.at").alias("y"))
+    def meet(left: DataFrame, right: DataFrame, *on: str) -> DataFrame:
+        """Pairs of a set and an earlier one that share a dealt key and may be similar enough."""
+        joined = left.alias("x").join(right.alias("y"), [*(F.col(f"x.{c}") == F.col(f"y.{c}") for c in on), fits])
+        return joined.select(*(F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "xy" for c in ("id", "line")))
 
-    width = F.floor(F.log(1.25, "n")).alias("w")
     rare = shared.where(F.col("uses") <= few)
-    often = shared.where(F.col("uses") > few).withColumn("w", width)
-    first = often.groupBy("key", "w").agg(F.min(F.struct("at", "n", "i")).alias("f")).select("key", "w", "f.at", "f.n", "f.i")
-    found = pairs(rare, rare, "key").union(pairs(often, first, "key", "w")).distinct()
+    often = saved(shared.where(F.col("uses") > few).withColumn("w", F.floor(F.log(1.25, "n"))))
+    first = often.groupBy("key", "w").agg(F.min(F.struct("id", "line", "n", "i", "bits")).alias("f")).select("key", "w", "f.*")
+    found = meet(rare, rare, "key").union(meet(often, first, "key", "w")).distinct()
     matched = checkpoint(verified(source, found, table, num, den))
-    left = often.join(matched.select(F.col("x").alias("at")), "at", "left_anti")
-    more = pairs(left, often, "key").distinct()
-    matched = matched.union(verified(source, more, table, num, den)).distinct()
+    rest = meet(often.join(matched, ["id", "line"], "left_anti"), often, "key").distinct()
+    matched = matched.union(verified(source, rest, table, num, den)).distinct()
 
-    heads = places.groupBy("h", F.col("prefix")[0].alias("p0"), "n").agg(F.min(F.struct("id", "line")).alias("at"))
-    judged = heads.join(matched.select(F.col("x").alias("at"), F.lit(True).alias("gone")), "at", "left")
-    spots = places.select("id", "line", "h", F.col("prefix")[0].alias("p0"), "n")
-    return spots.join(judged, ["h", "p0", "n"]).where("gone OR struct(id, line) > at").select("id", "line")
+    heads = places.groupBy(*same).agg(F.min(F.struct("id", "line")).alias("at"))
+    gone = matched.select(F.struct("id", "line").alias("at"), F.lit(True).alias("gone"))
+    judged = heads.join(gone, "at", "left")
+    return places.select("id", "line", *same).join(judged, same).where("gone OR struct(id, line) > at").select("id", "line")
 
 
 def verified(source: DataFrame, pairs: DataFrame, table: str, num: int, den: int) -> DataFrame:
-    """(x): the places in x of pairs (x, y) whose sets are similar enough."""
-    pairs = checkpoint(pairs)
-    wanted = pairs.select(F.col("x").alias("at")).union(pairs.select("y")).distinct()
-    by_text = wanted.groupBy(F.col("at.id").alias("id")).agg(F.collect_set("at.line").alias("wanted"))
-    lines = source.join(by_text, "id").select("id", F.split("text", "\n").alias("lines"), F.explode("wanted").alias("line"))
-    keys = lines.select(F.struct("id", "line").alias("at"), F.expr(keys_of("element_at(lines, line + 1)", table)).alias("keys"))
-    both = pairs.join(keys.select(F.col("at").alias("x"), F.col("keys").alias("a")), "x").join(keys.select(F.col("at").alias("y"), F.col("keys").alias("b")), "y")
-    overlap = F.size(F.array_intersect("a", "b"))
-    return both.where(overlap * (num + den) >= (F.size("a") + F.size("b")) * num).select("x").distinct()
+    """(id, line) of the sets x of those pairs that are similar enough."""
+    pairs = saved(pairs)
+    sides = [pairs.select(F.col(f"{s}_id").alias("id"), F.col(f"{s}_line").alias("line")) for s in "xy"]
+    by_text = saved(sides[0].union(sides[1]).groupBy("id").agg(F.collect_set("line").alias("wanted")))
+    lines = maybe_among(source, by_text, ["id"]).join(by_text, "id").select("id", F.split("text", "\n").alias("lines"), F.explode("wanted").alias("line"))
+    keys = lines.select("id", "line", F.expr(keys_of("element_at(lines, line + 1)", table)).alias("keys"))
+    for s in "xy":
+        pairs = pairs.join(keys.select(F.col("id").alias(f"{s}_id"), F.col("line").alias(f"{s}_line"), F.col("keys").alias(s)), [f"{s}_id", f"{s}_line"])
+    overlap = F.size(F.array_intersect("x", "y"))
+    return pairs.where(overlap * (num + den) >= (F.size("x") + F.size("y")) * num).select(F.col("x_id").alias("id"), F.col("x_line").alias("line")).distinct()
 
 
 def clean(docs: DataFrame, num: int = NUM, den: int = DEN, min_words: int = MIN_WORDS, few: int = FEW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
