@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -40,6 +41,13 @@ def saved(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Have Spark drop the shuffle files of tables that nothing refers to any more. It does so when the driver's
+    garbage is collected, which a driver with a large heap may not do for hours."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def maybe_among(rows: DataFrame, keys: DataFrame, columns: list[str], bits: int = 1 << 23) -> DataFrame:
     """The rows whose columns may be among those of keys: a filter before a shuffle, to be followed by the join.
 

@@ -28,7 +28,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpoint, maybe_among, saved
+from tidemark.llm.common import checkpoint, maybe_among, release, saved
 
 #: Similarity from which a later line goes, and distinct words of a line that may go.
 NUM, DEN, MIN_WORDS = 4, 5, 5
@@ -90,10 +90,14 @@ def removed_lines(docs: DataFrame, num: int = NUM, den: int = DEN, min_words: in
     rare = shared.where(F.col("uses") <= few)
     often = saved(shared.where(F.col("uses") > few).withColumn("w", F.floor(F.log(1.25, "n"))))
     first = often.groupBy("key", "w").agg(F.min(F.struct("id", "line", "n", "i", "bits")).alias("f")).select("key", "w", "f.*")
-    found = meet(rare, rare, "key").union(meet(often, first, "key", "w")).distinct()
+    found = saved(meet(rare, rare, "key").union(meet(often, first, "key", "w")).distinct())
+    del sets, dealt, uses, shared, rare, first
+    release(docs.sparkSession)
     matched = checkpoint(verified(source, found, table, num, den))
-    rest = meet(often.join(matched, ["id", "line"], "left_anti"), often, "key").distinct()
-    matched = matched.union(verified(source, rest, table, num, den)).distinct()
+    release(docs.sparkSession)
+    rest = saved(meet(often.join(matched, ["id", "line"], "left_anti"), often, "key").distinct())
+    matched = checkpoint(matched.union(verified(source, rest, table, num, den)).distinct())
+    release(docs.sparkSession)
 
     heads = places.groupBy(*same).agg(F.min(F.struct("id", "line")).alias("at"))
     gone = matched.select(F.struct("id", "line").alias("at"), F.lit(True).alias("gone"))
@@ -103,7 +107,6 @@ def removed_lines(docs: DataFrame, num: int = NUM, den: int = DEN, min_words: in
 
 def verified(source: DataFrame, pairs: DataFrame, table: str, num: int, den: int) -> DataFrame:
     """(id, line) of the sets x of those pairs that are similar enough."""
-    pairs = saved(pairs)
     sides = [pairs.select(F.col(f"{s}_id").alias("id"), F.col(f"{s}_line").alias("line")) for s in "xy"]
     by_text = saved(sides[0].union(sides[1]).groupBy("id").agg(F.collect_set("line").alias("wanted")))
     lines = maybe_among(source, by_text, ["id"]).join(by_text, "id").select("id", F.split("text", "\n").alias("lines"), F.explode("wanted").alias("line"))
