@@ -81,16 +81,22 @@ def count_trigrams(docs: DataFrame, text_col: str = "text") -> dict[int, int]:
     """Counts of code trigrams over all texts; there are at most SIZE ** 3 of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SIZE**3, np.int64)
+        total, waiting, size = np.zeros(SIZE**3, np.int64), [], 0
+
+        def count() -> None:
+            text = " ".join(waiting)
+            for at in range(0, len(text), 1 << 20):
+                c = codes(text[at : at + (1 << 20)]).astype(np.int64)
+                np.add(total, np.bincount((c[:-2] * SIZE + c[1:-1]) * SIZE + c[2:], minlength=SIZE**3), out=total)
+
         for batch in batches:
             for x in batch.column(0):
-                text = (x.as_py() or "").lower()
-                for at in range(0, len(text), 1 << 20):
-                    c = codes(text[at : at + (1 << 20)])
-                    total += np.bincount((c[:-2] * SIZE + c[1:-1]) * SIZE + c[2:], minlength=SIZE**3) if len(c) > 200_000 else 0
-                    if len(c) <= 200_000:
-                        grams, n = np.unique((c[:-2] * SIZE + c[1:-1]) * SIZE + c[2:], return_counts=True)
-                        total[grams] += n
+                waiting.append((x.as_py() or "").lower())
+                size += len(waiting[-1])
+                if size >= 1 << 20:  # one count over many short texts
+                    count()
+                    waiting, size = [], 0
+        count()
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["g", "n"])
 
