@@ -66,7 +66,7 @@ def topn_per_group(spark, sf):
     SELECT doc_id, kind FROM (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY doc_id) AS k FROM r) WHERE k <= 100 OR kind IN ('JOB', 'NEWS')""",
 )
 def web_extract(spark, sf):
-    return sinks.web_extract(typed(spark, sf).select("doc_id", "kind"), "kind", ["doc_id"], 100)
+    return sinks.web_extract(typed(spark, sf).select("doc_id", "kind"), "kind", ["doc_id"])
 
 
 def typed(spark, sf):

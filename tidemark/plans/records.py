@@ -27,7 +27,7 @@ def dedup_normalized(spark, sf):
 
 def _records(spark, sf):
     """Parts as startups: every seventh shares its address with an earlier one, and names repeat with other endings."""
-    names = _names(spark, sf).where("p_partkey <= 400")
+    names = _names(spark, sf)
     i = F.col("p_partkey")
     kind = F.when(i % 3 == 0, "PRODUCT").otherwise("STARTUP")
     return names.select(i.alias("seq"), F.concat(F.lit("url:"), F.when(i % 7 == 0, i - 7).otherwise(i)).alias("exact"), text.normalize_key(F.col("name")).alias("norm"), text.block_key(F.col("name"), kind).alias("block"))
