@@ -29,8 +29,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.llm.common import checkpoint, connected_components
+from tidemark.llm.common import checkpoint, connected_components, maybe_among, saved
 
 #: Words of a shingle, seed of its hash, bits that may differ, and the bytes that must then agree.
 SHINGLE, SEED, BITS, MATCHES = 3, 42, 3, 5
@@ -143,7 +144,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
-    """The rows of docs that are the first of their group by id_col; of rows that repeat that id, one stays."""
-    groups = near_duplicates(docs, id_col, text_col, shingle)
-    kept = groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(id_col).distinct()
-    return docs.dropDuplicates([id_col]).join(kept, id_col, "left_semi").select(*docs.columns)
+    """One row of docs of each group, the first by id_col; null ids come last. Groups are of fingerprints, so a null or
+    repeated id loses no other text. Of rows that share both the id and the fingerprint one stays."""
+    prints = checkpoint(fingerprints(docs, id_col, text_col, shingle))
+    distinct = prints.groupBy("fp").agg(F.min(id_col).alias("least"))
+    parts = connected_components(links(distinct.select("fp"))).withColumnRenamed("node", "fp")
+    group = F.coalesce("component", "fp")
+    first = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "fp")).alias("first")
+    kept = saved(distinct.join(parts, "fp", "left").groupBy(group).agg(first).select(F.col("first.fp").alias("_fp"), F.col("first.least").alias("_id")))
+
+    names = [*docs.columns, "_fp"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            *columns, texts = batch.columns
+            found = pa.array([_signed(fingerprint(x.as_py(), shingle)) for x in texts], pa.int64())
+            yield pa.RecordBatch.from_arrays([*columns, found], names=names)
+
+    read = docs.withColumn("_fp", F.col(text_col).cast("string").cast("binary"))
+    rows = read.mapInArrow(run, StructType([*docs.schema.fields, StructField("_fp", LongType())])).withColumn("_id", F.col(id_col))
+    # copies go before the shuffle; the ids are compared beside the fingerprint, as null equals null here
+    rows = maybe_among(rows, kept, ["_fp", "_id"]).alias("r")
+    same = (F.col("r._id") == F.col("k._id")) | (F.col("r._id").isNull() & F.col("k._id").isNull())
+    return rows.join(kept.alias("k"), (F.col("r._fp") == F.col("k._fp")) & same, "left_semi").dropDuplicates(["_fp"]).select(*docs.columns)
