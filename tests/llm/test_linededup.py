@@ -62,3 +62,13 @@ def test_clean_and_digest(spark):
     got = {r.doc_id: tuple(r) for r in linededup.digest(docs).collect()}
     assert got[2] == (2, 3, 1, "0") and got[3] == (3, 0, 0, "") and got[4] == (4, 1, 0, "")
     assert linededup.clean(docs.where("doc_id > 9")).count() == 0
+
+
+@pytest.mark.parametrize("few", [32, 2])
+def test_short_lines_go(spark, few):
+    rows = list(enumerate([*corpus(11, 30), "Les.\nAll rights reserved.\na b c d e", "les.\n\n all  rights RESERVED.\nd c b a\na b c", "a b c d\nx y z\nx y"]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = brute(rows, least=1)
+    assert any(len(set(rows[i][1].split("\n")[n].split())) < 4 for i, lines in expected.items() for n in lines)
+    assert {r.doc_id: r.removed for r in linededup.clean(docs, few=few).collect() if r.removed} == expected
+    assert {r.doc_id: r.removed_lines for r in linededup.digest(docs).collect() if r.n_removed} == {i: ",".join(map(str, x)) for i, x in expected.items()}

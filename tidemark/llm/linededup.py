@@ -2,12 +2,14 @@
 
 A line is the set of its words in lower case. Of two lines with a Jaccard similarity of at least
 NUM / DEN the later one goes, later by (id, line number), whatever becomes of the earlier one. So a line only
-needs one earlier match. Lines of fewer than MIN_WORDS distinct words are always kept.
+needs one earlier match. `clean` and `digest` take every line with a word; lines of fewer than min_words distinct
+words stay where a caller of `removed_lines` asks for that.
 
 1. Words are counted over all documents into a fixed number of hash buckets, and each bucket gets one of
    sixteen rarity classes. A word's key is its class, then its hash, so that sorted keys begin with the
    rarest words.
-2. Lines of equal sets are one, at their first place. Two sets that match share a key within their prefixes
+2. Lines of equal sets are one, at their first place. A set of so few words that one word more or less is too much
+   (three at 4 / 5) has no match but its equals, and goes no further. Two other sets that match share a key within their prefixes
    of n - ceil(t n) + 1 keys. Prefix keys are dealt out with the set's parity bits; keys that only one set has drop out.
 3. A key of few sets pairs them all; a key of more pairs each set only with the first set of about its length. Pairs
    must fit in length, pass the positional filter, and differ in no more parity bits than similar sets can. The
@@ -30,8 +32,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import checkpoint, maybe_among, release, saved
 
-#: Similarity from which a later line goes, and distinct words of a line that may go.
-NUM, DEN, MIN_WORDS = 4, 5, 5
+#: Similarity from which a later line goes, default of removed_lines for the distinct words of a line that may go, and
+#: that number for whole documents.
+NUM, DEN, MIN_WORDS, ANY = 4, 5, 5, 1
 #: Hash buckets of the word counts, and sets that share a key up to which all are paired.
 BUCKETS, FEW = 131_072, 128
 HASH_BITS = 59
@@ -72,7 +75,8 @@ def removed_lines(docs: DataFrame, num: int = NUM, den: int = DEN, min_words: in
     places = saved(keyed.select("id", "line", F.xxhash64("keys").alias("h"), parity.alias("bits"), F.size("keys").alias("n"), prefix.alias("prefix")))
     same = ["h", "bits", "n"]
     sets = places.groupBy(*same).agg(F.min(F.struct("id", "line")).alias("at"), F.any_value("prefix").alias("prefix"))
-    dealt = sets.select(F.posexplode("prefix").alias("i", "key"), "n", "bits", "at.id", "at.line").repartition("key")
+    # n words are like n + 1 at best
+    dealt = sets.where(F.col("n") * (den - num) >= num).select(F.posexplode("prefix").alias("i", "key"), "n", "bits", "at.id", "at.line").repartition("key")
     uses = dealt.groupBy("key").agg(F.count("*").alias("uses")).where("uses > 1")
     shared = dealt.join(uses, "key")
 
@@ -117,7 +121,7 @@ def verified(source: DataFrame, pairs: DataFrame, table: str, num: int, den: int
     return pairs.where(overlap * (num + den) >= (F.size("x") + F.size("y")) * num).select(F.col("x_id").alias("id"), F.col("x_line").alias("line")).distinct()
 
 
-def clean(docs: DataFrame, num: int = NUM, den: int = DEN, min_words: int = MIN_WORDS, few: int = FEW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def clean(docs: DataFrame, num: int = NUM, den: int = DEN, min_words: int = ANY, few: int = FEW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with the text of the kept lines, and n_lines, n_removed, removed (line numbers, ascending), words and
     words_removed."""
     gone = removed_lines(docs, num, den, min_words, few, id_col, text_col).groupBy("id").agg(F.array_sort(F.collect_set("line")).alias("_gone"))
@@ -143,7 +147,7 @@ def clean(docs: DataFrame, num: int = NUM, den: int = DEN, min_words: int = MIN_
 def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of docs: id_col, n_lines, n_removed and removed_lines (numbers from 0, comma-joined). The texts
     themselves are only scanned."""
-    gone = removed_lines(docs, id_col=id_col, text_col=text_col).groupBy("id").agg(F.array_sort(F.collect_set("line")).alias("gone"))
+    gone = removed_lines(docs, min_words=ANY, id_col=id_col, text_col=text_col).groupBy("id").agg(F.array_sort(F.collect_set("line")).alias("gone"))
     counts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.size(F.split(F.col(text_col).cast("string"), "\n")), F.lit(0)).alias("n_lines"))
     joined = counts.join(gone, "id", "left")
     gone_or_none = F.coalesce("gone", F.array().cast("array<int>"))
