@@ -30,3 +30,19 @@ def test_evidence_meets(spark):
     assert got[0] == got[100] == "de" and got[101] == got[103] == "en" and got[102] in ("de", "en") and len(got) == 34
     assert langid.identify(pages, docs.where("lang = 'xx'")).where("lang IS NOT NULL").count() == 0
     assert langid.identify(pages.where("page_id < 0"), docs).count() == 0
+
+
+def test_declaration_anywhere():
+    head = "<!-- <html lang=fr> -->" + "<script>'<html lang=es>'" + "x" * 9000 + "</script><style>" + "y" * 9000 + "</style><link rel=preload>" * 200
+    assert langid.declaration(f"<!doctype html>{head}<html class=a lang='DE-at'><p>") == "de"
+    assert langid.declaration(f'<html>{head}<meta http-equiv="Content-Language" content="de">') == "de"
+    assert langid.declaration(f"<html>{head}<p lang=de><meta content=de>") is None and langid.declaration("") is None
+    for part in ("<html ", "<meta ", "<meta content-language ", "lang ", "<html lang <meta content-language content "):
+        assert langid.declaration(part * 100_000) is None  # linear
+
+
+def test_late_declaration_is_evidence(spark):
+    docs = spark.createDataFrame([("the and of the and with", "en"), ("der die und das mit und", "de")] * 5, "text string, lang string")
+    late = "<!--" + "x" * 5000 + "-->"
+    pages = spark.createDataFrame([(1, None, f"{late}<html lang=de><p>"), (2, None, f"{late}<html lang=en><p>")], "page_id long, url string, html string")
+    assert {r.page_id: r.lang for r in langid.identify(pages, docs).collect()} == {1: "de", 2: "en"}

@@ -34,7 +34,11 @@ BUCKETS, LANGUAGES, GRAM_PRIOR, HOST_PRIOR, TABLE_PRIOR = 1 << 15, 64, 0.5, 8.0,
 DECLARED_RIGHT = 0.9
 
 UNSEEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<[^>]*>?", re.DOTALL | re.IGNORECASE)
-DECLARED = re.compile(r"<html\b[^>]*?\b(?:xml:)?lang\s*=\s*[\"']?\s*([a-zA-Z]{2,3})|<meta\b[^>]*?content-language[^>]*?content\s*=\s*[\"']?\s*([a-zA-Z]{2,3})", re.IGNORECASE)
+#: Parts of a declaration, searched one after the other inside one tag.
+HTML, LANG, META, CONTENT_LANGUAGE, CONTENT = (
+    re.compile(x, re.IGNORECASE)
+    for x in (r"<html\b", r"\b(?:xml:)?lang\s*=\s*[\"']?\s*([a-zA-Z]{2,3})", r"<meta\b", "content-language", r"content\s*=\s*[\"']?\s*([a-zA-Z]{2,3})")
+)
 ADDRESS = re.compile(r"^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/@?#]*@)?([^/:?#]+)", re.IGNORECASE)
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 
@@ -47,6 +51,23 @@ def grams(text: str) -> np.ndarray:
     return (h >> np.uint64(40)).astype(np.int64) % BUCKETS
 
 
+def declaration(source: str) -> str | None:
+    """The first language that an html or meta tag declares, wherever in the page; comments, scripts and styles do
+    not count. A tag is searched from its first html or meta on only, so the work is linear."""
+    for m in UNSEEN.finditer(source):
+        tag = m.group()
+        if m.group(1) or tag.startswith("<!--"):
+            continue
+        said = None
+        if start := HTML.search(tag):
+            said = LANG.search(tag, start.end())
+        if not said and (start := META.search(tag)) and (start := CONTENT_LANGUAGE.search(tag, start.end())):
+            said = CONTENT.search(tag, start.end())
+        if said:
+            return said.group(1).lower()
+    return None
+
+
 def address(url: str | None) -> tuple[str | None, str | None, str | None]:
     """Host, registered domain (its last two labels) and suffix."""
     m = ADDRESS.match((url or "").strip())
@@ -107,8 +128,7 @@ def evidence(pages: DataFrame, langs: list[str], table: np.ndarray, id_col: str,
             cols: dict[str, list] = {c: [] for c in ("host", "domain", "suffix", "declared", "text")}
             for url, source in zip(batch.column(1), batch.column(2), strict=True):
                 source = source.as_py() or ""
-                m = DECLARED.search(source[:4096])
-                said = (m.group(1) or m.group(2)).lower() if m else None
+                said = declaration(source)
                 host, domain, suffix = address(url.as_py())
                 found = grams(html.unescape(UNSEEN.sub(" ", source)))
                 sums = shared.value[found].sum(axis=0, dtype=np.float64)
