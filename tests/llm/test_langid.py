@@ -46,3 +46,16 @@ def test_late_declaration_is_evidence(spark):
     late = "<!--" + "x" * 5000 + "-->"
     pages = spark.createDataFrame([(1, None, f"{late}<html lang=de><p>"), (2, None, f"{late}<html lang=en><p>")], "page_id long, url string, html string")
     assert {r.page_id: r.lang for r in langid.identify(pages, docs).collect()} == {1: "de", 2: "en"}
+
+
+def test_every_language_and_suffix_counts(spark):
+    say = lambda k: " ".join(f"{chr(0x4E00 + 7 * k + i)}{chr(0x5E00 + k)}" for i in range(7))
+    docs = spark.createDataFrame([(say(k) * (2 if k else 1), f"l{k:02d}") for k in range(70)], "text string, lang string")
+    pages = spark.createDataFrame([(k, None, f"<p>{say(k)}") for k in range(70)], "page_id long, url string, html string")
+    assert {r.page_id: r.lang for r in langid.identify(pages, docs).collect()} == {k: f"l{k:02d}" for k in range(70)}
+
+    docs = spark.createDataFrame([("the and of the and with", "en"), ("der die und das mit und", "de")] * 5, "text string, lang string")
+    rows = [(f"http://h{i}.s{i % 1000:04d}/", "<p>the and of the and with the and") for i in range(4000)]
+    rows += [(f"http://g{i}.zz/", "<p>der die und das mit und der die") for i in range(3)] + [("http://new.zz/", None)]
+    pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
+    assert langid.identify(pages, docs).where("page_id = 4003").first().lang == "de"

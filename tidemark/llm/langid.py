@@ -8,8 +8,8 @@ pages, so no page is labelled by hand. A host's prior leans on its registered do
 
 The text likelihood is tempered by a power that grows slower than the text, since trigrams are far from independent.
 
-Models are bounded: BUCKETS trigram buckets for each of at most LANGUAGES languages (the most frequent ones).
-Hosts are grouped with map-side sums and joined back as an ordinary skewed join.
+The model has BUCKETS trigram buckets for every language of the labelled documents, 128 KB each, and is broadcast, so memory
+grows with the number of languages. Hosts and suffixes are grouped with map-side sums and joined back as ordinary skewed joins.
 
 Pages with null or empty HTML have only the other evidence; a null address has none from host or suffix. Without
 any labelled document the language is null. Repeated rows each have a row; null ids are kept; extra columns are ignored;
@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import saved
 
-#: Bounds of the text model, and pseudo-counts of the smoothing: trigrams, hosts and domains, declarations and suffixes.
-BUCKETS, LANGUAGES, GRAM_PRIOR, HOST_PRIOR, TABLE_PRIOR = 1 << 15, 64, 0.5, 8.0, 20.0
+#: Trigram buckets, languages that a task counts before it passes them on, and pseudo-counts of the smoothing: trigrams, hosts and domains, declarations and suffixes.
+BUCKETS, HELD, GRAM_PRIOR, HOST_PRIOR, TABLE_PRIOR = 1 << 15, 256, 0.5, 8.0, 20.0
 #: Share of a fresh declaration that is right, before any is counted.
 DECLARED_RIGHT = 0.9
 
@@ -90,7 +90,7 @@ def trigram_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
                 for at in range(0, len(text), 1 << 20):
                     found, n = np.unique(grams(text[at : at + (1 << 20)]), return_counts=True)
                     sums[found] += n
-            if len(total) > 4 * LANGUAGES:
+            if len(total) > HELD:
                 yield from flush(total)
                 total = {}
         yield from flush(total)
@@ -106,15 +106,15 @@ def trigram_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
 
 def text_model(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
     """The languages, and the logarithm of each bucket's chance by language (rows are buckets)."""
-    counts = saved(trigram_counts(docs, text_col, lang_col))
-    top = counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    langs = sorted(r.lang for r in top.collect())
-    place = {x: i for i, x in enumerate(langs)}
-    table = np.full((BUCKETS, max(1, len(langs))), GRAM_PRIOR)
-    # at most BUCKETS rows for each of LANGUAGES languages
-    for r in counts.where(F.col("lang").isin(langs)).toLocalIterator():
-        table[r.b, place[r.lang]] += r.n
-    return langs, np.log(table / table.sum(axis=0)).astype(np.float32)
+    counts = trigram_counts(docs, text_col, lang_col).groupBy("lang").agg(F.collect_list(F.struct("b", "n")).alias("c"))
+    chances: dict[str, np.ndarray] = {}
+    # a row has at most BUCKETS counts
+    for r in counts.select("lang", "c.b", "c.n").toLocalIterator():
+        sums = np.full(BUCKETS, GRAM_PRIOR)
+        sums[r.b] += r.n
+        chances[r.lang] = np.log(sums / sums.sum()).astype(np.float32)
+    langs = sorted(chances)
+    return langs, np.stack([chances[x] for x in langs], axis=1) if langs else np.zeros((BUCKETS, 0), np.float32)
 
 
 def evidence(pages: DataFrame, langs: list[str], table: np.ndarray, id_col: str, url_col: str, html_col: str) -> DataFrame:
@@ -158,24 +158,24 @@ def identify(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_col
     facts = saved(evidence(pages, langs, table, id_col, url_col, html_col))
     by_host = facts.where("host IS NOT NULL").groupBy("host", "domain").agg(_sums(n))
     by_domain = by_host.groupBy("domain").agg(F.array(*[F.sum(F.col("sums")[i]) for i in range(n)]).alias("domain_sums"))
-    # one row, and one for each language and for each suffix of the most frequent thousand
+    # one row, one for each language, and one row
     whole = facts.agg(_sums(n)).first().sums or [0.0] * n
     declared = {r.declared: r.sums for r in facts.where("declared IS NOT NULL").groupBy("declared").agg(_sums(n)).collect()}
-    suffixes = {r.suffix: r.sums for r in facts.where("suffix IS NOT NULL").groupBy("suffix").agg(_sums(n), F.count("*").alias("c")).orderBy(F.desc("c"), "suffix").limit(1000).collect()}
+    by_suffix = facts.where("suffix IS NOT NULL").groupBy("suffix").agg(_sums(n))
+    suffix_whole = facts.where("suffix IS NOT NULL").agg(_sums(n)).first().sums
     prior = (np.array([x or 0.0 for x in whole]) + 1) / (sum(x or 0.0 for x in whole) + n)
     said = np.array([declared.get(x, [0.0] * n) for x in langs])  # declared x language
     right = np.full((n, n), (1 - DECLARED_RIGHT) / max(1, n - 1))
     np.fill_diagonal(right, DECLARED_RIGHT if n > 1 else 1.0)
     said = (said + TABLE_PRIOR * right) / (said.sum(axis=0) + TABLE_PRIOR)
-    total = sum(map(np.array, suffixes.values()), np.zeros(n))
-    of_suffix = {s: np.log((np.array(x) + TABLE_PRIOR * (np.sum(x) + 1) / (total.sum() + 1)) / (total + TABLE_PRIOR)).tolist() for s, x in suffixes.items()}
+    total = np.array([x or 0.0 for x in suffix_whole])
     log_said = {x: np.log(said[i]).tolist() for i, x in enumerate(langs)}
     kind = pages.select(id_col).schema[0].dataType.simpleString()
 
     def fuse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             best, chance, plain = [], [], []
-            for row in batch.select(["declared", "suffix", "text", "sums", "domain_sums"]).to_pylist():
+            for row in batch.select(["declared", "suffix_sums", "text", "sums", "domain_sums"]).to_pylist():
                 text = np.array(row["text"])
                 p = prior
                 for name in ("domain_sums", "sums"):
@@ -184,7 +184,9 @@ def identify(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_col
                         p = (others + HOST_PRIOR * p) / (others.sum() + HOST_PRIOR)
                 z = np.log(np.maximum(text, 1e-30)) + np.log(p)
                 z += log_said.get(row["declared"], 0.0)
-                z += of_suffix.get(row["suffix"], 0.0)
+                if row["suffix_sums"] is not None:
+                    x = np.array(row["suffix_sums"])
+                    z += np.log((x + TABLE_PRIOR * (x.sum() + 1) / (total.sum() + 1)) / (total + TABLE_PRIOR))
                 e = np.exp(z - z.max())
                 i = int(np.argmax(e))
                 best.append(langs[i])
@@ -193,4 +195,5 @@ def identify(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_col
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(best, pa.string()), pa.array(chance, pa.float64()), pa.array(plain, pa.string())], names=[id_col, "lang", "probability", "text_lang"])
 
     joined = facts.join(by_host.join(by_domain, "domain").select("host", "sums", "domain_sums"), "host", "left")
-    return joined.select("id", "declared", "suffix", "text", "sums", "domain_sums").mapInArrow(fuse, f"{id_col} {kind}, lang string, probability double, text_lang string")
+    joined = joined.join(by_suffix.withColumnRenamed("sums", "suffix_sums"), "suffix", "left")
+    return joined.select("id", "declared", "suffix_sums", "text", "sums", "domain_sums").mapInArrow(fuse, f"{id_col} {kind}, lang string, probability double, text_lang string")
