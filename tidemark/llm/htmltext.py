@@ -1,11 +1,12 @@
 """Layout-aware text of HTML pages.
 
 A tolerant tree builder reads tags in any order: end tags that HTML lets authors omit are implied (p, li, dt, dd,
-tr, td, th, option and the like), stray end tags are ignored, script and style are raw text, and elements nested
-deeper than DEPTH become siblings. A renderer then walks the tree and writes what a reader would see:
-nothing of the head, of scripts and styles, or of elements hidden by attribute or inline style; runs of white space as one
-space outside of pre; blocks on lines of their own, with an empty line around paragraphs, headings, lists and tables;
-list items with their marks, indented by depth; table cells in columns of equal width.
+tr, td, th, option and the like), stray end tags are ignored, and script and style are raw text. A renderer then walks the
+tree, at any depth, and writes what a reader would see:
+nothing of the head, of scripts and styles, or of elements hidden by the attribute hidden or by inline style; runs of white
+space as one space outside of pre; blocks on lines of their own, with an empty line around paragraphs, headings, lists and
+tables; list items with their marks, indented by depth; table cells in columns of equal width, where lines of more than
+WIDEST are wrapped between words unless nothing follows them in their row.
 
 Each page is rendered where it is read, so nothing is shuffled. Null pages give null, pages without visible text
 an empty text. Repeated rows are rendered each; extra columns are ignored; an empty table gives an empty result."""
@@ -15,14 +16,15 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Nesting beyond which elements become siblings, and the widest cell that sets the width of its column.
-DEPTH, WIDEST = 200, 60
+#: Width at which the lines of a cell are wrapped. A longer word widens its column.
+WIDEST = 60
 
 #: Element names by how HTML treats them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -49,22 +51,32 @@ ENDS = {
 WALLS = frozenset({"table", "td", "th", "caption", "html", "template"})
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>", re.DOTALL)
-HIDING = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*(?:\"[^\"]*?|'[^']*?)(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.IGNORECASE)
-NUMBER = re.compile(r"(?:^|\s)(start|value)\s*=\s*[\"']?\s*(-?\d{1,9})", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\s*(?:!\s*important\s*)?(?:;|$)", re.IGNORECASE)
+NUMBER = re.compile(r"\s*([+-]?\d{1,9})")
 SPACES = re.compile(r"[ \t\n\r\f]+")
 
 
+def attributes(source: str) -> dict[str, str]:
+    """The attributes of a start tag; the first of a name counts."""
+    found: dict[str, str] = {}
+    for name, *values in ATTRIBUTE.findall(source):
+        found.setdefault(name.lower(), html.unescape("".join(values)))
+    return found
+
+
 class Node:
     __slots__ = ("tag", "attrs", "children")
 
     def __init__(self, tag: str, attrs: str = ""):
-        self.tag, self.attrs, self.children = tag, attrs, []
+        # most tags have no attributes
+        self.tag, self.attrs, self.children = tag, attributes(attrs) if attrs else {}, []
 
 
 def parse(source: str) -> Node:
     """The tree of a page; text nodes are strings with their entities resolved."""
     root = Node("html")
-    stack = [root]
+    stack = Stack(root)
     at, end = 0, len(source)
 
     def text(part: str) -> None:
@@ -98,32 +110,50 @@ def parse(source: str) -> Node:
             stop = close.start() if close else end
             node.children.append(source[at:stop] if tag in ("script", "style") else html.unescape(source[at:stop]))
             at = close.end() if close else end
-        elif len(stack) < DEPTH:
+        else:
             stack.append(node)
     return root
 
 
-def _imply(stack: list[Node], tag: str) -> None:
+class Stack(list):
+    """The open elements, with how many there are of each name, so that no search for an absent one goes through all."""
+
+    def __init__(self, root: Node):
+        super().__init__([root])
+        self.count = Counter()
+
+    def append(self, node: Node) -> None:
+        super().append(node)
+        self.count[node.tag] += 1
+
+    def cut(self, k: int) -> None:
+        """Close the elements from the k-th on."""
+        for node in self[k:]:
+            self.count[node.tag] -= 1
+        del self[k:]
+
+
+def _imply(stack: Stack, tag: str) -> None:
     """End what the start tag ends, and open the rows and bodies that it needs."""
-    if tag in ENDS_P:
+    if tag in ENDS_P and stack.count["p"]:
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].tag == "p":
-                del stack[k:]
+                stack.cut(k)
                 break
             if stack[k].tag in WALLS or stack[k].tag in BLOCKS:
                 break
-    if tag in ENDS:
+    if tag in ENDS and any(stack.count[x] for x in ENDS[tag][0]):
         ends, until = ENDS[tag]
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].tag in until:
                 break
             if stack[k].tag in ends:
-                del stack[k:]
+                stack.cut(k)
                 if tag not in ("tr", "thead", "tbody", "tfoot"):
                     break
                 return _imply(stack, tag)
     if stack[-1].tag == "head" and tag in BLOCKS:
-        stack.pop()
+        stack.cut(len(stack) - 1)
     if tag in ("td", "th") and stack[-1].tag in ("table", "thead", "tbody", "tfoot"):
         row = Node("tr")
         stack[-1].children.append(row)
@@ -131,10 +161,10 @@ def _imply(stack: list[Node], tag: str) -> None:
     return None
 
 
-def _close(stack: list[Node], tag: str) -> None:
-    for k in range(len(stack) - 1, 0, -1):
+def _close(stack: Stack, tag: str) -> None:
+    for k in range(len(stack) - 1, 0, -1) if stack.count[tag] else ():
         if stack[k].tag == tag:
-            del stack[k:]
+            stack.cut(k)
             return
         if stack[k].tag in WALLS and tag not in WALLS | {"tr", "thead", "tbody", "tfoot", "body"}:
             return
@@ -202,14 +232,45 @@ class Writer:
 
 
 def seen(node: Node) -> bool:
-    return node.tag not in UNSEEN and not (node.attrs and HIDING.search(node.attrs))
+    own = node.attrs
+    return node.tag not in UNSEEN and not (own and ("hidden" in own or ("style" in own and HIDING.search(own["style"]))))
 
 
 def width(text: str) -> int:
     return sum(2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in text) if not text.isascii() else len(text)
 
 
-def _walk(node: Node, out: Writer, pre: bool) -> None:
+def wrapped(text: str) -> list[str]:
+    """A line as lines of at most WIDEST, broken between words only."""
+    if width(text) <= WIDEST:
+        return [text]
+    lines, line, used = [], "", 0
+    for word in text.split(" "):
+        w = width(word)
+        if line and used + 1 + w > WIDEST:
+            lines.append(line)
+            line, used = word, w
+        else:
+            line, used = (f"{line} {word}", used + 1 + w) if line else (word, w)
+    return [*lines, line]
+
+
+#: The walkers below are generators that yield the walks they need done first; `run_walk` keeps them on a list, so no depth
+#: of a page exhausts the interpreter's stack.
+Walk = Iterator["Walk"]
+
+
+def run_walk(walk: Walk) -> None:
+    waiting = [walk]
+    while waiting:
+        inner = next(waiting[-1], None)
+        if inner is None:
+            waiting.pop()
+        else:
+            waiting.append(inner)
+
+
+def _walk(node: Node, out: Writer, pre: bool) -> Walk:
     for child in node.children:
         if isinstance(child, str):
             out.exact(child) if pre else out.inline(child)
@@ -222,35 +283,39 @@ def _walk(node: Node, out: Writer, pre: bool) -> None:
             out._put("---")
             out.block(2)
         elif child.tag in ("ul", "ol", "menu"):
-            _list(child, out)
+            yield _list(child, out)
         elif child.tag == "table":
-            _table(child, out)
+            yield _table(child, out)
         elif child.tag in BLOCKS:
             gap = 2 if child.tag in SPACED else 1
             out.block(gap)
             if child.tag == "blockquote":
-                _indented(child, out, "> ", "> ")
+                yield _indented(child, out, "> ", "> ")
             elif child.tag == "dd":
-                _indented(child, out, "    ", "    ")
+                yield _indented(child, out, "    ", "    ")
             else:
-                _walk(child, out, pre or child.tag == "pre")
+                yield _walk(child, out, pre or child.tag == "pre")
             out.block(gap)
         else:
-            _walk(child, out, pre)
+            yield _walk(child, out, pre)
 
 
-def _indented(node: Node, out: Writer, first: str, others: str) -> None:
+def _indented(node: Node, out: Writer, first: str, others: str) -> Walk:
     inner = Writer()
-    _walk(node, inner, False)
+    yield _walk(node, inner, False)
     for i, line in enumerate(inner.result() or ([""] if first.strip() not in ("", ">") else [])):
         out._put(((first if i == 0 else others) + line).rstrip())
         out.feed()
 
 
-def _list(node: Node, out: Writer) -> None:
+def _number(node: Node, name: str, otherwise: int) -> int:
+    found = NUMBER.match(node.attrs.get(name, ""))
+    return int(found.group(1)) if found else otherwise
+
+
+def _list(node: Node, out: Writer) -> Walk:
     out.block(2)
-    start = NUMBER.search(node.attrs) if node.attrs else None
-    number = int(start.group(2)) if start and start.group(1).lower() == "start" else 1
+    number = _number(node, "start", 1)
     loose = Node("li")
     for child in [*node.children, None]:
         item = isinstance(child, Node) and child.tag == "li"
@@ -258,15 +323,14 @@ def _list(node: Node, out: Writer) -> None:
             loose.children.append(child)
             continue
         if any(not isinstance(c, str) or c.strip() for c in loose.children):
-            _indented(loose, out, "  ", "  ")
+            yield _indented(loose, out, "  ", "  ")
         loose = Node("li")
         if item and seen(child):
             if node.tag == "ol":
-                own = NUMBER.search(child.attrs) if child.attrs else None
-                number = int(own.group(2)) if own and own.group(1).lower() == "value" else number
+                number = _number(child, "value", number)
             mark = f"{number}. " if node.tag == "ol" else "- "
             number += 1
-            _indented(child, out, mark, " " * len(mark))
+            yield _indented(child, out, mark, " " * len(mark))
     out.block(2)
 
 
@@ -286,7 +350,7 @@ def _rows(node: Node, found: list[tuple[str, list[Node]]]) -> None:
             found.append(("text", [child]))
 
 
-def _table(node: Node, out: Writer) -> None:
+def _table(node: Node, out: Writer) -> Walk:
     out.block(2)
     found: list[tuple[str, list[Node]]] = []
     _rows(node, found)
@@ -297,21 +361,22 @@ def _table(node: Node, out: Writer) -> None:
             holder.children = cells
             cells = [holder]
         lines = []
-        for cell in cells:
+        for i, cell in enumerate(cells):
             inner = Writer()
-            _walk(cell, inner, False)
-            lines.append(inner.result())
+            yield _walk(cell, inner, False)
+            own = inner.result()
+            lines.append([part for line in own for part in wrapped(line)] if i < len(cells) - 1 else own)
         rows.append((kind, lines))
     columns: dict[int, int] = {}
     for kind, cells in rows:
         if kind == "row":
-            for i, lines in enumerate(cells):
-                columns[i] = max([columns.get(i, 0), *(w for w in map(width, lines) if w <= WIDEST)])
+            for i, lines in enumerate(cells[:-1]):  # nothing follows the last one
+                columns[i] = max([columns.get(i, 0), *map(width, lines)])
     for kind, cells in rows:
         for k in range(max(map(len, cells), default=0)):
             parts = [lines[k] if k < len(lines) else "" for lines in cells]
             if kind == "row":
-                parts = [p + " " * (columns[i] - width(p)) for i, p in enumerate(parts)]
+                parts = [p + " " * (columns[i] - width(p)) if i < len(cells) - 1 else p for i, p in enumerate(parts)]
             line = "  ".join(parts).rstrip()
             if line:
                 out._put(line)
@@ -324,7 +389,7 @@ def render(source: str | None) -> str | None:
     if source is None:
         return None
     out = Writer()
-    _walk(parse(source.replace("\x00", "")), out, False)
+    run_walk(_walk(parse(source.replace("\x00", "")), out, False))
     return "\n".join(line.rstrip() for line in out.result()).strip("\n")
 
 
