@@ -6,56 +6,62 @@ block; after each, what the remaining dimensions can add at most and at least is
 product of the two remaining norms, and only candidates whose upper bound reaches the k-th best lower
 bound stay. The survivors' columns are compacted before the next block.
 
-Queries are every vector whose id is divisible by query_mod, against every other vector. Queries and
-candidates are dealt to a grid of (query block, candidate block); one task holds one block of each, and
-the k best of each block meet in a top-k per query that is merged in two steps. Null vectors, empty
-vectors and those with a null or a non-finite component take no part; only vectors of equal length
-are compared. Rows that repeat an id count as candidates each. Ties go to the smaller id.
+Queries are every vector whose id is divisible by query_mod, against every other vector. Queries are taken
+in blocks of about QUERIES, each a broadcast of bounded size; the candidates are read once for a block, where they
+are, and never shuffled. A task goes through its candidates block by block and carries each query's k best on, so the
+k-th best score so far is a floor that prunes all later blocks. What is shuffled is k rows for each task and
+query, merged in two steps. A vector is known by its row, so rows that repeat an id are queries and candidates each, and
+only the query's own row is left out. Null vectors and those with a null or a non-finite component take no part; only
+vectors of equal length are compared, empty ones included. Ties go to the smaller id.
 Large components are summed as Python integers; scores beyond 64 bits saturate."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import discard, saved
+
 #: Vectors in a block of candidates and of queries, and dimensions in a block.
-CANDIDATES, QUERIES, DIMS = 16_384, 2_048, 16
+CANDIDATES, QUERIES, DIMS = 16_384, 16_384, 16
 
 
 def integer_vectors(table: DataFrame, id_col: str, vec_col: str, scale: int = 256) -> DataFrame:
-    """(id, v array<double> of whole numbers, d) of the vectors that take part."""
+    """(row, id, v array<double> of whole numbers) of the vectors that take part."""
     x = F.col("_v")
-    usable = x.isNotNull() & (F.size(x) > 0) & ~F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) * scale == float("inf")))
+    usable = x.isNotNull() & ~F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) * scale == float("inf")))
     return (
         table.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("_v"))
         .where(usable & F.col("id").isNotNull())
-        .select("id", F.transform("_v", lambda c: F.when(F.abs(c) * scale >= 2.0**53, c * scale).otherwise(F.floor(c * scale).cast("double"))).alias("v"), F.size("_v").alias("d"))
+        .select(F.monotonically_increasing_id().alias("row"), "id", F.transform("_v", lambda c: F.when(F.abs(c) * scale >= 2.0**53, c * scale).otherwise(F.floor(c * scale).cast("double"))).alias("v"))
     )
 
 
-def best_in_block(query: np.ndarray, query_id: int, columns: np.ndarray, ids: np.ndarray, rests: list[np.ndarray], k: int, dims: int = DIMS, floor: float = -np.inf) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, scores) of the k best candidates of one block for one query, best first.
+def best_in_block(query: np.ndarray, columns: np.ndarray, rests: list[np.ndarray], k: int, own: int = -1, dims: int = DIMS, floor: float = -np.inf) -> tuple[np.ndarray, np.ndarray]:
+    """(places, scores) of the k best candidates of one block for one query, best first; of those below floor, a score that
+    k others have already, some may be left out. Ties go to the smaller place.
 
-    columns has a row per dimension, ids the candidates' ids in ascending order, and rests[i] each
-    candidate's norm over the dimensions from block i on. floor is a score that k others have already.
-    Scores are whole numbers below 2**53 wherever float64 is used, so they are exact."""
-    alive = np.flatnonzero(ids != query_id)
+    columns has a row per dimension, rests[i] each candidate's norm over the dimensions from block i on, and own is the place
+    of the query itself. Scores are whole numbers below 2**53 wherever float64 is used, so they are exact."""
+    alive = np.arange(columns.shape[1])
+    if own >= 0:
+        alive = np.delete(alive, own)
     partial = np.zeros(len(alive))
     for b, at in enumerate(range(0, len(query), dims)):
         part = columns[at : at + dims]
         partial += query[at : at + dims] @ (part if len(alive) == part.shape[1] else part[:, alive])
-        if at + dims >= len(query) or len(alive) <= k:
+        if at + dims >= len(query) or not len(alive):
             continue
         rest = np.sqrt((query[at + dims :] ** 2).sum()) * rests[b + 1][alive] * (1 + 1e-9) + 1e-6
-        least = max(floor, np.partition(partial - rest, len(alive) - k)[len(alive) - k])
+        least = max(floor, np.partition(partial - rest, len(alive) - k)[len(alive) - k]) if len(alive) > k else floor
         stay = partial + rest >= least
         alive, partial = alive[stay], partial[stay]
-    order = np.lexsort((ids[alive], -partial))[:k]
-    return ids[alive[order]], partial[order]
+    order = np.lexsort((alive, -partial))[:k]
+    return alive[order], partial[order]
 
 
 def exact_scores(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -64,69 +70,116 @@ def exact_scores(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return np.array([sum(a * int(c) for a, c in zip(q, row, strict=True)) for row in rows], dtype=object)
 
 
-def top_k(table: DataFrame, k: int = 5, query_mod: int = 50, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+class Queries:
+    """A block of queries, and a task's k best of each: (minus the score, id) in order."""
+
+    def __init__(self, rows: list[int], ids: list[int], vectors: list[np.ndarray], k: int):
+        self.rows, self.ids, self.k = rows, ids, k
+        self.lengths: dict[int, list[int]] = {}
+        for i, v in enumerate(vectors):
+            self.lengths.setdefault(len(v), []).append(i)
+        self.vectors = {d: np.array([vectors[i] for i in own]).reshape(len(own), d) for d, own in self.lengths.items()}
+
+    def start(self) -> None:
+        self.best: list[list[tuple[int, int]]] = [[] for _ in self.rows]
+
+    def offer(self, i: int, found: list[tuple[int, int]]) -> None:
+        self.best[i] = sorted(self.best[i] + found)[: self.k]
+
+    def meet(self, rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
+        """A block of candidates of one length."""
+        d = vectors.shape[1]
+        if d not in self.lengths:
+            return
+        order = np.argsort(ids, kind="stable")
+        rows, ids, vectors = rows[order], ids[order], vectors[order]
+        place = {r: j for j, r in enumerate(rows.tolist())}
+        queries = self.vectors[d]
+        if max(np.abs(vectors).max(initial=0), np.abs(queries).max(initial=0)) ** 2 * d >= 2.0**53:
+            for i, q in zip(self.lengths[d], queries, strict=True):
+                scores = exact_scores(q, vectors)
+                self.offer(i, [(-max(-(2**63) + 1, min(2**63 - 1, s)), int(ids[j])) for j, s in enumerate(scores) if rows[j] != self.rows[i]])
+            return
+        columns = np.ascontiguousarray(vectors.T)
+        squares = (columns**2)[::-1].cumsum(axis=0)[::-1]
+        rests = [np.sqrt(squares[at]) for at in range(0, d, DIMS)]
+        for i, q in zip(self.lengths[d], queries, strict=True):
+            floor = float(-self.best[i][-1][0]) if len(self.best[i]) == self.k else -np.inf
+            places, scores = best_in_block(q, columns, rests, self.k, place.get(self.rows[i], -1), floor=floor)
+            if len(places) and scores[0] >= floor:
+                self.offer(i, [(-int(s), int(ids[j])) for j, s in zip(places.tolist(), scores.tolist(), strict=True)])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, ids, vectors) of batches (row, id, v), by length, `most` vectors at a time."""
+    waiting: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+    held: dict[int, int] = {}
+
+    def ready(d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        held[d] = 0
+        parts = waiting.pop(d)
+        return tuple(np.concatenate([p[i] for p in parts]) for i in range(3))
+
+    for batch in batches:
+        rows, ids, lists = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2)
+        sizes = lists.value_lengths().to_numpy()
+        for d in np.unique(sizes).tolist():
+            own = np.flatnonzero(sizes == d)
+            for at in range(0, len(own), most):
+                some = own[at : at + most]
+                flat = lists.take(pa.array(some)).flatten().to_numpy(zero_copy_only=False)
+                waiting.setdefault(d, []).append((rows[some], ids[some], flat.reshape(len(some), d)))
+                held[d] = held.get(d, 0) + len(some)
+                if held[d] >= most:
+                    yield ready(d)
+    for d in list(waiting):
+        yield ready(d)
+
+
+def top_k(table: DataFrame, k: int = 5, query_mod: int = 50, id_col: str = "vec_id", vec_col: str = "embedding", block: int = QUERIES) -> DataFrame:
     """query_id, rank (from 1), id_col and score: the k best of every query, or all if there are fewer."""
-    vectors = integer_vectors(table, id_col, vec_col)
-    counts = vectors.agg(F.count("*").alias("n"), F.count_if(F.col("id") % query_mod == 0).alias("q")).first()
-    n_cand, n_query = max(1, -(-counts.n // CANDIDATES)), max(1, -(-counts.q // QUERIES))
-    cand = vectors.withColumn("cb", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(n_cand))).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_query - 1))))
-    query = vectors.where(F.col("id") % query_mod == 0).withColumn("qb", F.pmod(F.xxhash64("id", F.lit(2)), F.lit(n_query))).withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(n_cand - 1))))
-
-    def search(rows: pa.Table) -> pa.Table:
-        asks = rows.column("asks")
-        queries, block = _arrays(rows.filter(asks)), _arrays(rows.filter(pc.invert(asks)))
-        found: list[tuple[int, int, int]] = []
-        for d, (q_ids, q_rows) in queries.items():
-            if d not in block:
-                continue
-            ids, rows = block[d]
-            order = np.argsort(ids, kind="stable")
-            ids, rows = ids[order], rows[order]
-            largest = max(np.abs(rows).max(), np.abs(q_rows).max())
-            if largest**2 * d >= 2.0**53:
-                for q_id, q in zip(q_ids, q_rows, strict=True):
-                    others = np.flatnonzero(ids != q_id)
-                    scores = exact_scores(q, rows[others])
-                    best = sorted(range(len(others)), key=lambda i: (-scores[i], ids[others[i]]))[:k]
-                    found += [(int(q_id), int(ids[others[i]]), max(-(2**63) + 1, min(2**63 - 1, scores[i]))) for i in best]
-                continue
-            columns = np.ascontiguousarray(rows.T)
-            squares = (columns**2)[::-1].cumsum(axis=0)[::-1]
-            rests = [np.sqrt(squares[at]) for at in range(0, d, DIMS)]
-            for q_id, q in zip(q_ids, q_rows, strict=True):
-                best, scores = best_in_block(q, q_id, columns, ids, rests, k)
-                found += zip([int(q_id)] * len(best), best.tolist(), scores.astype(np.int64).tolist(), strict=True)
-        names = ["query_id", "vec_id", "score"]
-        return pa.table({c: pa.array([x[i] for x in found], pa.int64()) for i, c in enumerate(names)})
-
-    both = query.withColumn("asks", F.lit(True)).unionByName(cand.withColumn("asks", F.lit(False)))
-    pairs = both.groupBy("qb", "cb").applyInArrow(search, "query_id long, vec_id long, score long")
-    # a block has k rows a query; several blocks meet first by a part of the query's rows
+    vectors = saved(integer_vectors(table, id_col, vec_col))
+    asked = vectors.where(F.col("id") % query_mod == 0)
+    n = -(-asked.count() // block) or 1
+    context = table.sparkSession.sparkContext
     keep = "slice(array_sort(collect_list(struct(-score AS s, vec_id AS v))), 1, {k})"
+    # the k best of every task meet first by a part of the query's rows
     part = F.pmod(F.xxhash64("vec_id"), F.lit(16))
-    some = pairs.groupBy("query_id", part.alias("p")).agg(F.expr(keep.format(k=k)).alias("b"))
-    best = some.groupBy("query_id").agg(F.expr(f"slice(array_sort(flatten(collect_list(b))), 1, {k})").alias("b"))
-    return best.select("query_id", F.posexplode("b").alias("rank", "e")).select("query_id", (F.col("rank") + 1).alias("rank"), F.col("e.v").alias(id_col), (-F.col("e.s")).alias("score"))
-
-
-def _arrays(block: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """By length: ids, and the vectors as rows."""
-    found: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    if not block.num_rows:
-        return found
-    frame = pd.DataFrame({"d": block.column("d").to_numpy(), "id": block.column("id").to_numpy()})
-    lists = block.column("v").combine_chunks()
-    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-    for d, part in frame.groupby("d"):
-        taken = lists.take(pa.array(part.index.to_numpy(), pa.int64()))
-        found[int(d)] = (part["id"].to_numpy(), taken.flatten().to_numpy(zero_copy_only=False).reshape(-1, int(d)))
-    return found
+    every = []
+    for b in range(n):
+        # about `block` rows come to the driver and are broadcast
+        mine = asked.where(F.pmod(F.xxhash64("row"), F.lit(n)) == b).toArrow()
+        lists = mine.column("v").to_pylist()
+        shared = context.broadcast(Queries(mine.column("row").to_pylist(), mine.column("id").to_pylist(), [np.array(x, np.float64) for x in lists], k))
+
+        def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            queries = shared.value
+            queries.start()
+            for rows, ids, found in _blocks(batches, CANDIDATES):
+                queries.meet(rows, ids, found)
+            for at in range(0, len(queries.rows), 4096):
+                out = [(queries.rows[i], queries.ids[i], v, -s) for i in range(at, min(at + 4096, len(queries.rows))) for s, v in queries.best[i]]
+                names = ["q", "query_id", "vec_id", "score"]
+                yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], pa.int64()) for c in range(4)], names=names)
+
+        pairs = vectors.mapInArrow(search, "q long, query_id long, vec_id long, score long")
+        some = pairs.groupBy("q", "query_id", part.alias("p")).agg(F.expr(keep.format(k=k)).alias("b"))
+        best = some.groupBy("q", "query_id").agg(F.expr(f"slice(array_sort(flatten(collect_list(b))), 1, {k})").alias("b"))
+        ranked = best.select("query_id", F.posexplode("b").alias("rank", "e")).select("query_id", (F.col("rank") + 1).alias("rank"), F.col("e.v").alias(id_col), (-F.col("e.s")).alias("score"))
+        # with more blocks than one, each is done and its broadcast dropped before the next
+        every.append(saved(ranked))
+        shared.destroy()
+    discard(vectors)
+    out = every[0]
+    for x in every[1:]:
+        out = out.union(x)
+    return out
 
 
 #: DuckDB SQL of the top five for every fiftieth vector.
 ORACLE = """
 WITH v AS (SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT q.id AS query_id, c.id AS vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
   FROM v q JOIN v c ON q.id <> c.id AND len(q.v) = len(c.v) WHERE q.id % 50 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM s)
