@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from tidemark.llm import decontaminate as dc
 
@@ -52,8 +53,43 @@ def test_runs_are_guaranteed():
 
 def test_walk_is_deterministic_and_local():
     rows = np.array([[1, 2, 3, 4], [1, 2, 3, 4], [1, 9, 3, 4]])
-    out = dc.cgk(rows, np.array([4, 4, 4]), 8, 0)
-    assert (out[0] == out[1]).all() and (out[:, 0] == 1).all() and (out[0] != out[2]).any()
+    coins = np.random.default_rng(1).integers(1, 1 << 63, (8, 3), dtype=np.uint64) | np.uint64(1)
+    out = np.stack(list(dc.cgk(rows, np.array([4, 4, 4]), coins)), axis=2)
+    assert (out[0] == out[1]).all() and (out[:, :, 0] == 1).all() and (out[0] != out[2]).any()
+    # unlike the other walks, a window shows its words in order
+    for shown in out.reshape(9, 8):
+        inside = shown[shown > 0]
+        assert len(inside) and (np.diff([{1: 0, 2: 1, 9: 1, 3: 2, 4: 3}[x] for x in inside.tolist()]) >= 0).all()
+
+
+@pytest.mark.parametrize("kind", dc.EDITS)
+def test_recall_by_kind_of_edit(kind):
+    """Every mutation at full tolerance, against the exact distance, which all of them are within."""
+    rng = random.Random(len(kind))
+    vocab = ["the", "of", "and"] * 30 + [f"w{i}" for i in range(2000)]
+    say = lambda n: [rng.choice(vocab) for _ in range(n)]
+    items = [(i, " ".join(say(rng.choice([5, 9, 16, 24, 38, 61])))) for i in range(60)]
+    index = dc.Index(items)
+    texts, origin = [], []
+    for k in range(240):
+        words = dc.words_of(items[k % 60][1])
+        changed = [f"new{-x}" if x < 0 else words[x - 1] for x in dc.mutated(list(range(1, len(words) + 1)), kind, rng)]
+        texts.append(np.array([index.numbers.get(w, 0) for w in say(20) + changed + say(20)]))
+        origin.append(k % 60)
+    near = [k for k in range(240) if dc.distance_to_stretch(index.items[origin[k]], texts[k].tolist()) <= dc.allowed(len(index.items[origin[k]]))]
+    got = index.search(texts)
+    assert len(near) == 240 and sum(origin[k] in [i for i, _ in got[k]] for k in near) >= 0.96 * len(near)
+
+
+def test_without_enough_tables(monkeypatch):
+    """Too few tables: the length is searched exactly."""
+    monkeypatch.setattr(dc, "MOST_TABLES", 2)
+    items, _ = corpus()
+    index = dc.Index([(i, " ".join(w)) for i, w in enumerate(items)])
+    assert all(t.exact for n, t in index.tables.items() if dc.allowed(n) > 2)
+    rng = random.Random(3)
+    texts = [np.array([0, 0, *(max(0, x) for x in dc.mutated(item, "mixed", rng)), 0]) for item in index.items]
+    assert all(index.ids[k] in [i for i, _ in found] for k, found in enumerate(index.search(texts)))
 
 
 def test_against_brute_force(spark):

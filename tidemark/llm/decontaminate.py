@@ -3,19 +3,25 @@
 Texts and benchmark items are sequences of words (runs of letters and digits, in lower case). A text holds an
 item if some stretch of it is within floor(TOLERANCE * n) word edits of the item's n words.
 
-Windows of an item's size are embedded by the CGK random walk, which copies the current word and moves on
-by a coin that depends on the step and the word; nearby windows in edit distance agree on many
-steps. A table samples a few steps; a window meets an item in a table if they agree on all of them. How
-often that happens for windows at the full tolerance is measured on mutated items when the model is
-built, and as many tables are used as the target recall needs. What meets is verified by the exact edit distance of
-the item to the best stretch around the window.
+Windows of an item's size are embedded by CGK random walks, which copy the current word and move on
+by a coin that depends on the step and the word; nearby windows in edit distance agree on many steps, whatever the
+edits shift. A table has a walk of its own and samples a few of its steps. The items of each length are put into the
+tables by what they show there; a window is looked up in every table, and the items that it meets are verified by
+the exact edit distance to the best stretch around the window.
+
+How many tables: when the index is built, items of about each length are mutated to the full tolerance, by insertions
+only, deletions only, substitutions only, and all three. As many tables are used as let each of the four kinds meet
+with the target recall. A length for which MOST_TABLES are not enough uses no tables; its windows meet every item that
+the runs below name, which is exact.
 
 Which windows are embedded: by the pigeonhole principle, e edits leave one of e + 1 runs of the item
-untouched, so a stretch within tolerance shares ceil((n - e) / (e + 1)) words in a row with it. Only windows around
-such a shared run (at most four words) are embedded; this drops no window within tolerance.
+untouched, so a stretch within tolerance shares ceil((n - e) / (e + 1)) words in a row with it (at most four are asked
+for), and n - e words of the item lie within reach. Windows start as far from such a run as e edits can move them.
+This drops no window within tolerance.
 
-A text is searched where it is read, so there is no shuffle, no group and no skew. Items are split into
-blocks of ITEMS; a block's model is a bounded broadcast, and each further block is one more pass. Null and
+A text is searched where it is read, so there is no shuffle, no group and no skew. Items are split by a hash into
+blocks of about ITEMS; a block's model is a bounded broadcast. With more blocks than one, each is a pass of its
+own, whose findings are kept by a hash of the text, and its broadcast goes before the next. Null and
 empty texts hold nothing; items that are null or have no words match nothing; items that repeat a text are
 all reported. Extra columns are ignored and empty tables give empty or clean results."""
 
@@ -31,10 +37,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import saved
+
 #: Word edits per word of an item, recall of the tables at that many edits, and items of a broadcast model.
-TOLERANCE, RECALL, ITEMS = 0.2, 0.98, 20_000
-#: Walks, steps that a table samples, and the most tables.
-WALKS, SAMPLED, MOST_TABLES = 4, 3, 256
+TOLERANCE, RECALL, ITEMS = 0.2, 0.99, 20_000
+#: Steps that a table samples, the most tables, trials of each kind of edit, and windows embedded at once.
+SAMPLED, MOST_TABLES, TRIALS, AT_ONCE = 2, 384, 150, 2048
+EDITS = ("insert", "delete", "replace", "mixed")
 WORD = re.compile(r"[^\W_]+")
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
@@ -60,22 +69,35 @@ def gram_keys(ids: np.ndarray, q: int) -> np.ndarray:
     return key
 
 
-def cgk(windows: np.ndarray, lengths: np.ndarray, steps: int, walk: int) -> np.ndarray:
-    """Embeddings (rows x steps) of windows of word numbers; beyond its length a window yields -1."""
-    rows = np.arange(len(windows))
-    at = np.zeros(len(windows), np.int64)
-    out = np.full((len(windows), steps), -1, np.int64)
-    rng = np.random.default_rng(1000 + walk)
-    coins = rng.integers(1, 1 << 63, steps, dtype=np.uint64) | np.uint64(1)
-    width = windows.shape[1]
-    for j in range(steps):
-        inside = at < lengths
-        word = np.where(inside, windows[rows, np.minimum(at, width - 1)], -1)
-        out[:, j] = word
-        h = (word.astype(np.uint64) + np.uint64(7)) * coins[j]
+def cgk(windows: np.ndarray, lengths: np.ndarray, coins: np.ndarray) -> Iterator[np.ndarray]:
+    """The steps of the embeddings of windows of word numbers, each a table (windows x walks) of the words that the walks
+    show; beyond its length a window shows -1. coins: steps x walks."""
+    rows = np.arange(len(windows))[:, None]
+    padded = np.concatenate((windows, np.full((len(windows), 1), -1, np.int64)), axis=1)
+    padded[np.arange(padded.shape[1]) >= lengths[:, None]] = -1
+    at = np.zeros((len(windows), coins.shape[1]), np.int64)
+    for coin in coins:
+        word = padded[rows, at]
+        yield word
+        h = (word.astype(np.uint64) + np.uint64(7)) * coin
         h ^= h >> np.uint64(29)
         h *= np.uint64(_MIX[0])
         at += (h >> np.uint64(63)).astype(np.int64)
+        np.minimum(at, windows.shape[1], out=at)
+
+
+def mutated(item: list[int], kind: str, rng: random.Random) -> list[int]:
+    """The item's words with allowed(n) edits of a kind; new words have negative numbers that are not in any item."""
+    out = list(item)
+    for _ in range(allowed(len(item))):
+        edit = rng.choice(EDITS[:3]) if kind == "mixed" else kind
+        at, new = rng.randrange(len(out) + (edit == "insert")), -rng.randrange(2, 1 << 40)
+        if edit == "insert":
+            out.insert(at, new)
+        elif edit == "replace":
+            out[at] = new
+        elif len(out) > 1:
+            del out[at]
     return out
 
 
@@ -91,8 +113,67 @@ def distance_to_stretch(item: list[int], text: list[int]) -> int:
     return int(line.min())
 
 
+class Tables:
+    """The hash tables of items of one length."""
+
+    def __init__(self, items: list[list[int]], trials: list[list[int]], recall: float):
+        self.n = len(items[0])
+        rng = np.random.default_rng(self.n)
+        steps = max(SAMPLED, 2 * self.n)
+        self.coins = rng.integers(1, 1 << 63, (steps, MOST_TABLES), dtype=np.uint64) | np.uint64(1)
+        self.shown = np.zeros((steps, MOST_TABLES), bool)
+        for k in range(MOST_TABLES):
+            self.shown[rng.choice(steps, SAMPLED, replace=False), k] = True
+        self.exact = not self._enough(trials, recall)
+        self.items: list[tuple[np.ndarray, np.ndarray]] = []
+        if not self.exact:
+            for keys in self.keys(items).T:
+                order = np.argsort(keys, kind="stable")
+                self.items.append((keys[order], order))
+
+    def keys(self, windows: list[list[int]]) -> np.ndarray:
+        """(windows x tables): hashes of the words that the tables sample."""
+        rows = np.full((len(windows), self.n), -1, np.int64)
+        lengths = np.array([min(len(w), self.n) for w in windows], np.int64)
+        for i, w in enumerate(windows):
+            rows[i, : lengths[i]] = w[: self.n]
+        out = np.zeros((len(windows), self.coins.shape[1]), np.uint64)
+        for j, word in enumerate(cgk(rows, lengths, self.coins)):
+            mine = self.shown[j]
+            out[:, mine] = (out[:, mine] ^ (word[:, mine].astype(np.uint64) + np.uint64(j + 1))) * np.uint64(_MIX[1])
+        return out
+
+    def _enough(self, trials: list[list[int]], recall: float) -> bool:
+        """Keep as many tables as let mutated items of every kind meet their origin; false if there are too few."""
+        rng, most = random.Random(17 + self.n), 1
+        for kind in EDITS:
+            own = [trials[k % len(trials)][: self.n] for k in range(TRIALS)]
+            changed = [mutated(x, kind, rng) for x in own]
+            # behind a shorter stretch the text goes on
+            changed = [x + [-rng.randrange(2, 1 << 40) for _ in range(self.n - len(x))] for x in changed]
+            meets = self.keys(own) == self.keys(changed)
+            first = np.sort(np.where(meets.any(axis=1), meets.argmax(axis=1), MOST_TABLES))
+            most = max(most, int(first[max(0, math.ceil(recall * TRIALS) - 1)]) + 1)
+        if most > MOST_TABLES:
+            return False
+        self.coins, self.shown = self.coins[:, :most], self.shown[:, :most]
+        used = np.flatnonzero(self.shown.any(axis=1)).max() + 1
+        self.coins, self.shown = self.coins[:used], self.shown[:used]
+        return True
+
+    def lookup(self, windows: list[list[int]]) -> set[tuple[int, int]]:
+        """(window, item) that meet in some table; items by their place among those of this length."""
+        found: set[tuple[int, int]] = set()
+        for at in range(0, len(windows), AT_ONCE):
+            for mine, (keys, order) in zip(self.keys(windows[at : at + AT_ONCE]).T, self.items, strict=True):
+                first, last = np.searchsorted(keys, mine, "left"), np.searchsorted(keys, mine, "right")
+                for w in np.flatnonzero(last > first).tolist():
+                    found.update((at + w, i) for i in order[first[w] : last[w]].tolist())
+        return found
+
+
 class Index:
-    """The items of a block: their words, the runs that lead to them, and their sampled embeddings."""
+    """The items of a block: their words, the runs that lead to windows, and the tables of each length."""
 
     def __init__(self, items: list[tuple[int, str]], recall: float = RECALL):
         self.ids, self.items = [], []
@@ -103,8 +184,10 @@ class Index:
                 self.ids.append(item_id)
                 self.items.append([self.numbers.setdefault(w, len(self.numbers) + 1) for w in words])
         runs: dict[int, list[tuple[int, int, int]]] = {}
+        lengths: dict[int, list[int]] = {}
         for i, item in enumerate(self.items):
             q = run_length(len(item))
+            lengths.setdefault(len(item), []).append(i)
             for at, key in enumerate(gram_keys(np.array(item), q).tolist()):
                 runs.setdefault(q, []).append((key, i, at))
         self.runs = {}
@@ -112,56 +195,12 @@ class Index:
             found.sort()
             keys = np.array([x[0] for x in found], np.uint64)
             self.runs[q] = (keys, np.array([x[1] for x in found]), np.array([x[2] for x in found]))
-        self.rate, self.tables = 1.0, 1
-        if self.items:
-            self._choose_tables(recall)
-            self.sampled = [self.samples([item], i) for i, item in enumerate(self.items)]
-
-    def samples(self, windows: list[list[int]], item: int) -> np.ndarray:
-        """(windows x tables x SAMPLED): the steps that the tables look at, for windows of the item's size."""
-        n = len(self.items[item])
-        rows = np.zeros((len(windows), n), np.int64)
-        for i, w in enumerate(windows):
-            rows[i, : len(w)] = w[:n]
-        return self._sampled(rows, np.array([min(len(w), n) for w in windows]), n)
-
-    def _sampled(self, rows: np.ndarray, lengths: np.ndarray, n: int) -> np.ndarray:
-        steps = max(1, 2 * n)
-        places = (self.places * steps).astype(np.int64)
-        out = np.empty((len(rows), self.tables, SAMPLED), np.int64)
-        for walk in range(WALKS):
-            mine = np.arange(walk, self.tables, WALKS)
-            if len(mine):
-                out[:, mine] = cgk(rows, lengths, steps, walk)[:, places[mine]]
-        return out
+        self.lengths = lengths
+        self.tables = {n: Tables([self.items[i] for i in own], [self.items[i] for i in own], recall) for n, own in lengths.items()}
 
-    def _choose_tables(self, recall: float, trials: int = 200) -> None:
-        """Measure how often one table meets a window at full tolerance, and take as many as recall needs."""
-        rng = random.Random(17)
-        self.tables = 32
-        self.places = np.random.default_rng(5).random((MOST_TABLES, SAMPLED))
-        met = total = 0
-        for _ in range(trials):
-            i = rng.randrange(len(self.items))
-            item, changed = self.items[i], list(self.items[i])
-            for _ in range(allowed(len(item))):
-                at, kind = rng.randrange(len(changed) + 1), rng.randrange(3)
-                if kind == 0:
-                    changed.insert(at, 0)
-                elif kind == 1 and at < len(changed):
-                    changed[at] = 0
-                elif len(changed) > 1 and at < len(changed):
-                    del changed[at]
-            changed += [0] * (len(item) - len(changed))
-            a, b = self.samples([item, changed[: len(item)]], i)
-            met += int((a == b).all(axis=1).sum())
-            total += self.tables
-        self.rate = max(1e-3, min(1 - 1e-9, met / total))
-        self.tables = int(max(WALKS, min(MOST_TABLES, math.ceil(math.log(1 - recall) / math.log(1 - self.rate)))))
-
-    def windows(self, numbers: np.ndarray) -> set[tuple[int, int]]:
-        """(item, start) of the item-sized windows around the runs that a text shares with items."""
-        found: set[tuple[int, int]] = set()
+    def windows(self, numbers: np.ndarray) -> dict[int, set[int]]:
+        """By item, the starts in the text that a run which the text shares with the item points to."""
+        found: dict[int, set[int]] = {}
         for q, (keys, items, places) in self.runs.items():
             if len(numbers) < q:
                 continue
@@ -176,88 +215,117 @@ class Index:
             first, last = np.searchsorted(keys, seen, "left"), np.searchsorted(keys, seen, "right")
             hit = np.flatnonzero(last > first)
             for spot, a, b in zip(spots[hit].tolist(), first[hit].tolist(), last[hit].tolist(), strict=True):
-                found.update(zip(items[a:b].tolist(), (spot - places[a:b]).tolist(), strict=True))
+                for item, place in zip(items[a:b].tolist(), places[a:b].tolist(), strict=True):
+                    found.setdefault(item, set()).add(spot - place)
         return found
 
-    def search(self, texts: list[list[int] | np.ndarray]) -> list[list[tuple[int, int]]]:
+    def search(self, texts: list[np.ndarray]) -> list[list[tuple[int, int]]]:
         """For each text its (item id, distance), by item id and then distance."""
-        wanted: dict[int, list[tuple[int, int]]] = {}
+        # by length of the items: the starts of windows, and for exact lengths the items themselves
+        wanted: dict[int, set[tuple[int, int]]] = {}
+        named: set[tuple[int, int, int]] = set()
         for t, numbers in enumerate(texts):
-            starts: dict[int, set[int]] = {}
-            for item, start in self.windows(numbers):
-                e = allowed(len(self.items[item]))
-                starts.setdefault(item, set()).update(range(max(0, start - e), min(start + e, len(numbers) - 1) + 1))
-            for item, where in starts.items():
-                wanted.setdefault(item, []).extend((t, s) for s in where)
-        by_length: dict[int, list[tuple[int, int, int]]] = {}
-        for item, spots in wanted.items():
-            by_length.setdefault(len(self.items[item]), []).extend((item, t, s) for t, s in spots)
-        found: list[dict[int, int]] = [{} for _ in texts]
-        for n, every in by_length.items():
-            for at in range(0, len(every), 8192):
-                part = every[at : at + 8192]
-                rows, lengths = np.zeros((len(part), n), np.int64), np.zeros(len(part), np.int64)
-                for i, (_, t, s) in enumerate(part):
-                    w = texts[t][s : s + n]
-                    rows[i, : len(w)], lengths[i] = w, len(w)
-                mine = self._sampled(rows, lengths, n)
-                theirs = np.concatenate([self.sampled[item] for item, _, _ in part])
-                meets = (mine == theirs).all(axis=2).any(axis=1)
-                for i in np.flatnonzero(meets).tolist():
-                    item, t, s = part[i]
-                    e = allowed(n)
-                    if found[t].get(item, e + 1) == 0:
+            for item, starts in self.windows(numbers).items():
+                n = len(self.items[item])
+                e = allowed(n)
+                own = np.array(self.items[item])
+                for start in starts:
+                    low = max(0, start - e)
+                    if np.isin(own, numbers[low : max(0, start) + n + 2 * e]).sum() < n - e:
                         continue
-                    d = distance_to_stretch(self.items[item], texts[t][max(0, s - e) : s + n + e].tolist())
-                    if d <= e:
-                        found[t][item] = min(d, found[t].get(item, d))
+                    spots = range(low, min(start + e, len(numbers) - 1) + 1)
+                    if self.tables[n].exact:
+                        named.update((t, item, s) for s in spots)
+                    else:
+                        wanted.setdefault(n, set()).update((t, s) for s in spots)
+        for n, spots in wanted.items():
+            every = sorted(spots)
+            met = self.tables[n].lookup([texts[t][s : s + n].tolist() for t, s in every])
+            named.update((every[w][0], self.lengths[n][i], every[w][1]) for w, i in met)
+        found: list[dict[int, int]] = [{} for _ in texts]
+        for t, item, s in sorted(named):
+            n = len(self.items[item])
+            e = allowed(n)
+            if found[t].get(item, e + 1) == 0:
+                continue
+            d = distance_to_stretch(self.items[item], texts[t][max(0, s - e) : s + n + e].tolist())
+            if d <= e:
+                found[t][item] = min(d, found[t].get(item, d))
         return [sorted((self.ids[item], d) for item, d in x.items()) for x in found]
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str, size: int) -> list[Index]:
-    rows = items.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t")).where("i IS NOT NULL AND t IS NOT NULL")
-    n = -(-rows.count() // size) or 1
-    of_block = lambda k: rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k) if n > 1 else rows
-    return [Index([(r.i, r.t) for r in of_block(k).orderBy("i", "t").collect()]) for k in range(n)]
+def _items(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return items.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t")).where("i IS NOT NULL AND t IS NOT NULL")
 
 
-def search(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block: int = ITEMS) -> DataFrame:
-    """Per row of docs: id_col and found, array<struct<item,distance>>, by item."""
-    kind = docs.select(id_col).schema[0].dataType.simpleString()
-    context = docs.sparkSession.sparkContext
-    shared = [context.broadcast(x) for x in _blocks(items, item_col, item_text, block)]
+def _index(rows: DataFrame) -> Index:
+    """The index of a block, of about ITEMS rows."""
+    return Index([(r.i, r.t) for r in rows.orderBy("i", "t").collect()])
+
+
+def _found(index: Index, texts: pa.Array) -> list[list[tuple[int, int]]]:
+    get = index.numbers.get
+    return index.search([np.fromiter((get(w, 0) for w in words_of(x.as_py())), np.int64) for x in texts])
+
+
+FOUND = "array<struct<item:long,distance:int>>"
+_FOUND = pa.list_(pa.struct([("item", pa.int64()), ("distance", pa.int32())]))
+
+
+def _searched(rows: DataFrame, index: Index) -> DataFrame:
+    """Rows (key, text) as (key, found)."""
+    shared = rows.sparkSession.sparkContext.broadcast(index)
+    key = rows.columns[0]
+    kind = rows.schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                texts = [words_of(x.as_py()) for x in part.column(1)]
-                found: list[list[tuple[int, int]]] = [[] for _ in texts]
-                for index in shared:
-                    get = index.value.numbers.get
-                    numbers = [np.array([get(w, 0) for w in words], np.int64) for words in texts]
-                    for mine, more in zip(found, index.value.search(numbers), strict=True):
-                        mine += more
-                rows = [[{"item": i, "distance": d} for i, d in sorted(x)] for x in found]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(rows, pa.list_(pa.struct([("item", pa.int64()), ("distance", pa.int32())])))], names=[id_col, "found"])
+                found = [[{"item": i, "distance": d} for i, d in x] for x in _found(shared.value, part.column(1))]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, _FOUND)], names=[key, "found"])
+
+    return rows.mapInArrow(run, f"{key} {kind}, found {FOUND}")
 
-    return docs.select(id_col, F.col(text_col).cast("string").alias("_t")).mapInArrow(run, f"{id_col} {kind}, found array<struct<item:long,distance:int>>")
+
+def _passes(docs: DataFrame, items: DataFrame, n: int, text_col: str) -> DataFrame:
+    """(h, item, distance) of all blocks; h is a hash of the text. Each block is read, broadcast and searched by itself."""
+    texts = docs.where(F.col(text_col).isNotNull()).select(_text_hash(text_col).alias("h"), F.col(text_col).cast("string").alias("t"))
+    every = None
+    for k in range(n):
+        own = _searched(texts, _index(items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k)))
+        part = saved(own.select("h", F.explode("found").alias("f")).select("h", "f.item", "f.distance").distinct())
+        every = part if every is None else every.union(part)
+    return every
+
+
+def _text_hash(text_col: str) -> F.Column:
+    return F.sha2(F.col(text_col).cast("string").cast("binary"), 256)
+
+
+def search(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block: int = ITEMS) -> DataFrame:
+    """Per row of docs: id_col and found, array<struct<item,distance>>, by item."""
+    rows = _items(items, item_col, item_text)
+    n = -(-rows.count() // block) or 1
+    if n == 1:
+        return _searched(docs.select(id_col, F.col(text_col).cast("string").alias("_t")), _index(rows))
+    lists = _passes(docs, rows, n, text_col).groupBy("h").agg(F.array_sort(F.collect_list(F.struct("item", "distance"))).alias("found"))
+    own = docs.select(id_col, _text_hash(text_col).alias("h"))
+    return own.join(lists, "h", "left").select(id_col, F.coalesce("found", F.expr(f"CAST(array() AS {FOUND})")).alias("found"))
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block: int = ITEMS) -> DataFrame:
     """The rows of docs that hold no item, with their own columns."""
-    context = docs.sparkSession.sparkContext
-    shared = [context.broadcast(x) for x in _blocks(items, item_col, item_text, block)]
+    rows = _items(items, item_col, item_text)
+    n = -(-rows.count() // block) or 1
+    if n > 1:
+        return docs.alias("d").join(_passes(docs, rows, n, text_col).select("h").distinct().alias("f"), _text_hash(f"d.{text_col}") == F.col("f.h"), "left_anti")
+    shared = docs.sparkSession.sparkContext.broadcast(_index(rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                texts = [words_of(x.as_py()) for x in part.column(text_col)]
-                clean = np.ones(len(texts), bool)
-                for index in shared:
-                    get = index.value.numbers.get
-                    clean &= [not x for x in index.value.search([np.array([get(w, 0) for w in words], np.int64) for words in texts])]
-                yield part.filter(pa.array(clean))
+                yield part.filter(pa.array([not x for x in _found(shared.value, part.column(text_col))], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
