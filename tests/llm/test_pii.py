@@ -62,6 +62,77 @@ def test_discovers_by_context(spark):
     assert got[200].spans == "" and got[0].spans.count(":") == 2
 
 
+def test_secrets_from_seeds_to_unseen(spark):
+    rng = random.Random(5)
+    key = lambda digits, n: "".join(rng.choice(digits) for _ in range(n - 2)) + "a7"
+    pair = lambda: rng.choice("abcdef") + rng.choice("0123456789")  # no digits in a row, which may be a card
+    rows = [(i, f'x{i} token = "{"".join(pair() for _ in range(20))}" y') for i in range(20)]
+    rows += [(100, 'so TOKEN = "ZK98-XYZ.q12" ends'), (101, f'then token = "{key("ghjk345", 700)}" ends'), (102, "plain v1.2.3-beta4 here"), (103, "w " * 30 + '\ntoken = "...q7q7q7..." z')]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.digest(pii.find(docs)).collect()}
+    texts = dict(rows)
+    for i, r in got.items():
+        spans = [x.split(":") for x in r.spans.split(",") if x]
+        assert r.n_spans == r.n_added == r.n_secret == len(spans) == (i != 102)
+        for kind, a, b in spans:
+            value = texts[i][int(a) : int(b)]
+            assert kind == "secret" and value == texts[i].split('"')[1].strip(".")
+
+
+def brute_scores(found):
+    """The rounds over plain sets: (value, kind, score)."""
+    patterns, seeds = {}, {}
+    for r in found:
+        if r.value is not None:
+            patterns.setdefault(r.value, set()).update(r.patterns)
+            kind = r.kind if r.base else "secret" if re.search(pii.SECRET, r.value) else None
+            if kind:
+                seeds[r.value] = min(kind, seeds.get(r.value, kind))
+    holds = {}
+    for v, own in patterns.items():
+        for p in own:
+            holds.setdefault(p, set()).add(v)
+    members, scores = {v: (k, 1.0) for v, k in seeds.items()}, {}
+    for _ in range(pii.ROUNDS):
+        trusted = {}
+        for p, values in holds.items():
+            weight, count = {}, {}
+            for v in values & set(members):
+                k, w = members[v]
+                weight[k], count[k] = weight.get(k, 0) + w, count.get(k, 0) + 1
+            if weight:
+                k = max(weight, key=lambda x: (weight[x], x))
+                s = weight[k] / (len(values) + pii.DOUBT)
+                if count[k] >= pii.SUPPORT and s >= pii.TRUST:
+                    trusted[p] = (s, k)
+        scores = {}
+        for v, own in patterns.items():
+            mine = [trusted[p] for p in own if p in trusted]
+            if v not in seeds and mine:
+                miss = 1.0
+                for s, _ in mine:
+                    miss *= 1 - s
+                scores[v] = (1 - miss, max(mine)[1])
+        members = {v: (k, 1.0) for v, k in seeds.items()} | {v: (k, s) for v, (s, k) in scores.items() if s >= pii.JOIN}
+    return {(v, k): s for v, (s, k) in scores.items() if s >= pii.ACCEPT}
+
+
+def test_rounds_against_brute_force(spark):
+    rng = random.Random(12)
+    lead = ["call me at", "server on", "my card is", "mail to", "token =", "id no", "see also"]
+    value = [lambda: f"+1 ({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}", lambda: f"10.{rng.randrange(256)}.7.{rng.randrange(300)}", lambda: f"{rng.randrange(10**15, 10**16)}", lambda: f"a{rng.randrange(99)}@b.example", lambda: "".join(rng.choice("0123456789abcdef") for _ in range(32)), lambda: f"K{rng.randrange(10**6)}", lambda: f"({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}"]
+    rows = []
+    for i in range(400):
+        k = rng.randrange(7)
+        rows.append((i, f"word{rng.randrange(9)} {lead[k if rng.random() < 0.8 else rng.randrange(7)]} {value[k if rng.random() < 0.8 else rng.randrange(7)]()} {rng.choice(['today', 'now', 'then', 'and'])} more"))
+    found = pii.instances(spark.createDataFrame(rows, "doc_id long, text string")).persist()
+    expected = brute_scores(found.collect())
+    got = {(r.value, r.kind): r.score for r in pii.discovered(found).collect()}
+    found.unpersist()
+    assert len(expected) > 20 and set(got) == set(expected)
+    assert all(abs(got[x] - expected[x]) < 1e-9 for x in got)
+
+
 def test_repeats_and_empty(spark):
     docs = spark.createDataFrame([(1, "a@b.c"), (1, "a@b.c"), (None, "1.2.3.4"), (2, None)], "doc_id long, text string")
     assert sorted((r.doc_id or 0, r.spans) for r in pii.digest(pii.find(docs)).collect()) == [(0, "ip:0:7"), (1, "email:0:5"), (1, "email:0:5"), (2, "")]
