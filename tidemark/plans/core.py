@@ -63,7 +63,7 @@ def topn_per_group(spark, sf):
 @query(
     "web_extract",
     """WITH r AS (SELECT doc_id, ['STARTUP', 'PRODUCT', 'RESEARCH_PAPER', 'JOB', 'NEWS'][CAST(doc_id % 5 AS INT) + 1] AS kind FROM documents)
-    SELECT doc_id, kind FROM (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY doc_id) AS k FROM r) WHERE k <= 100 OR kind IN ('JOB', 'NEWS')""",
+    SELECT doc_id, kind FROM (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY doc_id) AS k FROM r) WHERE k <= 400 OR kind IN ('JOB', 'NEWS')""",
 )
 def web_extract(spark, sf):
     return sinks.web_extract(typed(spark, sf).select("doc_id", "kind"), "kind", ["doc_id"])

@@ -33,8 +33,8 @@ def _records(spark, sf):
     return names.select(i.alias("seq"), F.concat(F.lit("url:"), F.when(i % 7 == 0, i - 7).otherwise(i)).alias("exact"), text.normalize_key(F.col("name")).alias("norm"), text.block_key(F.col("name"), kind).alias("block"))
 
 
-_SQL_RECORDS = f"""r AS (SELECT p_partkey AS seq, 'url:' || CASE WHEN p_partkey % 7 = 0 THEN p_partkey - 7 ELSE p_partkey END AS exact, {_sql_key(_VARIANT)} AS norm,
-  CASE WHEN p_partkey % 3 = 0 THEN 'PRODUCT' ELSE 'STARTUP' END AS kind, CASE WHEN p_partkey % 3 = 0 THEN 'PRODUCT' ELSE 'STARTUP' END || ':' || substring({_sql_key(_VARIANT)}, 1, 2) AS block FROM part WHERE p_partkey <= 400)"""
+_SQL_RECORDS = f"""r AS MATERIALIZED (SELECT p_partkey AS seq, 'url:' || CASE WHEN p_partkey % 7 = 0 THEN p_partkey - 7 ELSE p_partkey END AS exact, {_sql_key(_VARIANT)} AS norm,
+  CASE WHEN p_partkey % 3 = 0 THEN 'PRODUCT' ELSE 'STARTUP' END AS kind, CASE WHEN p_partkey % 3 = 0 THEN 'PRODUCT' ELSE 'STARTUP' END || ':' || substring({_sql_key(_VARIANT)}, 1, 2) AS block FROM part)"""
 
 
 @query(
@@ -45,8 +45,8 @@ def fuzzy_pairs(spark, sf):
     return dedup.fuzzy_pairs(_records(spark, sf), 0.90).withColumn("score", F.round("score", 6))
 
 
-_SURVIVORS = f"""WITH RECURSIVE {_SQL_RECORDS}, o AS (SELECT *, row_number() OVER (ORDER BY seq) AS k FROM r),
-  e AS (SELECT b.k AS j, list(a.k) AS js FROM o b LEFT JOIN o a ON a.k < b.k AND (a.exact = b.exact OR a.kind = b.kind AND a.norm = b.norm OR a.block = b.block AND a.norm <> '' AND b.norm <> '' AND jaro_winkler_similarity(a.norm, b.norm) >= 0.9) GROUP BY b.k),
+_SURVIVORS = f"""WITH RECURSIVE {_SQL_RECORDS}, o AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY seq) AS k FROM r),
+  e AS MATERIALIZED (SELECT b.k AS j, list(a.k) AS js FROM o b LEFT JOIN o a ON a.k < b.k AND (a.exact = b.exact OR a.kind = b.kind AND a.norm = b.norm OR a.block = b.block AND a.norm <> '' AND b.norm <> '' AND jaro_winkler_similarity(a.norm, b.norm) >= 0.9) GROUP BY b.k),
   s AS (SELECT CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS kept UNION ALL SELECT s.k + 1, CASE WHEN list_has_any(s.kept, e.js) THEN s.kept ELSE list_append(s.kept, s.k + 1) END FROM s JOIN e ON e.j = s.k + 1)
 """
 
