@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -38,26 +39,36 @@ META_TAGS = [
 UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800, "month": 2592000, "year": 31536000}
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body reads it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def parse_utc(text: Column) -> Column:
     """Timestamp of a date in one of the FORMS, without a zone taken as UTC; else null. The session's time zone must be UTC."""
-    clean = F.regexp_replace(F.trim(text), r"^[A-Za-z]{3},\s*", "")
-    clean = F.regexp_replace(clean, r"(?<=\d)Z$", "+00:00")
-    found = [F.when(clean.rlike(look), F.try_to_timestamp(clean, F.lit(form))) for look, form in FORMS]
-    return F.coalesce(*found).cast("timestamp_ntz")
+    clean = F.regexp_replace(F.regexp_replace(F.trim(text), r"^[A-Za-z]{3},\s*", ""), r"(?<=\d)Z$", "+00:00")
+    return let(clean, lambda c: F.coalesce(*[F.when(c.rlike(look), F.try_to_timestamp(c, F.lit(form))) for look, form in FORMS]).cast("timestamp_ntz"))
 
 
 def dated(when: Column, label: Column) -> Column:
-    return F.when(when.isNotNull(), F.struct(when.alias("at"), label.alias("label")))
+    return let(when, lambda at: F.when(at.isNotNull(), F.struct(at.alias("at"), label.alias("label"))))
 
 
-def first_dated(texts: Column, label: str) -> Column:
-    """The first of an array of texts that parses."""
-    parsed = F.filter(F.transform(texts, parse_utc), lambda x: x.isNotNull())
-    return dated(F.try_element_at(parsed, F.lit(1)), F.lit(label))
+def first_dated(candidates: Column) -> Column:
+    """(at, label) of the first of an array of (text, label) that parses."""
+    parsed = F.transform(candidates, lambda c: F.struct(parse_utc(c["text"]).alias("at"), c["label"].alias("label")))
+    return F.get(F.filter(parsed, lambda x: x["at"].isNotNull()), F.lit(0))
 
 
-def json_ld(html: Column) -> Column:
-    """The first date in JSON-LD blocks: of each block the root or its items, then their @graph nodes, by LD_FIELDS."""
+def candidate(text: Column, label: str) -> Column:
+    return F.struct(text.alias("text"), F.lit(label).alias("label"))
+
+
+NONE = "ARRAY<STRUCT<text: STRING, label: STRING>>"
+
+
+def ld_candidates(html: Column) -> Column:
+    """The dates in JSON-LD blocks: of each block the root or its items, then their @graph nodes, by LD_FIELDS."""
     blocks = F.regexp_extract_all(html, F.lit(r"""(?is)<script[^>]*type=["']application/ld\+json["'][^>]*>(.*?)</script>"""), F.lit(1))
     fields = ", ".join(f"{f}: STRING" for f in LD_FIELDS)
     quoted = f"STRUCT<{fields}>"
@@ -65,34 +76,60 @@ def json_ld(html: Column) -> Column:
     items = F.transform(blocks, lambda b: F.when(F.trim(b).startswith("["), F.from_json(b, F.lit(f"ARRAY<{node}>"))).otherwise(F.array(F.from_json(b, F.lit(node)))))
     plain = lambda x: F.struct(*[x[f].alias(f) for f in LD_FIELDS])
     nodes = F.flatten(F.transform(F.flatten(items), lambda x: F.concat(F.array(plain(x)), F.coalesce(x["@graph"], F.array().cast(f"ARRAY<{quoted}>")))))
-    dates = F.flatten(F.transform(F.filter(nodes, lambda x: x.isNotNull()), lambda x: F.array(*[dated(parse_utc(x[f]), F.lit(f"json_ld:{f}")) for f in LD_FIELDS])))
-    return F.try_element_at(F.filter(dates, lambda x: x.isNotNull()), F.lit(1))
+    found = F.flatten(F.transform(F.filter(nodes, lambda x: x.isNotNull()), lambda x: F.array(*[candidate(x[f], f"json_ld:{f}") for f in LD_FIELDS])))
+    return F.coalesce(F.filter(found, lambda c: c["text"].isNotNull()), F.array().cast(NONE))
+
+
+def meta_candidates(html: Column) -> Column:
+    found = F.array(*[candidate(F.regexp_extract(html, "(?i)" + pattern, 1), label) for pattern, label in META_TAGS])
+    return F.when(html.rlike("(?i)<meta"), F.filter(found, lambda c: c["text"] != "")).otherwise(F.array().cast(NONE))
+
+
+def time_candidates(html: Column) -> Column:
+    texts = F.regexp_extract_all(html, F.lit(r"""(?i)<time[^>]*datetime=["']([^"']+)["'][^>]*>"""), F.lit(1))
+    return F.transform(texts, lambda x: candidate(x, "html5:time_element"))
+
+
+def json_ld(html: Column) -> Column:
+    return first_dated(ld_candidates(html))
 
 
 def meta_tag(html: Column) -> Column:
-    return F.coalesce(*[dated(parse_utc(F.regexp_extract(html, "(?i)" + pattern, 1)), F.lit(label)) for pattern, label in META_TAGS])
+    return first_dated(meta_candidates(html))
 
 
 def time_tag(html: Column) -> Column:
-    return first_dated(F.regexp_extract_all(html, F.lit(r"""(?i)<time[^>]*datetime=["']([^"']+)["'][^>]*>"""), F.lit(1)), "html5:time_element")
+    return first_dated(time_candidates(html))
 
 
 def relative(text: Column, now: Column) -> Column:
     """Dates such as "2 hours ago"; "just now" comes first and "yesterday" next, wherever they stand."""
-    low = F.trim(F.lower(text))
     pattern = r"\b(\d+)\s*(second|minute|hour|day|week|month|year)s?\s*ago\b"
-    n, unit = F.try_cast(F.regexp_extract(low, pattern, 1), "bigint") if hasattr(F, "try_cast") else F.regexp_extract(low, pattern, 1).try_cast("bigint"), F.regexp_extract(low, pattern, 2)
-    seconds = reduce(lambda c, x: c.when(unit == x[0], n * x[1]), UNIT_SECONDS.items(), F.when(F.lit(False), F.lit(0).cast("bigint")))
     back = lambda s: (now - F.make_dt_interval(secs=s)).cast("timestamp_ntz")
-    counted = dated(F.when(seconds.isNotNull(), back(seconds)), F.concat(F.lit("relative_text:"), n.cast("string"), F.lit("_"), unit, F.lit("s_ago")))
-    return F.when(low.rlike("just now|moments ago"), F.struct(now.cast("timestamp_ntz").alias("at"), F.lit("relative_text:just_now").alias("label"))).when(low.contains("yesterday"), F.struct(back(F.lit(86400)).alias("at"), F.lit("relative_text:yesterday").alias("label"))).otherwise(counted)
+
+    def counted(found: Column) -> Column:
+        n, unit = found["n"].try_cast("bigint"), found["unit"]
+        seconds = reduce(lambda c, x: c.when(unit == x[0], n * x[1]), UNIT_SECONDS.items(), F.when(F.lit(False), F.lit(0).cast("bigint")))
+        return dated(back(seconds), F.concat(F.lit("relative_text:"), n.cast("string"), F.lit("_"), unit, F.lit("s_ago")))
+
+    def read(low: Column) -> Column:
+        parts = F.struct(F.regexp_extract(low, pattern, 1).alias("n"), F.regexp_extract(low, pattern, 2).alias("unit"))
+        named = lambda at, name: F.struct(at.cast("timestamp_ntz").alias("at"), F.lit(f"relative_text:{name}").alias("label"))
+        return F.when(low.rlike("just now|moments ago"), named(now, "just_now")).when(low.contains("yesterday"), named(back(F.lit(86400)), "yesterday")).when(low.contains("ago"), let(parts, counted))
+
+    return let(F.trim(F.lower(text)), read)
 
 
 def waterfall(html: Column, feed: Column, last_modified: Column, now: Column) -> Column:
-    """(at, label) of the first source with a date: JSON-LD, meta tags, time tags, relative text, feed, header. Null rejects."""
-    page = F.coalesce(html, F.lit(""))
-    visible = F.regexp_replace(page, r"(?s)<[^>]*>", " ")
-    return F.coalesce(json_ld(page), meta_tag(page), time_tag(page), relative(visible, now), dated(parse_utc(feed), F.lit("feed_metadata")), dated(parse_utc(last_modified), F.lit("http_header:last_modified")))
+    """(at, label) of the first source with a date: JSON-LD, meta tags, time tags, relative text, feed, header. Null rejects.
+    A source is read only if those before it have no date."""
+
+    def read(r: Column) -> Column:
+        page = r["page"]
+        tags = [json_ld(page), meta_tag(page), time_tag(page), relative(F.regexp_replace(page, r"(?s)<[^>]*>", " "), now)]
+        return F.coalesce(*tags, dated(parse_utc(r["feed"]), F.lit("feed_metadata")), dated(parse_utc(r["modified"]), F.lit("http_header:last_modified")))
+
+    return let(F.struct(F.coalesce(html, F.lit("")).alias("page"), feed.alias("feed"), last_modified.alias("modified")), read)
 
 
 def age_hours(at: Column, now: Column) -> Column:
