@@ -2,6 +2,7 @@ import binascii
 import random
 
 import numpy as np
+import pytest
 
 from tidemark.llm import toxicity as tox
 
@@ -39,6 +40,72 @@ def test_restores_disguised_words():
     assert tox.Reader(speller).restored("the window") == {"the", "window"}
 
 
+def brute_decode(speller, token, spelled=False):
+    """The least cost over every reading of the lattice."""
+    best = [float("inf")]
+
+    def go(at, a, b, last, cost, letters):
+        if cost >= best[0]:
+            return
+        if at == len(token):
+            total = cost + speller.cost(a, b, 0)
+            if total < best[0]:
+                best[:] = [total, letters.strip()]
+            return
+        ch = token[at]
+        options = ([(ch, 0.0)] if ch.isalpha() else []) + [(x, tox.IMITATION) for x in tox.IMITATES.get(ch, "")]
+        if ch in tox.SEPARATORS:
+            go(at + 1, a, b, last, cost + tox.DELETION, letters)
+            if b:
+                go(at + 1, b, 0, "", cost + speller.cost(a, b, 0) + tox.BREAK, letters + " ")
+            return
+        if not options:
+            go(at + 1, a, b, last, cost + 2 * tox.DELETION, letters)
+            return
+        if ch == last:
+            go(at + 1, a, b, last, cost + tox.REPEAT, letters)
+        if not ch.isalnum():
+            go(at + 1, a, b, last, cost + tox.SIGN, letters)
+        for letter, price in options:
+            c = tox.CODE.get(letter, tox.OTHER)
+            go(at + 1, b, c, ch, cost + price + speller.cost(a, b, c), letters + letter)
+            if spelled and b:
+                go(at + 1, 0, c, ch, cost + tox.BREAK + speller.cost(a, b, 0) + price + speller.cost(b, 0, c), letters + " " + letter)
+
+    go(0, 0, 0, "", 0.0, "")
+    return best
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_viterbi_against_all_readings(seed):
+    rng = random.Random(seed)
+    counts = {}
+    for word in ["idiot", "moron", "stupid", "the", "and", "scum", "ill", "lie", "base"] * 20:
+        c = tox.codes(word)
+        for g in ((c[:-2] * tox.SIZE + c[1:-1]) * tox.SIZE + c[2:]).tolist():
+            counts[g] = counts.get(g, 0) + 1
+    speller = tox.Speller(counts)
+    for _ in range(40):
+        token = "".join(rng.choice("ids1!0o|l.-#t@ae") for _ in range(rng.randint(1, 8)))
+        for spelled in (False, True):
+            assert speller.decode(token, spelled) == brute_decode(speller, token, spelled)[1], (token, spelled)
+
+
+def test_no_length_limits():
+    counts = {}
+    for word in ["idiot", "moron", "stupid", "the", "and", "window"] * 50:
+        c = tox.codes(word)
+        for g in ((c[:-2] * tox.SIZE + c[1:-1]) * tox.SIZE + c[2:]).tolist():
+            counts[g] = counts.get(g, 0) + 1
+    reader = tox.Reader(tox.Speller(counts))
+    assert tox.trimmed("!d1ot") == "!d1ot" and tox.trimmed("(hello)") == "(hello" and tox.trimmed('"word"') == "word" and tox.trimmed("!!") == ""
+    assert "idiot" in reader.restored("an !d1ot, really") and "the" in reader.restored("(the window)")
+    assert "idiot" in reader.restored("1d1" + "-" * 60 + "ot")
+    spelled = " ".join("the and " * 12).replace("   ", " ") + " i d i o t t h e"
+    assert "idiot" in reader.restored(spelled)
+    assert "idiot" in reader.restored("a1" * 30_000 + " 1d10t")
+
+
 def test_held_out_accuracy(spark):
     docs, labels = corpus()
     d = spark.createDataFrame([(*r, "x") for r in docs], "doc_id long, text string, score string")

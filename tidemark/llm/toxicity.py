@@ -8,7 +8,8 @@ finds the likeliest letters under channel costs and the trigram model. Plain tok
 restored text is scored by a logistic regression on the words it holds and their beginnings.
 
 The regression is fitted on a bounded sample of labelled rows: the first SAMPLE of them in the order
-of a hash of their id. Trigram counts cover everything. Rows with crc32(id as text) mod 3 = 1 are
+of a hash of their id, equal texts counted once. Its features are all that toxic rows of the sample share and that tell the
+kinds apart with TELLING or more. Trigram counts cover everything. Rows with crc32(id as text) mod 3 = 1 are
 held out; labels, language, source and id are never inputs. Of a labelled id that repeats, the larger label holds.
 
 Null text counts as empty and gets the score of a text without features. If no label can be learned
@@ -26,10 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import saved
+from tidemark.llm.common import discard, saved
 
-#: Labelled rows and features that the classifier is fitted on, and words that a worker remembers.
-SAMPLE, FEATURES, REMEMBERED = 20_000, 4_096, 200_000
+#: Labelled rows that the classifier is fitted on, toxic rows that must share a feature, how telling it must be (its log ratio
+#: between the kinds times the root of its rows), weight of the L2 penalty, and words that a worker remembers.
+SAMPLE, SHARED, TELLING, PENALTY, REMEMBERED = 20_000, 3, 6.0, 0.2, 200_000
 #: Score from which a text counts as toxic.
 THRESHOLD = 0.7
 #: Lengths of the word beginnings that are features beside whole words.
@@ -43,8 +45,8 @@ IMITATES = {
 SEPARATORS = ".-_*'~"
 EDGES = "\"'`.,;:?!…()[]{}<>#%&*^=/\\~|_-+«»“”„¿¡"
 DRAWN_OUT = re.compile(r"(.)\1\1")
-#: Costs in nats: standing for another letter, swallowing a repeat, deleting a separator, ending a word.
-IMITATION, REPEAT, DELETION, BREAK = 0.7, 0.4, 0.2, 0.5
+#: Costs in nats: standing for another letter, swallowing a repeat, deleting a separator, deleting another sign, ending a word.
+IMITATION, REPEAT, DELETION, SIGN, BREAK = 0.7, 0.4, 0.2, 1.0, 0.5
 
 
 def _letters() -> list[str]:
@@ -137,13 +139,14 @@ class Speller:
 
     def decode(self, token: str, spelled: bool = False) -> str:
         """The likeliest letters behind a token; words are parted by spaces."""
-        best: dict[tuple[int, int], tuple[float, str, str]] = {(0, 0): (0.0, "", "")}  # cost, letters, last read
+        # by the last two codes: cost, what was read so far as a chain of (before, letter), and the last character
+        best: dict[tuple[int, int], tuple[float, tuple, str]] = {(0, 0): (0.0, (), "")}
         for ch in token:
             options: list[tuple[str, float]] = []
             if ch.isalpha():
                 options.append((ch, 0.0))
             options += [(letter, IMITATION) for letter in IMITATES.get(ch, "")]
-            following: dict[tuple[int, int], tuple[float, str, str]] = {}
+            following: dict[tuple[int, int], tuple[float, tuple, str]] = {}
 
             def offer(state, cost, letters, last, following=following):
                 if state not in following or cost < following[state][0]:
@@ -153,29 +156,37 @@ class Speller:
                 if ch in SEPARATORS:
                     offer((a, b), cost + DELETION, letters, last)
                     if b:
-                        offer((b, 0), cost + self.cost(a, b, 0) + BREAK, letters + " ", "")
+                        offer((b, 0), cost + self.cost(a, b, 0) + BREAK, (letters, " "), "")
                     continue
                 if not options:
                     offer((a, b), cost + 2 * DELETION, letters, last)
                     continue
                 if ch == last:
                     offer((a, b), cost + REPEAT, letters, last)
+                if not ch.isalnum():
+                    offer((a, b), cost + SIGN, letters, last)
                 for letter, price in options:
                     c = CODE.get(letter, OTHER)
-                    offer((b, c), cost + price + self.cost(a, b, c), letters + letter, ch)
+                    offer((b, c), cost + price + self.cost(a, b, c), (letters, letter), ch)
                     if spelled and b:
                         turned = cost + BREAK + self.cost(a, b, 0) + price + self.cost(b, 0, c)
-                        offer((0, c), turned, letters + " " + letter, ch)
+                        offer((0, c), turned, ((letters, " "), letter), ch)
             best = following
-        ends = [(cost + self.cost(a, b, 0), letters) for (a, b), (cost, letters, _) in best.items()]
-        return min(ends)[1].strip() if ends else ""
+        if not best:
+            return ""
+        (_, _, chain) = min(((cost + self.cost(a, b, 0), k, letters) for k, ((a, b), (cost, letters, _)) in enumerate(best.items())), key=lambda x: x[:2])
+        out = []
+        while chain:
+            chain, letter = chain
+            out.append(letter)
+        return "".join(reversed(out)).strip()
 
 
 def disguised(word: str) -> bool:
     """Whether a trimmed token needs the lattice: letters beside other characters, or a letter thrice in a row."""
     if word.isalpha():
         return bool(DRAWN_OUT.search(word))
-    return any(c.isalpha() for c in word) and len(word) <= 40 and any(c in IMITATES or c in SEPARATORS for c in word)
+    return any(c.isalpha() for c in word) and any(c in IMITATES or c in SEPARATORS for c in word)
 
 
 def trimmed(token: str) -> str:
@@ -183,7 +194,9 @@ def trimmed(token: str) -> str:
     letter may be part of the word."""
     word = token.strip(EDGES)
     tail = len(word) - len(word.rstrip("$@"))
-    return word[: len(word) - tail] if tail > 2 else word
+    at = token.find(word)
+    lead = token[at - 1] if word and at and token[at - 1] in IMITATES else ""
+    return lead + (word[: len(word) - tail] if tail > 2 else word)
 
 
 class Reader:
@@ -215,8 +228,7 @@ class Reader:
                 run.append(token)
             elif run:
                 if len(run) >= 3 and len(set(run)) > 1:
-                    for at in range(0, len(run), 40):
-                        words.update(self.speller.decode("".join(run[at : at + 44]), spelled=True).split())
+                    words.update(self.speller.decode("".join(run), spelled=True).split())
                 run = []
         return words
 
@@ -236,7 +248,7 @@ class Model:
         reader, memory, weights = Reader(Speller(self.counts)), {}, self.weights
 
         def of(token: str) -> tuple[str, ...]:
-            word = token.strip(EDGES)
+            word = trimmed(token)
             if word.isalpha() and not DRAWN_OUT.search(word):  # most tokens: as word_features, without a lattice
                 if len(word) < 3:
                     found = ()
@@ -286,7 +298,7 @@ def spelled_runs(tokens: list[str]) -> list[str]:
     return out
 
 
-def fit_logistic(rows: list[list[int]], y: np.ndarray, n: int, penalty: float = 1.0, rounds: int = 400) -> tuple[np.ndarray, float]:
+def fit_logistic(rows: list[list[int]], y: np.ndarray, n: int, penalty: float = PENALTY, rounds: int = 400) -> tuple[np.ndarray, float]:
     """Weights and intercept of an L2-penalised logistic regression on sets of features, by accelerated gradient steps."""
     index = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     cols = np.fromiter((c for r in rows for c in r), np.int64, len(index))
@@ -316,7 +328,7 @@ def held_out(column) -> F.Column:
     return F.crc32(column.cast("string").cast("binary")) % 3 == 1
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE, features: int = FEATURES) -> Model:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE, telling: float = TELLING) -> Model:
     """Counts over docs and a classifier on a bounded sample of the labels that are not held out."""
     counts = count_trigrams(docs, text_col)
     usable = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & ~held_out(F.col(id_col)))
@@ -324,7 +336,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     context = docs.sparkSession.sparkContext
     share = context.broadcast(counts)
     # at most `sample` ids of eight bytes are broadcast
-    texts = docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t")).join(F.broadcast(chosen), "i").select("y", "t")
+    texts = docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t")).join(F.broadcast(chosen), "i").groupBy("t").agg(F.max("y").alias("y")).select("y", "t")
+    texts = saved(texts)
 
     def restore(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(Speller(share.value))
@@ -334,10 +347,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 found = [sorted({f for w in reader.restored(x.as_py() or "") for f in word_features(w)}) for x in part.column(0)]
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string()))], names=["f"])
 
-    # what a few toxic rows have in common may be a feature; at most 8 * features of them come to the driver
+    # what a few toxic rows have in common may be a feature; the sample bounds them
     toxic = texts.where("y = 1").select("t").mapInArrow(restore, "f array<string>").select(F.explode("f").alias("f"))
-    common = toxic.groupBy("f").agg(F.count("*").alias("p")).where("p >= 3").orderBy(F.desc("p"), "f").limit(8 * features)
-    names = [r.f for r in common.collect()]
+    common = toxic.groupBy("f").agg(F.count("*").alias("p")).where(F.col("p") >= SHARED)
+    names = sorted(common.toArrow().column("f").to_pylist())
     known = context.broadcast({f: k for k, f in enumerate(names)})
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,14 +362,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = saved(texts.mapInArrow(index, "y int, x array<int>"))
     n = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
     if not n.get(0) or not n.get(1):
+        discard(texts, rows)
         return Model(counts, {}, 30.0 if n.get(1) else -30.0)
     by = rows.select("y", F.explode("x").alias("f")).groupBy("f").agg(F.sum("y").alias("p"), F.count("*").alias("n"))
     p = (F.col("p") + 0.5) / (n[1] + 1)
     q = (F.col("n") - F.col("p") + 0.5) / (n[0] + 1)
-    telling = F.abs(F.log(p / q)) * F.sqrt(F.least("n", F.lit(10_000)))
-    best = [r.f for r in by.orderBy(telling.desc(), "f").limit(features).select("f").collect()]
+    best = [r.f for r in by.where(F.abs(F.log(p / q)) * F.sqrt("n") >= telling).orderBy("f").select("f").collect()]
     # the bounded sample, as numbers of the chosen features
-    sparse = rows.select("y", F.array_intersect("x", F.array(*map(F.lit, best))).alias("x")).toArrow() if best else None
+    sparse = rows.select("y", F.array_intersect("x", F.expr(f"array({', '.join(map(str, best))})")).alias("x")).toArrow() if best else None
+    discard(texts, rows)
     if sparse is None:
         return Model(counts, {}, math.log(n[1] / n[0]))
     place = np.zeros(len(names), np.int64)
