@@ -13,15 +13,16 @@ def record_id(kind: Column, url: Column, run_id: str) -> Column:
     return F.sha2(F.concat_ws("|", kind, url, F.lit(run_id)).cast("binary"), 256)
 
 
-def chains(records: DataFrame, run_id: str, kind: str = "record_type", url: str = "source_url") -> DataFrame:
-    """records with record_id, dedup_key, transformations, record_version, validation_status and seq's place in its record."""
+def chains(records: DataFrame, run_id: str, kind: str = "record_type", url: str = "source_url", status: str | None = None) -> DataFrame:
+    """records with record_id, dedup_key, transformations, record_version and validation_status, which is taken from the column
+    `status`, the outcome of a validation; without one the records count as not validated."""
     return records.withColumns(
         {
             "record_id": record_id(F.col(kind), F.col(url), run_id),
             "dedup_key": F.concat_ws(":", kind, url),
             "transformations": F.array(*map(F.lit, STEPS)),
             "record_version": F.lit(1),
-            "validation_status": F.lit("PASSED"),
+            "validation_status": F.col(status) if status else F.lit("NOT_VALIDATED"),
         }
     )
 

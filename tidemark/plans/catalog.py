@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.plans import core, datequeries, quality, records, search, textqueries  # noqa: F401
+from tidemark.plans import core, datequeries, ingest, quality, records, search, textqueries  # noqa: F401
 from tidemark.plans.registry import ORACLE, QUERIES
 
 
