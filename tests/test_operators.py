@@ -127,3 +127,39 @@ def test_broken_payloads(spark):
     for parse in (parsers.greenhouse_jobs, parsers.lever_jobs, parsers.remote_jobs):
         assert parse(docs, "body", now()).count() == 0
     assert parsers.paper_cards(docs, "k", "body").count() == 0
+
+
+def test_resolver_in_blocks(spark):
+    import random
+
+    from tidemark.functions.text import _jaro_winkler, normalize_name
+    from tidemark.operators import resolve
+
+    rng = random.Random(4)
+    syllables = ["ka", "lo", "mi", "ter", "son", "vex", "ai", "ro"]
+    make = lambda: " ".join("".join(rng.choice(syllables) for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(1, 2)))
+    names = [make() for _ in range(120)]
+    seeds = spark.createDataFrame([(i, n.title(), [], None) for i, n in enumerate(names)], "ordinal int, canonical_name string, aliases array<string>, domain string")
+    asked = [n[:-1] + "x" if i % 2 else make() for i, n in enumerate(names)]
+    raw = spark.createDataFrame([(i, n) for i, n in enumerate(asked)], "i int, raw_name string")
+    norm = {r.n: r.m for r in spark.createDataFrame([(n,) for n in names + asked], "n string").select("n", normalize_name(F.col("n")).alias("m")).collect()}
+    for block in (20_000, 25):
+        got = {r.i: (r.canonical, r.method, r.confidence) for r in resolve.resolve(raw, seeds, block=block).collect()}
+        for i, n in enumerate(asked):
+            scores = [(_jaro_winkler(norm[n], norm[s]), -k) for k, s in enumerate(names)]
+            best, k = max(scores)
+            if got[i][1] == "fuzzy_match":
+                assert best >= 0.92 and got[i][0] == names[-k].title() and got[i][2] == round(best, 4)
+            elif got[i][1] == "manual_review":
+                assert 0.70 <= best < 0.92 and got[i][2] == round(best, 4)
+            elif got[i][1] == "exact_alias" and got[i][0] == n:
+                assert best < 0.70 or n.lower() in names
+
+
+def test_survivors_raise_when_rounds_run_out(spark):
+    from tidemark.operators import dedup
+
+    rows = spark.createDataFrame([(i, "e0", "n" * (i + 3), "T:nn") for i in range(4)], "seq int, exact string, norm string, block string")
+    with pytest.raises(RuntimeError):
+        dedup.survivors(rows, max_rounds=1)
+    assert dedup.survivors(rows).where("status = 'open'").count() == 0

@@ -131,6 +131,11 @@ def jaro_winkler(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([_jaro_winkler(a, b) if a is not None and b is not None else None for a, b in zip(left, right, strict=True)], dtype="float64")
 
 
+
+#: Where a filter reads the similarity that a column keeps, it is not computed again.
+jaro_winkler = jaro_winkler.asNondeterministic()
+
+
 def _jaro_winkler(a: str, b: str) -> float:
     if a == b:
         return 1.0

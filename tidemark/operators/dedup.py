@@ -50,6 +50,8 @@ def survivors(records: DataFrame, threshold: float = 0.90, max_rounds: int = 200
         before = lambda kind: F.coalesce(F.least(*[F.coalesce(f"{t}_{kind}", F.lit(1 << 62)) for t in ("exact", "norm", "near")]), F.lit(1 << 62)) < F.col("seq")  # noqa: E731, B023
         status = F.when(F.col("status") != "open", F.col("status")).when(before("keep"), "duplicate").when(before("open"), "open").otherwise("keep")
         state = seen.select(*[c for c in state.columns if c != "status"], status.alias("status"))
+    else:
+        raise RuntimeError(f"records are still open after {max_rounds} rounds; a chain of neighbours is longer")
     return records.join(state.select("seq", "status"), "seq")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,8 +12,8 @@ from tidemark.functions.text import _jaro_winkler, normalize_name
 #: Similarities from which a name is accepted and reviewed, and confidence by method.
 ACCEPT, REVIEW = 0.92, 0.70
 CONFIDENCE = {"exact_alias": 1.0, "normalization": 0.98, "context_match": 0.95}
-#: The seed dimension is broadcast and compared name by name; a larger one is refused.
-MOST_SEEDS = 20_000
+#: Seeds that open names are compared with at once; each block of them reaches the workers by itself.
+BLOCK = 20_000
 
 
 def alias_table(seeds: DataFrame) -> DataFrame:
@@ -21,39 +22,87 @@ def alias_table(seeds: DataFrame) -> DataFrame:
     return every.groupBy(F.lower("alias").alias("alias")).agg(F.max_by("canonical_name", "ordinal").alias("canonical"), F.max("ordinal").alias("ordinal"))
 
 
-def resolve(raw: DataFrame, seeds: DataFrame, name: str = "raw_name", domain: str | None = None, decompose: bool = True) -> DataFrame:
+class Nearest:
+    """The most similar of a block of (ordinal, canonical, normalised name), the first by ordinal of several."""
+
+    def __init__(self, seeds: list[tuple[int, str, str]]):
+        self.seeds = sorted(seeds)
+        self.lengths = np.array([len(n) for _, _, n in self.seeds], float)
+        self.letters: dict[str, int] = {}
+        for _, _, n in self.seeds:
+            for ch in n:
+                self.letters.setdefault(ch, len(self.letters))
+        self.counts = np.zeros((len(self.seeds), len(self.letters)), np.int16)
+        for i, (_, _, n) in enumerate(self.seeds):
+            for ch in n:
+                self.counts[i, self.letters[ch]] += 1
+
+    def bounds(self, name: str) -> np.ndarray:
+        """What the letters in common allow at best, for every seed."""
+        own = np.zeros(len(self.letters), np.int16)
+        for ch in name:
+            if ch in self.letters:
+                own[self.letters[ch]] += 1
+        shared = np.minimum(self.counts, own).sum(axis=1)
+        jaro = np.where(shared > 0, (shared / len(name) + shared / self.lengths + 1) / 3, 0.0)
+        return np.where(jaro > 0.7, jaro + 0.4 * (1 - jaro), jaro) + 1e-9
+
+    def __call__(self, name: str, least: float = REVIEW) -> tuple[int, str, float] | None:
+        """(ordinal, canonical, similarity), or none that reaches `least`."""
+        if not self.seeds or not name:
+            return None
+        bounds, best = self.bounds(name), None
+        for i in np.argsort(-bounds, kind="stable").tolist():
+            if bounds[i] < least or (best and bounds[i] < best[2]):
+                break
+            ordinal, canonical, n = self.seeds[i]
+            score = _jaro_winkler(name, n)
+            if score >= least and (best is None or (score, -ordinal) > (best[2], -best[0])):
+                best = (ordinal, canonical, score)
+        return best
+
+
+def _nearest_udf(block: Nearest):
+    @F.pandas_udf("struct<ordinal:long,best:string,score:double>")
+    def nearest(norms: pd.Series) -> pd.DataFrame:
+        rows = [block(n) or (None, None, None) for n in norms]
+        return pd.DataFrame({"ordinal": pd.array([r[0] for r in rows], "Int64"), "best": [r[1] for r in rows], "score": pd.array([r[2] for r in rows], "Float64")})
+
+    return nearest
+
+
+def nearest_seeds(names: DataFrame, seeds: DataFrame, decompose: bool, block: int) -> DataFrame:
+    """(_norm, best, score) of the names whose most similar seed reaches REVIEW."""
+    known = seeds.select("ordinal", "canonical_name", normalize_name(F.col("canonical_name"), decompose).alias("n")).where("n <> ''")
+    parts = -(-known.count() // block) or 1
+    found = None
+    for k in range(parts):
+        # about `block` rows come to the driver
+        mine = Nearest([(r.ordinal, r.canonical_name, r.n) for r in known.where(F.pmod(F.xxhash64("n"), F.lit(parts)) == k).collect()])
+
+        some = names.select("_norm", _nearest_udf(mine)("_norm").alias("s")).select("_norm", "s.*").where("best IS NOT NULL")
+        found = some if found is None else found.union(some)
+    if parts == 1:
+        return found.select("_norm", "best", "score")
+    return found.groupBy("_norm").agg(F.max_by("best", F.struct("score", -F.col("ordinal"))).alias("best"), F.max("score").alias("score"))
+
+
+def resolve(raw: DataFrame, seeds: DataFrame, name: str = "raw_name", domain: str | None = None, decompose: bool = True, block: int = BLOCK) -> DataFrame:
     """raw with canonical, method, confidence and decision.
 
     seeds has ordinal, canonical_name, aliases and domain. Similarity is computed once per distinct name that no
-    lookup resolves."""
-    if seeds.count() > MOST_SEEDS:
-        raise ValueError(f"more than {MOST_SEEDS} seeds")
+    lookup resolves, with one block of seeds after the other; only seeds whose letters allow a better similarity than the best
+    so far are compared in full."""
     aliases = alias_table(seeds)
     normal = aliases.withColumn("norm", normalize_name(F.col("alias"), decompose)).where("norm <> ''").groupBy("norm").agg(F.max_by("canonical", "ordinal").alias("by_norm"))
     domains = seeds.where("domain IS NOT NULL").groupBy(F.lower("domain").alias("d")).agg(F.min_by("canonical_name", "ordinal").alias("by_domain"))
     rows = raw.withColumn("_raw", F.trim(name)).withColumn("_low", F.lower("_raw")).withColumn("_norm", normalize_name(F.col("_raw"), decompose))
     rows = rows.withColumn("_domain", F.lower(F.replace(F.col(domain), F.lit("www."), F.lit(""))) if domain else F.lit(None).cast("string"))
-    rows = rows.join(F.broadcast(aliases.select(F.col("alias").alias("_low"), F.col("canonical").alias("by_alias"))), "_low", "left")
-    rows = rows.join(F.broadcast(normal.withColumnRenamed("norm", "_norm")), "_norm", "left")
-    rows = rows.join(F.broadcast(domains.withColumnRenamed("d", "_domain")), "_domain", "left")
-    known = seeds.orderBy("ordinal").select("canonical_name", normalize_name(F.col("canonical_name"), decompose).alias("n")).collect()
-    names = [(r.canonical_name, r.n) for r in known if r.n]
-
-    @F.pandas_udf("struct<best:string,score:double>")
-    def nearest(norms: pd.Series) -> pd.DataFrame:
-        out = []
-        for norm in norms:
-            best, score = None, 0.0
-            for canonical, n in names if norm else ():
-                s = _jaro_winkler(norm, n)
-                if s > score:
-                    best, score = canonical, s
-            out.append((best, score))
-        return pd.DataFrame(out, columns=["best", "score"])
-
+    rows = rows.join(aliases.select(F.col("alias").alias("_low"), F.col("canonical").alias("by_alias")), "_low", "left")
+    rows = rows.join(normal.withColumnRenamed("norm", "_norm"), "_norm", "left")
+    rows = rows.join(domains.withColumnRenamed("d", "_domain"), "_domain", "left")
     open_names = rows.where("by_alias IS NULL AND by_norm IS NULL AND by_domain IS NULL AND _norm <> ''").select("_norm").distinct()
-    scored = open_names.select("_norm", nearest("_norm").alias("s")).select("_norm", "s.best", "s.score")
-    rows = rows.join(scored, "_norm", "left")
+    rows = rows.join(nearest_seeds(open_names, seeds, decompose, block), "_norm", "left")
     blank = F.coalesce("_raw", F.lit("")) == ""
     score = F.coalesce("score", F.lit(0.0))
 
