@@ -53,3 +53,34 @@ def test_freshness_against_the_clock(spark, tmp_path):
     now = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
     out = run(spark, tmp_path, jobs.only_fresh(landed(spark, tmp_path, events), "ts", now), "fresh")
     assert out.count() == events.where("ts BETWEEN TIMESTAMP_NTZ '2024-01-14 00:00:00' AND TIMESTAMP_NTZ '2024-01-15 00:00:00'").count()
+
+
+def test_moving_average_like_batch(spark, tmp_path):
+    rows = spark.createDataFrame([("ab"[i % 2], i, float(i * 7 % 13) if i % 5 else None) for i in range(40)], "source string, seq long, freshness double")
+    for part in (rows.where("seq < 17"), rows.where("seq >= 17")):
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        out = run(spark, tmp_path, jobs.moving_average(jobs.stream_table(spark, str(tmp_path / "in"), rows.schema), "source", "seq", "freshness"), "ewma")
+    last = {r.source: (r.a, r.n) for r in out.groupBy("source").agg(F.max_by("average", "n").alias("a"), F.max("n").alias("n")).collect()}
+    from tidemark.operators import metrics
+
+    assert {k: a for k, (a, _) in last.items()} == {r.source: r.average for r in metrics.moving_average(rows).collect()}
+    assert sum(n for _, n in last.values()) == rows.where("freshness IS NOT NULL").count()
+
+
+def test_cache_holds_for_its_time(spark, tmp_path):
+    rows = spark.createDataFrame([("k", 0, "a"), ("k", 1800, "b"), ("k", 3599, "c"), ("k", 3600, "d"), ("k", 5000, "e"), ("j", 10, "x")], "key string, t long, v string").withColumn("at", F.timestamp_seconds(F.col("t") + 1_000_000))
+    for part in (rows.where("t < 1000"), rows.where("t >= 1000 and t < 3600"), rows.where("t >= 3600")):
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        out = run(spark, tmp_path, jobs.cached(jobs.stream_table(spark, str(tmp_path / "in"), rows.schema), "key", "v", "at", "1 hour"), "cache")
+    got = sorted((r.key, int(r.at.timestamp()) - 1_000_000, r.value, r.hit) for r in out.collect())
+    assert got == [("j", 10, "x", False), ("k", 0, "a", False), ("k", 1800, "a", True), ("k", 3599, "a", True), ("k", 3600, "d", False), ("k", 5000, "d", True)]
+
+
+def test_dead_letters(spark, tmp_path):
+    good = '{"rawName":"a","method":"exact_alias","confidence":1,"sourceUrl":"https://x.com","decision":"ACCEPTED"}'
+    rows = spark.createDataFrame([(i, good if i % 3 else "{broken") for i in range(12)], "i long, json string")
+    stream = landed(spark, tmp_path, rows)
+    jobs.with_dead_letters(stream, "ENTITY_MAPPING", "json", str(tmp_path / "ok"), str(tmp_path / "dead"), str(tmp_path / "state"))
+    assert {r.i for r in spark.read.parquet(str(tmp_path / "ok")).collect()} == {i for i in range(12) if i % 3}
+    dead = spark.read.parquet(str(tmp_path / "dead")).collect()
+    assert {r.i for r in dead} == {0, 3, 6, 9} and all(r.violations == ["not an object"] for r in dead)

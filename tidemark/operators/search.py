@@ -27,10 +27,13 @@ def matches(query: str, kind: str, pricing: str, c: dict[str, Column]) -> Column
 
 
 def bm25(docs: DataFrame, terms: list[str], id_col: str, text_col: str) -> DataFrame:
-    """(id_col, score) of the documents that hold a term. Only the query's terms are exploded; lengths come from the same scan."""
-    words = docs.select(F.col(id_col).alias("d"), F.filter(F.split(F.lower(text_col), r"[^\p{L}\p{N}]+"), lambda w: w != "").alias("w"))
+    """(id_col, score) of the documents that hold a term. Words are counted by a pattern; only documents that a term's letters
+    occur in are split into words, and only the query's terms are exploded."""
+    low = F.lower(text_col)
+    total = docs.select(F.regexp_count(F.col(text_col), F.lit(r"[\p{L}\p{N}]+")).alias("len")).agg(F.count("*").alias("n"), F.avg(F.coalesce("len", F.lit(-1))).alias("avg_len"))
+    may_hold = reduce(lambda a, b: a | b, (low.contains(t) for t in terms), F.lit(False))
+    words = docs.where(may_hold).select(F.col(id_col).alias("d"), F.filter(F.split(low, r"[^\p{L}\p{N}]+"), lambda w: w != "").alias("w"))
     words = words.select("d", F.size("w").alias("len"), F.filter("w", lambda w: w.isin(terms)).alias("hits"))
-    total = words.agg(F.count("*").alias("n"), F.avg("len").alias("avg_len"))
     tf = words.where(F.size("hits") > 0).select("d", "len", F.explode("hits").alias("term")).groupBy("d", "len", "term").agg(F.count("*").alias("tf"))
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     # df has a row per query term, total has one row

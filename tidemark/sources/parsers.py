@@ -26,10 +26,16 @@ SPACES = "array<struct<id:string,_id:string,tags:array<string>>>"
 
 def lines(docs: DataFrame, payload: str) -> DataFrame:
     """A row per line of each payload, with line_no, and the section of the last heading above."""
-    split = docs.select(*[c for c in docs.columns if c != payload], F.posexplode(F.split(payload, r"\R")).alias("line_no", "line")).withColumn("line", F.trim("line"))
     heading = F.when(F.col("line").rlike("^##{1,2} "), F.lower(F.trim(F.ltrim(F.col("line"), F.lit("# ")))))
-    order = Window.partitionBy(*[c for c in docs.columns if c != payload]).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    return split.withColumn("heading", heading).withColumn("section", F.last("heading", ignorenulls=True).over(order))
+    order = Window.partitionBy("_row").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    return _lines(docs, payload).withColumn("heading", heading).withColumn("section", F.last("heading", ignorenulls=True).over(order)).drop("_row")
+
+
+def _lines(docs: DataFrame, payload: str) -> DataFrame:
+    """A row per line, with _row: payloads with equal other columns are not mixed up."""
+    keys = [c for c in docs.columns if c != payload]
+    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    return rows.select(*keys, "_row", F.posexplode(F.split(payload, r"\R")).alias("line_no", "line")).withColumn("line", F.trim("line"))
 
 
 def _in_section(rows: DataFrame, default: str) -> DataFrame:
@@ -62,13 +68,13 @@ def markdown_startups(docs: DataFrame, payload: str) -> DataFrame:
 def heading_links(docs: DataFrame, payload: str) -> DataFrame:
     """A title per "### " heading with the first pricing link below it, before the next heading."""
     keys = [c for c in docs.columns if c != payload]
-    rows = docs.select(*keys, F.posexplode(F.split(payload, r"\R")).alias("line_no", "line")).withColumn("line", F.trim("line"))
+    rows = _lines(docs, payload)
     title = F.when(F.col("line").startswith("### "), F.trim(F.substring("line", 5, 10_000)))
-    order = Window.partitionBy(*keys).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy("_row").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("title", title).withColumn("block", F.count("title").over(order)).withColumn("name", F.last("title", ignorenulls=True).over(order))
     rows = rows.where(F.col("title").isNull() & F.col("line").contains("[More Information and Pricing](")).withColumn("link", F.regexp_extract("line", r"\((https?://[^\)]+)\)", 1))
-    first = rows.where("block > 0").groupBy(*keys, "block").agg(F.min_by("link", "line_no").alias("link"), F.min_by("name", "line_no").alias("name"), F.min("line_no").alias("line_no"))
-    return first.where((F.col("link") != "") & F.length("name").between(2, 60)).drop("block")
+    first = rows.where("block > 0").groupBy(*keys, "_row", "block").agg(F.min_by("link", "line_no").alias("link"), F.min_by("name", "line_no").alias("name"), F.min("line_no").alias("line_no"))
+    return first.where((F.col("link") != "") & F.length("name").between(2, 60)).drop("block", "_row")
 
 
 def _items(docs: DataFrame, payload: str, schema: str, path: str = "") -> DataFrame:

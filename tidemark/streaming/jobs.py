@@ -11,6 +11,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.functions.dates import is_fresh
 from tidemark.functions.text import _jaro_winkler
+from tidemark.operators.metrics import NEWEST, half_up
+from tidemark.operators.validate import validate
 
 
 def stream_table(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
@@ -88,6 +90,61 @@ def alerts(stream: DataFrame, condition: str, time: str, frequency: str) -> Data
     return hits.withWatermark(time, "1 hour").groupBy(F.window(time, {"DAILY": "1 day", "WEEKLY": "7 days"}[frequency]).alias("w")).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), "n")
 
 
+def moving_average(stream: DataFrame, by: str, seq: str, value: str) -> DataFrame:
+    """(by, average, n) after each batch: the average in which the newest value has a weight of NEWEST, carried on over all batches;
+    within a batch rows count in the order of seq."""
+    rows = stream.where(F.col(value).isNotNull()).select(F.col(by).cast("string").alias(by), F.col(seq).cast("long").alias("seq"), F.col(value).cast("double").alias("value"))
+
+    def update(key, frames: Iterator[pd.DataFrame], state: GroupState):
+        average, n = state.get if state.exists else (None, 0)
+        for v in pd.concat(list(frames)).sort_values("seq")["value"]:
+            average, n = half_up(v if average is None else (1 - NEWEST) * average + NEWEST * v), n + 1
+        state.update((average, n))
+        yield pd.DataFrame({by: [key[0]], "average": [average], "n": [n]})
+
+    return rows.groupBy(by).applyInPandasWithState(update, f"{by} string, average double, n long", "average double, n long", "append", GroupStateTimeout.NoTimeout)
+
+
+def cached(stream: DataFrame, key: str, value: str, time: str, ttl: str) -> DataFrame:
+    """(key, at, value, hit): lookups answered from state; a key's value holds until ttl has passed since it was stored by event time,
+    and the lookup that comes later stores its own. Keys that the watermark has left behind by ttl lose their state."""
+    seconds = int(pd.Timedelta(ttl).total_seconds())
+    rows = stream.withWatermark(time, ttl).select(F.col(key).cast("string").alias("key"), F.col(time).alias("at"), F.col(value).cast("string").alias("value"))
+
+    def update(keys, frames: Iterator[pd.DataFrame], state: GroupState):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        held, stored = state.get if state.exists else (None, None)
+        frame = pd.concat(list(frames)).sort_values("at")
+        out = []
+        for at, v in zip(frame["at"], frame["value"], strict=True):
+            hit = stored is not None and at.timestamp() - stored < seconds
+            if not hit:
+                held, stored = v, at.timestamp()
+            out.append((keys[0], at, held, hit))
+        state.update((held, stored))
+        state.setTimeoutTimestamp(max(int((stored + seconds) * 1000), state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame(out, columns=["key", "at", "value", "hit"])
+
+    return rows.groupBy("key").applyInPandasWithState(update, "key string, at timestamp, value string, hit boolean", "held string, stored double", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def with_dead_letters(stream: DataFrame, schema: str, json_col: str, accepted: str, rejected: str, checkpoint: str) -> None:
+    """Process what is there and stop: records that their schema accepts go to one Parquet table, all others with their violations to
+    another. Each batch writes a partition of its number, so a repeated batch replaces what it wrote."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        checked = validate(batch, schema, json_col).persist()
+        try:
+            for path, rows in ((accepted, checked.where("status = 'PASSED'").drop("violations", "status")), (rejected, checked.where("status = 'FAILED'"))):
+                rows.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        finally:
+            checked.unpersist()
+
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
 def run_once(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
     """Process what is there into Parquet and stop."""
     stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start().awaitTermination()
