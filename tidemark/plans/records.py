@@ -164,56 +164,118 @@ def greenhouse_jobs(spark, sf):
     return parsers.greenhouse_jobs(_payload(spark, sf, body), "body", now_col()).select("s_suppkey", "url", "title", "is_remote", "role_family", "date_source", "age_hours")
 
 
-@query("lever_jobs", "SELECT s_suppkey, 'https://l/apply' AS url, 'Backend Engineer' AS title, true AS is_remote, 'ENGINEERING' AS role_family, CAST(1.0 AS DOUBLE) AS age_hours FROM supplier")
+def _text(*parts):
+    """Literal and key parts as one text."""
+    return F.concat(*(F.lit(x) if isinstance(x, str) else x.cast("string") for x in parts))
+
+
+@query(
+    "lever_jobs",
+    """SELECT s_suppkey, 'https://l/apply/' || s_suppkey AS url, CASE WHEN s_suppkey % 2 = 0 THEN 'Backend Engineer' ELSE 'Account Executive' END AS title, s_suppkey % 3 = 0 AS is_remote,
+    CASE WHEN s_suppkey % 2 = 0 THEN 'ENGINEERING' ELSE 'SALES' END AS role_family, CAST(s_suppkey * 5 % 36 AS DOUBLE) AS age_hours FROM supplier WHERE s_suppkey * 5 % 36 <= 24""",
+)
 def lever_jobs(spark, sf):
-    body = F.lit('[{"text":"Backend Engineer","createdAt":1706655600000,"applyUrl":"https://l/apply","categories":{"location":"Anywhere"}},{"text":"x","createdAt":1600000000000,"hostedUrl":"https://l/2"},{"text":"y"}]')
+    i = F.col("s_suppkey")
+    created = F.unix_millis(now_col().cast("timestamp")) - i * 5 % 36 * 3_600_000
+    body = _text(
+        '[{"text":"', F.when(i % 2 == 0, "Backend Engineer").otherwise("Account Executive"), '","createdAt":', created, ',"applyUrl":"https://l/apply/', i, '","categories":{"location":"', F.when(i % 3 == 0, "Anywhere").otherwise("Oslo"),
+        '"}},{"text":"x","createdAt":1600000000000,"hostedUrl":"https://l/2"},{"text":"y"}]',
+    )
     return parsers.lever_jobs(_payload(spark, sf, body), "body", now_col()).select("s_suppkey", "url", "title", "is_remote", "role_family", "age_hours")
 
 
-@query("remote_jobs", "SELECT s_suppkey, unnest(['Acme', 'Remote Company']) AS company, unnest(['https://r/1', 'https://r/2']) AS url, unnest(['DESIGN', 'MARKETING']) AS role_family FROM supplier")
+@query(
+    "remote_jobs",
+    """WITH s AS (SELECT s_suppkey AS i, s_name AS n, s_suppkey * 5 % 36 AS age FROM supplier)
+    SELECT i AS s_suppkey, CASE WHEN i % 4 = 0 THEN 'Remote Company' ELSE n END AS company, 'https://r/' || i AS url, 'DESIGN' AS role_family FROM s WHERE age <= 24 AND i % 5 <> 0
+    UNION ALL SELECT i, 'Remote Company', 'https://r/b' || i, 'MARKETING' FROM s""",
+)
 def remote_jobs(spark, sf):
-    body = F.lit('[{"legal":"note","url":"https://r/0","date":"2024-01-30T12:00:00Z"},{"company":"Acme","position":"Designer","tags":["x"],"date":"2024-01-30T12:00:00+00:00","url":"https://r/1"},{"position":"Lead","tags":["growth"],"date":"2024-01-30 13:00:00","url":"https://r/2"}]')
-    return parsers.remote_jobs(_payload(spark, sf, body), "body", now_col()).select("s_suppkey", "company", "url", "role_family")
+    i = F.col("s_suppkey")
+    at = F.date_format(now_col() - F.make_dt_interval(hours=(i * 5 % 36).cast("int")), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    company = F.when(i % 4 == 0, "").otherwise(_text('"company":"', F.col("s_name"), '",'))
+    url = F.when(i % 5 == 0, "").otherwise(_text("https://r/", i))
+    body = _text('[{"legal":"note","url":"https://r/0","date":"2024-01-30T12:00:00Z"},{', company, '"position":"Designer","tags":["x"],"date":"', at, '","url":"', url, '"},{"position":"Lead","tags":["growth"],"date":"2024-01-30 13:00:00","url":"https://r/b', i, '"}]')
+    return parsers.remote_jobs(table(spark, sf, "supplier").select("s_suppkey", body.alias("body")), "body", now_col()).select("s_suppkey", "company", "url", "role_family")
 
 
-@query("model_orgs", "SELECT s_suppkey, unnest(['openai', 'my-lab']) AS slug, unnest(['Openai', 'My Lab']) AS name, unnest(['https://huggingface.co/openai', 'https://huggingface.co/my-lab']) AS url FROM supplier")
+@query(
+    "model_orgs",
+    """WITH s AS (SELECT s_suppkey AS i FROM supplier) SELECT i AS s_suppkey, 'openai' AS slug, 'Openai' AS name, 'https://huggingface.co/openai' AS url FROM s WHERE i % 3 <> 0
+    UNION ALL SELECT i, 'my-lab-' || i, 'My Lab ' || i, 'https://huggingface.co/my-lab-' || i FROM s""",
+)
 def model_orgs(spark, sf):
-    body = F.lit('[{"id":"openai/a"},{"modelId":"my-lab/b"},{"id":"openai/c"},{"id":"joe/d"},{"id":"nope"}]')
+    i = F.col("s_suppkey")
+    body = _text('[{"id":"', F.when(i % 3 == 0, "nope").otherwise("openai/a"), '"},{"modelId":"my-lab-', i, '/b"},{"id":"my-lab-', i, '/c"},{"id":"joe/d"},{"id":"nope"}]')
     return parsers.model_orgs(_payload(spark, sf, body), "body").select("s_suppkey", "slug", "name", "url")
 
 
-@query("spaces", "SELECT s_suppkey, unnest(['My Lab', NULL]) AS company, unnest(['https://huggingface.co/spaces/my-lab/app', 'https://huggingface.co/spaces/solo']) AS url, unnest(['FREE', NULL]) AS pricing FROM supplier")
+@query(
+    "spaces",
+    """WITH s AS (SELECT s_suppkey AS i FROM supplier) SELECT i AS s_suppkey, 'My Lab' AS company, 'https://huggingface.co/spaces/my-lab/app' || i AS url, CASE WHEN i % 2 = 0 THEN 'FREE' END AS pricing FROM s
+    UNION ALL SELECT i, NULL, 'https://huggingface.co/spaces/solo' || i, NULL FROM s WHERE i % 5 <> 0""",
+)
 def spaces(spark, sf):
-    body = F.lit('[{"id":"my-lab/app","tags":["license:mit","x"]},{"_id":"solo","tags":["y"]},{"tags":[]}]')
+    i = F.col("s_suppkey")
+    body = _text('[{"id":"my-lab/app', i, '","tags":["', F.when(i % 2 == 0, "license:mit").otherwise("demo"), '","x"]},{', F.when(i % 5 == 0, "").otherwise(_text('"_id":"solo', i, '",')), '"tags":["y"]},{"tags":[]}]')
     return parsers.spaces(_payload(spark, sf, body), "body").select("s_suppkey", "company", "url", "pricing")
 
 
-@query("daily_papers", "SELECT s_suppkey, 'A paper' AS title, 'Ann;Bob' AS authors, 'https://arxiv.org/abs/2401.00001' AS paper_url, 'https://github.com/a/b' AS github_url, TIMESTAMP '2024-01-02 03:04:05' AS published FROM supplier")
+@query(
+    "daily_papers",
+    """SELECT s_suppkey, 'Paper of ' || s_name AS title, 'Ann;' || s_name AS authors, 'https://arxiv.org/abs/2401.' || lpad(CAST(s_suppkey AS VARCHAR), 5, '0') AS paper_url,
+    CASE WHEN s_suppkey % 2 = 0 THEN 'https://github.com/a/b' || s_suppkey END AS github_url, TIMESTAMP '2024-01-02 00:00:00' + (s_suppkey % 24) * INTERVAL 1 HOUR AS published FROM supplier WHERE s_suppkey % 7 <> 0""",
+)
 def daily_papers(spark, sf):
-    body = F.lit('[{"paper":{"id":"2401.00001","title":"A paper","authors":[{"name":" Ann "},"Bob",{"name":""}],"summary":"see https://github.com/a/b now"},"publishedAt":"2024-01-02T03:04:05Z"},{"paper":{"title":"no id"}}]')
-    return parsers.daily_papers(_payload(spark, sf, body), "body").select("s_suppkey", "title", F.array_join("authors", ";").alias("authors"), "paper_url", "github_url", "published")
-
-
-_ATOM = """<feed xmlns="http://www.w3.org/2005/Atom"><entry><id>http://arxiv.org/abs/2301.12345v2</id><title>Big
-  Idea &amp; more</title><author><name> Ann B </name></author><author><name>Cy</name></author><published>2023-01-02T00:00:00Z</published><summary>code: https://github.com/x/y.</summary></entry><entry><title>no id</title></entry></feed>"""
+    i = F.col("s_suppkey")
+    paper = F.when(i % 7 == 0, "").otherwise(_text('"id":"2401.', F.lpad(i.cast("string"), 5, "0"), '",'))
+    code = F.when(i % 2 == 0, _text("https://github.com/a/b", i)).otherwise("nothing")
+    body = _text(
+        '[{"paper":{', paper, '"title":"Paper of ', F.col("s_name"), '","authors":[{"name":" Ann "},"', F.col("s_name"), '",{"name":""}],"summary":"see ', code, ' now"},"publishedAt":"2024-01-02T', F.lpad((i % 24).cast("string"), 2, "0"),
+        ':00:00Z"},{"paper":{"title":"no id"}}]',
+    )
+    rows = table(spark, sf, "supplier").select("s_suppkey", body.alias("body"))
+    return parsers.daily_papers(rows, "body").select("s_suppkey", "title", F.array_join("authors", ";").alias("authors"), "paper_url", "github_url", "published")
 
 
-@query("atom_entries", "SELECT s_suppkey, 'Big Idea & more' AS title, '2301.12345' AS arxiv_id, 'Ann B;Cy' AS authors, 'https://github.com/x/y' AS github_url, TIMESTAMP '2023-01-02 00:00:00' AS published FROM supplier")
+@query(
+    "atom_entries",
+    """SELECT s_suppkey, 'Big Idea & more ' || s_suppkey AS title, '2301.' || lpad(CAST(s_suppkey AS VARCHAR), 5, '0') AS arxiv_id, 'Ann B;' || s_name AS authors,
+    CASE WHEN s_suppkey % 3 <> 0 THEN 'https://github.com/x/y' || s_suppkey END AS github_url, TIMESTAMP '2023-01-02 00:00:00' + (s_suppkey % 28) * INTERVAL 1 DAY AS published FROM supplier""",
+)
 def atom_entries(spark, sf):
-    return parsers.atom_entries(_payload(spark, sf, F.lit(_ATOM)), "body").select("s_suppkey", "title", "arxiv_id", F.array_join("authors", ";").alias("authors"), "github_url", "published")
-
-
-_RSS = """<rss><channel><title>x</title><item><title><![CDATA[News <b>]]></title><link>https://n/1</link><pubDate>Tue, 30 Jan 2024 10:00:00 GMT</pubDate><description>sum</description></item><item><title>no link</title></item></channel></rss>"""
+    i = F.col("s_suppkey")
+    body = _text(
+        '<feed xmlns="http://www.w3.org/2005/Atom"><entry><id>http://arxiv.org/abs/2301.', F.lpad(i.cast("string"), 5, "0"), "v2</id><title>Big\n  Idea &amp; more ", i, "</title><author><name> Ann B </name></author><author><name>", F.col("s_name"),
+        "</name></author><published>", F.date_format(F.timestamp_seconds(1672617600 + (i % 28) * 86400), "yyyy-MM-dd'T'HH:mm:ss'Z'"), "</published><summary>code: ", F.when(i % 3 != 0, _text("https://github.com/x/y", i, ".")).otherwise("none"),
+        "</summary></entry><entry><title>no id</title></entry></feed>",
+    )
+    rows = table(spark, sf, "supplier").select("s_suppkey", body.alias("body"))
+    return parsers.atom_entries(rows, "body").select("s_suppkey", "title", "arxiv_id", F.array_join("authors", ";").alias("authors"), "github_url", "published")
 
 
-@query("feed_items", "SELECT s_suppkey, 'https://n/1' AS link, 'News <b>' AS title, 'sum' AS summary FROM supplier")
+@query(
+    "feed_items",
+    """WITH s AS (SELECT s_suppkey AS i, s_name AS n FROM supplier) SELECT i AS s_suppkey, 'https://n/' || i AS link, 'News <b> ' || n AS title, 'sum ' || i AS summary FROM s
+    UNION ALL SELECT i, 'https://m/' || i, 'Second', '' FROM s WHERE i % 3 = 0""",
+)
 def feed_items(spark, sf):
-    return parsers.feed_items(_payload(spark, sf, F.lit(_RSS)), "body").select("s_suppkey", "link", "title", "summary")
+    i = F.col("s_suppkey")
+    second = F.when(i % 3 == 0, _text("<link>https://m/", i, "</link>")).otherwise("")
+    body = _text("<rss><channel><title>x</title><item><title><![CDATA[News <b> ", F.col("s_name"), "]]></title><link>https://n/", i, "</link><pubDate>Tue, 30 Jan 2024 10:00:00 GMT</pubDate><description>sum ", i, "</description></item><item><title>Second</title>", second, "</item></channel></rss>")
+    rows = parsers.feed_items(table(spark, sf, "supplier").select("s_suppkey", body.alias("body")), "body")
+    return rows.select("s_suppkey", "link", "title", F.coalesce("summary", F.lit("")).alias("summary"))
 
 
-@query("paper_cards", "SELECT s_suppkey, 'Card one' AS title, 'https://arxiv.org/abs/1' AS paper_url, 'https://github.com/o/r' AS github_url FROM supplier")
+@query(
+    "paper_cards",
+    "SELECT s_suppkey, 'Card ' || s_suppkey AS title, 'https://arxiv.org/abs/' || s_suppkey AS paper_url, CASE WHEN s_suppkey % 2 = 0 THEN 'https://github.com/o/r' || s_suppkey END AS github_url FROM supplier WHERE s_suppkey % 5 <> 0",
+)
 def paper_cards(spark, sf):
-    body = F.lit('<div class="row item"><h3> Card one </h3><a href="/papers/z">p</a><a href="https://arxiv.org/abs/1">a</a><a href="https://github.com/o/r">c</a></div><div class="item"><h3>no link</h3></div>')
+    i = F.col("s_suppkey")
+    link = F.when(i % 5 == 0, "").otherwise(_text('<a href="https://arxiv.org/abs/', i, '">a</a>'))
+    code = F.when(i % 2 == 0, _text('<a href="https://github.com/o/r', i, '">c</a>')).otherwise("")
+    body = _text('<div class="row item"><h3> Card ', i, " </h3>", link, code, '</div><div class="item"><h3>no link</h3></div>')
     return parsers.paper_cards(_payload(spark, sf, body), "s_suppkey", "body").select("s_suppkey", "title", "paper_url", "github_url")
 
 
