@@ -1,3 +1,6 @@
+import html
+import math
+import random
 import re
 
 from tidemark.llm import langid
@@ -59,3 +62,72 @@ def test_every_language_and_suffix_counts(spark):
     rows += [(f"http://g{i}.zz/", "<p>der die und das mit und der die") for i in range(3)] + [("http://new.zz/", None)]
     pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
     assert langid.identify(pages, docs).where("page_id = 4003").first().lang == "de"
+
+
+def brute_identify(pages, docs):
+    """The fusion over plain lists and dictionaries, one page after the other."""
+    counts = {}
+    for text, lang in docs:
+        if text is not None and lang:
+            own = counts.setdefault(lang.lower().strip(), {})
+            for b in langid.grams(text).tolist():
+                own[b] = own.get(b, 0) + 1
+    langs = sorted(counts)
+    chance = {x: lambda b, c=counts[x], t=sum(counts[x].values()): (c.get(b, 0) + langid.GRAM_PRIOR) / (t + langid.GRAM_PRIOR * langid.BUCKETS) for x in langs}
+    facts = []
+    for page, url, source in pages:
+        found = langid.grams(html.unescape(langid.UNSEEN.sub(" ", source or ""))).tolist()
+        z = {x: sum(math.log(chance[x](b)) for b in found) if len(found) > 2 else 0.0 for x in langs}
+        top = max(z.values())
+        e = {x: math.exp(max(-60.0, (v - top) / max(1.0, math.sqrt(len(found)) / 2))) for x, v in z.items()}
+        declared = langid.declaration(source or "")
+        facts.append((page, *langid.address(url), declared if declared in langs else None, {x: v / sum(e.values()) for x, v in e.items()}))
+
+    def sums(test):
+        chosen = [f[5] for f in facts if test(f)]
+        return {x: sum(t[x] for t in chosen) for x in langs}
+
+    whole = sums(lambda f: True)
+    prior = {x: (whole[x] + 1) / (sum(whole.values()) + len(langs)) for x in langs}
+    suffixed = sums(lambda f: f[3] is not None)
+    out = {}
+    for page, host, domain, suffix, declared, text in facts:
+        p = prior
+        if host is not None:
+            for own in (sums(lambda f: f[2] == domain), sums(lambda f: f[1] == host)):
+                others = {x: max(own[x] - text[x], 0) for x in langs}
+                p = {x: (others[x] + langid.HOST_PRIOR * p[x]) / (sum(others.values()) + langid.HOST_PRIOR) for x in langs}
+        score = {}
+        for x in langs:
+            z = math.log(max(text[x], 1e-30)) + math.log(p[x])
+            if declared:
+                rows = {y: sums(lambda f, y=y: f[4] == y) for y in langs}
+                right = langid.DECLARED_RIGHT if declared == x else (1 - langid.DECLARED_RIGHT) / (len(langs) - 1)
+                z += math.log((rows[declared][x] + langid.TABLE_PRIOR * right) / (sum(rows[y][x] for y in langs) + langid.TABLE_PRIOR))
+            if suffix is not None:
+                own = sums(lambda f: f[3] == suffix)
+                z += math.log((own[x] + langid.TABLE_PRIOR * (sum(own.values()) + 1) / (sum(suffixed.values()) + 1)) / (suffixed[x] + langid.TABLE_PRIOR))
+            score[x] = z
+        top = max(score.values())
+        out[page] = ({x: math.exp(v - top) / sum(math.exp(u - top) for u in score.values()) for x, v in score.items()}, text)
+    return out
+
+
+def test_fusion_against_brute_force(spark):
+    rng = random.Random(6)
+    words = {"en": "the of and with that from".split(), "de": "der die und das nicht mit".split(), "fr": "le la les des dans pour".split()}
+    say = lambda x, n: " ".join(rng.choice(words[x]) for _ in range(n))
+    docs = [(say(x, 40), x) for x in words for _ in range(3)] + [(None, "en"), ("zz", ""), ("x y", None)]
+    pages = []
+    for i in range(60):
+        x, y = rng.choice(list(words)), rng.choice(list(words))
+        tag = rng.choice(["<html>", f'<html lang="{x}">', f"<html lang={y}-XX>", "<html lang=zz>"])
+        url = rng.choice([f"http://h{rng.randrange(3)}.{x}site.{x}/p", f"https://www.site.{y}", None, "nonsense", "http://plain.com/"])
+        pages.append((i, url, rng.choice([f"{tag}<p>{say(x, rng.randint(0, 12))}", f"{tag}<p>{say(x, 2)} {say(y, 2)}", None if i % 9 == 0 else tag])))
+    expected = brute_identify(pages, docs)
+    got = langid.identify(spark.createDataFrame(pages, "page_id long, url string, html string"), spark.createDataFrame(docs, "text string, lang string")).collect()
+    assert len(got) == 60
+    for r in got:
+        chances, text = expected[r.page_id]
+        assert abs(r.probability - max(chances.values())) < 1e-4 and abs(chances[r.lang] - max(chances.values())) < 1e-4, r
+        assert abs(text[r.text_lang] - max(text.values())) < 1e-4
