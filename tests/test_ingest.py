@@ -93,3 +93,31 @@ def test_chunks(spark):
     df = spark.createDataFrame([(1, text), (1, "x"), (2, None), (3, "")], "k int, t string")
     got = sorted((r.k, r.chunk, r.text) for r in ingest.chunks(df, "k", "t", 50).collect())
     assert got == [(1, 0, "a" * 30 + "\n\n" + "b" * 30), (1, 0, "x"), (1, 1, "c" * 200), (1, 5, "d")]
+
+
+def test_settled(spark):
+    from tidemark.sources import crawl
+
+    rows = [("a", 0, 503, None, "x"), ("a", 1, 429, "7", "x"), ("a", 2, 200, None, "good"), ("a", 3, 200, None, "late"), ("b", 0, 413, None, "x"), ("c", 0, None, None, None), ("d", 0, 404, None, "x")]
+    rows += [("e", k, 500, None, "x") for k in range(5)] + [("f", 0, 429, " soon", "x"), ("f", 1, 200, None, "good")]
+    got = {r.url: (r.outcome, r.attempts, r.waited, r.raw_content) for r in crawl.settled(spark.createDataFrame(rows, "url string, attempt int, http_status int, retry_after string, raw_content string")).collect()}
+    assert got == {"a": ("ok", 3, 8.0, "good"), "b": ("too_large", 1, 0.0, None), "c": ("unfinished", 1, 1.0, None), "d": ("refused", 1, 0.0, None), "e": ("exhausted", 4, 15.0, None), "f": ("ok", 2, 1.0, "good")}
+
+
+def test_pacing_like_a_token_bucket(spark):
+    import random
+
+    from tidemark.sources import crawl
+
+    rng = random.Random(2)
+    rows = [(f"https://d{rng.randrange(3)}.com/{i:04d}", rng.randrange(60)) for i in range(150)]
+    got = {r.url: r.start for r in crawl.paced(spark.createDataFrame(rows, "url string, at int"), rate=0.5, burst=4).collect()}
+    for d in range(3):
+        tokens, last = 4.0, None
+        for url, at in sorted((r for r in rows if f"d{d}." in r[0]), key=lambda r: (r[1], r[0])):
+            now = at if last is None else max(at, last)
+            tokens = min(4.0, tokens + (0 if last is None else (now - last) * 0.5))
+            if tokens < 1:
+                now, tokens = now + (1 - tokens) / 0.5, 1.0
+            tokens, last = tokens - 1, now
+            assert abs(got[url] - now) < 1e-9

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import ingest, news, validate
 from tidemark.plans.datequeries import now_col
 from tidemark.plans.registry import query
-from tidemark.sources import parsers
+from tidemark.sources import crawl, parsers
 from tidemark.sources.readers import table
 
 
@@ -192,3 +192,62 @@ def text_chunks(spark, sf):
     return ingest.chunks(table(spark, sf, "documents"), "doc_id", "text", 1000, "\n").select("doc_id", "chunk", F.sha2(F.col("text").cast("binary"), 256).alias("digest"))
 
 
+
+
+_ATTEMPTS = """a AS (SELECT l_orderkey AS url, l_linenumber - 1 AS attempt, CASE (l_orderkey * 7 + l_linenumber * 3) % 11 WHEN 0 THEN 200 WHEN 1 THEN 413 WHEN 2 THEN 404 WHEN 3 THEN NULL WHEN 4 THEN 429 WHEN 5 THEN 200 ELSE 503 END AS status,
+  CASE WHEN l_linenumber % 2 = 0 THEN l_suppkey % 9 END AS asked FROM (SELECT l_orderkey, l_linenumber, min(l_suppkey) AS l_suppkey FROM lineitem WHERE l_linenumber <= 4 GROUP BY ALL)),
+e AS (SELECT url, min(attempt) FILTER (WHERE status IS NOT NULL AND status <> 429 AND status < 500) AS ends, max(attempt) AS last FROM a GROUP BY url),
+w AS (SELECT a.url, sum(greatest(least(60.0, pow(2.0, attempt)), coalesce(asked, 0))) AS waited FROM a JOIN e USING (url) WHERE (status IS NULL OR status = 429 OR status >= 500) AND (ends IS NULL OR attempt < ends) GROUP BY a.url)"""
+
+
+def _attempts(spark, sf):
+    """Line items as attempts to fetch their order."""
+    k = (F.col("l_orderkey") * 7 + F.col("l_linenumber") * 3) % 11
+    status = F.when(k.isin(0, 5), 200).when(k == 1, 413).when(k == 2, 404).when(k == 3, F.lit(None).cast("int")).when(k == 4, 429).otherwise(503)
+    asked = F.when(F.col("l_linenumber") % 2 == 0, (F.col("l_suppkey") % 9).cast("string"))
+    rows = table(spark, sf, "lineitem").where("l_linenumber <= 4").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_suppkey").alias("l_suppkey"))
+    return rows.select(F.col("l_orderkey").cast("string").alias("url"), (F.col("l_linenumber") - 1).alias("attempt"), status.alias("http_status"), asked.alias("retry_after"), F.concat(F.lit("body of "), "l_orderkey").alias("raw_content"))
+
+
+@query(
+    "fetch_outcomes",
+    f"""WITH {_ATTEMPTS} SELECT CAST(e.url AS VARCHAR) AS url, CASE WHEN s.status IS NULL THEN CASE WHEN e.last >= 3 THEN 'exhausted' ELSE 'unfinished' END WHEN s.status = 413 THEN 'too_large' WHEN s.status >= 400 THEN 'refused' ELSE 'ok' END AS outcome,
+    coalesce(e.ends, e.last) + 1 AS attempts, CAST(coalesce(w.waited, 0) AS DOUBLE) AS waited FROM e LEFT JOIN a s ON s.url = e.url AND s.attempt = e.ends LEFT JOIN w ON w.url = e.url""",
+)
+def fetch_outcomes(spark, sf):
+    return crawl.settled(_attempts(spark, sf)).select("url", "outcome", "attempts", "waited")
+
+
+@query(
+    "crawled_pages",
+    f"WITH {_ATTEMPTS} SELECT o_orderkey, 'body of ' || o_orderkey AS raw_content FROM orders JOIN e ON e.url = o_orderkey JOIN a s ON s.url = e.url AND s.attempt = e.ends WHERE s.status < 400 AND o_orderkey % 2 = 0",
+)
+def crawled_pages(spark, sf):
+    found = table(spark, sf, "orders").where("o_orderkey % 2 = 0").select("o_orderkey", F.col("o_orderkey").cast("string").alias("url"))
+    return crawl.crawled(found, _attempts(spark, sf)).select("o_orderkey", "raw_content")
+
+
+@query(
+    "request_pacing",
+    """WITH r AS (SELECT event_id, user_id, epoch_us(ts) // 60000000 AS t FROM events), k AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY t, event_id) - 1 AS k FROM r),
+    b AS (SELECT *, max(t - k * 2) OVER (PARTITION BY user_id ORDER BY k) AS base FROM k) SELECT event_id, CAST(greatest(t, base + (k + 1 - 3) * 2) AS DOUBLE) AS start FROM b""",
+)
+def request_pacing(spark, sf):
+    """Events as requests to their user's domain: half a request a second and a burst of three, on a clock of minutes."""
+    url = F.concat(F.lit("https://d"), "user_id", F.lit(".com/"), F.lpad(F.col("event_id").cast("string"), 12, "0"))
+    rows = table(spark, sf, "events").select("event_id", url.alias("url"), F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 60_000_000).alias("at"))
+    return crawl.paced(rows, rate=0.5, burst=3).select("event_id", "start")
+
+
+@query(
+    "quota_tracking",
+    """WITH a AS (SELECT event_type AS source, event_id AS seq, CASE WHEN event_id % 5 = 0 THEN NULL ELSE user_id % 20 END AS remaining, CASE WHEN event_id % 3 = 0 THEN event_id END AS reset, CASE WHEN event_id % 40 = 1 THEN 403 ELSE 200 END AS status FROM events)
+    SELECT source, CAST(arg_max(remaining, seq) FILTER (WHERE remaining IS NOT NULL) AS INTEGER) AS remaining, CAST(max(reset) AS DOUBLE) AS reset_at, coalesce(arg_max(remaining, seq) FILTER (WHERE remaining IS NOT NULL) <= 5, false) AS low,
+    count(*) FILTER (WHERE status = 403 AND remaining = 0) > 0 AS exhausted FROM a GROUP BY source""",
+)
+def quota_tracking(spark, sf):
+    i = F.col("event_id")
+    left = F.when(i % 5 != 0, F.create_map(F.lit("X-RateLimit-Remaining"), (F.col("user_id") % 20).cast("string"))).otherwise(F.create_map(F.lit("Date"), F.lit("today")))
+    reset = F.when(i % 3 == 0, F.create_map(F.lit("x-ratelimit-reset"), i.cast("string"))).otherwise(F.create_map(F.lit("Server"), F.lit("s")))
+    rows = table(spark, sf, "events").select(F.col("event_type").alias("source"), i.alias("seq"), F.when(i % 40 == 1, 403).otherwise(200).alias("http_status"), F.map_concat(left, reset).alias("headers"))
+    return crawl.quota(rows)
