@@ -84,3 +84,26 @@ def test_dead_letters(spark, tmp_path):
     assert {r.i for r in spark.read.parquet(str(tmp_path / "ok")).collect()} == {i for i in range(12) if i % 3}
     dead = spark.read.parquet(str(tmp_path / "dead")).collect()
     assert {r.i for r in dead} == {0, 3, 6, 9} and all(r.violations == ["not an object"] for r in dead)
+
+
+def test_progress_is_logged_as_json(spark, tmp_path, caplog):
+    import json
+    import logging
+    import time
+
+    from tidemark.streaming.progress import JsonProgress
+
+    listener = JsonProgress()
+    spark.streams.addListener(listener)
+    try:
+        with caplog.at_level(logging.INFO, "tidemark.streaming"):
+            run(spark, tmp_path, landed(spark, tmp_path, spark.range(9).toDF("k"), 1), "logged")
+            for _ in range(50):
+                said = [json.loads(r.message) for r in caplog.records]
+                if any(x["event"] == "query_terminated" for x in said):
+                    break
+                time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    assert {"query_started", "query_progress", "query_terminated"} <= {x["event"] for x in said}
+    assert sum(x["rows"] for x in said if x["event"] == "query_progress") == 9
