@@ -1,6 +1,8 @@
 import random
 
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import linededup
 
@@ -57,11 +59,22 @@ def test_clean_and_digest(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, gone string")
     got = {r.doc_id: r for r in linededup.clean(docs).collect()}
     assert got[2].text == "Keep me\nlast" and got[2].gone == "a" and (got[2].n_lines, got[2].n_removed, got[2].removed) == (3, 1, [0])
-    assert (got[2].words, got[2].words_removed) == (8, 5)
     assert got[1].text == "five four THREE two one\n" and got[3].text is None and got[None].text.startswith("one") and got[4].text == ""
     got = {r.doc_id: tuple(r) for r in linededup.digest(docs).collect()}
     assert got[2] == (2, 3, 1, "0") and got[3] == (3, 0, 0, "") and got[4] == (4, 1, 0, "")
     assert linededup.clean(docs.where("doc_id > 9")).count() == 0
+    assert linededup.clean(docs.withColumn("removed", F.lit(1))).columns == ["doc_id", "text", "gone", "n_lines", "n_removed", "removed"]
+
+
+def test_keep_lines(spark):
+    rows = [(1, "a b c d e\nx", 11), (2, "E d c b a\n\n", 11), (3, "e d c b A\nnew one", 17), (None, "a b c d e", 9), (4, None, 0), (3, "other text", 10), (5, "", 0)]
+    docs = spark.createDataFrame([(*r, *range(8)) for r in rows], "doc_id long, text string, n_chars long, words int, n_removed int, removed int, n_lines int, words_removed int, id int, gone int, _kept int")
+    kept = linededup.keep_lines(docs, chars_col="n_chars")
+    assert kept.columns == docs.columns
+    got = sorted((tuple(r)[:3] for r in kept.collect()), key=str)
+    assert got == sorted([(1, "a b c d e\nx", 11), (3, "new one", 7), (None, "a b c d e", 9), (4, None, 0), (5, "", 0)], key=str)
+    assert all(tuple(r)[3:] == tuple(range(8)) for r in kept.collect())
+    assert linededup.keep_lines(docs.where("doc_id > 9")).count() == 0
 
 
 @pytest.mark.parametrize("few", [32, 2])
@@ -72,3 +85,11 @@ def test_short_lines_go(spark, few):
     assert any(len(set(rows[i][1].split("\n")[n].split())) < 4 for i, lines in expected.items() for n in lines)
     assert {r.doc_id: r.removed for r in linededup.clean(docs, few=few).collect() if r.removed} == expected
     assert {r.doc_id: r.removed_lines for r in linededup.digest(docs).collect() if r.n_removed} == {i: ",".join(map(str, x)) for i, x in expected.items()}
+
+
+def test_oracle(spark):
+    path = "/root/testdata/sf0.001/documents.parquet"
+    got = sorted(tuple(r) for r in linededup.digest(spark.read.parquet(path)).collect())
+    con = duckdb.connect()
+    con.sql(f"create view documents as from '{path}'")
+    assert got == sorted(con.sql(linededup.ORACLE).fetchall())

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 
@@ -30,33 +29,61 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Whether the shuffle files of a query go as soon as it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame) -> DataFrame:
     """df as a Parquet table in the shared folder: columnar and compressed, so reads take only the columns they
-    need. The table goes when the driver ends."""
+    need. The shuffle files behind it go at once; the table goes by `discard`, or when the driver ends."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Have Spark drop the shuffle files of tables that nothing refers to any more. It does so when the driver's
-    garbage is collected, which a driver with a large heap may not do for hours."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `saved` wrote and nothing will read again."""
+    for table in tables:
+        for file in {name.rsplit("/", 1)[0] for name in table.inputFiles()}:
+            place = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(file)
+            place.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+#: Bits of a bitmap for each key, and the least and the most bits in all: at most 64 MB are broadcast.
+BITS_PER_KEY, LEAST_BITS, MOST_BITS = 8, 1 << 16, 1 << 28
 
 
-def maybe_among(rows: DataFrame, keys: DataFrame, columns: list[str], bits: int = 1 << 23) -> DataFrame:
+def _among(rows: DataFrame, keys: DataFrame, columns: list[str], wanted: bool) -> DataFrame:
+    """The rows whose columns may be among those of keys, or the others. Working columns have names that no row has."""
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_PER_KEY * keys.count()).bit_length()))
+    b, w, m = (f"{c}_{uuid.uuid4().hex}" for c in "bwm")
+    place = f"pmod(xxhash64({', '.join(f'`{c}`' for c in columns)}), {bits})"
+    words = keys.select(F.expr(place).alias(b)).groupBy(F.shiftright(b, 6).alias(w)).agg(F.expr(f"bit_or(shiftleft(1L, CAST({b} & 63 AS INT)))").alias(m))
+    placed = rows.withColumn(b, F.expr(place)).withColumn(w, F.shiftright(b, 6))
+    test = F.expr(f"shiftrightunsigned(coalesce({m}, 0L), CAST({b} & 63 AS INT)) & 1 = {int(wanted)}")
+    return placed.join(F.broadcast(words), w, "inner" if wanted else "left").where(test).drop(b, w, m)
+
+
+def maybe_among(rows: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
     """The rows whose columns may be among those of keys: a filter before a shuffle, to be followed by the join.
 
-    The keys become a bitmap of a fixed number of bits, whose words are the only thing broadcast (2 MB at most
-    with the default). A fuller bitmap lets more rows pass; no row of keys is ever lost."""
-    place = f"pmod(xxhash64({', '.join(columns)}), {bits})"
-    words = keys.select(F.expr(place).alias("_b")).groupBy(F.expr("shiftright(_b, 6)").alias("_w")).agg(F.expr("bit_or(shiftleft(1L, CAST(_b & 63 AS INT)))").alias("_m"))
-    marked = rows.withColumn("_b", F.expr(place)).withColumn("_w", F.expr("shiftright(_b, 6)"))
-    return marked.join(F.broadcast(words), "_w").where("shiftrightunsigned(_m, CAST(_b & 63 AS INT)) & 1 = 1").select(*rows.columns)
+    The keys, a table that is cheap to read twice, become a bitmap, whose words are the only thing broadcast. It has
+    BITS_PER_KEY bits for each key and never more than MOST_BITS; a fuller bitmap lets more rows pass, and no row of
+    keys is ever lost."""
+    return _among(rows, keys, columns, True)
+
+
+def surely_not_among(rows: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
+    """All other rows."""
+    return _among(rows, keys, columns, False)
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:

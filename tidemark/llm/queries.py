@@ -81,5 +81,6 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_substring_dedup": substring.ORACLE,
+    "op4_line_dedup": linededup.ORACLE,
     "op7_exact_topk": topk.ORACLE,
 }
