@@ -88,17 +88,3 @@ def test_chain_and_empty(spark):
     got = {r.node: r.component for r in connected_components(edges).collect()}
     assert got == {i: 0 for i in range(61)} | {100: 100, 101: 100}
     assert simhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
-
-
-def test_keep_first_keeps_one_row_a_group(spark):
-    text = " ".join(f"t{i}" for i in range(40))
-    docs = spark.createDataFrame([(3, text, "b"), (2, text, "a"), (2, text, "a"), (9, "else " * 9, "c"), (4, None, "d"), (5, "", "e")], "doc_id long, text string, source string")
-    assert sorted(r.doc_id for r in simhash.keep_first(docs).collect()) == [2, 4, 9]
-
-
-def test_keep_first_with_null_and_repeated_ids(spark):
-    one, two, three, four = (" ".join(f"{c}{i}" for i in range(40)) for c in "abcd")
-    rows = [(None, one), (None, one), (None, two), (7, two), (7, three), (7, three), (8, three), (None, four), (9, "a b"), (None, None)]
-    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, source string")
-    got = sorted(((r.doc_id, r.text) for r in simhash.keep_first(docs).collect()), key=repr)
-    assert got == sorted([(None, one), (7, two), (7, three), (None, four), (9, "a b"), (None, None)], key=repr)
