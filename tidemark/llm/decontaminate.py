@@ -156,9 +156,8 @@ class Tables:
             most = max(most, int(first[max(0, math.ceil(recall * TRIALS) - 1)]) + 1)
         if most > MOST_TABLES:
             return False
-        self.coins, self.shown = self.coins[:, :most], self.shown[:, :most]
-        used = np.flatnonzero(self.shown.any(axis=1)).max() + 1
-        self.coins, self.shown = self.coins[:used], self.shown[:used]
+        used = np.flatnonzero(self.shown[:, :most].any(axis=1)).max() + 1
+        self.coins, self.shown = self.coins[:used, :most].copy(), self.shown[:used, :most].copy()
         return True
 
     def lookup(self, windows: list[list[int]]) -> set[tuple[int, int]]:

@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +32,7 @@ from tidemark.llm.common import discard, saved
 
 #: Labelled rows that the classifier is fitted on, toxic rows that must share a feature, how telling it must be (its log ratio
 #: between the kinds times the root of its rows), weight of the L2 penalty, and words that a worker remembers.
-SAMPLE, SHARED, TELLING, PENALTY, REMEMBERED = 20_000, 3, 6.0, 0.2, 200_000
+SAMPLE, SHARED, TELLING, PENALTY, REMEMBERED = 20_000, 3, 6.0, 0.2, 65_536
 #: Score from which a text counts as toxic.
 THRESHOLD = 0.7
 #: Lengths of the word beginnings that are features beside whole words.
@@ -79,8 +80,8 @@ def codes(text: str) -> np.ndarray:
     return np.concatenate((np.zeros(1, np.int32), _table[0][points], np.zeros(1, np.int32)))
 
 
-def count_trigrams(docs: DataFrame, text_col: str = "text") -> dict[int, int]:
-    """Counts of code trigrams over all texts; there are at most SIZE ** 3 of them."""
+def count_trigrams(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, np.ndarray]:
+    """The code trigrams of all texts, sorted, and their counts; there are at most SIZE ** 3 of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, waiting, size = np.zeros(SIZE**3, np.int64), [], 0
@@ -103,27 +104,22 @@ def count_trigrams(docs: DataFrame, text_col: str = "text") -> dict[int, int]:
         yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["g", "n"])
 
     rows = docs.select(F.col(text_col).cast("string").alias("t")).mapInArrow(run, "g int, n long")
-    return {r.g: r.n for r in rows.groupBy("g").agg(F.sum("n").alias("n")).collect()}
+    found = rows.groupBy("g").agg(F.sum("n").alias("n")).toArrow()
+    grams, counts = found.column("g").to_numpy().astype(np.int64), found.column("n").to_numpy().astype(np.int64)
+    order = np.argsort(grams)
+    return grams[order], counts[order]
 
 
 class Speller:
-    """Restores disguised tokens under a trigram model."""
-
-    def __init__(self, counts: dict[int, int]):
-        self.counts = counts
-        pairs: dict[int, int] = {}
-        singles: dict[int, int] = {}
-        for gram, n in counts.items():
-            a, b, c = gram // SIZE**2, gram // SIZE % SIZE, gram % SIZE
-            pairs[a * SIZE + b] = pairs.get(a * SIZE + b, 0) + n
-            singles[c] = singles.get(c, 0) + n
-        self.pairs, self.singles, self.total = pairs, singles, max(1, sum(singles.values()))
-        starts: dict[int, int] = {}
-        middles: dict[int, int] = {}
-        for pair, n in pairs.items():
-            middles[pair] = n
-            starts[pair // SIZE] = starts.get(pair // SIZE, 0) + n
-        self.middles, self.starts = middles, starts
+    """Restores disguised tokens under a trigram model: sorted trigrams and their counts, two arrays of bounded size."""
+
+    def __init__(self, grams: np.ndarray, counts: np.ndarray):
+        self.grams, self.counts = grams, counts
+        pairs = np.bincount(grams // SIZE, counts, SIZE * SIZE)
+        self.pairs = pairs
+        self.starts = pairs.reshape(SIZE, SIZE).sum(axis=1)
+        self.singles = np.bincount(grams % SIZE, counts, SIZE)
+        self.total = max(1.0, float(counts.sum()))
         self.costs: dict[int, float] = {}
 
     def cost(self, a: int, b: int, c: int) -> float:
@@ -131,9 +127,11 @@ class Speller:
         gram = (a * SIZE + b) * SIZE + c
         found = self.costs.get(gram)
         if found is None:
-            one = (self.singles.get(c, 0) + 0.5) / (self.total + SIZE)
-            two = (self.middles.get(b * SIZE + c, 0) + 5 * one) / (self.starts.get(b, 0) + 5)
-            three = (self.counts.get(gram, 0) + 5 * two) / (self.pairs.get(a * SIZE + b, 0) + 5)
+            at = int(np.searchsorted(self.grams, gram))
+            n = float(self.counts[at]) if at < len(self.grams) and self.grams[at] == gram else 0.0
+            one = (float(self.singles[c]) + 0.5) / (self.total + SIZE)
+            two = (float(self.pairs[b * SIZE + c]) + 5 * one) / (float(self.starts[b]) + 5)
+            three = (n + 5 * two) / (float(self.pairs[a * SIZE + b]) + 5)
             found = self.costs[gram] = -math.log(three)
         return found
 
@@ -241,11 +239,11 @@ def word_features(word: str) -> list[str]:
 class Model:
     """Weights by feature, and the intercept."""
 
-    def __init__(self, counts: dict[int, int], weights: dict[str, float], intercept: float):
+    def __init__(self, counts: tuple[np.ndarray, np.ndarray], weights: dict[str, float], intercept: float):
         self.counts, self.weights, self.intercept = counts, weights, intercept
 
     def scorer(self):
-        reader, memory, weights = Reader(Speller(self.counts)), {}, self.weights
+        reader, memory, weights = Reader(Speller(*self.counts)), {}, self.weights
 
         def of(token: str) -> tuple[str, ...]:
             word = trimmed(token)
@@ -340,29 +338,38 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     texts = saved(texts)
 
     def restore(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(Speller(share.value))
+        reader = Reader(Speller(*share.value))
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
                 found = [sorted({f for w in reader.restored(x.as_py() or "") for f in word_features(w)}) for x in part.column(0)]
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string()))], names=["f"])
 
-    # what a few toxic rows have in common may be a feature; the sample bounds them
+    # what a few toxic rows have in common may be a feature; eight bytes of each come to the driver and reach the workers
     toxic = texts.where("y = 1").select("t").mapInArrow(restore, "f array<string>").select(F.explode("f").alias("f"))
-    common = toxic.groupBy("f").agg(F.count("*").alias("p")).where(F.col("p") >= SHARED)
-    names = sorted(common.toArrow().column("f").to_pylist())
-    known = context.broadcast({f: k for k, f in enumerate(names)})
+    common = saved(toxic.groupBy("f").agg(F.count("*").alias("p")).where(F.col("p") >= SHARED).select("f", F.xxhash64("f").alias("h")))
+    hashes = np.unique(common.select("h").toArrow().column("h").to_numpy())
+    known = context.broadcast(hashes)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, place = Reader(Speller(share.value)), known.value
+        reader, all_hashes = Reader(Speller(*share.value)), known.value
         for batch in batches:
-            found = [sorted({place[f] for w in reader.restored(x.as_py() or "") for f in word_features(w) if f in place}) for x in batch.column(1)]
+            found = []
+            for x in batch.column(1):
+                own = {f for w in reader.restored(x.as_py() or "") for f in word_features(w)}
+                mine = np.fromiter((xxhash.xxh64_intdigest(f.encode(), 42) for f in own), np.uint64, len(own)).view(np.int64)
+                places = np.searchsorted(all_hashes, mine)
+                inside = places < len(all_hashes)
+                places, mine = places[inside], mine[inside]
+                found.append(np.unique(places[all_hashes[places] == mine]).tolist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["y", "x"])
 
     rows = saved(texts.mapInArrow(index, "y int, x array<int>"))
+    share.destroy()
+    known.destroy()
     n = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
     if not n.get(0) or not n.get(1):
-        discard(texts, rows)
+        discard(texts, rows, common)
         return Model(counts, {}, 30.0 if n.get(1) else -30.0)
     by = rows.select("y", F.explode("x").alias("f")).groupBy("f").agg(F.sum("y").alias("p"), F.count("*").alias("n"))
     p = (F.col("p") + 0.5) / (n[1] + 1)
@@ -370,14 +377,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     best = [r.f for r in by.where(F.abs(F.log(p / q)) * F.sqrt("n") >= telling).orderBy("f").select("f").collect()]
     # the bounded sample, as numbers of the chosen features
     sparse = rows.select("y", F.array_intersect("x", F.expr(f"array({', '.join(map(str, best))})")).alias("x")).toArrow() if best else None
-    discard(texts, rows)
+    names = {r.h: r.f for r in common.where(F.col("h").isin(hashes[best].tolist())).collect()} if best else {}
+    discard(texts, rows, common)
     if sparse is None:
         return Model(counts, {}, math.log(n[1] / n[0]))
-    place = np.zeros(len(names), np.int64)
+    place = np.zeros(len(hashes), np.int64)
     place[best] = np.arange(len(best))
     x = [place[v.values.to_numpy()] for v in sparse.column("x").combine_chunks()]
     w, b = fit_logistic(x, sparse.column("y").to_numpy().astype(float), len(best))
-    return Model(counts, {names[f]: float(w[k]) for k, f in enumerate(best) if abs(w[k]) > 1e-4}, b)
+    return Model(counts, {names[int(hashes[f])]: float(w[k]) for k, f in enumerate(best) if abs(w[k]) > 1e-4}, b)
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
