@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import duckdb
+import pytest
 
 from tidemark.llm import substring
 
@@ -37,7 +38,9 @@ def corpus(seed=7):
     return [*texts, " ".join(near), say(30_000), "the " * 5000]
 
 
-def test_against_brute_force(spark):
+@pytest.mark.parametrize("hot", [4096, 5])
+def test_against_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(substring, "HOT", hot)
     texts = corpus()
     order = list(range(len(texts)))
     random.Random(1).shuffle(order)

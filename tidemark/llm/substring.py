@@ -31,10 +31,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import maybe_among, saved
+from tidemark.llm.common import maybe_among, saved, surely_not_among
 
 #: Words of a window and of an anchor.
 WINDOW, GRAM = 50, 25
+#: Occurrences of a window from which they are spread, and over how many tasks.
+HOT, SALTS = 4096, 64
 #: Odd multiplier of the polynomial, its inverse modulo 2**64, and the seeds of the two word hashes.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -128,9 +130,18 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 keys = pa.array(np.full(len(starts), batch.column("k")[i].as_py(), np.int64))
                 yield pa.RecordBatch.from_arrays([ids, keys, pa.array(starts, pa.int32()), pa.array(own[starts].view(np.int64)), pa.array(hashes.view(np.int64))], names=["id", "k", "start", "anchor", "hash"])
 
-    seen = maybe_among(raw, wanted, ["id", "k"]).join(wanted, ["id", "k"]).mapInArrow(windows, f"id {kind}, k long, start int, anchor long, hash long")
-    least = seen.groupBy("anchor", "hash").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("anchor", "hash", "least")
-    starts = seen.join(least, ["anchor", "hash"]).where("id > least").groupBy("id", "k").agg(F.collect_set("start").alias("starts"))
+    seen = saved(maybe_among(raw, wanted, ["id", "k"]).join(wanted, ["id", "k"]).mapInArrow(windows, f"id {kind}, k long, start int, anchor long, hash long"))
+    of = ["anchor", "hash"]
+    least = saved(seen.groupBy(*of).agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count("*").alias("n")).where("least < most").select(*of, "least", "n"))
+    # occurrences of a passage that very many texts share meet their least id in SALTS tasks, all others in one; what is among
+    # the hot ones by hash is so on either side
+    hot = least.where(F.col("n") > HOT).select(*of)
+    one, many = F.lit(0).alias("salt"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    leading = surely_not_among(least, hot, of).select(*of, "least", one).union(maybe_among(least, hot, of).select(*of, "least", many))
+    place = F.pmod(F.xxhash64("id", "start"), F.lit(SALTS)).cast("int").alias("salt")
+    spread = surely_not_among(seen, hot, of).select("*", one).union(maybe_among(seen, hot, of).select("*", place))
+    met = spread.join(leading, [*of, "salt"])
+    starts = met.where("id > least").groupBy("id", "k").agg(F.collect_set("start").alias("starts"))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
