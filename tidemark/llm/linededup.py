@@ -41,7 +41,7 @@ from tidemark.llm.common import discard, maybe_among, saved, surely_not_among
 #: that number for whole documents.
 NUM, DEN, MIN_WORDS, ANY = 4, 5, 5, 1
 #: Hash buckets of the word counts, and sets that share a key up to which all are paired.
-BUCKETS, FEW = 131_072, 1024
+BUCKETS, FEW = 32_768, 1024
 #: Sets of a quarter that all others of it are verified against, and slots of a first count of keys.
 LEADERS, SLOTS = 8, 65_536
 HASH_BITS = 59
@@ -123,7 +123,7 @@ def removed_lines(docs: DataFrame, num: int = NUM, den: int = DEN, min_words: in
     leaders = parts.groupBy("key", "slot").agg(F.min(F.struct("id", "line", "n", "b0", "b1")).alias("f")).select("key", "f.*")
     near = saved(parts.alias("x").join(leaders.alias("y"), [F.col("x.key") == F.col("y.key"), F.expr(f"{earlier} AND {alike}")]).select(*ends).distinct())
     discard(common, parts)
-    matched = saved(verified(source, near, table, num, den))
+    matched = verified(source, near, table, num, den)
     discard(near)
 
     def state(*done: DataFrame) -> DataFrame:
@@ -143,7 +143,7 @@ def removed_lines(docs: DataFrame, num: int = NUM, den: int = DEN, min_words: in
     hot = saved(_hot(able.select(F.explode(keys).alias("key")).select(short), few))
     usual = dealt.join(hot.hint("shuffle_hash"), "key", "left_anti") if hot.head(1) else dealt
     found = saved(usual.alias("x").join(usual.alias("y"), [F.col("x.key") == F.col("y.key"), fits]).select(*ends).distinct())
-    more = saved(verified(source, found, table, num, den))
+    more = verified(source, found, table, num, den)
     discard(found)
     results = [matched, more]
     if hot.head(1):
@@ -151,7 +151,7 @@ def removed_lines(docs: DataFrame, num: int = NUM, den: int = DEN, min_words: in
         often = maybe_among(often, hot, ["key"]).join(hot, "key", "left_semi")
         pairs = often.select(F.explode(F.expr("slice(prefix, i + 2, size(prefix))")).alias("later"), "key", "m", "i", *facts).select(F.xxhash64("key", "later").alias("key"), place, *narrow).repartition("key")
         found = saved(pairs.alias("x").join(pairs.alias("y"), [F.col("x.key") == F.col("y.key"), fits]).select(*ends).distinct())
-        results.append(saved(verified(source, found, table, num, den)))
+        results.append(verified(source, found, table, num, den))
         discard(found)
 
     # only sets that go, or that several lines have, concern any line
@@ -177,11 +177,13 @@ def verified(source: DataFrame, pairs: DataFrame, table: str, num: int, den: int
     sides = [pairs.select(F.col(f"{s}_id").alias("id"), F.col(f"{s}_line").alias("line")) for s in "xy"]
     wanted = sides[0].union(sides[1]).distinct()
     lines = maybe_among(source, wanted, ["id"]).select("id", F.posexplode(F.split(F.expr(_plain("text")), "\n")).alias("line", "t"))
-    keys = maybe_among(lines, wanted, ["id", "line"]).select("id", "line", F.expr(keys_of("t", table)).alias("keys"))
+    keys = saved(maybe_among(lines, wanted, ["id", "line"]).select("id", "line", F.expr(keys_of("t", table)).alias("keys")))
     for s in "xy":
         pairs = pairs.join(keys.select(F.col("id").alias(f"{s}_id"), F.col("line").alias(f"{s}_line"), F.col("keys").alias(s)), [f"{s}_id", f"{s}_line"])
     overlap = F.size(F.array_intersect("x", "y"))
-    return pairs.where(overlap * (num + den) >= (F.size("x") + F.size("y")) * num).select(F.col("x_id").alias("id"), F.col("x_line").alias("line")).distinct()
+    found = saved(pairs.where(overlap * (num + den) >= (F.size("x") + F.size("y")) * num).select(F.col("x_id").alias("id"), F.col("x_line").alias("line")).distinct())
+    discard(keys)
+    return found
 
 
 def _without(lines: str, gone: str) -> str:
