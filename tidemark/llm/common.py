@@ -123,3 +123,27 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+
+
+#: A key with more than 1/HOT of the rows is hot: there can be at most HOT such keys.
+HOT = 256
+
+
+def hot_rows(facts: DataFrame, count_col: str, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+    """(hot, others) of facts, a table that is cheap to read twice and has one row for each key and the number of rows with
+    that key in count_col. At most `hot` rows have more than 1/hot of the sum, so the first table can be broadcast at any size."""
+    total = facts.agg(F.sum(count_col)).first()[0] or 0
+    is_hot = F.col(count_col) * hot > total
+    return facts.where(is_hot), facts.where(~is_hot)
+
+
+def look_up(rows: DataFrame, facts: DataFrame, keys: list[str], count_col: str, hot: int = HOT) -> DataFrame:
+    """The rows whose keys facts holds, with the columns of facts but count_col. Both are cheap to read twice.
+
+    Hot keys (see hot_rows) meet their rows where these are, by a broadcast of at most `hot` rows; only the rows of other
+    keys, each less than 1/hot of all, are shuffled."""
+    few, others = hot_rows(facts, count_col, hot)
+    few, mark = few.drop(count_col).withColumn("_hot", F.lit(True)), F.broadcast
+    there = rows.join(mark(few), keys).drop("_hot")
+    rest = rows.join(mark(few.select(*keys)), keys, "left_anti").join(others.drop(count_col), keys)
+    return there.unionByName(rest)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, htmltext, langid, linededup, pii, simhash, substring, topk, toxicity
+from tidemark.llm import bpe, decontaminate, htmltext, langid, linededup, pii, simhash, substring, timestamps, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("found").alias("n_items"), F.array_join("found.item", ",").alias("items"), F.array_join("found.distance", ",").alias("distances"), (F.size("found") > 0).alias("contaminated"))
 
 
+def op13_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The instant of every stamp."""
+    return timestamps.normalise(table(spark, sf_dir, "stamps")).select("stamp_id", "utc_us", "rule", "ambiguous")
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_substring_dedup": op2_substring_dedup,
@@ -77,10 +82,12 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op10_decontamination": op10_decontamination,
     "op9_byte_bpe": op9_byte_bpe,
+    "op13_timestamps": op13_timestamps,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_substring_dedup": substring.ORACLE,
     "op4_line_dedup": linededup.ORACLE,
     "op7_exact_topk": topk.ORACLE,
+    "op13_timestamps": timestamps.ORACLE,
 }
