@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -129,21 +129,51 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
 HOT = 256
 
 
-def hot_rows(facts: DataFrame, count_col: str, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+def hot_rows(facts: DataFrame, count_col: str, hot: int = HOT, total: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(hot, others) of facts, a table that is cheap to read twice and has one row for each key and the number of rows with
-    that key in count_col. At most `hot` rows have more than 1/hot of the sum, so the first table can be broadcast at any size."""
-    total = facts.agg(F.sum(count_col)).first()[0] or 0
+    that key in count_col. At most `hot` rows have more than 1/hot of the sum, which is `total` if that is known already, so the
+    first table can be broadcast at any size."""
+    total = facts.agg(F.sum(count_col)).first()[0] or 0 if total is None else total
     is_hot = F.col(count_col) * hot > total
     return facts.where(is_hot), facts.where(~is_hot)
 
 
-def look_up(rows: DataFrame, facts: DataFrame, keys: list[str], count_col: str, hot: int = HOT) -> DataFrame:
+def look_up(rows: DataFrame, facts: DataFrame, keys: list[str], count_col: str, hot: int = HOT, total: int | None = None) -> DataFrame:
     """The rows whose keys facts holds, with the columns of facts but count_col. Both are cheap to read twice.
 
     Hot keys (see hot_rows) meet their rows where these are, by a broadcast of at most `hot` rows; only the rows of other
     keys, each less than 1/hot of all, are shuffled."""
-    few, others = hot_rows(facts, count_col, hot)
-    few, mark = few.drop(count_col).withColumn("_hot", F.lit(True)), F.broadcast
-    there = rows.join(mark(few), keys).drop("_hot")
-    rest = rows.join(mark(few.select(*keys)), keys, "left_anti").join(others.drop(count_col), keys)
+    few, others = hot_rows(facts, count_col, hot, total)
+    there = rows.join(F.broadcast(few.drop(count_col)), keys)
+    rest = rows.join(F.broadcast(few.select(*keys)), keys, "left_anti").join(others.drop(count_col), keys)
     return there.unionByName(rest)
+
+
+def dense_names(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, int]:
+    """Per distinct keys of rows: name, a number from 0 without gaps, and n, its rows; and the number of all rows. The table is
+    written before anything reads it, so a lost executor never changes a name. One row for each partition comes to the driver."""
+    found = saved(rows.groupBy(*keys).agg(F.count("*").alias("n")).withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33)  # monotonically_increasing_id puts the partition above 33 bits
+    sizes = sorted((r.part, r.names, r.rows) for r in found.groupBy(part.alias("part")).agg(F.count("*").alias("names"), F.sum("n").alias("rows")).collect())
+    starts, start = [], 0
+    for at, names, _ in sizes:
+        starts.append((at, start - (at << 33)))
+        start += names
+    starts = F.broadcast(rows.sparkSession.createDataFrame(starts, "_part long, _start long"))
+    return found.join(starts, part == F.col("_part")).select(*keys, "n", (F.col("_at") + F.col("_start")).alias("name")), sum(r for _, _, r in sizes)
+
+
+def running(rows: DataFrame, group: str, order: list[Column], value: str) -> tuple[DataFrame, DataFrame]:
+    """(rows with `before`: the sum of value in earlier rows of their group, runs: (group, part, total) for each group and partition).
+
+    Rows are dealt by ranges of group and order, so a group of any size spreads over many partitions. Sums within a partition
+    and sums of whole partitions make up the result; a window never holds more than a partition's rows of a group, or more rows
+    than there are partitions."""
+    place = saved(rows.repartitionByRange(group, *order).sortWithinPartitions(group, *order).withColumn("_at", F.monotonically_increasing_id()))
+    place = place.withColumn("part", F.shiftright("_at", 33))
+    runs = place.groupBy(group, "part").agg(F.sum(value).alias("total"))
+    earlier = Window.partitionBy(group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = saved(runs.withColumn("_start", F.coalesce(F.sum("total").over(earlier), F.lit(0))))
+    inside = Window.partitionBy(group, "part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    summed = place.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0))).join(runs.drop("total"), [group, "part"])
+    return summed.withColumn("before", F.col("_inside") + F.col("_start")).drop("_at", "_inside", "_start", "part"), runs.drop("_start")

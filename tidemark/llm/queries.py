@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, htmltext, langid, linededup, pii, simhash, substring, timestamps, topk, toxicity
+from tidemark.llm import bpe, decontaminate, htmltext, langid, linededup, pii, quality, simhash, substring, timestamps, topk, toxicity, trie
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,16 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("found").alias("n_items"), F.array_join("found.item", ",").alias("items"), F.array_join("found.distance", ",").alias("distances"), (F.size("found") > 0).alias("contaminated"))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document."""
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all conversations."""
+    return trie.build(table(spark, sf_dir, "conversations"))
+
+
 def op13_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The instant of every stamp."""
     return timestamps.normalise(table(spark, sf_dir, "stamps")).select("stamp_id", "utc_us", "rule", "ambiguous")
@@ -82,6 +92,8 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op10_decontamination": op10_decontamination,
     "op9_byte_bpe": op9_byte_bpe,
+    "op11_quality": op11_quality,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_timestamps": op13_timestamps,
 }
 
@@ -89,5 +101,6 @@ ORACLE_SQL: dict[str, str] = {
     "op2_substring_dedup": substring.ORACLE,
     "op4_line_dedup": linededup.ORACLE,
     "op7_exact_topk": topk.ORACLE,
+    "op12_prefix_trie": trie.ORACLE,
     "op13_timestamps": timestamps.ORACLE,
 }
