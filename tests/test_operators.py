@@ -154,12 +154,3 @@ def test_resolver_in_blocks(spark):
                 assert 0.70 <= best < 0.92 and got[i][2] == round(best, 4)
             elif got[i][1] == "exact_alias" and got[i][0] == n:
                 assert best < 0.70 or n.lower() in names
-
-
-def test_survivors_raise_when_rounds_run_out(spark):
-    from tidemark.operators import dedup
-
-    rows = spark.createDataFrame([(i, "e0", "n" * (i + 3), "T:nn") for i in range(4)], "seq int, exact string, norm string, block string")
-    with pytest.raises(RuntimeError):
-        dedup.survivors(rows, max_rounds=1)
-    assert dedup.survivors(rows).where("status = 'open'").count() == 0

@@ -5,11 +5,14 @@ from __future__ import annotations
 import unicodedata
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.similar import jaro_winkler_many
+
 #: Legal endings that deduplication deletes, in this order.
 LEGAL_ENDINGS = [
     r"\binc\.?\b", r"\bltd\.?\b", r"\bllc\.?\b", r"\bcorp\.?\b", r"\bco\.?\b", r"\bpvt\.?\b",
@@ -128,8 +131,9 @@ def first_filled(*columns: Column) -> Column:
 @F.pandas_udf(T.DoubleType())
 def jaro_winkler(left: pd.Series, right: pd.Series) -> pd.Series:
     """Jaro-Winkler similarity: prefix weight 0.1, at most four characters, only above 0.7."""
-    return pd.Series([_jaro_winkler(a, b) if a is not None and b is not None else None for a, b in zip(left, right, strict=True)], dtype="float64")
-
+    out, there = np.full(len(left), np.nan), (left.notna() & right.notna()).to_numpy()
+    out[there] = jaro_winkler_many(left[there].tolist(), right[there].tolist())
+    return pd.Series(out).where(there)
 
 
 #: Where a filter reads the similarity that a column keeps, it is not computed again.

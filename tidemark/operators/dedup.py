@@ -2,14 +2,20 @@
 
 Records arrive in the order of seq. A record is a duplicate if an earlier survivor has its exact key, its
 normalised key, or a similar name in its block; dropped records shield nobody. Equal keys form cliques, which are
-handled by minima per key and never expanded; only similar names become pairs."""
+handled by minima per key and never expanded; only similar names become pairs, and these are found by keys that they share
+where a block is large."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.similar import LONGEST, keys
 from tidemark.functions.text import jaro_winkler, may_reach
+from tidemark.tables import discard, stored
 
 
 def first_wins(df: DataFrame, key: str, seq: str) -> DataFrame:
@@ -18,56 +24,144 @@ def first_wins(df: DataFrame, key: str, seq: str) -> DataFrame:
     return df.join(first, key, "left").where(F.col("_first").isNull() | (F.col(seq) == F.col("_first"))).select(*df.columns)
 
 
-def fuzzy_pairs(names: DataFrame, threshold: float = 0.90, block: str = "block", name: str = "norm") -> DataFrame:
-    """(block, a, b, score): distinct names of a block, a < b, whose similarity reaches the threshold. Lengths that cannot
-    reach it are dropped before the function runs."""
-    distinct = names.select(F.col(block).alias("block"), F.col(name).alias("n")).where("n <> ''").distinct()
-    left, right = distinct.select("block", F.col("n").alias("a")), distinct.select("block", F.col("n").alias("b"))
-    pairs = left.join(right, "block").where((F.col("a") < F.col("b")) & may_reach(F.col("a"), F.col("b"), threshold))
+#: Names of a block that are all compared with each other.
+SMALL = 1024
+
+
+def fuzzy_pairs(names: DataFrame, threshold: float = 0.90, block: str = "block", name: str = "norm", small: int = SMALL) -> DataFrame:
+    """(block, a, b, score): distinct names of a block, a < b, whose similarity reaches the threshold.
+
+    In a block of at most `small` names all pairs are compared whose lengths allow the similarity. Names of a larger block become keys
+    that all similar pairs share (see similar.keys), so mostly pairs that are similar meet. Names beyond LONGEST characters
+    have no keys: they are compared with all names of their block whose lengths allow it, in tiles of at most `small` by `small`
+    names, so no task holds a block."""
+    distinct = stored(names.select(F.col(block).alias("block"), F.col(name).alias("n")).where("n <> ''").distinct())
+    is_long = F.length("n") > LONGEST
+    large = stored(distinct.groupBy("block").agg(F.count("*").alias("names"), F.count_if(is_long).alias("longs")).where(F.col("names") > small))
+    rest = distinct.join(large, "block", "left_anti")
+    pairs = rest.withColumnRenamed("n", "a").join(rest.withColumnRenamed("n", "b"), "block").where((F.col("a") < F.col("b")) & may_reach(F.col("a"), F.col("b"), threshold))
+    if not large.isEmpty():
+        pairs = pairs.unionByName(candidates(distinct.join(large, "block"), threshold, small))
     return pairs.withColumn("score", jaro_winkler("a", "b")).where(F.col("score") >= threshold)
 
 
-def survivors(records: DataFrame, threshold: float = 0.90, max_rounds: int = 200) -> DataFrame:
-    """records (seq, exact, norm, block, …) with status "keep" or "duplicate".
+def candidates(rows: DataFrame, threshold: float, small: int = SMALL) -> DataFrame:
+    """(block, a, b): pairs among which are all similar ones, of rows (block, n, names, longs) of large blocks."""
+
+    def emit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for at in range(0, len(frame), 256):  # some hundred keys a name
+                part = frame.iloc[at : at + 256]
+                yield pd.DataFrame([(b, n, key, side) for b, n in zip(part["block"], part["n"]) for key, side in keys(n, threshold)], columns=["block", "n", "key", "side"])
+
+    short = F.length("n") <= LONGEST
+    keyed = stored(rows.where(short).select("block", "n").mapInPandas(emit, "block string, n string, key long, side int"))
+    by = lambda side, c: keyed.where(F.col("side") == side).select("block", "key", F.col("n").alias(c))
+    unequal = by(0, "a").join(by(1, "b"), ["block", "key"])
+    equal = by(2, "a").join(by(2, "b"), ["block", "key"]).where("a < b")
+    tile = lambda count: F.ceil(F.col(count) / small).cast("int")
+    mine = lambda count: F.pmod(F.xxhash64("n"), tile(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), tile(count) - 1))
+    some = rows.where("longs > 0")
+    longs = some.where(~short).select("block", F.col("n").alias("a"), mine("longs").alias("r"), every("names").alias("c"))
+    others = some.select("block", F.col("n").alias("b"), every("longs").alias("r"), mine("names").alias("c"))
+    # two long names meet twice, once each way
+    long_pairs = longs.join(others, ["block", "r", "c"]).where((F.col("a") != F.col("b")) & ((F.length("b") <= LONGEST) | (F.col("a") < F.col("b"))))
+    found = unequal.select("block", "a", "b").unionByName(equal.select("block", "a", "b")).distinct().unionByName(long_pairs.select("block", "a", "b"))
+    return found.where(may_reach(F.col("a"), F.col("b"), threshold)).select("block", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+#: Rounds of joins before the rest is decided in order, and rows of a part that one task then reads.
+JOIN_ROUNDS, PART = 3, 500_000
+
+
+def survivors(records: DataFrame, threshold: float = 0.90, part: int = PART) -> DataFrame:
+    """records (seq, exact, norm, block, …) with status "keep" or "duplicate". seq is not null and differs between records.
 
-    Each round decides every record whose earlier neighbours are decided; the number of rounds is the longest chain
-    of undecided neighbours, which is short in practice."""
+    A round decides every record whose earlier neighbours are decided. A few rounds of joins settle all but chains of similar
+    names, which would need a round for each link. What is open then is dealt by ranges of seq into parts of a bounded number
+    of rows; a task goes through its part in order, so a chain of any length within a part takes one round, and the first part is
+    always settled whole. There is no limit on rounds, and each needs fewer parts than the one before."""
     base = records.select("seq", "exact", F.concat_ws("|", F.split_part("block", F.lit(":"), F.lit(1)), "norm").alias("norm"), "block", F.col("norm").alias("name"))
-    pairs = fuzzy_pairs(records, threshold)
+    pairs = stored(fuzzy_pairs(records, threshold))
     both = pairs.select("block", "a", "b").union(pairs.select("block", F.col("b").alias("a"), F.col("a").alias("b")))
-    near = base.select("seq", "block", F.col("name").alias("a")).join(both, ["block", "a"]).select("seq", F.concat_ws("|", "block", "b").alias("other"))
-    state = base.withColumn("place", F.concat_ws("|", "block", "name")).withColumn("status", F.lit("open"))
-    near = _cut(near)
-    for _ in range(max_rounds):
-        state = _cut(state)
-        if not state.where("status = 'open'").limit(1).count():
-            break
-        keep, left = F.min(F.when(F.col("status") == "keep", F.col("seq"))), F.min(F.when(F.col("status") == "open", F.col("seq")))
-        bounds = {c: state.where(F.col(c).isNotNull()).groupBy(c).agg(keep.alias(f"{c}_keep"), left.alias(f"{c}_open")) for c in ("exact", "norm")}
-        by_place = state.groupBy(F.col("place").alias("other")).agg(keep.alias("k"), left.alias("o"))
-        fuzzy = near.join(by_place, "other").groupBy("seq").agg(F.min("k").alias("near_keep"), F.min("o").alias("near_open"))
-        seen = state.join(bounds["exact"], "exact", "left").join(bounds["norm"], "norm", "left").join(fuzzy, "seq", "left")
-        before = lambda kind: F.coalesce(F.least(*[F.coalesce(f"{t}_{kind}", F.lit(1 << 62)) for t in ("exact", "norm", "near")]), F.lit(1 << 62)) < F.col("seq")  # noqa: E731, B023
-        status = F.when(F.col("status") != "open", F.col("status")).when(before("keep"), "duplicate").when(before("open"), "open").otherwise("keep")
-        state = seen.select(*[c for c in state.columns if c != "status"], status.alias("status"))
-    else:
-        raise RuntimeError(f"records are still open after {max_rounds} rounds; a chain of neighbours is longer")
-    return records.join(state.select("seq", "status"), "seq")
-
-
-def _cut(df: DataFrame) -> DataFrame:
-    """Lineage cut in the shared folder where the session names one."""
-    context = df.sparkSession.sparkContext
-    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-    if context.getCheckpointDir() is None:
-        if folder is None:
-            import tempfile
-
-            if not context.master.startswith("local["):
-                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="tidemark-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    near = stored(base.select("seq", "block", F.col("name").alias("a")).join(both, ["block", "a"]).select("seq", F.concat_ws("|", "block", "b").alias("other")))
+    state = stored(base.withColumn("place", F.concat_ws("|", "block", "name")).withColumn("status", F.lit("open")))
+    rounds = 0
+    while not state.where("status = 'open'").isEmpty():
+        seen = _bounds(state, near)
+        if rounds < JOIN_ROUNDS:
+            earlier = lambda kind: F.coalesce(F.least(*[F.coalesce(f"{t}_{kind}", F.lit(1 << 62)) for t in ("exact", "norm", "near")]), F.lit(1 << 62)) < F.col("seq")
+            status = F.when(F.col("status") != "open", F.col("status")).when(earlier("keep"), "duplicate").when(earlier("open"), "open").otherwise("keep")
+            after = stored(seen.select("seq", "exact", "norm", "block", "name", "place", status.alias("status")))
+        else:
+            decided = _in_order(seen.where("status = 'open'"), near, part)
+            after = stored(state.join(decided.withColumnRenamed("status", "now"), "seq", "left").withColumn("status", F.coalesce("now", "status")).drop("now"))
+        discard(state)
+        state, rounds = after, rounds + 1
+    out = records.join(state.select("seq", "status"), "seq")
+    discard(pairs, near)
+    return out
+
+
+def _bounds(state: DataFrame, near: DataFrame) -> DataFrame:
+    """state with, for its exact key, its normalised key and similar names, the first record that is kept and the first that is open."""
+    keep, left = F.min(F.when(F.col("status") == "keep", F.col("seq"))), F.min(F.when(F.col("status") == "open", F.col("seq")))
+    bounds = {c: state.where(F.col(c).isNotNull()).groupBy(c).agg(keep.alias(f"{c}_keep"), left.alias(f"{c}_open")) for c in ("exact", "norm")}
+    by_place = state.groupBy(F.col("place").alias("other")).agg(keep.alias("k"), left.alias("o"))
+    fuzzy = near.join(by_place, "other").groupBy("seq").agg(F.min("k").alias("near_keep"), F.min("o").alias("near_open"))
+    return state.join(bounds["exact"], "exact", "left").join(bounds["norm"], "norm", "left").join(fuzzy, "seq", "left")
+
+
+def _in_order(rows: DataFrame, near: DataFrame, part: int) -> DataFrame:
+    """(seq, status) of the open records that their part of the order decides; `rows` has the bounds of each.
+
+    A part is a range of seq. It knows which keys its own records have taken or may take, and by the bounds which
+    records have an open neighbour before the part; these stay open unless a kept record claims them."""
+    bound = lambda kind: F.least(*[F.coalesce(f"{t}_{kind}", F.lit(1 << 62)) for t in ("exact", "norm", "near")])
+    own = lambda tag, c: F.when(F.col(c).isNotNull(), F.concat(F.lit(tag), F.col(c)))
+    # a record looks at its keys and at the places of similar names; once kept, it takes its keys and its own place
+    mine = rows.select("seq", bound("keep").alias("kept"), bound("open").alias("open"), F.array_compact(F.array(own("e", "exact"), own("n", "norm"))).alias("keys"), F.concat(F.lit("p"), "place").alias("place"))
+    looks = rows.select("seq").join(near, "seq").select("seq", F.concat(F.lit("p"), "other").alias("other"))
+    none = lambda kind: F.lit(None).cast(kind)
+    lines = mine.withColumn("other", none("string")).unionByName(looks.select("seq", F.lit(0).cast("bigint").alias("kept"), F.lit(0).cast("bigint").alias("open"), none("array<string>").alias("keys"), none("string").alias("place"), "other"))
+    lines = stored(lines)
+    parts = max(1, -(-lines.count() // part))
+
+    def decide(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        first, taken, doubtful = None, set(), set()
+        record, others = None, []
+
+        def settle() -> tuple:
+            seq, kept, open_, keys, place = record
+            looked = [*keys, *others]
+            if kept < seq or any(k in taken for k in looked):
+                return seq, "duplicate"
+            if open_ < first or any(k in doubtful for k in looked):
+                doubtful.update([*keys, place])
+                return seq, "open"
+            taken.update([*keys, place])
+            return seq, "keep"
+
+        for frame in frames:
+            out = []
+            for seq, kept, open_, keys, place, other in frame[["seq", "kept", "open", "keys", "place", "other"]].itertuples(index=False, name=None):
+                first = seq if first is None else first
+                if isinstance(other, str):
+                    others.append(other)
+                    continue
+                if record is not None:
+                    out.append(settle())
+                record, others = (seq, kept, open_, list(keys), place), []
+            yield pd.DataFrame(out, columns=["seq", "status"])
+        if record is not None:
+            yield pd.DataFrame([settle()], columns=["seq", "status"])
+
+    # all lines of a record meet, its own first; no range cuts a record, as ranges are of seq alone
+    dealt = lines.repartitionByRange(parts, "seq").sortWithinPartitions("seq", F.col("other").asc_nulls_first())
+    decided = stored(dealt.mapInPandas(decide, "seq long, status string"))
+    discard(lines)
+    return decided
 
 
 def dedup_stats(judged: DataFrame) -> DataFrame:

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from tidemark.operators import ingest, news, validate
 from tidemark.plans.datequeries import now_col
 from tidemark.plans.registry import query
-from tidemark.sources import crawl, parsers
+from tidemark.sources import answers, crawl, parsers
 from tidemark.sources.readers import table
+from tidemark.tables import fresh_path
 
 
 def _quoted(x) -> F.Column:
@@ -251,3 +252,30 @@ def quota_tracking(spark, sf):
     reset = F.when(i % 3 == 0, F.create_map(F.lit("x-ratelimit-reset"), i.cast("string"))).otherwise(F.create_map(F.lit("Server"), F.lit("s")))
     rows = table(spark, sf, "events").select(F.col("event_type").alias("source"), i.alias("seq"), F.when(i % 40 == 1, 403).otherwise(200).alias("http_status"), F.map_concat(left, reset).alias("headers"))
     return crawl.quota(rows)
+
+
+def _answers(spark, sf):
+    """Pages as landed answers: every field follows from the number of the page."""
+    i = F.col("page_id")
+    headers = F.when(i % 3 == 0, F.create_map(F.lit("X-RateLimit-Remaining"), (i % 11).cast("string")))
+    status = F.when(i % 7 == 0, 429).when(i % 7 == 1, 503).when(i % 7 == 2, 404).when(i % 7 != 3, 200)
+    answer = F.to_json(F.struct(F.concat(F.lit("s"), i % 5).alias("source"), "url", (i % 6).alias("attempt"), status.alias("http_status"), i.alias("at"), F.when(i % 14 == 0, (i % 90).cast("string")).alias("retry_after"), headers.alias("headers"), F.col("url").alias("raw_content")))
+    return table(spark, sf, "pages").select(F.when(i % 17 == 0, F.concat(F.lit("<html>"), i)).otherwise(answer).alias("value"))
+
+
+@query(
+    "landed_answers",
+    """WITH p AS (SELECT *, page_id % 17 = 0 AS broken, page_id % 6 AS k, CASE page_id % 7 WHEN 0 THEN 429 WHEN 1 THEN 503 WHEN 2 THEN 404 WHEN 3 THEN NULL ELSE 200 END AS st FROM pages),
+  a AS (SELECT *, st IS NULL OR st = 429 OR st >= 500 AS again, CASE WHEN page_id % 3 = 0 THEN page_id % 11 END AS q FROM p)
+  SELECT CASE WHEN NOT broken THEN 's' || page_id % 5 END AS source, CASE WHEN broken THEN '<html>' || page_id ELSE url END AS body, CASE WHEN NOT broken THEN CAST(k AS INT) END AS attempt, CASE WHEN NOT broken THEN st END AS http_status,
+    CASE WHEN NOT broken THEN again END AS retried, CASE WHEN NOT broken AND again THEN greatest(least(60.0, 2.0 ** k), CASE WHEN page_id % 14 = 0 THEN page_id % 90 ELSE 0 END)::DOUBLE END AS wait,
+    CASE WHEN NOT broken THEN CAST(q AS INT) END AS quota_left, CASE WHEN NOT broken THEN coalesce(q <= 5, false) END AS quota_low
+  FROM a WHERE broken OR k <= 3""",
+)
+def landed_answers(spark, sf):
+    """Answers land as files of lines and are read back by the data source, which judges each of them."""
+    folder = fresh_path(spark)
+    _answers(spark, sf).write.text(folder)
+    answers.register(spark)
+    rows = spark.read.format("landed_answers").option("path", folder).option("retries", crawl.RETRIES).load()
+    return rows.select("source", F.col("raw_content").alias("body"), "attempt", "http_status", "retried", "wait", "quota_left", "quota_low")

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import search as ops
+from tidemark.operators import text_index, vector_index
 from tidemark.plans.core import typed
 from tidemark.plans.registry import query
 from tidemark.sources.readers import table
+from tidemark.tables import fresh_path
 
 
 def _columns():
@@ -78,6 +80,22 @@ def cosine_topk(spark, sf):
     return _semantic(spark, sf).orderBy(F.desc("score"), "doc_id").limit(50).withColumnRenamed("doc_id", "vec_id")
 
 
+@query("indexed_lexical_topk", _BM25 + "SELECT doc_id, score FROM s ORDER BY score DESC, doc_id LIMIT 50")
+def indexed_lexical_topk(spark, sf):
+    """As lexical_topk, from postings that are written first."""
+    path = fresh_path(spark)
+    text_index.build(table(spark, sf, "documents"), path, "doc_id", "text")
+    return text_index.search(spark, path, TERMS, 50).withColumnRenamed("id", "doc_id")
+
+
+@query("indexed_cosine_topk", _COSINE + " SELECT doc_id AS vec_id, score FROM c ORDER BY score DESC, doc_id LIMIT 50")
+def indexed_cosine_topk(spark, sf):
+    """As cosine_topk, from lists of vectors that are written first; only lists that may hold one of the best are read."""
+    path = fresh_path(spark)
+    vector_index.build(table(spark, sf, "embeddings"), path, "vec_id", "embedding")
+    return vector_index.search(spark, path, _VECTOR, 50).withColumnRenamed("id", "vec_id")
+
+
 @query(
     "rrf_hybrid",
     _BM25.rstrip() + ", " + _COSINE[5:] + ", a AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS k FROM s), b AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS k FROM c), "
