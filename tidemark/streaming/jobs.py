@@ -7,10 +7,11 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.functions.dates import is_fresh
-from tidemark.functions.text import _jaro_winkler
+from tidemark.functions.similar import PREFIX, jaro_winkler_many, least_jaro
 from tidemark.operators.metrics import NEWEST, half_up
 from tidemark.operators.validate import validate
 
@@ -56,25 +57,81 @@ def changes(stream: DataFrame, url: str, seq: str, text: str) -> DataFrame:
     return rows.groupBy("url").applyInPandasWithState(update, "url string, seq long, hash string, changed boolean", "hash string", "append", GroupStateTimeout.NoTimeout)
 
 
-def fuzzy_first_seen(stream: DataFrame, block: str, name: str, seq: str, threshold: float = 0.90) -> DataFrame:
-    """(block, seq, name, status): per block a name is a duplicate if a kept one is similar. Exact keys that cross blocks need
-    first_seen before this."""
+#: Names of an entry of the state.
+PAGE = 256
+
+
+class FirstOfSimilar(StatefulProcessor):
+    """Whether a name is like one that its block has kept. Kept names stand in pages of PAGE names of one length; a frame of new
+    names reads the pages of lengths that can be similar one by one, so neither a task nor an entry of the state ever holds
+    a block. A page lasts until ttl has passed since its last name came."""
+
+    def __init__(self, threshold: float, ttl_ms: int | None, page: int = PAGE):
+        self.threshold, self.ttl_ms, self.page = threshold, ttl_ms, page
+        self.ratio = 3 * least_jaro(threshold, PREFIX) - 2  # shorter to longer, at least
+
+    def init(self, handle) -> None:
+        self.pages = handle.getMapState("pages", "length int, page int", "names array<string>", self.ttl_ms)
+        self.sizes = handle.getMapState("sizes", "length int", "names int", self.ttl_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        for frame in rows:
+            frame = frame.sort_values("seq", kind="stable")
+            names = frame["name"].tolist()
+            twin = [False] * len(names)
+            lengths = {len(n) for n in names if n is not None}
+            for (length,), (size,) in self.sizes.iterator() if self.sizes.exists() else ():
+                if any(self._may(length, n) for n in lengths):
+                    for page in range(-(-size // self.page)):
+                        if self.pages.containsKey((length, page)):
+                            self._mark(names, twin, self.pages.getValue((length, page))[0])
+            kept: list[str] = []
+            for i, n in enumerate(names):
+                if n is not None and not twin[i]:
+                    near = [k for k in kept if self._may(len(k), len(n))]
+                    twin[i] = bool((jaro_winkler_many(near, [n] * len(near)) >= self.threshold).any())
+                    if not twin[i]:
+                        kept.append(n)
+            self._keep(kept)
+            frame["status"] = ["duplicate" if t else "keep" for t in twin]
+            yield frame[["block", "seq", "name", "status"]]
+
+    def _may(self, a: int, b: int) -> bool:
+        return a == b or min(a, b) >= self.ratio * max(a, b)
+
+    def _mark(self, names: list, twin: list[bool], old: list[str]) -> None:
+        open_ = [i for i, n in enumerate(names) if n is not None and not twin[i] and self._may(len(n), len(old[0]))]
+        for at in range(0, len(open_), 256):
+            some = open_[at : at + 256]
+            score = jaro_winkler_many([names[i] for i in some for _ in old], list(old) * len(some)).reshape(len(some), len(old))
+            for i, hit in zip(some, (score >= self.threshold).any(axis=1)):
+                twin[i] = bool(hit)
+
+    def _keep(self, kept: list[str]) -> None:
+        for length in sorted({len(n) for n in kept}):
+            new = [n for n in kept if len(n) == length]
+            size = self.sizes.getValue((length,))[0] if self.sizes.containsKey((length,)) else 0
+            while new:
+                page, there = divmod(size, self.page)
+                old = list(self.pages.getValue((length, page))[0]) if there and self.pages.containsKey((length, page)) else []
+                self.pages.updateValue((length, page), (old + new[: self.page - there],))
+                size, new = size + len(new[: self.page - there]), new[self.page - there :]
+            self.sizes.updateValue((length,), (size,))
+
+    def close(self) -> None:
+        pass
+
+
+def fuzzy_first_seen(stream: DataFrame, block: str, name: str, seq: str, threshold: float = 0.90, ttl: str | None = None) -> DataFrame:
+    """(block, seq, name, status): per block a name is a duplicate if a kept one is similar; null names are kept. Exact keys that cross
+    blocks need first_seen before this. Within a batch names count in the order of seq as far as they come in one frame, frames in
+    the order in which they come. With a ttl, kept names are forgotten when it has passed.
+
+    The session's state store must be RocksDB, see session.SETTINGS. State that may expire asks for one more batch time and again, so a
+    query with a ttl that is to stop when all is read needs spark.sql.streaming.noDataMicroBatches.enabled = false."""
     rows = stream.select(F.col(block).cast("string").alias("block"), F.col(seq).cast("long").alias("seq"), F.col(name).cast("string").alias("name"))
-
-    def update(key, frames: Iterator[pd.DataFrame], state: GroupState):
-        kept = list(state.get[0]) if state.exists else []
-        frame = pd.concat(list(frames)).sort_values("seq")
-        status = []
-        for n in frame["name"]:
-            twin = any(n == k or _jaro_winkler(n, k) >= threshold for k in kept)
-            status.append("duplicate" if twin else "keep")
-            if not twin:
-                kept.append(n)
-        state.update((kept,))
-        frame["status"] = status
-        yield frame[["block", "seq", "name", "status"]]
-
-    return rows.groupBy("block").applyInPandasWithState(update, "block string, seq long, name string, status string", "kept array<string>", "append", GroupStateTimeout.NoTimeout)
+    ttl_ms = int(pd.Timedelta(ttl).total_seconds() * 1000) if ttl else None
+    return rows.groupBy("block").transformWithStateInPandas(FirstOfSimilar(threshold, ttl_ms), "block string, seq long, name string, status string", "Append", "ProcessingTime" if ttl else "None")
 
 
 def telemetry(stream: DataFrame, time: str, key: str, width: str = "1 day", delay: str = "1 hour") -> DataFrame:
