@@ -21,11 +21,15 @@ def matches(query: str, kind: str, pricing: str, c: dict[str, Column]) -> Column
         test = test & ((c["type"] != "PRODUCT") | (F.coalesce(c["pricing"], F.lit("UNVERIFIED")) == pricing))
     if query.strip():
         low = query.lower()
-        texts = [first_filled(c["entity"], c["title"], c["company"]), first_filled(c["full_text"], c["startup"], c["source"]), F.array_join(c["authors"], " ")]
-        test = test & reduce(lambda a, b: a | b, [F.coalesce(F.lower(t), F.lit("")).contains(low) for t in texts])
+        test = test & reduce(lambda a, b: a | b, [F.coalesce(F.lower(t), F.lit("")).contains(low) for t in searched(c)])
     return test
 
 
+def searched(c: dict[str, Column]) -> list[Column]:
+    """The texts of a record that a query may stand in."""
+    return [first_filled(c["entity"], c["title"], c["company"]), first_filled(c["full_text"], c["startup"], c["source"]), F.array_join(c["authors"], " ")]
+
+
 def bm25(docs: DataFrame, terms: list[str], id_col: str, text_col: str) -> DataFrame:
     """(id_col, score) of the documents that hold a term. Words are counted by a pattern; only documents that a term's letters
     occur in are split into words, and only the query's terms are exploded."""

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import ingest, news, validate
+from tidemark.operators import ingest, news, runner, validate
 from tidemark.plans.datequeries import now_col
+from tidemark.plans.records import _SQL_RECORDS, _SURVIVORS
 from tidemark.plans.registry import query
+from tidemark.plans.textqueries import _sql_key
 from tidemark.sources import answers, crawl, parsers
 from tidemark.sources.readers import table
-from tidemark.tables import fresh_path
+from tidemark.tables import fresh_path, stored
 
 
 def _quoted(x) -> F.Column:
@@ -279,3 +281,52 @@ def landed_answers(spark, sf):
     answers.register(spark)
     rows = spark.read.format("landed_answers").option("path", folder).option("retries", crawl.RETRIES).load()
     return rows.select("source", F.col("raw_content").alias("body"), "attempt", "http_status", "retried", "wait", "quota_left", "quota_low")
+
+
+_RUN_SEEDS = [("OpenAI", ["Open AI"]), ("Mistral AI", ["Mistral"])]
+_RUN = f"""p AS (SELECT s_suppkey AS i, s_name AS n FROM supplier),
+  f AS (SELECT 0 AS route, i, 'STARTUP' AS kind, CASE WHEN i % 20 = 0 THEN 'OpenAI' ELSE 'Alpha ' || i % 12 END AS name, 'https://alpha' || i % 30 || '.com' AS url, CASE WHEN i % 20 = 0 THEN 'Open AI' ELSE 'Alpha ' || i % 12 END AS raw FROM p WHERE i % 4 = 0
+    UNION ALL SELECT 1, i, 'JOB', CASE WHEN i % 8 = 1 THEN n ELSE 'Remote Company' END, 'https://jobs.example.com/' || i % 40, CASE WHEN i % 8 = 1 THEN n ELSE 'Remote Company' END FROM p WHERE i % 4 = 1 AND i * 5 % 36 <= 24
+    UNION ALL SELECT 2, i, 'PRODUCT', 'Tool ' || i % 15, 'https://tool' || i % 9 || '.io', 'Tool ' || i % 15 FROM p WHERE i % 4 = 2),
+  r AS MATERIALIZED (SELECT row_number() OVER (ORDER BY route, i, raw, url) AS seq, i, name, url, kind, CASE kind WHEN 'STARTUP' THEN 'startup_domain:' || split_part(url, '/', 3) ELSE 'url:' || url END AS exact, {_sql_key('name')} AS norm, kind || ':' || substring({_sql_key('name')}, 1, 2) AS block FROM f)"""
+_RAN = _SURVIVORS.replace(_SQL_RECORDS, _RUN) + ", k AS (SELECT o.*, list_contains(z.kept, o.k) AS kept FROM o, (SELECT kept FROM s ORDER BY k DESC LIMIT 1) z)"
+
+
+def _run(spark, sf):
+    """Payloads of three kinds with records that repeat by address, by name and by similar names."""
+    i = F.col("s_suppkey")
+    text = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
+    at = F.date_format(now_col() - F.make_dt_interval(hours=(i * 5 % 36).cast("int")), "yyyy-MM-dd HH:mm:ss")
+    job = F.to_json(F.array(F.struct(F.when(i % 8 == 1, F.col("s_name")).alias("company"), F.lit("Designer").alias("position"), at.alias("date"), text("https://jobs.example.com/", i % 40).alias("url"))))
+    name = F.when(i % 20 == 0, "Open AI").otherwise(text("Alpha ", i % 12))
+    kinds = ["https://lists.example.com/startups/", "https://jobs.example.com/api/", "https://lists.example.com/products/", "https://elsewhere.example.com/"]
+    bodies = [text("## Tools\n- [", name, "](https://alpha", i % 30, ".com) - a tool\n"), job, text("## Tools\n- [Tool ", i % 15, "](https://tool", i % 9, ".io) - a tool\n"), F.lit("- [X](https://x.com)")]
+    pick = lambda xs: F.when(i % 4 == 0, xs[0]).when(i % 4 == 1, xs[1]).when(i % 4 == 2, xs[2]).otherwise(xs[3])
+    payloads = table(spark, sf, "supplier").select("s_suppkey", F.concat(pick([F.lit(k) for k in kinds]), i).alias("source_url"), pick(bodies).alias("body"))
+    named = lambda kind, **columns: {"record_type": F.lit(kind)} | {k: F.col(v) for k, v in columns.items()}
+    routes = [
+        ("/startups/", lambda p: parsers.markdown_startups(p, "body"), named("STARTUP", name="name", url="link")),
+        ("jobs.example.com", lambda p: parsers.remote_jobs(p, "body", now_col()), named("JOB", name="company", url="url")),
+        ("/products/", lambda p: parsers.markdown_products(p, "body"), named("PRODUCT", name="name", url="link")),
+    ]
+    seeds = spark.createDataFrame([(k, n, a, None) for k, (n, a) in enumerate(_RUN_SEEDS)], "ordinal int, canonical_name string, aliases array<string>, domain string")
+    return runner.run(payloads, routes, seeds, keys=("s_suppkey",))
+
+
+@query("run_records", "WITH RECURSIVE " + _RAN.removeprefix("WITH RECURSIVE ") + " SELECT i AS s_suppkey, kind AS record_type, name, url, CASE WHEN kept THEN 'keep' ELSE 'duplicate' END AS status FROM k")
+def run_records(spark, sf):
+    """Payloads to survivors in one run."""
+    return _run(spark, sf).records.select("s_suppkey", "record_type", "name", "url", "status")
+
+
+@query(
+    "run_counters",
+    "WITH RECURSIVE " + _RAN.removeprefix("WITH RECURSIVE ") + f""", t AS (SELECT unnest({list(runner.TYPES)!r}) AS record_type)
+    SELECT record_type, count(kind) AS crawled, count_if(coalesce(kept, false)) AS accepted, count_if(NOT coalesce(kept, true)) AS duplicates FROM t LEFT JOIN k ON kind = record_type GROUP BY record_type""",
+)
+def run_counters(spark, sf):
+    """Counters of a run, observed while its records are written."""
+    found = _run(spark, sf)
+    stored(found.records)
+    counts = found.counters()
+    return spark.createDataFrame([(t, *(counts[c][t] for c in ("crawled", "accepted", "duplicates"))) for t in runner.TYPES], "record_type string, crawled long, accepted long, duplicates long")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import search as ops
-from tidemark.operators import text_index, vector_index
+from tidemark.operators import lookup, text_index, vector_index
 from tidemark.plans.core import typed
 from tidemark.plans.registry import query
 from tidemark.sources.readers import table
@@ -50,6 +50,24 @@ def search_by_type(spark, sf):
     return typed(spark, sf).where(ops.matches("der", "NEWS", "ALL", _columns())).select("doc_id", "kind")
 
 
+_ASKED, _KINDS = ["the ", "DER", "  ", "en", "la ", "zz", "un", "Web", "crawl", "de"], ["ALL", "NEWS", "PRODUCT", "JOB", "STARTUP", "RESEARCH_PAPER"]
+
+
+@query(
+    "saved_search_alerts",
+    _REC + f""", a AS (SELECT s_suppkey AS search_id, lower({_ASKED!r}[CAST(s_suppkey % 10 AS INT) + 1]) AS q, {_KINDS!r}[CAST(s_suppkey % 6 AS INT) + 1] AS k, ['ALL', 'FREE', 'UNVERIFIED'][CAST(s_suppkey % 3 AS INT) + 1] AS p, ['INSTANT', 'DAILY'][CAST(s_suppkey % 2 AS INT) + 1] AS frequency FROM supplier)
+    SELECT search_id, frequency, count(*) AS n, min(doc_id) AS first_doc FROM a JOIN f ON (k = 'ALL' OR k = kind) AND (p = 'ALL' OR kind <> 'PRODUCT' OR coalesce(pricing, 'UNVERIFIED') = p)
+      AND (trim(q) = '' OR contains(title, q) OR contains(body, q) OR contains(authors, q)) GROUP BY ALL""",
+)
+def saved_search_alerts(spark, sf):
+    """Every supplier has saved a search; each record is read once and finds the searches."""
+    i, pick = F.col("s_suppkey"), lambda values: F.element_at(F.array(*map(F.lit, values)), (F.col("s_suppkey") % len(values) + 1).cast("int"))
+    searches = table(spark, sf, "supplier").select(i.alias("search_id"), pick(_ASKED).alias("query"), pick(_KINDS).alias("kind"), pick(["ALL", "FREE", "UNVERIFIED"]).alias("pricing"), pick(["INSTANT", "DAILY"]).alias("frequency"))
+    c = _columns()
+    found = lookup.alerts(typed(spark, sf), searches, ops.searched(c), "kind", c["pricing"])
+    return found.groupBy("search_id", "frequency").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"))
+
+
 TERMS = ["thing", "worthless", "nicht", "pour"]
 _BM25 = rf"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w FROM documents),
   n AS (SELECT count(*) AS n, avg(len(w)) AS a FROM w), t AS (SELECT doc_id, len(w) AS len, unnest(list_filter(w, lambda x: x IN ({', '.join(f"'{t}'" for t in TERMS)}))) AS term FROM w),

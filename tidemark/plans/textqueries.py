@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import classify, text
+from tidemark.operators import lookup
 from tidemark.plans.registry import query
 from tidemark.sources.readers import table
 
@@ -184,6 +185,17 @@ def mentions(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.array_join(classify.mentions(F.concat("text", tail)), ";").alias("entities"))
 
 
+@query("mentions_lookup", "SELECT doc_id, array_to_string(list_filter([" + ", ".join(f"'{e}'" for e in classify.KNOWN_ENTITIES) + rf"], lambda e: regexp_matches({_NEWS}, '(?i)\b' || e || '\b')), ';') AS entities FROM documents")
+def mentions_lookup(spark, sf):
+    """As mentions, from a table of entities and one pass over the texts."""
+    tail = F.element_at(F.array(*map(F.lit, [" OpenAI and xAI met Groq", " openai", " Meta AIs", " Apple; NVIDIA!", ""])), (F.col("doc_id") % 5 + 1).cast("int"))
+    names = spark.createDataFrame(list(enumerate(classify.KNOWN_ENTITIES)), "ordinal int, name string")
+    docs = table(spark, sf, "documents").select("doc_id", F.concat("text", tail).alias("text"))
+    order = F.array(*map(F.lit, classify.KNOWN_ENTITIES))
+    named = F.transform("mentioned", lambda i: F.element_at(order, (i + 1).cast("int")))
+    return lookup.mentions(docs, "text", names).select("doc_id", F.array_join(named, ";").alias("entities"))
+
+
 _SIGNS = ["<p>ok</p>", "Just a moment...", "g-recaptcha box", "<div class=h-captcha>", "cf-turnstile", "DataDome here", "Access Denied"]
 _SIGN_SQL = "html || [" + ", ".join(f"'{s}'" for s in _SIGNS) + "][CAST(page_id % 7 AS INT) + 1]"
 
@@ -227,6 +239,20 @@ def domain_company(spark, sf):
     return table(spark, sf, "supplier").select("s_suppkey", classify.host_company(host).alias("company"))
 
 
+@query(
+    "host_lookup",
+    f"""WITH t(host, company, ordinal) AS (VALUES {", ".join(f"('{h}', '{n}', {i})" for i, (h, n) in enumerate(classify.HOST_COMPANIES.items()))}),
+    u AS (SELECT c_custkey, ['', 'www.', 'a.b.', 'not', 'docs.'][CAST(c_custkey % 5 AS INT) + 1] || (SELECT host FROM t WHERE ordinal = c_custkey % 16) || CASE WHEN c_custkey % 11 = 0 THEN '.org' ELSE '' END AS host FROM customer)
+    SELECT c_custkey, arg_min(company, ordinal) AS company FROM u LEFT JOIN t ON u.host = t.host OR ends_with(u.host, '.' || t.host) GROUP BY c_custkey""",
+)
+def host_lookup(spark, sf):
+    """Companies of hosts and their parents, from a table of hosts."""
+    known = spark.createDataFrame([(h, n, i) for i, (h, n) in enumerate(classify.HOST_COMPANIES.items())], "host string, company string, ordinal int")
+    i, pick = F.col("c_custkey"), lambda values, n: F.element_at(F.array(*map(F.lit, values)), (F.col("c_custkey") % n + 1).cast("int"))
+    host = F.concat(pick(["", "www.", "a.b.", "not", "docs."], 5), pick(list(classify.HOST_COMPANIES), 16), F.when(i % 11 == 0, ".org").otherwise(""))
+    return lookup.by_host(table(spark, sf, "customer").select(i, host.alias("at")), "at", known).select("c_custkey", "company")
+
+
 _BLURBS = ["A chat tool by Acme Labs, for all", "Built from scratch and text input (fast)", "OpenAI's model", "plain words", "created by Tiny Corp. Nice"]
 
 
