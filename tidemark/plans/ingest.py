@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import ingest, news, runner, validate
+from tidemark.operators import extract, ingest, news, runner, validate
 from tidemark.plans.datequeries import now_col
 from tidemark.plans.records import _SQL_RECORDS, _SURVIVORS
 from tidemark.plans.registry import query
@@ -330,3 +330,40 @@ def run_counters(spark, sf):
     stored(found.records)
     counts = found.counters()
     return spark.createDataFrame([(t, *(counts[c][t] for c in ("crawled", "accepted", "duplicates"))) for t in runner.TYPES], "record_type string, crawled long, accepted long, duplicates long")
+
+
+_TOKEN = r"[\p{L}\p{M}]{1,6}|\p{N}{1,3}|[^\s\p{L}\p{M}\p{N}]"
+_COUNT = lambda x: f"len(regexp_extract_all({x}, '{_TOKEN}'))"
+
+
+@query(
+    "budgeted_chunks",
+    rf"""WITH p AS (SELECT doc_id, k, u FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS u, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM documents) WHERE trim(u, ' ') <> ''),
+    s AS (SELECT doc_id, k, unnest(l) AS u, generate_subscripts(l, 1) AS j FROM (SELECT doc_id, k, CASE WHEN {_COUNT('u')} > 30 THEN string_split(regexp_replace(u, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)) ELSE [u] END AS l FROM p)),
+    w AS (SELECT * FROM (SELECT doc_id, k, j, unnest(l) AS u, generate_subscripts(l, 1) AS i FROM (SELECT doc_id, k, j, CASE WHEN {_COUNT('u')} > 30 THEN regexp_split_to_array(u, '\s+') ELSE [u] END AS l FROM s)) WHERE u <> ''),
+    c AS (SELECT doc_id, k, j, i, unnest(l) AS u, generate_subscripts(l, 1) AS h FROM (SELECT doc_id, k, j, i, CASE WHEN {_COUNT('u')} > 30 THEN list_transform(range(0, (length(u) - 1) // 30 + 1), lambda q: substr(u, q * 30 + 1, 30)) ELSE [u] END AS l FROM w)),
+    n AS (SELECT *, {_COUNT('u')} AS n FROM c),
+    b AS (SELECT *, CAST(coalesce(sum(n) OVER (PARTITION BY doc_id ORDER BY k, j, i, h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) // 90 AS chunk FROM n),
+    g AS (SELECT *, CASE WHEN lag(k) OVER x IS NULL OR h > 1 AND lag(k) OVER x IS NOT NULL THEN '' WHEN lag(k) OVER x <> k THEN chr(10) || chr(10) ELSE ' ' END AS gap FROM b WINDOW x AS (PARTITION BY doc_id, chunk ORDER BY k, j, i, h))
+    SELECT doc_id, chunk, CAST(sum(n) AS INT) AS tokens, sha256(string_agg(gap || u, '' ORDER BY k, j, i, h)) AS digest FROM g GROUP BY doc_id, chunk""",
+)
+def budgeted_chunks(spark, sf):
+    """Lines of documents in chunks of at most 120 tokens."""
+    found = extract.budgeted(table(spark, sf, "documents"), "doc_id", "text", 120, between="\n")
+    return found.select("doc_id", "chunk", "tokens", F.sha2(F.col("text").cast("binary"), 256).alias("digest"))
+
+
+@query(
+    "merged_facts",
+    """WITH f AS (SELECT l_orderkey, l_linenumber AS chunk, l_discount AS c, unnest(['flag', 'status', 'size']) AS field, unnest([l_returnflag, CASE WHEN l_quantity > 10 THEN l_linestatus END, CASE WHEN l_quantity > 25 THEN 'large' WHEN l_quantity > 40 THEN 'small' END]) AS v FROM lineitem),
+    h AS (SELECT l_orderkey, field, v, count(*) AS n, max(c) AS c, min(chunk) AS k FROM f WHERE v IS NOT NULL GROUP BY ALL),
+    b AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, field ORDER BY n DESC, c DESC, k, v) AS r, count(*) OVER (PARTITION BY l_orderkey, field) AS m FROM h)
+    SELECT DISTINCT f.l_orderkey, f.field, b.v AS value, b.c AS confidence, coalesce(b.n, 0) AS facts, coalesce(b.m > 1, false) AS conflict FROM f LEFT JOIN b ON f.l_orderkey = b.l_orderkey AND f.field = b.field AND b.r = 1""",
+)
+def merged_facts(spark, sf):
+    """Lines of an order as chunks whose facts about it are merged."""
+    size = F.when(F.col("l_quantity") > 25, "large").when(F.col("l_quantity") > 40, "small")
+    pair = lambda field, v: F.struct(F.lit(field).alias("field"), v.alias("value"))
+    each = F.explode(F.array(pair("flag", F.col("l_returnflag")), pair("status", F.when(F.col("l_quantity") > 10, F.col("l_linestatus"))), pair("size", size)))
+    facts = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_linenumber").alias("chunk"), F.col("l_discount").alias("confidence"), each.alias("f")).select("l_orderkey", "chunk", "confidence", "f.*")
+    return extract.merged(facts, ["l_orderkey", "field"])
