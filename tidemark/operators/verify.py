@@ -13,16 +13,17 @@ def verify_fields(observations: DataFrame, seq: str = "seq") -> DataFrame:
     obs = observations.select(F.lower(F.trim("entity")).alias("entity"), F.lower(F.trim("field")).alias("field"), "value", F.lower(F.trim(F.col("value").cast("string"))).alias("v"), F.col(seq).alias("s"))
     by_value = obs.groupBy("entity", "field", "v").agg(F.min("s").alias("s"), F.min_by("value", "s").alias("value"), F.count("*").alias("n"))
     present = F.col("v").isNotNull()
-    place = F.row_number().over(Window.partitionBy("entity", "field").orderBy(F.col("v").isNull(), "s"))
-    by_value = by_value.withColumn("place", F.when(present, place))
     groups = by_value.groupBy("entity", "field").agg(
         F.sum("n").alias("observations"),
         F.sum(F.when(present, F.col("n")).otherwise(0)).alias("non_null"),
         F.count_if(present).alias("distinct_values"),
         F.min_by(F.when(present, F.col("value")), F.when(present, F.col("s"))).alias("canonical"),
-        # flags need the first two distinct values, so no more are gathered
-        F.array_sort(F.collect_list(F.when(F.col("place") <= 2, F.struct("s", "value", "n")))).alias("groups"),
     )
+    # flags need the first two distinct values; the limit on the place holds before the shuffle, so a task sees two for each part
+    place = F.row_number().over(Window.partitionBy("entity", "field").orderBy("s"))
+    first = by_value.where(present).withColumn("place", place).where("place <= 2").groupBy(F.col("entity").alias("_e"), F.col("field").alias("_f")).agg(F.array_sort(F.collect_list(F.struct("s", "value", "n"))).alias("groups"))
+    groups = groups.join(first, F.col("entity").eqNullSafe(F.col("_e")) & F.col("field").eqNullSafe(F.col("_f")), "left").drop("_e", "_f")
+    groups = groups.withColumn("groups", F.coalesce("groups", F.array()))
     status = F.when(F.col("non_null") <= 1, "SINGLE_SOURCE").when(F.col("distinct_values") == 1, "VERIFIED").otherwise("DISPUTED")
     confidence = F.when(F.col("non_null") == 0, 0.5).when(F.col("non_null") == 1, 0.75).when(F.col("distinct_values") == 1, 1.0).otherwise(0.45)
     return groups.withColumns({"status": status, "confidence": confidence})

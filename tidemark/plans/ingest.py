@@ -9,8 +9,8 @@ from tidemark.plans.datequeries import now_col
 from tidemark.plans.records import _SQL_RECORDS, _SURVIVORS
 from tidemark.plans.registry import query
 from tidemark.plans.textqueries import _sql_key
-from tidemark.sources import answers, crawl, parsers
-from tidemark.sources.readers import table
+from tidemark.sources import answers, crawl, delivery, parsers
+from tidemark.sources.readers import records, table
 from tidemark.tables import fresh_path, stored
 
 
@@ -367,3 +367,12 @@ def merged_facts(spark, sf):
     each = F.explode(F.array(pair("flag", F.col("l_returnflag")), pair("status", F.when(F.col("l_quantity") > 10, F.col("l_linestatus"))), pair("size", size)))
     facts = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_linenumber").alias("chunk"), F.col("l_discount").alias("confidence"), each.alias("f")).select("l_orderkey", "chunk", "confidence", "f.*")
     return extract.merged(facts, ["l_orderkey", "field"])
+
+
+@query("delivered_records", """SELECT c_custkey, c_name || ' "' || chr(10) || '"' AS name, CASE WHEN c_custkey % 3 > 0 THEN c_acctbal END AS balance FROM customer""")
+def delivered_records(spark, sf):
+    """Customers delivered as JSON arrays and read back; private columns stay behind."""
+    folder = fresh_path(spark)
+    rows = table(spark, sf, "customer").select("c_custkey", F.concat("c_name", F.lit(' "\n"')).alias("name"), F.when(F.col("c_custkey") % 3 > 0, F.col("c_acctbal")).alias("balance"), F.lit(1).alias("_private"))
+    delivery.write_array(rows, folder, per_file=1000)
+    return records(spark, folder).select("c_custkey", "name", "balance")

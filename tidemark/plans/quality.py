@@ -8,7 +8,9 @@ from tidemark.functions import scoring, text
 from tidemark.operators import dedup, incremental, lineage, verify
 from tidemark.plans.datequeries import now_col
 from tidemark.plans.registry import query
+from tidemark.sources import delivery
 from tidemark.sources.readers import table
+from tidemark.tables import fresh_path
 
 _SOURCES = ["https://export.arxiv.org/api", "https://techcrunch.com/x", "https://paperswithcode.com/p", "https://example.com"]
 _METHODS = ["api_structured", "html_parsing", "browser_render", "fuzzy", "manual"]
@@ -120,6 +122,19 @@ def crawl_state(spark, sf):
     return incremental.crawl_state(rows, "conv_id", "turn", "text")
 
 
+@query(
+    "saved_state",
+    """SELECT CAST(conv_id AS VARCHAR) || ' "é"' AS url, arg_max(sha256(text), turn) AS last_seen_hash, CAST(max(turn) AS VARCHAR) AS last_crawled_at, arg_max(etag, turn) FILTER (WHERE etag <> '') AS etag
+    FROM (SELECT *, CASE WHEN turn % 2 = 0 THEN role ELSE '' END AS etag FROM conversations) GROUP BY conv_id""",
+)
+def saved_state(spark, sf):
+    """The state of every conversation, saved as JSON objects by address and loaded again."""
+    folder = fresh_path(spark)
+    state = crawl_state(spark, sf).withColumn("url", F.concat(F.col("conv_id").cast("string"), F.lit(' "é"')))
+    delivery.save_state(state.drop("conv_id"), folder)
+    return delivery.load_state(spark, folder).select("url", "last_seen_hash", "last_crawled_at", "etag")
+
+
 @query("refetch_due", "SELECT user_id, max(ts) IS NULL OR epoch_us(TIMESTAMP '2024-01-29 00:00:00' - max(ts)) >= 300000000 AS due FROM events GROUP BY user_id")
 def refetch_due(spark, sf):
     last = table(spark, sf, "events").groupBy("user_id").agg(F.max("ts").alias("last"))
