@@ -283,3 +283,39 @@ def paper_cards(spark, sf):
 def html_article_text(spark, sf):
     """Main text and excerpt of every page; HTML parsing is beyond SQL."""
     return htmlclean.article_text(table(spark, sf, "pages"), "page_id", "html")
+
+
+_PLAIN = lambda x: _sql_name(f"strip_accents({x})")
+_CLIENTS = f"""WITH seeds AS (SELECT client_id AS ordinal, min(name) AS name, min(email) AS domain FROM clients WHERE client_id = master_id AND name IS NOT NULL GROUP BY client_id),
+  al AS (SELECT lower(name) AS alias, arg_max(name, ordinal) AS name, max(ordinal) AS ordinal FROM seeds GROUP BY 1),
+  sn AS (SELECT {_PLAIN('alias')} AS norm, arg_max(name, ordinal) AS name FROM al GROUP BY 1),
+  dn AS (SELECT lower(domain) AS domain, arg_min(name, ordinal) AS name FROM seeds WHERE domain IS NOT NULL GROUP BY 1),
+  ns AS MATERIALIZED (SELECT ordinal, name, {_PLAIN('name')} AS n FROM seeds),
+  raw AS MATERIALIZED (SELECT client_id, name AS raw_name, trim(name) AS t, {_PLAIN('trim(name)')} AS norm, lower(replace(email, 'www.', '')) AS domain FROM clients),
+  best AS MATERIALIZED (SELECT norm, arg_max(name, row(score, -ordinal)) AS name, max(score) AS score FROM (SELECT norm, name, ordinal, jaro_winkler_similarity(norm, n) AS score FROM (SELECT DISTINCT norm FROM raw WHERE norm <> ''), ns WHERE n <> '') GROUP BY norm),
+  j AS (SELECT raw.*, al.name AS a, sn.name AS b, dn.name AS c, best.name AS d, coalesce(best.score, 0) AS score FROM raw LEFT JOIN al ON alias = lower(t) LEFT JOIN sn ON sn.norm = raw.norm AND raw.norm <> '' LEFT JOIN dn ON dn.domain = raw.domain LEFT JOIN best ON best.norm = raw.norm)
+  SELECT client_id, raw_name, CASE WHEN coalesce(t, '') = '' THEN NULL WHEN a IS NOT NULL THEN a WHEN b IS NOT NULL THEN b WHEN c IS NOT NULL THEN c WHEN score >= 0.92 THEN d WHEN score >= 0.7 THEN NULL ELSE t END AS canonical,
+    CASE WHEN coalesce(t, '') = '' OR a IS NOT NULL THEN 'exact_alias' WHEN b IS NOT NULL THEN 'normalization' WHEN c IS NOT NULL THEN 'context_match' WHEN score >= 0.92 THEN 'fuzzy_match' WHEN score >= 0.7 THEN 'manual_review' ELSE 'exact_alias' END AS method,
+    CAST(CASE WHEN coalesce(t, '') = '' THEN 0.0 WHEN a IS NOT NULL THEN 1.0 WHEN b IS NOT NULL THEN 0.98 WHEN c IS NOT NULL THEN 0.95 WHEN score >= 0.7 THEN round(score, 4) ELSE 1.0 END AS DOUBLE) AS confidence,
+    CASE WHEN coalesce(t, '') = '' THEN 'REJECTED' WHEN a IS NULL AND b IS NULL AND c IS NULL AND score >= 0.7 AND score < 0.92 THEN 'REVIEW' ELSE 'ACCEPTED' END AS decision FROM j"""
+
+
+@query("resolve_clients", _CLIENTS)
+def resolve_clients(spark, sf):
+    """All clients' names against the clients that are their own masters; the address stands for the domain."""
+    clients = table(spark, sf, "clients")
+    seeds = clients.where("client_id = master_id AND name IS NOT NULL").groupBy("client_id").agg(F.min("name").alias("canonical_name"), F.min("email").alias("domain"))
+    seeds = seeds.select(F.col("client_id").alias("ordinal"), "canonical_name", F.lit(None).cast("array<string>").alias("aliases"), "domain")
+    found = resolve.resolve(clients.select("client_id", F.col("name").alias("raw_name"), "email"), seeds, domain="email")
+    return found.select("client_id", "raw_name", "canonical", "method", "confidence", "decision")
+
+
+_CLIENT_RECORDS = f"""r AS MATERIALIZED (SELECT client_id AS seq, 'url:' || min(email) AS exact, {_sql_key("strip_accents(coalesce(min(name), ''))")} AS norm, 'STARTUP' AS kind, 'STARTUP:' || substring({_sql_key("strip_accents(coalesce(min(name), ''))")}, 1, 2) AS block FROM clients GROUP BY client_id)"""
+
+
+@query("client_survivors", _SURVIVORS.replace(_SQL_RECORDS, _CLIENT_RECORDS) + "SELECT o.seq AS client_id, CASE WHEN list_contains(f.kept, o.k) THEN 'keep' ELSE 'duplicate' END AS status FROM o, (SELECT kept FROM s ORDER BY k DESC LIMIT 1) f")
+def client_survivors(spark, sf):
+    """Clients as records: the first of those with one address or similar names stays."""
+    clients = table(spark, sf, "clients").groupBy(F.col("client_id").alias("seq")).agg(F.min("name").alias("name"), F.concat(F.lit("url:"), F.min("email")).alias("exact"))
+    plain = F.regexp_replace(text.decomposed(F.col("name")), r"\p{M}", "")
+    return dedup.survivors(clients.select("seq", "exact", text.normalize_key(plain).alias("norm"), F.concat(F.lit("STARTUP:"), F.substring(text.normalize_key(plain), 1, 2)).alias("block")), 0.90).select(F.col("seq").alias("client_id"), "status")
