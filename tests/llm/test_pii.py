@@ -137,3 +137,32 @@ def test_repeats_and_empty(spark):
     docs = spark.createDataFrame([(1, "a@b.c"), (1, "a@b.c"), (None, "1.2.3.4"), (2, None)], "doc_id long, text string")
     assert sorted((r.doc_id or 0, r.spans) for r in pii.digest(pii.find(docs)).collect()) == [(0, "ip:0:7"), (1, "email:0:5"), (1, "email:0:5"), (2, "")]
     assert pii.digest(pii.find(docs.where("doc_id > 9"))).count() == 0
+
+
+def test_hidden_keys_are_found_by_their_contexts(spark):
+    """Keys that are no seeds come from patterns alone; prose with digits stays."""
+    rng = random.Random(21)
+    key = lambda: "".join(rng.choice("abcdef") + rng.choice("0123456789") for _ in range(20))
+    rows = [(i, f'word{i} and token = "{key()}" then w{i % 7}x more') for i in range(150)] + [(1000 + i, f"version v1.{i}.2-rc of item{i}x in room{i % 9}") for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = pii.instances(docs).persist()
+    r = pii.recovered(found).first()
+    assert r.hidden > 15 and r.found == r.hidden
+    hidden = {x.value for x in pii.keys_of(found).where(pii.is_hidden(pii.F.col("value"), pii.HIDE)).collect()}
+    assert {x.value for x in pii.discovered(found, hide=pii.HIDE).collect()} == hidden
+    found.unpersist()
+    got = pii.digest(pii.find(docs)).collect()
+    assert sum(x.n_by_context for x in got) == r.hidden and all(x.n_secret == (x.doc_id < 1000) for x in got)
+
+
+def test_hidden_forms_of_a_base_kind_are_found_again(spark, monkeypatch):
+    """A fifth of all phone numbers is written in a form that no expression of a base kind matches."""
+    rng = random.Random(22)
+    number = lambda: (rng.randrange(200, 999), rng.randrange(100, 999), rng.randrange(1000, 9999))
+    rows = [(i, "w{} please call {} today".format(i, ("({}) {}-{}" if i % 5 == 0 else "+1 ({}) {}-{}").format(*number()))) for i in range(200)]
+    rows += [(500 + i, "see part {} {}-{} there".format(*number())) for i in range(60)]  # numbers of the same shape in other words
+    got = pii.digest(pii.find(spark.createDataFrame(rows, "doc_id long, text string"))).collect()
+    spans = {r.doc_id: r.spans for r in got}
+    again = [spans[i].startswith("phone:") for i in range(0, 200, 5)]
+    assert sum(again) >= 0.9 * len(again)
+    assert sum(r.n_by_context for r in got) == sum(again) and all(spans[500 + i] == "" for i in range(60))

@@ -41,6 +41,8 @@ NEEDS = {"email": "contains(t, '@')", "ip": "contains(t, '.') AND t RLIKE '[0-9]
 SECRET = r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]{32,}$"
 #: Rounds, distinct seeds that a pattern needs, weight of doubt, and scores for patterns, for seeds and for spans.
 ROUNDS, SUPPORT, DOUBT, TRUST, JOIN, ACCEPT = 3, 5, 2.0, 0.5, 0.8, 0.8
+#: One key in so many is hidden from the patterns.
+HIDE = 5
 
 
 def _quoted(pattern: str) -> str:
@@ -106,16 +108,26 @@ def instances(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return kept.select("id", "row", *(F.when(use, F.col(c)).alias(c) for c in ("kind", "start", "end")), "base", F.when(use, F.lower("value")).alias("value"), F.when(use, patterns).alias("patterns"))
 
 
-def seeds_of(found: DataFrame) -> DataFrame:
-    """(value, kind): the distinct seeds, base entities and the seeds of secrets."""
-    kind = F.when(F.col("base"), F.col("kind")).when(F.col("value").rlike(SECRET), F.lit("secret"))
+def is_hidden(value: F.Column, hide: int) -> F.Column:
+    return F.pmod(F.xxhash64(value), F.lit(hide)) == 0 if hide else F.lit(False)
+
+
+def seeds_of(found: DataFrame, hide: int = 0) -> DataFrame:
+    """(value, kind): the distinct seeds, base entities and the keys that are seeds of secrets; one key in `hide` is left out."""
+    key = F.col("value").rlike(SECRET) & ~is_hidden(F.col("value"), hide)
+    kind = F.when(F.col("base"), F.col("kind")).when(key, F.lit("secret"))
     return found.select("value", kind.alias("kind")).where("value IS NOT NULL AND kind IS NOT NULL").groupBy("value").agg(F.min("kind").alias("kind"))
 
 
-def discovered(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, doubt: float = DOUBT, trust: float = TRUST, join: float = JOIN, accept: float = ACCEPT) -> DataFrame:
+def keys_of(found: DataFrame) -> DataFrame:
+    """(value): the distinct keys, seeds or hidden, that are no base entities."""
+    return found.where(~F.col("base") & F.col("value").rlike(SECRET)).select("value").distinct()
+
+
+def discovered(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, doubt: float = DOUBT, trust: float = TRUST, join: float = JOIN, accept: float = ACCEPT, hide: int = 0) -> DataFrame:
     """(value, kind, score) of the instances other than seeds that the patterns vouch for."""
     nodes = found.where("value IS NOT NULL")
-    seeds = checkpoint(seeds_of(found).withColumn("w", F.lit(1.0)))
+    seeds = checkpoint(seeds_of(found, hide).withColumn("w", F.lit(1.0)))
     edges = checkpoint(nodes.select("value", F.explode("patterns").alias("pattern")).distinct())
     members = seeds
     scored = None
@@ -133,26 +145,36 @@ def discovered(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, d
     return scored.where(F.col("score") >= accept).select("value", "kind", "score")
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of docs: id_col, and base and spans, arrays of (kind, start, end) by start and kind; positions are code
-    points, the end exclusive."""
+def recovered(found: DataFrame, hide: int = HIDE) -> DataFrame:
+    """(hidden, found): how many keys were hidden, and how many of them the patterns alone found as secrets."""
+    hidden = keys_of(found).where(is_hidden(F.col("value"), hide))
+    again = discovered(found, hide=hide).where("kind = 'secret'").select("value", F.lit(1).alias("hit"))
+    return hidden.join(again, "value", "left").agg(F.count("*").alias("hidden"), F.count("hit").alias("found"))
+
+
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hide: int = HIDE) -> DataFrame:
+    """Per row of docs: id_col, and base and spans, arrays of (kind, start, end, by_context) by start and kind; positions are code
+    points, the end exclusive. by_context tells whether patterns found the span's value, which was no seed."""
     found = saved(instances(docs, id_col, text_col))
-    extra = discovered(found).select("value", F.col("kind").alias("as_kind")).union(seeds_of(found).where("kind = 'secret'"))
+    by_context = discovered(found, hide=hide).select("value", F.col("kind").alias("as_kind"), F.lit(True).alias("by_context"))
+    by_form = keys_of(found).select("value", F.lit("secret").alias("as_kind"), F.lit(False).alias("by_context"))
+    extra = by_context.union(by_form).groupBy("value").agg(F.max_by("as_kind", "by_context").alias("as_kind"), F.bool_or("by_context").alias("by_context"))
     judged = found.join(extra, "value", "left")
     base, added = F.col("base"), ~F.col("base") & F.col("as_kind").isNotNull()
     kind = F.when(base, F.col("kind")).otherwise(F.col("as_kind"))
     rank = F.expr("array_position(array({}), k) - 1".format(", ".join(f"'{k}'" for k in KINDS))).cast("int")
-    span = F.struct(F.col("start"), rank.alias("rank"), F.col("end"))
+    span = F.struct(F.col("start"), rank.alias("rank"), F.col("end"), (~base & F.coalesce("by_context", F.lit(False))).alias("by_context"))
     judged = judged.withColumn("k", kind)
     lists = judged.groupBy("row", "id").agg(F.array_sort(F.collect_list(F.when(base, span))).alias("base"), F.array_sort(F.collect_list(F.when(base | added, span))).alias("spans"))
-    name = lambda x: F.struct(F.element_at(F.array(*map(F.lit, KINDS)), x["rank"] + 1).alias("kind"), x["start"].alias("start"), x["end"].alias("end"))
+    name = lambda x: F.struct(F.element_at(F.array(*map(F.lit, KINDS)), x["rank"] + 1).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["by_context"].alias("by_context"))
     return lists.select(F.col("id").alias(id_col), F.transform("base", name).alias("base"), F.transform("spans", name).alias("spans"))
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Counts of base spans by kind, the digest of all of them, all spans as text, the numbers of all and of added spans, and of
-    secrets."""
+    """Counts of base spans by kind, the digest of all of them, all spans as text, the numbers of all and of added spans, of
+    secrets, and of spans that patterns found."""
     text = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
     count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
     sizes = [F.size("spans").cast("long").alias("n_spans"), (F.size("spans") - F.size("base")).cast("long").alias("n_added"), F.size(F.filter("spans", lambda x: x["kind"] == "secret")).cast("long").alias("n_secret")]
+    sizes.append(F.size(F.filter("spans", lambda x: x["by_context"])).cast("long").alias("n_by_context"))
     return found.select(id_col, *(count(k) for k in KINDS[:4]), F.sha2(text("base").cast("binary"), 256).alias("base_sha256"), text("spans").alias("spans"), *sizes)
