@@ -129,7 +129,10 @@ def digest_ends(ends: DataFrame) -> DataFrame:
 
 def build(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """The nodes: conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256."""
-    turns, convs = rebuilt(own_turns(conversations, conv_col, turn_col, role_col, text_col))
+    # finding the ranges of the order takes a pass of its own, so texts are digested first, in one pass
+    own = saved(own_turns(conversations, conv_col, turn_col, role_col, text_col))
+    turns, convs = rebuilt(own)
+    discard(own)
     root = convs.select("c", F.lit(0).cast("long").alias("d"), F.lit(0).cast("long").alias("name"))
     paths = saved(prefixes(turns.select("c", "d", "key")).unionByName(root))
     ends = saved(digest_ends(paths.join(convs.select("c", F.col("len").alias("d")), ["c", "d"])))
