@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpoint, saved
+from tidemark.llm.common import checkpoint, maybe_among, saved
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 #: What the four kinds look like, and identifier-like runs.
@@ -158,8 +158,10 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hide:
     found = saved(instances(docs, id_col, text_col))
     by_context = discovered(found, hide=hide).select("value", F.col("kind").alias("as_kind"), F.lit(True).alias("by_context"))
     by_form = keys_of(found).select("value", F.lit("secret").alias("as_kind"), F.lit(False).alias("by_context"))
-    extra = by_context.union(by_form).groupBy("value").agg(F.max_by("as_kind", "by_context").alias("as_kind"), F.bool_or("by_context").alias("by_context"))
-    judged = found.join(extra, "value", "left")
+    extra = checkpoint(by_context.union(by_form).groupBy("value").agg(F.max_by("as_kind", "by_context").alias("as_kind"), F.bool_or("by_context").alias("by_context")))
+    # only rows that may hold such a value are shuffled by it; all rows, those of texts without any, stay for their base spans
+    added = maybe_among(found.where(~F.col("base") & F.col("value").isNotNull()), extra, ["value"]).join(extra, "value")
+    judged = found.withColumns({"as_kind": F.lit(None).cast("string"), "by_context": F.lit(None).cast("boolean")}).unionByName(added)
     base, added = F.col("base"), ~F.col("base") & F.col("as_kind").isNotNull()
     kind = F.when(base, F.col("kind")).otherwise(F.col("as_kind"))
     rank = F.expr("array_position(array({}), k) - 1".format(", ".join(f"'{k}'" for k in KINDS))).cast("int")
