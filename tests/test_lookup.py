@@ -83,3 +83,29 @@ def test_saved_searches_over_a_stream(spark, tmp_path):
     found = lookup.alerts(stream, spark.createDataFrame(searches, SEARCHES), [F.col("title"), F.col("body")], "kind", F.col("pricing"))
     jobs.run_once(found, str(tmp_path / "out"), str(tmp_path / "state"))
     assert sorted((r.search_id, r.frequency, r.doc) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == brute_alerts(records, searches)
+
+
+def test_counts_of_saved_searches(spark):
+    records, searches = case()
+    searches += [(100, "beta", "NEWS", None, "DAILY"), (101, " ", "PRODUCT", "FREE", None)]
+    want = {}
+    for s, _, doc in brute_alerts(records, searches[:40]):
+        n, first = want.get(s, (0, doc))
+        want[s] = (n + 1, min(first, doc))
+    args = [F.col("title"), F.col("body")], "kind", F.col("pricing"), "doc"
+    got = {r.search_id: (r.n, r["first"]) for r in lookup.alert_counts(spark.createDataFrame(records, RECORDS), spark.createDataFrame(searches, SEARCHES), *args).collect()}
+    assert {s: v for s, v in got.items() if s < 100} == want
+    news = [d for d, k, t, b, _ in records if k == "NEWS" and "beta" in f"{t} {b}".lower()]
+    free = [d for d, k, _, _, p in records if k == "PRODUCT" and p == "FREE"]
+    assert got[100] == (len(news), min(news)) and got[101] == (len(free), min(free))
+
+
+def test_searches_that_share_a_query_are_one_name(spark):
+    searches = spark.createDataFrame([(i, ["a", "B"][i % 2], "ALL", "ALL", "INSTANT") for i in range(500)], SEARCHES)
+    seen = []
+    plain, lookup.found_in = lookup.found_in, lambda *args, **more: seen.append(args[2].count()) or plain(*args, **more)
+    try:
+        found = lookup.alerts(spark.createDataFrame([(1, "NEWS", "ab", "", None)], RECORDS), searches, [F.col("title")], "kind", F.col("pricing"))
+    finally:
+        lookup.found_in = plain
+    assert found.count() == 500 and seen == [2]

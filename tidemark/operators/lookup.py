@@ -107,15 +107,32 @@ def alerts(records: DataFrame, searches: DataFrame, texts: list[Column], kind: s
     streams of records."""
     low = F.concat_ws("\x00", *(F.coalesce(F.lower(t), F.lit("")) for t in texts))  # no query spans two texts
     asked = searches.withColumn("query", F.lower("query")).withColumn("_blank", F.trim(F.coalesce("query", F.lit(""))) == "")
-    columns = found_in(records, F.col("_low"), asked.where("NOT _blank"), "search_id", "query", words=False)
+    # a query that many searches share is one name, so a record holds each of its queries once, however many searches ask for it
+    terms = asked.where("NOT _blank").groupBy("query").agg(F.min("search_id").cast("long").alias("_term"))
+    columns = found_in(records, F.col("_low"), terms, "_term", "query", words=False)
     hits = reduce(lambda a, b: F.concat(a, b), columns) if columns else F.array().cast("array<long>")
     marked = records.withColumns({"_low": low, "_pricing": F.coalesce(pricing, F.lit("UNVERIFIED"))})
-    rules = asked.select("search_id", F.col("kind").alias("_kind"), F.col("pricing").alias("_asked"), "frequency", "_blank")
+    asked = asked.join(terms, "query", "left")
+    rules = asked.select("search_id", "_term", F.col("kind").alias("_kind"), F.col("pricing").alias("_asked"), "frequency", "_blank")
     fits = F.col("_kind").isin("ALL") | (F.col("_kind") == F.col(kind))
     priced = (F.col("_asked") == "ALL") | (F.col(kind) != "PRODUCT") | (F.col("_asked") == F.col("_pricing"))
-    held = marked.withColumn("search_id", F.explode(hits)).join(rules, "search_id").where(fits & priced)
+    held = marked.withColumn("_term", F.explode(hits)).join(rules, "_term").where(fits & priced)
     # a search without words finds all records of its kind, which is its result; there is a row per kind that such searches name
     blank = rules.where("_blank").groupBy("_kind").agg(F.collect_list(F.struct("search_id", "_asked", "frequency")).alias("_all"))
     every = marked.join(blank, fits).withColumn("_s", F.explode("_all")).select("*", "_s.*").where(priced)
     columns = ["search_id", "frequency", *records.columns]
     return held.select(*columns).unionByName(every.select(*columns))
+
+
+def alert_counts(records: DataFrame, searches: DataFrame, texts: list[Column], kind: str, pricing: Column, id_col: str) -> DataFrame:
+    """(search_id, frequency, n, first): how many records each saved search finds and the least id of them; searches that find none
+    have no row.
+
+    Searches that ask the same find the same, so records are counted once for each distinct test (query, kind, pricing) and
+    the searches then take the counts of theirs: rows follow records and tests, not records times searches."""
+    tests = [F.when(F.trim(F.coalesce("query", F.lit(""))) == "", "").otherwise(F.lower("query")).alias("query"), "kind", "pricing"]
+    distinct = searches.select("search_id", *tests).groupBy("query", "kind", "pricing").agg(F.min("search_id").alias("search_id"), F.lit(None).cast("string").alias("frequency"))
+    found = alerts(records, distinct, texts, kind, pricing).groupBy(F.col("search_id").alias("_test")).agg(F.count("*").alias("n"), F.min(id_col).alias("first"))
+    counted = distinct.join(found, distinct["search_id"] == found["_test"]).select(*(F.col(c).alias(f"_{c}") for c in ("query", "kind", "pricing")), "n", "first")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("query", "kind", "pricing")]
+    return searches.select("search_id", "frequency", *tests).join(counted, same).select("search_id", "frequency", "n", "first")

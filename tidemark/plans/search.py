@@ -64,8 +64,7 @@ def saved_search_alerts(spark, sf):
     i, pick = F.col("s_suppkey"), lambda values: F.element_at(F.array(*map(F.lit, values)), (F.col("s_suppkey") % len(values) + 1).cast("int"))
     searches = table(spark, sf, "supplier").select(i.alias("search_id"), pick(_ASKED).alias("query"), pick(_KINDS).alias("kind"), pick(["ALL", "FREE", "UNVERIFIED"]).alias("pricing"), pick(["INSTANT", "DAILY"]).alias("frequency"))
     c = _columns()
-    found = lookup.alerts(typed(spark, sf), searches, ops.searched(c), "kind", c["pricing"])
-    return found.groupBy("search_id", "frequency").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"))
+    return lookup.alert_counts(typed(spark, sf), searches, ops.searched(c), "kind", c["pricing"], "doc_id").withColumnRenamed("first", "first_doc")
 
 
 TERMS = ["thing", "worthless", "nicht", "pour"]
