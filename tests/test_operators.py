@@ -154,3 +154,21 @@ def test_resolver_in_blocks(spark):
                 assert 0.70 <= best < 0.92 and got[i][2] == round(best, 4)
             elif got[i][1] == "exact_alias" and got[i][0] == n:
                 assert best < 0.70 or n.lower() in names
+
+
+def test_nearest_seed_equals_brute_force(spark):
+    rng = random.Random(4)
+    name = lambda: "".join(rng.choice("abcde ") for _ in range(rng.choice([1, 2, 5, 12, 20, 40, 64, 65, 90, 300])))
+    seeds = [(i, f"c{i}", name()) for i in range(150)]
+    nearest = resolve.Nearest(seeds)
+    for asked in [name() for _ in range(150)] + [seeds[7][2], "é", "ab"]:
+        score, place, canonical = max((resolve._jaro_winkler(asked, n), -i, c) for i, c, n in seeds)
+        assert nearest(asked) == ((-place, canonical, score) if score >= resolve.REVIEW else None)
+
+
+def test_open_names_are_dealt_to_many_tasks(spark):
+    names = spark.createDataFrame([(f"acme number {i}",) for i in range(2000)], "_norm string").coalesce(1)
+    seeds = spark.createDataFrame([(0, "Acme number"), (1, "acme NUMBER"), (2, "other")], "ordinal int, canonical_name string")
+    found = resolve.nearest_seeds(names, seeds, True, 10)
+    assert len(found.inputFiles()) == 4  # each task writes its own
+    assert found.groupBy("best").count().collect() == [("Acme number", 2000)]

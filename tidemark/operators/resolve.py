@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import _jaro_winkler, normalize_name
+from tidemark.tables import discard, stored
 
 #: Similarities from which a name is accepted and reviewed, and confidence by method.
 ACCEPT, REVIEW = 0.92, 0.70
@@ -22,43 +25,117 @@ def alias_table(seeds: DataFrame) -> DataFrame:
     return every.groupBy(F.lower("alias").alias("alias")).agg(F.max_by("canonical_name", "ordinal").alias("canonical"), F.max("ordinal").alias("ordinal"))
 
 
+#: Characters of a name that its places are kept for as bits; longer names are compared one by one.
+BITS = 64
+#: Names that are compared with a block of seeds by one task, and the most tasks that they are dealt to.
+NAMES_A_TASK, MOST_TASKS = 500, 4096
+
+
+@lru_cache(maxsize=BITS)
+def _windows(length: int) -> np.ndarray:
+    """For each place of a name of that length the bits of the places that may match it, by the length of the other name."""
+    out = np.zeros((length, BITS + 1), np.uint64)
+    for other in range(1, BITS + 1):
+        reach = max(length, other) // 2 - 1
+        for i in range(length):
+            out[i, other] = sum(1 << j for j in range(max(0, i - reach), min(other, i + reach + 1)))
+    return out
+
+
 class Nearest:
-    """The most similar of a block of (ordinal, canonical, normalised name), the first by ordinal of several."""
+    """The most similar of a block of (ordinal, canonical, normalised name), the first by ordinal of several.
+
+    For each letter the places where a seed holds it are bits of a number, so one operation compares a character with all seeds."""
 
     def __init__(self, seeds: list[tuple[int, str, str]]):
         self.seeds = sorted(seeds)
-        self.lengths = np.array([len(n) for _, _, n in self.seeds], float)
+        self.lengths = np.array([len(n) for _, _, n in self.seeds], np.int64)
         self.letters: dict[str, int] = {}
         for _, _, n in self.seeds:
             for ch in n:
                 self.letters.setdefault(ch, len(self.letters))
-        self.counts = np.zeros((len(self.seeds), len(self.letters)), np.int16)
+        self.counts = np.zeros((len(self.letters), len(self.seeds)), np.uint8)
+        self.places = np.zeros((len(self.letters), len(self.seeds)), np.uint64)
         for i, (_, _, n) in enumerate(self.seeds):
-            for ch in n:
-                self.counts[i, self.letters[ch]] += 1
+            for j, ch in enumerate(n):
+                k = self.letters[ch]
+                self.counts[k, i] = min(255, int(self.counts[k, i]) + 1)
+                if j < BITS:
+                    self.places[k, i] |= np.uint64(1 << j)
+        self.long = self.lengths > BITS
+        self.equal: dict[str, int] = {}
+        for i, (_, _, n) in enumerate(self.seeds):
+            self.equal.setdefault(n, i)
+        self.prefixes = np.array([[ord(c) for c in n[:4].ljust(4, "\0")] for _, _, n in self.seeds], np.int64).reshape(-1, 4)
 
     def bounds(self, name: str) -> np.ndarray:
-        """What the letters in common allow at best, for every seed."""
-        own = np.zeros(len(self.letters), np.int16)
+        """What the letters in common and the common beginning allow at best, for every seed."""
+        own: dict[str, int] = {}
         for ch in name:
+            own[ch] = own.get(ch, 0) + 1
+        shared = np.zeros(len(self.seeds), np.int64)
+        for ch, n in own.items():
             if ch in self.letters:
-                own[self.letters[ch]] += 1
-        shared = np.minimum(self.counts, own).sum(axis=1)
+                held = self.counts[self.letters[ch]]
+                shared += held if n >= 255 else np.minimum(held, np.uint8(n))
+        # a letter that a seed holds 255 times or more is not counted out
+        shared = np.where(self.lengths >= 255, np.minimum(len(name), self.lengths), shared)
         jaro = np.where(shared > 0, (shared / len(name) + shared / self.lengths + 1) / 3, 0.0)
-        return np.where(jaro > 0.7, jaro + 0.4 * (1 - jaro), jaro) + 1e-9
+        return np.where(jaro > 0.7, jaro + 0.1 * self.common(name, slice(None)) * (1 - jaro), jaro) + 1e-9
+
+    def common(self, name: str, rows) -> np.ndarray:
+        """Characters of the common beginning, four at most."""
+        k = min(4, len(name))
+        return np.cumprod(self.prefixes[rows][:, :k] == np.array([ord(c) for c in name[:k]]), axis=1).sum(axis=1)
+
+    def similarities(self, name: str, rows: np.ndarray) -> np.ndarray:
+        """The similarity of a name of at most BITS characters to some seeds that are no longer either and not equal to it, as
+        _jaro_winkler has it."""
+        lengths, one = self.lengths[rows], np.uint64(1)
+        windows, taken, hits = _windows(len(name)), np.zeros(len(rows), np.uint64), []
+        for i, ch in enumerate(name):
+            if ch not in self.letters:
+                continue
+            places = self.places[self.letters[ch]][rows]
+            free = places & windows[i][lengths] & ~taken
+            first = free & (~free + one)
+            taken |= first
+            hits.append((places, first != 0))
+        m = sum((hit for _, hit in hits), np.zeros(len(rows), np.int64))
+        left, swaps = taken, np.zeros(len(rows), np.int64)
+        for places, hit in hits:  # the k-th match of either side, in their order
+            first = left & (~left + one)
+            swaps += hit & ((places & first) == 0)
+            left = np.where(hit, left ^ first, left)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            jaro = np.where(m > 0, (m / len(name) + m / lengths + (m - swaps // 2) / m) / 3, 0.0)
+        return np.where(jaro > 0.7, jaro + 0.1 * self.common(name, rows) * (1 - jaro), jaro)
 
     def __call__(self, name: str, least: float = REVIEW) -> tuple[int, str, float] | None:
         """(ordinal, canonical, similarity), or none that reaches `least`."""
         if not self.seeds or not name:
             return None
-        bounds, best = self.bounds(name), None
-        for i in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[i] < least or (best and bounds[i] < best[2]):
+        if name in self.equal:
+            return (*self.seeds[self.equal[name]][:2], 1.0)
+        bounds = self.bounds(name)
+        open_ = np.flatnonzero(bounds >= least)
+        open_ = open_[np.argsort(-bounds[open_], kind="stable")]
+        best, at, step = None, 0, 64
+        while at < len(open_):
+            rows = open_[at : at + step]
+            if best and bounds[rows[0]] < best[2]:
                 break
-            ordinal, canonical, n = self.seeds[i]
-            score = _jaro_winkler(name, n)
-            if score >= least and (best is None or (score, -ordinal) > (best[2], -best[0])):
-                best = (ordinal, canonical, score)
+            at, step = at + step, step * 4
+            short = rows[~self.long[rows]] if len(name) <= BITS else rows[:0]
+            scores = [(short, self.similarities(name, short))] if len(short) else []
+            others = rows if len(name) > BITS else rows[self.long[rows]]
+            scores += [(others, np.array([_jaro_winkler(name, self.seeds[i][2]) for i in others.tolist()]))] if len(others) else []
+            for found, values in scores:
+                # of equal scores the first by place is the first by ordinal
+                top = values.max()
+                ordinal, canonical, _ = self.seeds[int(found[values == top].min())]
+                if top >= least and (best is None or (top, -ordinal) > (best[2], -best[0])):
+                    best = (ordinal, canonical, float(top))
         return best
 
 
@@ -72,16 +149,24 @@ def _nearest_udf(block: Nearest):
 
 
 def nearest_seeds(names: DataFrame, seeds: DataFrame, decompose: bool, block: int) -> DataFrame:
-    """(_norm, best, score) of the names whose most similar seed reaches REVIEW."""
+    """(_norm, best, score) of the names whose most similar seed reaches REVIEW. All names meet all seeds, whose letters decide most
+    pairs; tasks are as many as the names need, and what a task holds is bounded by a block of seeds.
+
+    Of seeds with the same normalised name the first by ordinal holds, as they are equally similar to any name."""
     known = seeds.select("ordinal", "canonical_name", normalize_name(F.col("canonical_name"), decompose).alias("n")).where("n <> ''")
-    parts = -(-known.count() // block) or 1
+    known = stored(known.groupBy("n").agg(F.min_by(F.struct("ordinal", "canonical_name"), "ordinal").alias("s")).select("s.*", "n"))
+    names = stored(names.select("_norm"))
+    parts, tasks = -(-known.count() // block) or 1, -(-names.count() // NAMES_A_TASK) or 1
+    # names are few bytes and much work: their number is dealt, not their size
+    names = names.repartition(min(tasks, MOST_TASKS))
     found = None
     for k in range(parts):
         # about `block` rows come to the driver
         mine = Nearest([(r.ordinal, r.canonical_name, r.n) for r in known.where(F.pmod(F.xxhash64("n"), F.lit(parts)) == k).collect()])
 
-        some = names.select("_norm", _nearest_udf(mine)("_norm").alias("s")).select("_norm", "s.*").where("best IS NOT NULL")
+        some = stored(names.select("_norm", _nearest_udf(mine)("_norm").alias("s")).select("_norm", "s.*").where("best IS NOT NULL"))
         found = some if found is None else found.union(some)
+    discard(known)
     if parts == 1:
         return found.select("_norm", "best", "score")
     return found.groupBy("_norm").agg(F.max_by("best", F.struct("score", -F.col("ordinal"))).alias("best"), F.max("score").alias("score"))
