@@ -106,3 +106,22 @@ def test_parts_in_order_equal_brute_force(spark, seed, monkeypatch):
 
 def test_survivors_of_nothing(spark):
     assert dedup.survivors(spark.createDataFrame([], RECORDS)).collect() == []
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_records_that_lead_equal_brute_force(spark, seed, monkeypatch):
+    monkeypatch.setattr(dedup, "HEAD", 15)
+    monkeypatch.setattr(dedup, "LEAD_FROM", 20)
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abc ") for _ in range(rng.choice([0, 4, 9])))
+    rows = [(i, rng.choice([None, f"url:{rng.randrange(60)}"]), word(), rng.choice(["X:aa", "Y:aa", "X:bb"])) for i in range(300)]
+    got = {r.seq: r.status for r in dedup.survivors(spark.createDataFrame(rows, RECORDS), 0.85).collect()}
+    assert got == brute_survivors(rows, 0.85)
+
+
+def test_names_that_are_all_alike_make_no_pairs(spark, monkeypatch):
+    compared, plain = [], dedup.fuzzy_pairs
+    monkeypatch.setattr(dedup, "fuzzy_pairs", lambda names, *args, **more: compared.append(names.count()) or plain(names, *args, **more))
+    df = spark.range(6000).selectExpr("id AS seq", "CAST(NULL AS STRING) AS exact", "concat('supplier', lpad(id, 9, '0')) AS norm", "'JOB:su' AS block")
+    assert dedup.survivors(df, 0.9).where("status = 'keep'").count() < 10
+    assert sum(compared) < 100  # all of them before

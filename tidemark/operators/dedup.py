@@ -2,19 +2,21 @@
 
 Records arrive in the order of seq. A record is a duplicate if an earlier survivor has its exact key, its
 normalised key, or a similar name in its block; dropped records shield nobody. Equal keys form cliques, which are
-handled by minima per key and never expanded; only similar names become pairs, and these are found by keys that they share
-where a block is large."""
+handled by minima per key and never expanded; only similar names become pairs, and of large blocks these are found tile by tile.
+Before that the first records in order are decided and take along all that are like them, while that settles much."""
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.similar import LONGEST, keys
 from tidemark.functions.text import jaro_winkler, may_reach
+from tidemark.operators.resolve import MOST_TASKS, Nearest
 from tidemark.tables import discard, stored
 
 
@@ -31,13 +33,10 @@ SMALL = 1024
 def fuzzy_pairs(names: DataFrame, threshold: float = 0.90, block: str = "block", name: str = "norm", small: int = SMALL) -> DataFrame:
     """(block, a, b, score): distinct names of a block, a < b, whose similarity reaches the threshold.
 
-    In a block of at most `small` names all pairs are compared whose lengths allow the similarity. Names of a larger block become keys
-    that all similar pairs share (see similar.keys), so mostly pairs that are similar meet. Names beyond LONGEST characters
-    have no keys: they are compared with all names of their block whose lengths allow it, in tiles of at most `small` by `small`
-    names, so no task holds a block."""
+    In a block of at most `small` names all pairs are compared whose lengths allow the similarity. A larger block is dealt into
+    tiles (see candidates), so no task holds a block, and only similar names leave them."""
     distinct = stored(names.select(F.col(block).alias("block"), F.col(name).alias("n")).where("n <> ''").distinct())
-    is_long = F.length("n") > LONGEST
-    large = stored(distinct.groupBy("block").agg(F.count("*").alias("names"), F.count_if(is_long).alias("longs")).where(F.col("names") > small))
+    large = stored(distinct.groupBy("block").agg(F.count("*").alias("names")).where(F.col("names") > small))
     rest = distinct.join(large, "block", "left_anti")
     pairs = rest.withColumnRenamed("n", "a").join(rest.withColumnRenamed("n", "b"), "block").where((F.col("a") < F.col("b")) & may_reach(F.col("a"), F.col("b"), threshold))
     if not large.isEmpty():
@@ -45,30 +44,34 @@ def fuzzy_pairs(names: DataFrame, threshold: float = 0.90, block: str = "block",
     return pairs.withColumn("score", jaro_winkler("a", "b")).where(F.col("score") >= threshold)
 
 
-def candidates(rows: DataFrame, threshold: float, small: int = SMALL) -> DataFrame:
-    """(block, a, b): pairs among which are all similar ones, of rows (block, n, names, longs) of large blocks."""
+#: A tile has at most about this many times `small` names on either side.
+TILE = 8
 
-    def emit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for at in range(0, len(frame), 256):  # some hundred keys a name
-                part = frame.iloc[at : at + 256]
-                yield pd.DataFrame([(b, n, key, side) for b, n in zip(part["block"], part["n"]) for key, side in keys(n, threshold)], columns=["block", "n", "key", "side"])
-
-    short = F.length("n") <= LONGEST
-    keyed = stored(rows.where(short).select("block", "n").mapInPandas(emit, "block string, n string, key long, side int"))
-    by = lambda side, c: keyed.where(F.col("side") == side).select("block", "key", F.col("n").alias(c))
-    unequal = by(0, "a").join(by(1, "b"), ["block", "key"])
-    equal = by(2, "a").join(by(2, "b"), ["block", "key"]).where("a < b")
-    tile = lambda count: F.ceil(F.col(count) / small).cast("int")
-    mine = lambda count: F.pmod(F.xxhash64("n"), tile(count)).cast("int")
-    every = lambda count: F.explode(F.sequence(F.lit(0), tile(count) - 1))
-    some = rows.where("longs > 0")
-    longs = some.where(~short).select("block", F.col("n").alias("a"), mine("longs").alias("r"), every("names").alias("c"))
-    others = some.select("block", F.col("n").alias("b"), every("longs").alias("r"), mine("names").alias("c"))
-    # two long names meet twice, once each way
-    long_pairs = longs.join(others, ["block", "r", "c"]).where((F.col("a") != F.col("b")) & ((F.length("b") <= LONGEST) | (F.col("a") < F.col("b"))))
-    found = unequal.select("block", "a", "b").unionByName(equal.select("block", "a", "b")).distinct().unionByName(long_pairs.select("block", "a", "b"))
-    return found.where(may_reach(F.col("a"), F.col("b"), threshold)).select("block", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+def candidates(rows: DataFrame, threshold: float, small: int = SMALL) -> DataFrame:
+    """(block, a, b), a < b: the similar pairs of rows (block, n, names) of large blocks, names distinct.
+
+    A block's names are dealt by hash; each two of its parts meet in a tile, where letters in common rule most pairs out and the rest
+    is compared one name with many. Nothing is written but names, once for each part of their block."""
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        block, r, c = frame["block"].iloc[0], frame["r"].iloc[0], frame["c"].iloc[0]
+        sides = [sorted(frame["n"][frame["h"] == x]) for x in ((r, c) if r != c else (r,))]
+        made = [Nearest([(i, n, n) for i, n in enumerate(side)]) for side in sides]
+        out = []
+        for side, other in zip(sides, made[::-1], strict=True):
+            theirs = [n for _, _, n in other.seeds]
+            for n in side:  # the lesser name of a pair is compared with the greater ones
+                out += [(block, n, theirs[i]) for i in other.alike(n, threshold, bisect_right(theirs, n)).tolist()]
+        return pd.DataFrame(out, columns=["block", "a", "b"])
+
+    parts = F.ceil(F.col("names") / (small * TILE)).cast("int")
+    dealt = rows.select("block", "n", parts.alias("_p"), F.pmod(F.xxhash64("n"), parts).cast("int").alias("h"))
+    placed = dealt.select("block", "n", "h", F.explode(F.sequence(F.lit(0), F.col("_p") - 1)).alias("k"))
+    placed = placed.select("block", "n", "h", F.least("h", "k").alias("r"), F.greatest("h", "k").alias("c"))
+    # a tile is few bytes and much work: the number of tasks follows from that of names, not from their size
+    tasks = min(MOST_TASKS, max(1, -(-placed.count() // (small * TILE))))
+    return placed.repartition(tasks * 2, "block", "r", "c").groupBy("block", "r", "c").applyInPandas(compare, "block string, a string, b string")
 
 
 #: Rounds of joins before the rest is decided in order, and rows of a part that one task then reads.
@@ -83,7 +86,20 @@ def survivors(records: DataFrame, threshold: float = 0.90, part: int = PART) ->
     of rows; a task goes through its part in order, so a chain of any length within a part takes one round, and the first part is
     always settled whole. There is no limit on rounds, and each needs fewer parts than the one before."""
     base = records.select("seq", "exact", F.concat_ws("|", F.split_part("block", F.lit(":"), F.lit(1)), "norm").alias("norm"), "block", F.col("norm").alias("name"))
-    pairs = stored(fuzzy_pairs(records, threshold))
+    state, settled = stored(base.withColumn("status", F.lit("open"))), []
+    open_ = state.count()
+    while open_ > LEAD_FROM:
+        after = stored(_led(state, threshold, open_))
+        discard(state)
+        settled.append(stored(after.where("status <> 'open'").select("seq", "status")))
+        state = stored(after.where("status = 'open'"))
+        discard(after)
+        before, open_ = open_, state.count()
+        if (before - open_) * LEAST_SHARE < before:
+            break
+    # what is open now is like no kept record, so only open records matter to each other
+    base = state.drop("status")
+    pairs = stored(fuzzy_pairs(base, threshold, name="name"))
     both = pairs.select("block", "a", "b").union(pairs.select("block", F.col("b").alias("a"), F.col("a").alias("b")))
     near = stored(base.select("seq", "block", F.col("name").alias("a")).join(both, ["block", "a"]).select("seq", F.concat_ws("|", "block", "b").alias("other")))
     state = stored(base.withColumn("place", F.concat_ws("|", "block", "name")).withColumn("status", F.lit("open")))
@@ -99,11 +115,63 @@ def survivors(records: DataFrame, threshold: float = 0.90, part: int = PART) ->
             after = stored(state.join(decided.withColumnRenamed("status", "now"), "seq", "left").withColumn("status", F.coalesce("now", "status")).drop("now"))
         discard(state)
         state, rounds = after, rounds + 1
-    out = records.join(state.select("seq", "status"), "seq")
+    out = records.join(reduce(DataFrame.unionByName, settled, state.select("seq", "status")), "seq")
     discard(pairs, near)
     return out
 
 
+#: Records that are decided at once before all others are compared with those of them that stay; open records from which that is done,
+#: and the share of them (one in so many) that it must settle to be done again.
+HEAD, LEAD_FROM, LEAST_SHARE = 1024, 4096, 8
+
+
+def _led(state: DataFrame, threshold: float, rows: int) -> DataFrame:
+    """Open records with the status of the first HEAD of them in order, which depends on no other, and of those that are
+    like one of these that stays. Where most names are alike, a few such records settle the table without its pairs."""
+    # HEAD rows come to the driver and go to the tasks
+    head = state.orderBy("seq").limit(HEAD).collect()
+    leaders, first = _Leaders(threshold), {}
+    for r in head:
+        first[r.seq] = "duplicate" if leaders.claim(r.exact, r.norm, r.block, r.name) else "keep"
+        if first[r.seq] == "keep":
+            leaders.add(r.exact, r.norm, r.block, r.name)
+    shared = state.sparkSession.sparkContext.broadcast((leaders, first))
+
+    @F.pandas_udf("string")
+    def judged(seq: pd.Series, exact: pd.Series, norm: pd.Series, block: pd.Series, name: pd.Series) -> pd.Series:
+        kept, decided = shared.value
+        some = lambda x: x if isinstance(x, str) else None
+        rows = zip(seq, exact, norm, block, name, strict=True)
+        return pd.Series([decided.get(s) or ("duplicate" if kept.claim(some(e), some(k), some(b), some(n)) else "open") for s, e, k, b, n in rows])
+
+    # names are few bytes and much work: their number is dealt, not their size
+    dealt = state.repartition(min(MOST_TASKS, -(-rows // (2 * HEAD))))
+    return dealt.withColumn("status", judged("seq", "exact", "norm", "block", "name"))
+
+
+class _Leaders:
+    """Keys and names of records that stay, by block."""
+
+    def __init__(self, threshold: float):
+        self.threshold, self.exact, self.norm, self.names, self.made = threshold, set(), set(), {}, {}
+
+    def add(self, exact: str | None, norm: str | None, block: str | None, name: str | None) -> None:
+        self.exact |= {exact} - {None}
+        self.norm |= {norm} - {None}
+        if block is not None and name:
+            self.names.setdefault(block, []).append(name)
+            self.made.pop(block, None)
+
+    def claim(self, exact: str | None, norm: str | None, block: str | None, name: str | None) -> bool:
+        if exact in self.exact or norm in self.norm:
+            return True
+        if not name or block not in self.names:
+            return False
+        if block not in self.made:
+            self.made[block] = Nearest([(i, n, n) for i, n in enumerate(sorted(self.names[block]))])
+        return self.made[block].holds_alike(name, self.threshold)
+
+
 def _bounds(state: DataFrame, near: DataFrame) -> DataFrame:
     """state with, for its exact key, its normalised key and similar names, the first record that is kept and the first that is open."""
     keep, left = F.min(F.when(F.col("status") == "keep", F.col("seq"))), F.min(F.when(F.col("status") == "open", F.col("seq")))

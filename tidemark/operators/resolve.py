@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from functools import lru_cache
 
 import numpy as np
@@ -9,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.similar import PREFIX, common, least_jaro
 from tidemark.functions.text import _jaro_winkler, normalize_name
 from tidemark.tables import discard, stored
 
@@ -42,6 +44,17 @@ def _windows(length: int) -> np.ndarray:
     return out
 
 
+@lru_cache(maxsize=4 * BITS)
+def _least_shared(length: int, threshold: float) -> np.ndarray:
+    """Letters in common that a name of that length needs for the threshold, by the characters of the common beginning and the length
+    of the other name; names of more than BITS characters need none, as they are compared by themselves."""
+    out = np.zeros((PREFIX + 1, BITS + 2), np.uint8)
+    for prefix in range(PREFIX + 1):
+        for other in range(1, BITS + 1):
+            out[prefix, other] = min(255, common(min(length, other), max(length, other), least_jaro(threshold, prefix)))
+    return out
+
+
 class Nearest:
     """The most similar of a block of (ordinal, canonical, normalised name), the first by ordinal of several.
 
@@ -111,6 +124,39 @@ class Nearest:
             jaro = np.where(m > 0, (m / len(name) + m / lengths + (m - swaps // 2) / m) / 3, 0.0)
         return np.where(jaro > 0.7, jaro + 0.1 * self.common(name, rows) * (1 - jaro), jaro)
 
+    def may_be_alike(self, name: str, threshold: float, start: int = 0, end: int | None = None) -> np.ndarray:
+        """Places from start to end of the seeds that letters, lengths and common beginnings allow to reach the threshold."""
+        if len(name) > BITS:
+            return start + np.flatnonzero(self.bounds(name)[start:end] >= threshold)
+        own: dict[str, int] = {}
+        for ch in name:
+            own[ch] = own.get(ch, 0) + 1
+        lengths, shared = self.lengths[start:end], np.zeros(len(self.lengths[start:end]), np.uint8)
+        for ch, n in own.items():
+            if ch in self.letters:
+                shared += np.minimum(self.counts[self.letters[ch]][start:end], np.uint8(n))
+        least = _least_shared(len(name), threshold)
+        capped = np.minimum(lengths, BITS + 1)
+        rows = np.flatnonzero(shared >= least[PREFIX][capped])
+        return start + rows[shared[rows] >= least[self.common(name, start + rows), capped[rows]]]
+
+    def alike(self, name: str, threshold: float, start: int = 0) -> np.ndarray:
+        """Places, from start on, of the seeds whose similarity to a name that is none of them reaches the threshold."""
+        rows = self.may_be_alike(name, threshold, start)
+        fast = ~self.long[rows] & (len(name) <= BITS)
+        short, others = rows[fast], rows[~fast]
+        some = short[self.similarities(name, short) >= threshold] if len(short) else short
+        return np.concatenate([some, np.array([i for i in others.tolist() if _jaro_winkler(name, self.seeds[i][2]) >= threshold], np.int64)])
+
+    def holds_alike(self, name: str, threshold: float) -> bool:
+        """Whether a seed, of those sorted by name, is equal to the name or similar to it; the lesser of two names comes first."""
+        if name in self.equal:
+            return True
+        at = bisect_left(self.seeds, name, key=lambda x: x[2])
+        if any(_jaro_winkler(self.seeds[i][2], name) >= threshold for i in self.may_be_alike(name, threshold, 0, at).tolist()):
+            return True
+        return len(self.alike(name, threshold, at)) > 0
+
     def __call__(self, name: str, least: float = REVIEW) -> tuple[int, str, float] | None:
         """(ordinal, canonical, similarity), or none that reaches `least`."""
         if not self.seeds or not name:
