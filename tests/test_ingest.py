@@ -121,3 +121,18 @@ def test_pacing_like_a_token_bucket(spark):
                 now, tokens = now + (1 - tokens) / 0.5, 1.0
             tokens, last = tokens - 1, now
             assert abs(got[url] - now) < 1e-9
+
+
+def test_titles_decode_what_their_sql_decodes(spark, tmp_path):
+    import duckdb
+
+    from tidemark.plans import catalog
+
+    rows = [(0, "https://a.com", "<h1>a &quot;b&quot; &lt;c &amp;amp;</h1>"), (1, "https://b.com", "<title>&#39;t&#39;&nbsp;&amp;</title>")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    want = dict(con.execute(catalog.oracle_sql()["title_fallback"]).fetchall())
+    assert {r.page_id: r.title for r in catalog.queries()["title_fallback"](spark, str(tmp_path)).collect()} == want
+    full = spark.createDataFrame(rows, "page_id long, url string, html string").select(news.title_of(F.lit(""), F.col("html")).alias("t"))
+    assert [r.t for r in full.collect()] == ['a "b" <c &amp;', "'t' &"]
