@@ -172,3 +172,11 @@ def test_open_names_are_dealt_to_many_tasks(spark):
     found = resolve.nearest_seeds(names, seeds, True, 10)
     assert len(found.inputFiles()) == 4  # each task writes its own
     assert found.groupBy("best").count().collect() == [("Acme number", 2000)]
+
+
+def test_article_texts_leave_a_task_in_slices(spark):
+    page = "<html><body><div><p>" + "A long enough paragraph of an article. " * 3 + "</p></div></body></html>"
+    rows = [(i, page if i % 3 else None) for i in range(300)]
+    plan = htmlclean.article_text(spark.createDataFrame(rows, "i int, h string").coalesce(1), "i", "h")
+    assert {r.i: r.full_text for r in plan.collect()} == {i: htmlclean.main_text(h) for i, h in rows}
+    assert "MapInArrow" in plan._jdf.queryExecution().executedPlan().toString() and htmlclean.SLICE < 300

@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,10 +63,11 @@ def found_in(texts: DataFrame, text: Column, names: DataFrame, id_col: str, name
 
 
 def _finder(shared, number: str, words: bool):
-    @F.pandas_udf("array<long>")
-    def find(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("array<long>")
+    def find(texts: pa.Array) -> pa.Array:
         made = _automaton(number, shared.value)
-        return pd.Series([_found(made, t, words) for t in texts])
+        # one text at a time leaves the batch, so a worker holds no second copy of it
+        return pa.array((_found(made, t.as_py(), words) for t in texts), pa.list_(pa.int64()), size=len(texts))
 
     return find
 
