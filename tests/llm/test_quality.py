@@ -111,3 +111,39 @@ def test_odd_rows(spark):
     assert [r.held_out for r in got if r.doc_id is None] == [False]
     assert q.score(spark.createDataFrame([], SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int")).count() == 0
     assert q.keep_good(rows, spark.createDataFrame(more, "doc_id long, quality int")).columns == rows.columns
+
+
+def test_fit_takes_all_pairs_of_all_rows(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 3))
+    y = (x @ [2, -1, 0] + rng.normal(size=300) > 0.5).astype(int)
+    good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
+    each = q.PARTNERS * (1 / len(good) + 1 / len(bad))
+    expected = q.fit_pairs(x, np.repeat(good, len(bad)), np.tile(bad, len(good)), q.PENALTY / each)
+    rows = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(y, x)], "y int, x array<double>").repartition(3)
+    got = q.fit_all_pairs(rows, np.zeros(3), np.ones(3), (len(bad), len(good)))
+    np.testing.assert_allclose(got, expected, atol=2e-3)
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 1000])
+def test_quantiles_are_exact(spark, n):
+    values = np.round(np.random.default_rng(n).normal(size=n), 2)  # some are equal
+    got = q.quantiles(spark.createDataFrame([(float(v),) for v in values], "raw double").repartition(3), q.QUANTILES)
+    np.testing.assert_allclose(got, np.quantile(values, q.QUANTILES), atol=1e-12)
+
+
+def test_more_labels_than_a_sample_held(spark):
+    from pyspark.sql import functions as F
+
+    y = (F.col("id") % 2).cast("int")
+    rows = spark.range(30_000).select(F.col("id").alias("i"), F.xxhash64("id").alias("o"), F.array(*(F.lit(0.0) if k else y + F.rand(5) for k in range(len(q.ALL)))).alias("x"))
+    labels = spark.range(30_000).select(F.col("id").alias("doc_id"), y.alias("quality"))
+    seen = []
+    kept = q.fit_all_pairs
+    try:
+        q.fit_all_pairs = lambda rows, mean, spread, n, *more: seen.append((rows.count(), sum(n))) or kept(rows, mean, spread, n, *more)
+        q.train(rows, labels)
+    finally:
+        q.fit_all_pairs = kept
+    usable = sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(30_000))
+    assert seen == [(usable, usable)] and usable > 20_000
