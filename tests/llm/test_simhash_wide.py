@@ -99,3 +99,39 @@ def test_null_and_repeated_ids(spark):
     kept = wide.keep_first(docs)
     assert kept.columns == docs.columns
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(None, "something else entirely here now"), (7, long), (7, "another text of that id"), (3, "")], key=str)
+
+
+def test_long_lists_lose_no_pair(spark):
+    """Nodes of one list: all pairs meet in a tile but those within the largest group; tiles are small."""
+    n = 60
+    nodes = spark.createDataFrame([(bytes([i]), bytes(32)) for i in range(n)], "node binary, fp binary")
+    whole = spark.createDataFrame([(key, bytes([i])) for key in (1, 2) for i in range(n)] + [(3, bytes([i])) for i in range(20)], "key long, node binary")
+    parts = spark.createDataFrame([(bytes([i]), bytes([0 if i < 20 else 20])) for i in range(30)], "node binary, component binary")
+    for known in (parts, None):
+        held = {}
+        for r in wide.tiles(whole, nodes, known, 16).collect():
+            held.setdefault(r.key, []).append(r.node[0])
+        assert max(map(len, held.values())) < n / 2 and all(len(set(x)) == len(x) for x in held.values())
+        met = {(a, b) for x in held.values() for a in x for b in x if a < b}
+        inside = {(a, b) for a in range(20) for b in range(a + 1, 20)} if known is not None else set()
+        assert {(a, b) for a in range(n) for b in range(a + 1, n)} - inside <= met
+
+
+def test_pairs_of_a_list_that_further_positions_part(spark):
+    """Twelve shared bytes, but none where a long list is read on: such pairs were never compared."""
+    rng = random.Random(5)
+    first = set(random.Random(11).sample(range(wide.POSITIONS), wide.EXTRA))
+    three = next(t for t in wide._threes() if not first & set(t))
+    shared = set(sorted(set(range(wide.POSITIONS)) - first)[:12]) | set(three)
+    prints = [bytes(7 if p in shared else rng.randrange(256) for p in range(wide.POSITIONS)) for _ in range(40)]
+    nodes = spark.createDataFrame([(bytes([i]) * 16, fp) for i, fp in enumerate(prints)], "node binary, fp binary")
+    short, whole = wide.lists(nodes, 8)
+    met = {}
+    for r in wide.tiles(whole, nodes, None, 8).collect():
+        met.setdefault(r.key, set()).add(r.node[0])
+    pairs = {(a, b) for x in met.values() for a in x for b in x if a < b}
+    assert pairs == {(a, b) for a in range(40) for b in range(a + 1, 40)}
+    before = {}
+    for r in short.collect():
+        before.setdefault(r.key, set()).add(r.node[0])
+    assert not pairs <= {(a, b) for x in before.values() for a in x for b in x if a < b}

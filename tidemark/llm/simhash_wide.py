@@ -8,13 +8,17 @@ SAMPLE shingles, the first in an order that only this position has, so a byte ag
 
 1. Texts with equal shingle sets are one node.
 2. The index is read by threes of positions, TABLES of them; texts that agree on three bytes meet in a list. A list of more
-   than LIST nodes is read by EXTRA further positions each, as often as needed. What agrees on everything and is
-   still too long is cut by hash, with its first node in every part.
+   than LIST nodes is first read by EXTRA further positions each, as often as needed. What agrees on everything and is
+   still too long is cut by hash, with its first node in every part. This finds the large groups without pairing them within
+   themselves, and loses other pairs of these lists; step 5 finds the rest.
 3. In a list the shared positional bytes of each pair are tallied; pairs of at least MATCHES (which similar texts
    miss with a chance under 0.01) are candidates. Every node proposes its best candidate, and what is proposed is verified
    by the exact Jaccard similarity of the shingles. Verified links make groups.
 4. Nodes that still have candidates in another group propose the next best, twice as many each time, until
    none is left. So no candidate between two groups stays unverified, while a large group is never paired within itself.
+5. Lists of more than LIST nodes are then compared whole: all nodes but those of a list's largest group meet each other and
+   that group, in tiles of some LIST nodes. Only the largest group is not compared with itself. Steps 3 and 4 are repeated on the tiles.
+   The rows of the tiles grow with the nodes of a list times those outside of its largest group.
 
 Words are runs of anything but ASCII white space with A-Z in lower case; fewer than `shingle` words are one shingle. Texts
 without words, null included, have equal (empty) sets. Rows are known by id and text, so null or repeated
@@ -120,13 +124,14 @@ def _text_hashes(text: F.Column) -> list[tuple[str, F.Column]]:
     return [("t1", F.xxhash64(text)), ("t2", F.xxhash64(F.lit(1), text))]
 
 
-def lists(nodes: DataFrame, longest: int = LIST) -> DataFrame:
-    """(key, node, fp) of the posting lists of two nodes or more; no list is longer than `longest` and some."""
+def lists(nodes: DataFrame, longest: int = LIST) -> tuple[DataFrame, DataFrame | None]:
+    """(key, node, fp) of the posting lists of two nodes or more, none longer than `longest` and some; and (key, node) of
+    the lists that are longer, if there are any, which the first table holds in a form that loses pairs."""
     part = lambda p: F.substring("fp", p + 1, 1)
     rows = nodes.select("node", F.explode(F.array(*(F.xxhash64(F.lit(t), *map(part, three)) for t, three in enumerate(_threes())))).alias("key"))
     prints = nodes.select("node", "fp")
     rng = random.Random(11)
-    out = None
+    out = whole = None
     for level in range(LEVELS + 1):
         # most keys are of one node: they are counted first, and only rows of the others are dealt out
         sizes = saved(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
@@ -136,16 +141,38 @@ def lists(nodes: DataFrame, longest: int = LIST) -> DataFrame:
         out = short if out is None else out.union(short)
         hot = met.where(F.col("n") > longest)
         if not hot.head(1):
-            return out
+            return out, whole
+        if whole is None:
+            whole = saved(hot.select("key", "node"))
         if level == LEVELS:
             parts = F.ceil(2 * F.col("n") / longest).cast("int")
             own = hot.select(F.xxhash64("key", F.lit(-1), F.pmod(F.xxhash64("node"), parts)).alias("key"), "node")
             lead = hot.groupBy("key").agg(F.min("node").alias("node"), F.first("n").alias("n"))
             lead = lead.select("node", "key", F.explode(F.sequence(F.lit(0), parts - 1)).alias("p")).select(F.xxhash64("key", F.lit(-1), F.col("p").cast("long")).alias("key"), "node")
-            return out.union(own.union(lead).distinct().join(prints, "node").select("key", "node", "fp"))
+            return out.union(own.union(lead).distinct().join(prints, "node").select("key", "node", "fp")), whole
         further = rng.sample(range(POSITIONS), EXTRA)
         rows = hot.join(prints, "node").select("node", F.explode(F.array(*(F.xxhash64("key", F.lit(p), part(p)) for p in further))).alias("key"))
-    return out
+
+
+def tiles(whole: DataFrame, nodes: DataFrame, parts: DataFrame | None, longest: int = LIST) -> DataFrame:
+    """(key, node, fp) of tiles in which all pairs of a list (key, node) meet but those within its largest group."""
+    group = F.coalesce("component", "node") if parts is not None else F.col("node")
+    grouped = saved((whole.join(parts, "node", "left") if parts is not None else whole).select("key", "node", group.alias("g")))
+    sizes = grouped.groupBy("key", "g").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("key").agg(F.max_by("g", F.struct("n", "g")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most")).where(F.col("all") > F.col("most"))
+    half = max(1, longest // 2)
+    cut = lambda n: F.ceil(n / half).cast("int")
+    placed = grouped.join(main, "key").withColumn("rests", cut(F.col("all") - F.col("most"))).withColumn("mains", cut(F.col("most")))
+    at = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    each = lambda n, tile: F.transform(F.sequence(F.lit(0), F.col(n) - 1), tile)
+    name = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
+    among = each("rests", lambda j: name(F.least(j, F.col("at")), F.greatest(j, F.col("at"))))
+    of_rest = F.concat(among, each("mains", lambda k: name(F.col("at"), -1 - k)))
+    of_main = each("rests", lambda i: name(i, -1 - F.col("at")))
+    is_main = F.col("g") == F.col("main")
+    rows = placed.withColumn("at", F.when(is_main, at("mains")).otherwise(at("rests"))).withColumn("is_main", is_main)
+    rows = rows.select("key", "node", F.explode(F.when(F.col("is_main"), of_main).otherwise(of_rest)).alias("tile"))
+    return saved(rows.select(F.xxhash64("key", "tile.a", "tile.b").alias("key"), "node").join(nodes.select("node", "fp"), "node").select("key", "node", "fp"))
 
 
 def proposals(members: DataFrame, first: int, last: int, least: int = MATCHES) -> DataFrame:
@@ -198,14 +225,19 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
 
 def groups(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, shingle: int, num: int = NUM, den: int = DEN, longest: int = LIST) -> DataFrame:
     """(node, component) of the nodes that have a link; nodes: node, fp and the text (t1, t2) that stands for it."""
-    members = saved(lists(nodes, longest))
+    found, whole = lists(nodes, longest)
+    members = saved(found)
     edges = sets = parts = None
     first, last = 0, 1
     while True:
         own = members.withColumn("part", F.lit(None).cast("binary")) if parts is None else members.join(parts.withColumnRenamed("component", "part"), "node", "left")
         pairs = saved(proposals(own.select("key", "node", "fp", "part"), first, last))
         if not pairs.head(1):
-            break
+            discard(members, pairs)
+            if whole is None:
+                break
+            members, whole, sets, first, last = tiles(whole, nodes, parts, longest), None, None, 0, 1
+            continue
         if sets is None:  # whoever has a candidate proposes it at once, so later pairs need no other sets
             ends = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
             wanted = saved(nodes.join(ends, "node", "left_semi").select("node", "t1", "t2"))
@@ -220,7 +252,6 @@ def groups(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, shingl
             parts = saved(connected_components(edges))
         # the ranks are among other groups only, so they begin anew when groups have grown
         first, last = (0, last) if linked.head(1) else (last, 2 * last + 1)
-    discard(members, pairs)
     if parts is None:
         return nodes.select("node", F.col("node").alias("component")).limit(0)
     return parts
