@@ -86,3 +86,12 @@ def test_drift_alerts(spark):
     df = spark.createDataFrame([(i, "a" if i < 6 else "b", "STARTUP", broken("STARTUP", "content.entityName", "" if i % 2 else "ok")) for i in range(8)], "seq int, source string, recordType string, json string")
     got = {r.source: (r.broken, [tuple(a) for a in r.alerts]) for r in validate.drift_alerts(validate.validate_by_type(df)).collect()}
     assert got == {"a": (3, [("content.entityName: too short", 3, 1)]), "b": (1, [("content.entityName: too short", 1, 7)])}
+
+
+def test_records_are_read_once_by_many_tasks(spark):
+    from tidemark.plans import ingest
+
+    assert ingest._startups(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    df = spark.createDataFrame([(1, "a", json.dumps(GOOD["STARTUP"]))], "seq int, source string, json string")
+    plan = validate.drift_alerts(validate.validate(df, "STARTUP"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().replace("_", "").count("parsejson(") == 1  # twice with a filter that moves below the rules

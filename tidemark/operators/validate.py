@@ -5,6 +5,7 @@ fields that the schema doesn't know come last. Text that is not a JSON object br
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -91,8 +92,8 @@ def _broken(record: Column, rule: Rule) -> Column:
     return F.concat(F.lit(f"{rule.path}: "), found)
 
 
-def violations(json: Column, schema: str | list[Rule]) -> Column:
-    """The messages of a record; none if it is valid. Null and text that is no JSON object give "not an object"."""
+def _violations(json: Column, record: Column, schema: str | list[Rule]) -> Column:
+    """The messages of a record: its text, and the same text parsed."""
     rules = SCHEMAS[schema] if isinstance(schema, str) else schema
     known: dict[str, list[str]] = {"": []}
     for rule in rules:
@@ -106,16 +107,23 @@ def violations(json: Column, schema: str | list[Rule]) -> Column:
         extra = F.array_except(F.coalesce(keys, F.array().cast("array<string>")), F.array(*map(F.lit, names)) if names else F.array().cast("array<string>"))
         return F.transform(extra, lambda k: F.concat(F.lit(f"{parent}." if parent else ""), k, F.lit(": not in the schema")))
 
-    def read(record: Column) -> Column:
-        return F.concat(F.array_compact(F.array(*(_broken(record, rule) for rule in rules))), *(unknown(*x) for x in known.items()))
+    found = F.concat(F.array_compact(F.array(*(_broken(record, rule) for rule in rules))), *(unknown(*x) for x in known.items()))
+    is_object = F.coalesce(F.schema_of_variant(record).startswith("OBJECT"), F.lit(False))
+    return F.when(is_object, found).otherwise(F.array(F.lit("not an object")))
+
 
-    is_object = F.coalesce(F.schema_of_variant(F.try_parse_json(json)).startswith("OBJECT"), F.lit(False))
-    return F.when(is_object, dates.let(F.try_parse_json(json), read)).otherwise(F.array(F.lit("not an object")))
+def violations(json: Column, schema: str | list[Rule]) -> Column:
+    """The messages of a record; none if it is valid. Null and text that is no JSON object give "not an object"."""
+    return dates.let(F.try_parse_json(json), lambda record: _violations(json, record, schema))
 
 
 def validate(records: DataFrame, schema: str, json_col: str = "json") -> DataFrame:
-    """records with violations (array<string>) and status, PASSED or FAILED."""
-    checked = records.withColumn("violations", violations(F.col(json_col), schema))
+    """records with violations (array<string>) and status, PASSED or FAILED.
+
+    The record is parsed in a step of its own, so that the rules are compiled; in a lambda they would be interpreted."""
+    own = f"_record_{uuid.uuid4().hex}"
+    parsed = records.withColumn(own, F.try_parse_json(F.col(json_col)))
+    checked = parsed.withColumn("violations", _violations(F.col(json_col), F.col(own), schema)).drop(own)
     return checked.withColumn("status", F.when(F.size("violations") == 0, "PASSED").otherwise("FAILED"))
 
 
@@ -129,7 +137,8 @@ def validate_by_type(records: DataFrame, kind_col: str = "recordType", json_col:
 def drift_alerts(checked: DataFrame, source: str = "source", seq: str = "seq", most: int = 100) -> DataFrame:
     """Per source: how many records broke rules, and how many times each rule was broken, most often first. The number of
     messages is that of rules and unknown fields; of the latter the `most` commonest are listed."""
-    broken = checked.where("status = 'FAILED'").select(source, seq, F.explode("violations").alias("message"))
+    # a filter before the explosion would move below the rules and have them read every record once more; valid records have no messages
+    broken = checked.select(source, seq, F.explode_outer("violations").alias("message")).where("message IS NOT NULL")
     by_rule = broken.groupBy(source, "message").agg(F.count("*").alias("n"), F.min(seq).alias("first"))
     ranked = by_rule.withColumn("k", F.row_number().over(Window.partitionBy(source).orderBy(F.desc("n"), "message"))).where(F.col("k") <= most)
     return ranked.groupBy(source).agg(F.sum("n").alias("broken"), F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "message", "first"))).alias("a")).select(source, "broken", F.transform("a", lambda x: F.struct(x["message"].alias("message"), (-x["n"]).alias("n"), x["first"].alias("first"))).alias("alerts"))
