@@ -31,12 +31,16 @@ def budgeted(docs: DataFrame, key: str, text_col: str, budget: int, count: Calla
         raise ValueError("a budget has at least four tokens")
     most = budget // 4
     rows = docs.select(F.col(key), F.col(text_col).cast("string").alias("_t"), F.monotonically_increasing_id().alias("_row"))
-    paragraphs = rows.select(key, "_row", F.posexplode(F.split("_t", between)).alias("_p", "_u")).where(F.trim("_u") != "")
-    parts = lambda long, pieces: F.when(count(F.col("_u")) > most, pieces).otherwise(F.array("_u"))  # noqa: E731, ARG005
-    sentences = paragraphs.select(key, "_row", "_p", F.posexplode(parts("_u", F.split(F.regexp_replace("_u", SENTENCE, "$1\u0001"), "\u0001"))).alias("_s", "_u"))
-    words = sentences.select(key, "_row", "_p", "_s", F.posexplode(parts("_u", F.split("_u", r"\s+"))).alias("_w", "_u")).where("_u <> ''")
+    # what is not split further keeps its count; an explosion that may be empty gets no filter that would count everything once more
+    paragraphs = rows.select(key, "_row", F.posexplode_outer(F.split("_t", between)).alias("_p", "_u")).where(F.trim("_u") != "").withColumn("_n", count(F.col("_u")))
+    long = F.col("_n") > most
+    parts = lambda pieces: F.when(long, pieces).otherwise(F.array("_u"))
+    split = lambda rows, names, pieces, at: rows.select(key, "_row", *names, long.alias("_long"), F.col("_n").alias("_whole"), F.posexplode_outer(parts(pieces)).alias(at, "_u"))
+    recount = lambda rows: rows.withColumn("_n", F.when(F.col("_long"), count(F.col("_u"))).otherwise(F.col("_whole")))
+    sentences = recount(split(paragraphs, ["_p"], F.split(F.regexp_replace("_u", SENTENCE, "$1\u0001"), "\u0001"), "_s"))
+    words = recount(split(sentences, ["_p", "_s"], F.split("_u", r"\s+"), "_w").where("_u <> ''"))
     runs = F.transform(F.sequence(F.lit(0), F.floor((F.length("_u") - 1) / most).cast("int")), lambda k: F.substr("_u", k * most + 1, F.lit(most)))
-    units = words.select(key, "_row", "_p", "_s", "_w", F.posexplode(parts("_u", runs)).alias("_c", "_u")).withColumn("_n", count(F.col("_u")))
+    units = recount(split(words, ["_p", "_s", "_w"], runs, "_c"))
     order = ["_p", "_s", "_w", "_c"]
     before = F.coalesce(F.sum("_n").over(Window.partitionBy("_row").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = units.withColumn("chunk", F.floor(before / (budget - most)))
