@@ -1,7 +1,9 @@
 import base64
 import hashlib
+import tracemalloc
 
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -40,3 +42,24 @@ def test_like_the_library(spark, library):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.encode(docs, PATH, P.PATTERN).count() == 0
+
+
+def test_boundaries_of_few_chunks_are_held():
+    """A batch of many chunks costs the memory of few, and says the same."""
+    encoder = bpe.Encoder.of(PATH, P.PATTERN)
+    part = "a b, " * (bpe.CHUNK // 10)
+    rows = [(r, r, n, part, n == 1) for r in range(32) for n in (0, 1)]
+    names = ["_row", "_id", "_n", "_part", "_last"]
+    batch = pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows], pa.schema([("_row", pa.int64()), ("_id", pa.int64()), ("_n", pa.int32()), ("_part", pa.string()), ("_last", pa.bool_())]))
+    found = [m.start() for m in encoder.pattern.finditer(part)]
+    tracemalloc.start()
+    at = 0
+    for some in bpe.chunk_marks(encoder, iter([batch])):
+        assert some.num_rows <= bpe.AT_ONCE and some.column("_row").to_pylist() == [r[0] for r in rows[at : at + some.num_rows]]
+        for k, marks in enumerate(some.column("_marks")):
+            n, last = rows[at + k][2], rows[at + k][4]
+            assert marks.values.equals(pa.array([n * bpe.CHUNK + x for x in found + [len(part)] * last], pa.int32()))
+        at += some.num_rows
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert at == len(rows) and peak < 20 * len(found) * 40  # as lists of numbers the boundaries of all 64 chunks take three times that

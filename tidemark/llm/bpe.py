@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,6 +24,8 @@ from pyspark.sql import functions as F
 
 #: Code points of a chunk, and of the stretch that it shares with the next one.
 CHUNK, OVERLAP = 32_768, 512
+#: Rows of a batch whose results are held at a time; each has CHUNK code points and some more at most.
+AT_ONCE = 16
 #: Pieces whose ids a worker remembers; beyond, it starts to remember anew.
 REMEMBERED = 200_000
 
@@ -108,6 +111,23 @@ def stitch(marks: list[list[int]], text: str, encoder: Encoder, chunk: int, over
     return cuts
 
 
+def chunk_marks(encoder: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunk rows -> their boundaries, counted from the text's start. A batch has up to thousands of chunks, each with thousands
+    of boundaries, so few chunks are held at a time, and their boundaries as numbers of four bytes."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, AT_ONCE):
+            few = batch.slice(at, AT_ONCE)
+            marks, ends = array("i"), array("i", [0])
+            for i in range(few.num_rows):
+                part, start = few.column("_part")[i].as_py(), few.column("_n")[i].as_py() * CHUNK
+                marks.extend(start + m.start() for m in encoder.pattern.finditer(part))
+                if few.column("_last")[i].as_py():
+                    marks.append(start + len(part))
+                ends.append(len(marks))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(marks, pa.int32()))
+            yield pa.RecordBatch.from_arrays([*(few.column(c) for c in ("_row", "_id", "_n", "_part")), lists], names=["_row", "_id", "_n", "_part", "_marks"])
+
+
 def _digest(total: int, ids: bytes, decoded: bytes) -> tuple[int, str, str]:
     return total, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
@@ -137,20 +157,12 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
         encoder = Encoder.of(path, pattern)
         for batch in batches:
             texts = batch.column("_text")
-            for at in range(0, batch.num_rows, 256):
-                part = texts.slice(at, 256)
-                yield out(batch.column("_id").slice(at, 256), [joined(encoder, encoder.pieces(x.as_py())) for x in part])
+            for at in range(0, batch.num_rows, AT_ONCE):
+                part = texts.slice(at, AT_ONCE)
+                yield out(batch.column("_id").slice(at, AT_ONCE), [joined(encoder, encoder.pieces(x.as_py())) for x in part])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Chunk rows -> their boundaries, counted from the text's start."""
-        encoder = Encoder.of(path, pattern)
-        for batch in batches:
-            marks = []
-            for part, n, last in zip(*(batch.column(c).to_pylist() for c in ("_part", "_n", "_last")), strict=True):
-                found = [n * CHUNK + m.start() for m in encoder.pattern.finditer(part)]
-                marks.append([*found, n * CHUNK + len(part)] if last else found)
-            kept = [batch.column(c) for c in ("_row", "_id", "_n", "_part")]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(marks, pa.list_(pa.int32()))], names=["_row", "_id", "_n", "_part", "_marks"])
+        return chunk_marks(Encoder.of(path, pattern), batches)
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """All chunks of a text -> its digests."""
