@@ -93,3 +93,24 @@ def test_oracle(spark):
     con = duckdb.connect()
     con.sql(f"create view documents as from '{path}'")
     assert got == sorted(con.sql(linededup.ORACLE).fetchall())
+
+
+@pytest.mark.parametrize("few", [32, 2])
+def test_keys_are_dealt_in_parts(spark, few, monkeypatch):
+    """One part of the keys after the other loses no removal, nor do usual or frequent keys fall between the parts."""
+    rows = list(enumerate(corpus(17, 30)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen, kept = [], linededup.saved
+
+    def watched(df):
+        plan = df._jdf.queryExecution().analyzed().toString()
+        if "pmod(key" in plan and "x_id" in df.columns:
+            seen.append(plan)
+        return kept(df)
+
+    monkeypatch.setattr(linededup, "saved", watched)
+    got = {}
+    for r in linededup.removed_lines(docs, min_words=1, few=few).collect():
+        got.setdefault(r.id, []).append(r.line)
+    assert {i: sorted(x) for i, x in got.items()} == brute(rows, least=1)
+    assert len(seen) >= linededup.PARTS > 1 and len(seen) % linededup.PARTS == 0

@@ -44,6 +44,8 @@ NUM, DEN, MIN_WORDS, ANY = 4, 5, 5, 1
 BUCKETS, FEW = 32_768, 1024
 #: Sets of a quarter that all others of it are verified against, and slots of a first count of keys.
 LEADERS, SLOTS = 8, 65_536
+#: Parts of the keys that are dealt out one after the other.
+PARTS = 2
 HASH_BITS = 59
 
 
@@ -139,18 +141,30 @@ def removed_lines(docs: DataFrame, num: int = NUM, den: int = DEN, min_words: in
     bits = [F.expr("if(n <= 64, b0 ^ b1, b0)").alias("b0"), F.expr("if(n <= 64, 0L, b1)").alias("b1")]
     narrow = ["n", *bits, "id", "line"]
     short = F.hash("key").alias("key")
-    dealt = state(matched).select("m", F.posexplode(keys).alias("i", "key"), *facts).select(short, place, *narrow).repartition("key")
     hot = saved(_hot(able.select(F.explode(keys).alias("key")).select(short), few))
-    usual = dealt.join(hot.hint("shuffle_hash"), "key", "left_anti") if hot.head(1) else dealt
-    found = saved(usual.alias("x").join(usual.alias("y"), [F.col("x.key") == F.col("y.key"), fits]).select(*ends).distinct())
+    some_hot = bool(hot.head(1))
+
+    def meetings(rows: DataFrame, but: DataFrame | None = None) -> DataFrame:
+        """The pairs that fit and meet in a key of rows, but for the keys of `but`. One part of the keys is dealt out after the
+        other, and its shuffle goes before the next, so the disk holds a part of what is dealt out at a time."""
+        found = []
+        for part in range(PARTS):
+            dealt = rows.where(F.pmod("key", F.lit(PARTS)) == part).repartition("key")
+            dealt = dealt if but is None else dealt.join(but.hint("shuffle_hash"), "key", "left_anti")
+            found.append(saved(dealt.alias("x").join(dealt.alias("y"), [F.col("x.key") == F.col("y.key"), fits]).select(*ends).distinct()))
+        out = saved(reduce(DataFrame.union, found).distinct())
+        discard(*found)
+        return out
+
+    found = meetings(state(matched).select("m", F.posexplode(keys).alias("i", "key"), *facts).select(short, place, *narrow), hot if some_hot else None)
     more = verified(source, found, table, num, den)
     discard(found)
     results = [matched, more]
-    if hot.head(1):
+    if some_hot:
         often = state(matched, more).select("m", F.posexplode("prefix").alias("i", "key"), *facts, "prefix").where("i < size(prefix) - 1").withColumn("key", F.hash("key"))
         often = maybe_among(often, hot, ["key"]).join(hot, "key", "left_semi")
-        pairs = often.select(F.explode(F.expr("slice(prefix, i + 2, size(prefix))")).alias("later"), "key", "m", "i", *facts).select(F.xxhash64("key", "later").alias("key"), place, *narrow).repartition("key")
-        found = saved(pairs.alias("x").join(pairs.alias("y"), [F.col("x.key") == F.col("y.key"), fits]).select(*ends).distinct())
+        pairs = often.select(F.explode(F.expr("slice(prefix, i + 2, size(prefix))")).alias("later"), "key", "m", "i", *facts).select(F.xxhash64("key", "later").alias("key"), place, *narrow)
+        found = meetings(pairs)
         results.append(verified(source, found, table, num, den))
         discard(found)
 
