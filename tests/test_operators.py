@@ -174,6 +174,29 @@ def test_open_names_are_dealt_to_many_tasks(spark):
     assert found.groupBy("best").count().collect() == [("Acme number", 2000)]
 
 
+def test_blocks_of_seeds_meet_the_names_in_groups(spark):
+    """What is found in a group is carried on, so each name is written once, not once for each block."""
+    rng = random.Random(9)
+    name = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.choice([6, 9, 12])))
+    seeds = sorted({name() for _ in range(90)})
+    asked = sorted({x[:-1] + "z" for x in seeds[::2]} | {name() for _ in range(40)})
+    known = spark.createDataFrame([(i, n) for i, n in enumerate(seeds)], "ordinal int, canonical_name string")
+    found = resolve.nearest_seeds(spark.createDataFrame([(n,) for n in asked], "_norm string"), known, True, 10)
+    assert len(found.inputFiles()) == 1
+    best = {a: max((resolve._jaro_winkler(a, n), -i, n) for i, n in enumerate(seeds)) for a in asked}
+    assert {(r["_norm"], r.best, r.score) for r in found.collect()} == {(a, n, s) for a, (s, _, n) in best.items() if s >= resolve.REVIEW}
+
+
+def test_pairs_of_a_block_equal_brute_force():
+    rng = random.Random(5)
+    name = lambda: "".join(rng.choice("abcdé ") for _ in range(rng.choice([1, 1, 2, 5, 12, 40, 63, 64, 65, 90])))
+    block = resolve.Nearest([(i, "", name()) for i in range(120)])
+    asked = [name() for _ in range(80)] + ["x", block.names[3]]
+    for threshold in (0.8, 0.9):
+        alike = {(k, i) for k, a in enumerate(asked) for i, b in enumerate(block.names) if resolve._jaro_winkler(a, b) >= threshold}
+        assert set(block.alike(asked, threshold)) == alike and block.holds_alike(asked, threshold) == {k for k, _ in alike}
+
+
 def test_article_texts_leave_a_task_in_slices(spark):
     page = "<html><body><div><p>" + "A long enough paragraph of an article. " * 3 + "</p></div></body></html>"
     rows = [(i, page if i % 3 else None) for i in range(300)]

@@ -60,9 +60,9 @@ def candidates(rows: DataFrame, threshold: float, small: int = SMALL) -> DataFra
         made = [Nearest([(i, n, n) for i, n in enumerate(side)]) for side in sides]
         out = []
         for side, other in zip(sides, made[::-1], strict=True):
-            theirs = [n for _, _, n in other.seeds]
-            for n in side:  # the lesser name of a pair is compared with the greater ones
-                out += [(block, n, theirs[i]) for i in other.alike(n, threshold, bisect_right(theirs, n)).tolist()]
+            # the lesser name of a pair is compared with the greater ones
+            starts = [bisect_right(other.names, n) for n in side]
+            out += [(block, side[k], other.names[i]) for k, i in other.alike(side, threshold, starts)]
         return pd.DataFrame(out, columns=["block", "a", "b"])
 
     parts = F.ceil(F.col("names") / (small * TILE)).cast("int")
@@ -129,20 +129,16 @@ def _led(state: DataFrame, threshold: float, rows: int) -> DataFrame:
     """Open records with the status of the first HEAD of them in order, which depends on no other, and of those that are
     like one of these that stays. Where most names are alike, a few such records settle the table without its pairs."""
     # HEAD rows come to the driver and go to the tasks
-    head = state.orderBy("seq").limit(HEAD).collect()
-    leaders, first = _Leaders(threshold), {}
-    for r in head:
-        first[r.seq] = "duplicate" if leaders.claim(r.exact, r.norm, r.block, r.name) else "keep"
-        if first[r.seq] == "keep":
-            leaders.add(r.exact, r.norm, r.block, r.name)
-    shared = state.sparkSession.sparkContext.broadcast((leaders, first))
+    head = [(r.seq, r.exact, r.norm, r.block, r.name) for r in state.orderBy("seq").limit(HEAD).collect()]
+    leaders = _Leaders(threshold)
+    shared = state.sparkSession.sparkContext.broadcast((leaders, leaders.lead(head)))
 
     @F.pandas_udf("string")
     def judged(seq: pd.Series, exact: pd.Series, norm: pd.Series, block: pd.Series, name: pd.Series) -> pd.Series:
         kept, decided = shared.value
-        some = lambda x: x if isinstance(x, str) else None
-        rows = zip(seq, exact, norm, block, name, strict=True)
-        return pd.Series([decided.get(s) or ("duplicate" if kept.claim(some(e), some(k), some(b), some(n)) else "open") for s, e, k, b, n in rows])
+        some = lambda column: [x if isinstance(x, str) else None for x in column]
+        claimed = kept.claimed(*map(some, (exact, norm, block, name)))
+        return pd.Series([decided.get(s) or ("duplicate" if c else "open") for s, c in zip(seq, claimed, strict=True)])
 
     # names are few bytes and much work: their number is dealt, not their size
     dealt = state.repartition(min(MOST_TASKS, -(-rows // (2 * HEAD))))
@@ -155,21 +151,44 @@ class _Leaders:
     def __init__(self, threshold: float):
         self.threshold, self.exact, self.norm, self.names, self.made = threshold, set(), set(), {}, {}
 
-    def add(self, exact: str | None, norm: str | None, block: str | None, name: str | None) -> None:
-        self.exact |= {exact} - {None}
-        self.norm |= {norm} - {None}
-        if block is not None and name:
+    def lead(self, rows: list[tuple]) -> dict:
+        """Decide rows (seq, exact, norm, block, name) in order; the status by seq. Those that stay lead."""
+        blocks, near, out = {}, {}, {}
+        for _, _, _, block, name in rows:
+            if block is not None and name:
+                blocks.setdefault(block, set()).add(name)
+        for block, names in blocks.items():
+            names = sorted(names)
+            for k, i in Nearest([(i, n, n) for i, n in enumerate(names)]).alike(names, self.threshold):
+                near.setdefault((block, names[k]), []).append((block, names[i]))
+        places = set()
+        for seq, exact, norm, block, name in rows:
+            twin = exact in self.exact or norm in self.norm or any(x in places for x in near.get((block, name), ()))
+            out[seq] = "duplicate" if twin else "keep"
+            if not twin:
+                self.exact |= {exact} - {None}
+                self.norm |= {norm} - {None}
+                if block is not None and name:
+                    places.add((block, name))
+        for block, name in places:
             self.names.setdefault(block, []).append(name)
-            self.made.pop(block, None)
-
-    def claim(self, exact: str | None, norm: str | None, block: str | None, name: str | None) -> bool:
-        if exact in self.exact or norm in self.norm:
-            return True
-        if not name or block not in self.names:
-            return False
-        if block not in self.made:
-            self.made[block] = Nearest([(i, n, n) for i, n in enumerate(sorted(self.names[block]))])
-        return self.made[block].holds_alike(name, self.threshold)
+        return out
+
+    def claimed(self, exact: list, norm: list, block: list, name: list) -> list[bool]:
+        """Whether a record that stays has the exact key, the normalised key or a similar name in the block, for many records."""
+        out = [e in self.exact or n in self.norm for e, n in zip(exact, norm, strict=True)]
+        places = {}
+        for i, (b, n) in enumerate(zip(block, name, strict=True)):
+            if not out[i] and n and b in self.names:
+                places.setdefault(b, {}).setdefault(n, []).append(i)
+        for b, names in places.items():
+            if b not in self.made:
+                self.made[b] = Nearest([(i, n, n) for i, n in enumerate(sorted(self.names[b]))])
+            asked = list(names)
+            for k in self.made[b].holds_alike(asked, self.threshold):
+                for i in names[asked[k]]:
+                    out[i] = True
+        return out
 
 
 def _bounds(state: DataFrame, near: DataFrame) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,22 +31,30 @@ def alias_table(seeds: DataFrame) -> DataFrame:
 
 #: Characters of a name that its places are kept for as bits; longer names are compared one by one.
 BITS = 64
-#: Names that are compared with a block of seeds by one task, and the most tasks that they are dealt to.
+#: Names that are compared with a group of blocks by one task, and the most tasks that they are dealt to.
 NAMES_A_TASK, MOST_TASKS = 500, 4096
-
-
-@lru_cache(maxsize=BITS)
-def _windows(length: int) -> np.ndarray:
-    """For each place of a name of that length the bits of the places that may match it, by the length of the other name."""
-    out = np.zeros((length, BITS + 1), np.uint64)
-    for other in range(1, BITS + 1):
-        reach = max(length, other) // 2 - 1
-        for i in range(length):
-            out[i, other] = sum(1 << j for j in range(max(0, i - reach), min(other, i + reach + 1)))
-    return out
-
-
-@lru_cache(maxsize=4 * BITS)
+#: Blocks of seeds that reach the workers together; what a name has found in a group bounds what it looks for in the next.
+GROUP = 5
+#: Names whose letters are counted at once, pairs that are compared at once, seeds that share most letters and are looked at first,
+#: steps of similarity that a bound is rounded down to.
+TOGETHER, PAIRS, FIRST, STEPS = 64, 1 << 14, 32, 200
+#: Arrays of needed letters that a block keeps.
+KEPT = 256
+
+
+@lru_cache(maxsize=1)
+def _windows() -> np.ndarray:
+    """The bits of the places of a name that may match a place of another, by the other's length, that place and the name's length."""
+    n = np.arange(BITS + 1)
+    own, i, other = np.meshgrid(n, n[:BITS], n, indexing="ij")
+    reach = np.maximum(own, other) // 2 - 1
+    low = np.maximum(0, i - reach)
+    high = np.maximum(low, np.minimum(other, i + reach + 1))
+    below = np.array([min((1 << k) - 1, 2**64 - 1) for k in range(2 * BITS)], np.uint64)
+    return (below[high] & ~below[low]).reshape(-1)
+
+
+@lru_cache(maxsize=4096)
 def _least_shared(length: int, threshold: float) -> np.ndarray:
     """Letters in common that a name of that length needs for the threshold, by the characters of the common beginning and the length
     of the other name; names of more than BITS characters need none, as they are compared by themselves."""
@@ -56,174 +66,255 @@ def _least_shared(length: int, threshold: float) -> np.ndarray:
 
 
 class Nearest:
-    """The most similar of a block of (ordinal, canonical, normalised name), the first by ordinal of several.
+    """A block of seeds (ordinal, canonical, normalised name), sorted by name, that many names are compared with.
 
-    For each letter the places where a seed holds it are bits of a number, so one operation compares a character with all seeds."""
+    For each letter the seeds that hold it are a row of bytes, so one operation counts a letter for all seeds; the places where a seed
+    holds a letter are bits of a number, so one operation compares a character of many pairs. Names of a common beginning lie together.
+    The similarity of two names is the same in either order: of equal letters the first of both sides match."""
 
     def __init__(self, seeds: list[tuple[int, str, str]]):
-        self.seeds = sorted(seeds)
-        self.lengths = np.array([len(n) for _, _, n in self.seeds], np.int64)
-        self.letters: dict[str, int] = {}
-        for _, _, n in self.seeds:
-            for ch in n:
-                self.letters.setdefault(ch, len(self.letters))
-        self.counts = np.zeros((len(self.letters), len(self.seeds)), np.uint8)
-        self.places = np.zeros((len(self.letters), len(self.seeds)), np.uint64)
-        for i, (_, _, n) in enumerate(self.seeds):
-            for j, ch in enumerate(n):
+        self.seeds = sorted(seeds, key=lambda x: (x[2], x[0]))
+        self.names, size = [n for _, _, n in self.seeds], len(self.seeds)
+        self.ordinals = np.array([o for o, _, _ in self.seeds], np.int64)
+        self.lengths = np.array([len(n) for n in self.names], np.int64)
+        self.capped = np.minimum(self.lengths, BITS + 1).astype(np.uint8)
+        self.letters = {c: k for k, c in enumerate(sorted(set("".join(self.names))))}
+        self.counts = np.zeros((len(self.letters), size), np.uint8)
+        # the last row is that of a character that no seed holds
+        self.places = np.zeros((len(self.letters) + 1, size), np.uint64)
+        codes, _ = self._codes(self.names)
+        for j in range(codes.shape[1]):
+            rows = np.flatnonzero(self.lengths > j)
+            self.counts[codes[rows, j], rows] += 1
+            self.places[codes[rows, j], rows] |= np.uint64(1 << j)
+        for i in np.flatnonzero(self.lengths > BITS).tolist():
+            for ch in self.names[i][BITS:]:
                 k = self.letters[ch]
                 self.counts[k, i] = min(255, int(self.counts[k, i]) + 1)
-                if j < BITS:
-                    self.places[k, i] |= np.uint64(1 << j)
-        self.long = self.lengths > BITS
+        self.held = (self.counts > 0).view(np.uint8)
         self.equal: dict[str, int] = {}
-        for i, (_, _, n) in enumerate(self.seeds):
+        for i, n in enumerate(self.names):
             self.equal.setdefault(n, i)
-        self.prefixes = np.array([[ord(c) for c in n[:4].ljust(4, "\0")] for _, _, n in self.seeds], np.int64).reshape(-1, 4)
+        self.least: dict[tuple[int, float, int], np.ndarray] = {}
+
+    def __reduce__(self):
+        return Nearest, (self.seeds,)
 
-    def bounds(self, name: str) -> np.ndarray:
-        """What the letters in common and the common beginning allow at best, for every seed."""
+    def _codes(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The first BITS characters of names as rows of `places`, and the lengths of the names."""
+        lengths = np.fromiter(map(len, names), np.int64, len(names))
+        out = np.full((len(names), min(BITS, int(lengths.max(initial=0)))), len(self.letters), np.int64)
+        flat = np.fromiter((self.letters.get(c, len(self.letters)) for n in names for c in n[:BITS]), np.int64)
+        out[np.arange(out.shape[1]) < lengths[:, None]] = flat
+        return out, lengths
+
+    def _shared(self, name: str, start: int, end: int) -> np.ndarray:
+        """Letters that a name of at most BITS characters has in common with each of the seeds from start to end."""
         own: dict[str, int] = {}
         for ch in name:
             own[ch] = own.get(ch, 0) + 1
-        shared = np.zeros(len(self.seeds), np.int64)
+        shared = np.zeros(end - start, np.uint8)
         for ch, n in own.items():
-            if ch in self.letters:
-                held = self.counts[self.letters[ch]]
-                shared += held if n >= 255 else np.minimum(held, np.uint8(n))
-        # a letter that a seed holds 255 times or more is not counted out
-        shared = np.where(self.lengths >= 255, np.minimum(len(name), self.lengths), shared)
-        jaro = np.where(shared > 0, (shared / len(name) + shared / self.lengths + 1) / 3, 0.0)
-        return np.where(jaro > 0.7, jaro + 0.1 * self.common(name, slice(None)) * (1 - jaro), jaro) + 1e-9
-
-    def common(self, name: str, rows) -> np.ndarray:
-        """Characters of the common beginning, four at most."""
-        k = min(4, len(name))
-        return np.cumprod(self.prefixes[rows][:, :k] == np.array([ord(c) for c in name[:k]]), axis=1).sum(axis=1)
-
-    def similarities(self, name: str, rows: np.ndarray) -> np.ndarray:
-        """The similarity of a name of at most BITS characters to some seeds that are no longer either and not equal to it, as
-        _jaro_winkler has it."""
-        lengths, one = self.lengths[rows], np.uint64(1)
-        windows, taken, hits = _windows(len(name)), np.zeros(len(rows), np.uint64), []
-        for i, ch in enumerate(name):
-            if ch not in self.letters:
-                continue
-            places = self.places[self.letters[ch]][rows]
-            free = places & windows[i][lengths] & ~taken
+            k = self.letters.get(ch)
+            if k is not None:
+                shared += self.held[k, start:end] if n == 1 else np.minimum(self.counts[k, start:end], np.uint8(n))
+        return shared
+
+    def _beginnings(self, name: str) -> list[tuple[int, int]]:
+        """For 0, 1, … characters the range of the seeds that begin with as many of the name."""
+        out = [(0, len(self.names))]
+        for p in range(1, min(PREFIX, len(name)) + 1):
+            low, high = out[-1]
+            low = bisect_left(self.names, name[:p], low, high)
+            out.append((low, bisect_right(self.names, name[:p], low, high, key=lambda n, p=p: n[:p])))
+        return out
+
+    def _needed(self, length: int, threshold: float, prefix: int) -> np.ndarray:
+        key = (length, threshold, prefix)
+        if key not in self.least:
+            if len(self.least) >= KEPT:
+                self.least.clear()
+            self.least[key] = _least_shared(length, threshold)[prefix][self.capped]
+        return self.least[key]
+
+    def may_be_alike(self, name: str, threshold: float, start: int = 0, shared: np.ndarray | None = None) -> np.ndarray:
+        """Places, from start on, of the seeds that letters, lengths and common beginnings allow to reach the threshold."""
+        if len(name) > BITS:
+            return np.arange(start, len(self.names))
+        shared = self._shared(name, start, len(self.names)) if shared is None else shared
+        ranges, found = self._beginnings(name), []
+        edges = [(low, p) for p, (low, _) in enumerate(ranges)] + [(high, p - 1) for p, (_, high) in reversed(list(enumerate(ranges)))]
+        for (a, p), (b, _) in zip(edges, edges[1:]):
+            a = max(a, start)
+            if a < b:
+                found.append(a + np.flatnonzero(shared[a - start : b - start] >= self._needed(len(name), threshold, p)[a:b]))
+        return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+    def similarities(self, names: list[str], which: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """The similarity of names[which] to the seeds at rows, as _jaro_winkler has it."""
+        codes, own = self._codes(names)
+        out = np.empty(len(rows))
+        for at in range(0, len(rows), PAIRS):
+            some = slice(at, at + PAIRS)
+            out[some] = self._similar(codes, own, which[some], rows[some])
+        for k in np.flatnonzero((own[which] > BITS) | (self.lengths[rows] > BITS)).tolist():
+            out[k] = _jaro_winkler(names[which[k]], self.names[rows[k]])
+        return out
+
+    def _similar(self, codes: np.ndarray, own: np.ndarray, which: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        la, lb, one = own[which], self.lengths[rows], np.uint64(1)
+        windows, at = _windows(), np.minimum(la, BITS) * (BITS * (BITS + 1)) + np.minimum(lb, BITS)
+        taken, m, swaps, hits = np.zeros(len(rows), np.uint64), np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64), []
+        width = int(min(BITS, la.max(initial=0)))
+        chosen = np.ascontiguousarray(codes[which, :width].T)
+        for i in range(width):
+            places = self.places[chosen[i], rows]
+            free = places & windows[at + i * (BITS + 1)] & ~taken
             first = free & (~free + one)
             taken |= first
-            hits.append((places, first != 0))
-        m = sum((hit for _, hit in hits), np.zeros(len(rows), np.int64))
-        left, swaps = taken, np.zeros(len(rows), np.int64)
+            hit = first != 0
+            m += hit
+            hits.append((places, hit))
+        left = taken
         for places, hit in hits:  # the k-th match of either side, in their order
             first = left & (~left + one)
             swaps += hit & ((places & first) == 0)
             left = np.where(hit, left ^ first, left)
         with np.errstate(divide="ignore", invalid="ignore"):
-            jaro = np.where(m > 0, (m / len(name) + m / lengths + (m - swaps // 2) / m) / 3, 0.0)
-        return np.where(jaro > 0.7, jaro + 0.1 * self.common(name, rows) * (1 - jaro), jaro)
-
-    def may_be_alike(self, name: str, threshold: float, start: int = 0, end: int | None = None) -> np.ndarray:
-        """Places from start to end of the seeds that letters, lengths and common beginnings allow to reach the threshold."""
-        if len(name) > BITS:
-            return start + np.flatnonzero(self.bounds(name)[start:end] >= threshold)
-        own: dict[str, int] = {}
-        for ch in name:
-            own[ch] = own.get(ch, 0) + 1
-        lengths, shared = self.lengths[start:end], np.zeros(len(self.lengths[start:end]), np.uint8)
-        for ch, n in own.items():
-            if ch in self.letters:
-                shared += np.minimum(self.counts[self.letters[ch]][start:end], np.uint8(n))
-        least = _least_shared(len(name), threshold)
-        capped = np.minimum(lengths, BITS + 1)
-        rows = np.flatnonzero(shared >= least[PREFIX][capped])
-        return start + rows[shared[rows] >= least[self.common(name, start + rows), capped[rows]]]
-
-    def alike(self, name: str, threshold: float, start: int = 0) -> np.ndarray:
-        """Places, from start on, of the seeds whose similarity to a name that is none of them reaches the threshold."""
-        rows = self.may_be_alike(name, threshold, start)
-        fast = ~self.long[rows] & (len(name) <= BITS)
-        short, others = rows[fast], rows[~fast]
-        some = short[self.similarities(name, short) >= threshold] if len(short) else short
-        return np.concatenate([some, np.array([i for i in others.tolist() if _jaro_winkler(name, self.seeds[i][2]) >= threshold], np.int64)])
-
-    def holds_alike(self, name: str, threshold: float) -> bool:
-        """Whether a seed, of those sorted by name, is equal to the name or similar to it; the lesser of two names comes first."""
-        if name in self.equal:
-            return True
-        at = bisect_left(self.seeds, name, key=lambda x: x[2])
-        if any(_jaro_winkler(self.seeds[i][2], name) >= threshold for i in self.may_be_alike(name, threshold, 0, at).tolist()):
-            return True
-        return len(self.alike(name, threshold, at)) > 0
+            jaro = np.where(m > 0, (m / la + m / lb + (m - swaps // 2) / m) / 3, 0.0)
+        prefix, same = np.zeros(len(rows), np.int64), np.ones(len(rows), bool)
+        for i in range(min(PREFIX, width)):
+            same &= (self.places[chosen[i], rows] & np.uint64(1 << i)) != 0
+            prefix += same
+        out = np.where(jaro > 0.7, jaro + 0.1 * prefix * (1 - jaro), jaro)
+        return np.where((prefix == la) & (la == lb), 1.0, out)  # equal letters alone match nothing
+
+    def alike(self, names: list[str], threshold: float, starts: list[int] | None = None) -> Iterator[tuple[int, int]]:
+        """(place among names, place among seeds) of the pairs whose similarity reaches the threshold; of each name the seeds from its
+        start on. Pairs are compared when there are many of them."""
+        which, rows, size = [], [], 0
+        for k, name in enumerate(names):
+            found = self.may_be_alike(name, threshold, starts[k] if starts else 0)
+            if len(found):
+                which.append(np.full(len(found), k)), rows.append(found)
+                size += len(found)
+            if size >= PAIRS or size and k == len(names) - 1:
+                w, r = np.concatenate(which), np.concatenate(rows)
+                good = self.similarities(names, w, r) >= threshold
+                yield from zip(w[good].tolist(), r[good].tolist(), strict=True)
+                which, rows, size = [], [], 0
+        if size:
+            w, r = np.concatenate(which), np.concatenate(rows)
+            good = self.similarities(names, w, r) >= threshold
+            yield from zip(w[good].tolist(), r[good].tolist(), strict=True)
+
+    def holds_alike(self, names: list[str], threshold: float) -> set[int]:
+        """Places of the names that are equal or similar to a seed."""
+        found = {k for k, n in enumerate(names) if n in self.equal}
+        rest = [k for k in range(len(names)) if k not in found]
+        return found | {rest[k] for k, _ in self.alike([names[k] for k in rest], threshold)}
+
+    def best(self, names: list[str], known: list[tuple[int, str, float] | None], least: float = REVIEW) -> list[tuple[int, str, float] | None]:
+        """For each name (ordinal, canonical, similarity) of the most similar seed or what is known, whichever is better, the first by
+        ordinal of several; none that is below `least`."""
+        out = []
+        for at in range(0, len(names), TOGETHER):
+            out += self._best(names[at : at + TOGETHER], known[at : at + TOGETHER], least)
+        return out
+
+    def _best(self, names: list[str], known: list, least: float) -> list:
+        best = list(known)
+
+        def take(which: list[np.ndarray], rows: list[np.ndarray]) -> None:
+            if not rows:
+                return
+            w, r = np.concatenate(which), np.concatenate(rows)
+            scores = self.similarities(names, w, r)
+            order = np.lexsort((self.ordinals[r], -scores, w))
+            for i in order[np.unique(w[order], return_index=True)[1]].tolist():
+                k, (ordinal, canonical, _), score = int(w[i]), self.seeds[r[i]], float(scores[i])
+                if score >= least and (best[k] is None or (score, -ordinal) > (best[k][2], -best[k][0])):
+                    best[k] = (ordinal, canonical, score)
+
+        open_ = []
+        for k, name in enumerate(names):
+            if name in self.equal:
+                found = (*self.seeds[self.equal[name]][:2], 1.0)
+                best[k] = found if best[k] is None or (1.0, -found[0]) > (best[k][2], -best[k][0]) else best[k]
+            elif name and self.seeds:
+                open_.append(k)
+        shared = {k: self._shared(names[k], 0, len(self.names)) for k in open_ if len(names[k]) <= BITS}
+        which, rows = [], []
+        for k, letters in shared.items():
+            # a good one first, so that few others may be better
+            low, high = self._beginnings(names[k])[-1]
+            first = np.concatenate([np.flatnonzero(letters == letters.max())[:FIRST], low + np.argsort(-letters[low:high].astype(np.int16), kind="stable")[:FIRST]])
+            which.append(np.full(len(first), k)), rows.append(first)
+        take(which, rows)
+        which, rows, size = [], [], 0
+        for k in open_:
+            bound = max(least, int(best[k][2] * STEPS) / STEPS) if best[k] else least
+            found = self.may_be_alike(names[k], bound, 0, shared.get(k))
+            which.append(np.full(len(found), k)), rows.append(found)
+            size += len(found)
+            if size >= PAIRS:
+                take(which, rows)
+                which, rows, size = [], [], 0
+        take(which, rows)
+        return best
 
     def __call__(self, name: str, least: float = REVIEW) -> tuple[int, str, float] | None:
         """(ordinal, canonical, similarity), or none that reaches `least`."""
-        if not self.seeds or not name:
-            return None
-        if name in self.equal:
-            return (*self.seeds[self.equal[name]][:2], 1.0)
-        bounds = self.bounds(name)
-        open_ = np.flatnonzero(bounds >= least)
-        open_ = open_[np.argsort(-bounds[open_], kind="stable")]
-        best, at, step = None, 0, 64
-        while at < len(open_):
-            rows = open_[at : at + step]
-            if best and bounds[rows[0]] < best[2]:
-                break
-            at, step = at + step, step * 4
-            short = rows[~self.long[rows]] if len(name) <= BITS else rows[:0]
-            scores = [(short, self.similarities(name, short))] if len(short) else []
-            others = rows if len(name) > BITS else rows[self.long[rows]]
-            scores += [(others, np.array([_jaro_winkler(name, self.seeds[i][2]) for i in others.tolist()]))] if len(others) else []
-            for found, values in scores:
-                # of equal scores the first by place is the first by ordinal
-                top = values.max()
-                ordinal, canonical, _ = self.seeds[int(found[values == top].min())]
-                if top >= least and (best is None or (top, -ordinal) > (best[2], -best[0])):
-                    best = (ordinal, canonical, float(top))
-        return best
+        return self.best([name], [None], least)[0]
 
 
-def _nearest_udf(block: Nearest):
+def _nearest_udf(blocks: Broadcast):
     @F.pandas_udf("struct<ordinal:long,best:string,score:double>")
-    def nearest(norms: pd.Series) -> pd.DataFrame:
-        rows = [block(n) or (None, None, None) for n in norms]
+    def nearest(norms: pd.Series, ordinals: pd.Series, names: pd.Series, scores: pd.Series) -> pd.DataFrame:
+        known = [None if name is None else (int(o), name, s) for o, name, s in zip(ordinals, names, scores, strict=True)]
+        asked = norms.tolist()
+        for block in blocks.value:
+            known = block.best(asked, known)
+        rows = [r or (None, None, None) for r in known]
         return pd.DataFrame({"ordinal": pd.array([r[0] for r in rows], "Int64"), "best": [r[1] for r in rows], "score": pd.array([r[2] for r in rows], "Float64")})
 
     return nearest
 
 
-def nearest_seeds(names: DataFrame, seeds: DataFrame, decompose: bool, block: int) -> DataFrame:
+def nearest_seeds(names: DataFrame, seeds: DataFrame, decompose: bool, block: int, group: int = GROUP) -> DataFrame:
     """(_norm, best, score) of the names whose most similar seed reaches REVIEW. All names meet all seeds, whose letters decide most
-    pairs; tasks are as many as the names need, and what a task holds is bounded by a block of seeds.
+    pairs; tasks are as many as the names need, and what a task holds is bounded by a group of blocks of seeds.
 
     Of seeds with the same normalised name the first by ordinal holds, as they are equally similar to any name."""
     known = seeds.select("ordinal", "canonical_name", normalize_name(F.col("canonical_name"), decompose).alias("n")).where("n <> ''")
     known = stored(known.groupBy("n").agg(F.min_by(F.struct("ordinal", "canonical_name"), "ordinal").alias("s")).select("s.*", "n"))
-    names = stored(names.select("_norm"))
+    none = lambda kind: F.lit(None).cast(kind)
+    names = stored(names.select("_norm", none("long").alias("ordinal"), none("string").alias("best"), none("double").alias("score")))
     parts, tasks = -(-known.count() // block) or 1, -(-names.count() // NAMES_A_TASK) or 1
-    # names are few bytes and much work: their number is dealt, not their size
-    names = names.repartition(min(tasks, MOST_TASKS))
-    found = None
-    for k in range(parts):
-        # about `block` rows come to the driver
-        mine = Nearest([(r.ordinal, r.canonical_name, r.n) for r in known.where(F.pmod(F.xxhash64("n"), F.lit(parts)) == k).collect()])
-
-        some = stored(names.select("_norm", _nearest_udf(mine)("_norm").alias("s")).select("_norm", "s.*").where("best IS NOT NULL"))
-        found = some if found is None else found.union(some)
+    context = names.sparkSession.sparkContext
+    dealt = known.withColumn("_part", F.pmod(F.xxhash64("n"), F.lit(parts)))
+    for k in range(0, parts, group):
+        # about `group` times `block` rows come to the driver
+        rows: dict[int, list] = {}
+        for r in dealt.where(F.col("_part").between(k, k + group - 1)).collect():
+            rows.setdefault(r["_part"], []).append((r.ordinal, r.canonical_name, r.n))
+        blocks = context.broadcast([Nearest(x) for x in rows.values()])
+        # names are few bytes and much work: their number is dealt, not their size
+        found = names.repartition(min(tasks, MOST_TASKS)).select("_norm", _nearest_udf(blocks)("_norm", "ordinal", "best", "score").alias("s"))
+        after = stored(found.select("_norm", "s.*"))
+        discard(names)
+        names = after
+        blocks.destroy()
     discard(known)
-    if parts == 1:
-        return found.select("_norm", "best", "score")
-    return found.groupBy("_norm").agg(F.max_by("best", F.struct("score", -F.col("ordinal"))).alias("best"), F.max("score").alias("score"))
+    return names.where("best IS NOT NULL").select("_norm", "best", "score")
 
 
 def resolve(raw: DataFrame, seeds: DataFrame, name: str = "raw_name", domain: str | None = None, decompose: bool = True, block: int = BLOCK) -> DataFrame:
     """raw with canonical, method, confidence and decision.
 
     seeds has ordinal, canonical_name, aliases and domain. Similarity is computed once per distinct name that no
-    lookup resolves, with one block of seeds after the other; only seeds whose letters allow a better similarity than the best
-    so far are compared in full."""
+    lookup resolves, with one group of blocks of seeds after the other; only seeds whose letters allow a better similarity than the
+    best so far are compared in full."""
     aliases = alias_table(seeds)
     normal = aliases.withColumn("norm", normalize_name(F.col("alias"), decompose)).where("norm <> ''").groupBy("norm").agg(F.max_by("canonical", "ordinal").alias("by_norm"))
     domains = seeds.where("domain IS NOT NULL").groupBy(F.lower("domain").alias("d")).agg(F.min_by("canonical_name", "ordinal").alias("by_domain"))
