@@ -125,3 +125,16 @@ def test_names_that_are_all_alike_make_no_pairs(spark, monkeypatch):
     df = spark.range(6000).selectExpr("id AS seq", "CAST(NULL AS STRING) AS exact", "concat('supplier', lpad(id, 9, '0')) AS norm", "'JOB:su' AS block")
     assert dedup.survivors(df, 0.9).where("status = 'keep'").count() < 10
     assert sum(compared) < 100  # all of them before
+
+
+def test_the_records_that_lead_grow_with_the_open_ones(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "HEAD", 64)
+    monkeypatch.setattr(dedup, "LEAD_FROM", 256)
+    rounds, led = [], dedup._led
+    monkeypatch.setattr(dedup, "_led", lambda state, threshold, rows: rounds.append(rows) or led(state, threshold, rows))
+    rng = random.Random(8)
+    kinds = ["aa" + "".join(rng.choice(string.ascii_lowercase) for _ in range(12)) for _ in range(400)]
+    rows = [(i, None, kinds[i % 400] + "abcdefghij"[i // 400], "X:aa") for i in range(4000)]
+    got = {r.seq: r.status for r in dedup.survivors(spark.createDataFrame(rows, RECORDS), 0.9).collect()}
+    assert got == {i: "keep" if i < 400 else "duplicate" for i in range(4000)}
+    assert len(rounds) <= 4  # 7 before

@@ -120,16 +120,22 @@ def survivors(records: DataFrame, threshold: float = 0.90, part: int = PART) ->
     return out
 
 
-#: Records that are decided at once before all others are compared with those of them that stay; open records from which that is done,
-#: and the share of them (one in so many) that it must settle to be done again.
-HEAD, LEAD_FROM, LEAST_SHARE = 1024, 4096, 8
+#: Records that are decided at once before all others are compared with those of them that stay: one in HEAD_SHARE of the open ones, but
+#: no fewer than HEAD and no more than MOST_HEAD; open records from which that is done, and the share of them (one in so many) that it
+#: must settle to be done again.
+HEAD, MOST_HEAD, HEAD_SHARE, LEAD_FROM, LEAST_SHARE = 1024, 16_384, 16, 4096, 8
+
+
+#: Records that one task compares with the records that lead.
+NAMES_A_TASK = 2048
 
 
 def _led(state: DataFrame, threshold: float, rows: int) -> DataFrame:
-    """Open records with the status of the first HEAD of them in order, which depends on no other, and of those that are
+    """Open records with the status of the first of them in order, which depends on no other, and of those that are
     like one of these that stays. Where most names are alike, a few such records settle the table without its pairs."""
-    # HEAD rows come to the driver and go to the tasks
-    head = [(r.seq, r.exact, r.norm, r.block, r.name) for r in state.orderBy("seq").limit(HEAD).collect()]
+    # MOST_HEAD rows at most come to the driver and go to the tasks
+    size = max(HEAD, min(MOST_HEAD, rows // HEAD_SHARE))
+    head = [(r.seq, r.exact, r.norm, r.block, r.name) for r in state.orderBy("seq").limit(size).collect()]
     leaders = _Leaders(threshold)
     shared = state.sparkSession.sparkContext.broadcast((leaders, leaders.lead(head)))
 
@@ -141,7 +147,7 @@ def _led(state: DataFrame, threshold: float, rows: int) -> DataFrame:
         return pd.Series([decided.get(s) or ("duplicate" if c else "open") for s, c in zip(seq, claimed, strict=True)])
 
     # names are few bytes and much work: their number is dealt, not their size
-    dealt = state.repartition(min(MOST_TASKS, -(-rows // (2 * HEAD))))
+    dealt = state.repartition(min(MOST_TASKS, -(-rows // NAMES_A_TASK)))
     return dealt.withColumn("status", judged("seq", "exact", "norm", "block", "name"))
 
 
