@@ -132,3 +132,32 @@ def test_a_query_reads_its_terms_only(spark, tmp_path):
 def test_empty_documents(spark, tmp_path):
     text_index.build(spark.createDataFrame([], TEXTS), str(tmp_path), "id", "text")
     assert text_index.search(spark, str(tmp_path), ["w1"], 3).collect() == []
+
+
+def shuffled(spark):
+    store, none = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway.new_array(spark._jvm.double, 0)
+    stages = store.stageList(None, False, False, none, None)
+    return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+
+def test_texts_are_shuffled_once_and_words_never(spark, tmp_path):
+    docs = corpus(600, 4)
+    df = spark.createDataFrame(docs, TEXTS)
+    before = shuffled(spark)
+    text_index.build(df, str(tmp_path), "id", "text", segment=50)
+    assert shuffled(spark) - before < 2 * len(docs)  # each of them has some 20 different words
+
+
+def test_postings_of_repeated_and_missing_ids(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(text_index, "TASK_WORDS", 100)
+    rng = random.Random(6)
+    docs = [(rng.choice([None, "a", "b", "c", "d"]), " ".join(rng.choices(["x", "Y", "é1", "z"], k=rng.randint(0, 4)))) for _ in range(120)] + [("e", None)]
+    text_index.build(spark.createDataFrame(docs, "id string, text string"), str(tmp_path), "id", "text", segment=9)
+    expected = Counter()
+    for i, t in docs:
+        for w in (t or "").lower().split():
+            expected[w, i, len(t.split())] += 1
+    rows = text_index.postings(spark, str(tmp_path), ["x", "y", "é1", "z"]).collect()
+    assert {(r.term, p.d, p.len): p.tf for r in rows for p in r.docs} == dict(expected) and sum(len(r.docs) for r in rows) == len(expected)
+    assert all(r.n == len(r.docs) and r.most == max(p.tf for p in r.docs) and r.least == min(p.len for p in r.docs) for r in rows)
+    assert len({(r.term, r.segment) for r in rows}) == len(rows)

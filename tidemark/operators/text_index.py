@@ -14,7 +14,11 @@ runs of letters and digits in lower case; a term that is no such word finds noth
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +26,8 @@ from tidemark.operators.search import K1, B
 
 #: Documents of a segment on average, buckets of terms, segments that are read first.
 SEGMENT, BUCKETS, FIRST = 1024, 64, 8
+#: Words that one task counts, on average, and postings that it hands on at once.
+TASK_WORDS, BATCH = 4_000_000, 10_000
 #: Scores are compared with this much room for rounding.
 ROOM = 1e-6
 
@@ -35,21 +41,59 @@ def words(text: Column) -> Column:
 
 
 def build(docs: DataFrame, path: str, id_col: str, text_col: str, batch: int = 0, segment: int = SEGMENT, buckets: int = BUCKETS) -> None:
-    """Write the postings of one batch; writing a batch again replaces it."""
-    rows = docs.select(F.col(id_col).alias("d"), words(F.col(text_col).cast("string")).alias("w")).select("d", "w", F.when(F.col("w").isNotNull(), F.size("w")).alias("len"))
-    kind = F.lit(rows.schema["d"].dataType.simpleString()).alias("id_type")
-    sizes = rows.agg(kind, F.count("*").alias("n"), F.count("len").alias("texts"), F.coalesce(F.sum("len"), F.lit(0)).cast("long").alias("words"))
+    """Write the postings of one batch; writing a batch again replaces it.
+
+    Texts are dealt by segment, once; a task holds its segments whole, counts their words and writes their postings by bucket. So the
+    disk holds the texts once and the postings, and neither words nor postings are shuffled."""
+    text = F.col(text_col).cast("string")
+    kind = docs.select(id_col).schema[0].dataType.simpleString()
+    length = F.regexp_count(F.lower(text), F.lit(r"[\p{L}\p{N}]+"))
+    sizes = docs.select(length.alias("len")).agg(F.lit(kind).alias("id_type"), F.count("*").alias("n"), F.count("len").alias("texts"), F.coalesce(F.sum("len"), F.lit(0)).cast("long").alias("words"))
     sizes.write.mode("overwrite").parquet(f"{path}/sizes/batch={batch}")
-    n = docs.sparkSession.read.parquet(f"{path}/sizes/batch={batch}").first().n
-    # all words of a document are in one partition, so counts are complete before the shuffle
-    counts = rows.select("d", "len", F.explode("w").alias("term")).groupBy("d", "len", "term").agg(F.count("*").cast("int").alias("tf"))
+    total = docs.sparkSession.read.parquet(f"{path}/sizes/batch={batch}").first()
     # documents are spread over segments by a hash: a segment's postings of a term are bounded whatever the term
-    part = F.pmod(F.xxhash64("d", "len"), F.lit(max(1, -(-n // segment)))).cast("int")
-    postings = counts.groupBy("term", part.alias("segment")).agg(F.sort_array(F.collect_list(F.struct("d", "tf", "len"))).alias("docs"), F.count("*").cast("int").alias("n"), F.max("tf").alias("most"), F.min("len").alias("least"))
-    postings = postings.withColumn("bucket", bucket(F.col("term"), buckets)).hint("rebalance", "bucket")
+    segments = max(1, -(-total.n // segment))
+    rows = docs.select(F.col(id_col).alias("d"), words(text).alias("w")).select("d", F.size("w").alias("len"), F.array_join("w", " ").alias("w")).where("len > 0")
+    tasks = max(1, min(segments, -(-total.words // TASK_WORDS)))
+    dealt = rows.withColumn("segment", F.pmod(F.xxhash64("d", "len"), F.lit(segments)).cast("int")).repartition(tasks, "segment")
+    postings = dealt.mapInArrow(_counted, f"term string, segment int, docs array<struct<d:{kind},tf:int,len:int>>, n int, most int, least int")
+    postings = postings.withColumn("bucket", bucket(F.col("term"), buckets))
     postings.sortWithinPartitions("bucket", "term", "segment").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings/batch={batch}")
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Postings of whole segments of documents (d, len, w, segment); w has the words, parted by spaces."""
+    batches = [b for b in batches if b.num_rows]
+    if not batches:
+        return
+    rows = pa.Table.from_batches(batches).combine_chunks()
+    d, len_, segment = rows["d"].combine_chunks(), rows["len"].to_numpy(), rows["segment"].to_numpy()
+    # rows of one id and length are one document; documents are numbered by segment, id and length
+    place = pc.rank(d, sort_keys="ascending", null_placement="at_start", tiebreaker="dense").to_numpy()
+    _, first, doc = np.unique(np.stack([segment, place, len_], axis=1).astype(np.int64), axis=0, return_index=True, return_inverse=True)
+    texts = pc.split_pattern(rows["w"].combine_chunks(), " ")
+    terms = texts.flatten().dictionary_encode()
+    own = np.repeat(doc.reshape(-1), pc.list_value_length(texts).to_numpy(zero_copy_only=False))
+    _, number = np.unique(segment[first], return_inverse=True)
+    held, found = len(terms.dictionary), len(first)
+    key = (number[own].astype(np.int64) * held + terms.indices.to_numpy(zero_copy_only=False)) * found + own
+    key, tf = np.unique(key, return_counts=True)
+    group, doc = np.divmod(key, found)
+    starts = np.flatnonzero(np.diff(group, prepend=-1))
+    ends = np.append(starts, len(key)).astype(np.int32)
+    at, tf, lengths = first[doc], tf.astype(np.int32), len_[first[doc]].astype(np.int32)
+    docs = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([d.take(pa.array(at)), pa.array(tf), pa.array(lengths)], names=["d", "tf", "len"]))
+    columns = {
+        "term": terms.dictionary.take(pa.array(group[starts] % held)),
+        "segment": pa.array(segment[at[starts]].astype(np.int32)),
+        "docs": docs,
+        "n": pa.array(np.diff(ends)),
+        "most": pa.array(np.maximum.reduceat(tf, starts)),
+        "least": pa.array(np.minimum.reduceat(lengths, starts)),
+    }
+    yield from pa.table(columns).to_batches(max_chunksize=BATCH)
+
+
 def postings(spark: SparkSession, path: str, terms: list[str], buckets: int = BUCKETS) -> DataFrame:
     """The postings of some terms: the partitions of their buckets, and of these the row groups that may hold them."""
     asked = sorted(set(terms))
